@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .decontaminate import decontaminate
 from .exact_dedup import exact_dedup
+from .near_dedup import near_dedup
 from .packing import pack
+from .toxicity import score_toxicity
 
 
 def tokenizer_path() -> str:
@@ -18,6 +20,10 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup(table(spark, sf_dir, "documents"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), digest_all=True)
 
@@ -26,13 +32,19 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_near_dedup": op1_near_dedup,
     "op3_exact_dedup": op3_exact_dedup,
     "op8_decontaminate": op8_decontaminate,
+    "op9_toxicity": op9_toxicity,
     "op10_pack": op10_pack,
 }
 
