@@ -9,9 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from .common import table
 from .decontaminate import decontaminate
 from .exact_dedup import exact_dedup
+from .licences import oracle_sql as licences_sql
+from .licences import scan_licences
 from .near_dedup import near_dedup
 from .packing import pack
+from .pii import find_pii
 from .toxicity import score_toxicity
+from .url_filter import filter_urls
 
 
 def tokenizer_path() -> str:
@@ -24,10 +28,22 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents"), digest_all=True)
 
 
+def op4_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan_licences(table(spark, sf_dir, "documents"))
+
+
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_pii(table(spark, sf_dir, "documents"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -42,7 +58,10 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
+    "op2_url_filter": op2_url_filter,
     "op3_exact_dedup": op3_exact_dedup,
+    "op4_licences": op4_licences,
+    "op5_pii": op5_pii,
     "op8_decontaminate": op8_decontaminate,
     "op9_toxicity": op9_toxicity,
     "op10_pack": op10_pack,
@@ -57,6 +76,7 @@ ORACLE_SQL: dict[str, str] = {
         )
         select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(n) as text_sha256 from g
     """,
+    "op4_licences": licences_sql(),
     "op8_decontaminate": r"""
         with d as (
             select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') ws from documents
