@@ -11,6 +11,7 @@ from .decontaminate import decontaminate
 from .exact_dedup import exact_dedup
 from .licences import oracle_sql as licences_sql
 from .licences import scan_licences
+from .line_dedup import line_dedup
 from .near_dedup import near_dedup
 from .packing import pack
 from .pii import find_pii
@@ -44,6 +45,10 @@ def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return find_pii(table(spark, sf_dir, "documents"))
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup(table(spark, sf_dir, "documents"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -62,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_exact_dedup": op3_exact_dedup,
     "op4_licences": op4_licences,
     "op5_pii": op5_pii,
+    "op6_line_dedup": op6_line_dedup,
     "op8_decontaminate": op8_decontaminate,
     "op9_toxicity": op9_toxicity,
     "op10_pack": op10_pack,
@@ -77,6 +83,23 @@ ORACLE_SQL: dict[str, str] = {
         select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(n) as text_sha256 from g
     """,
     "op4_licences": licences_sql(),
+    "op6_line_dedup": r"""
+        with l as (
+            select row, doc_id, unnest(string_split(coalesce(text, ''), chr(10))) t, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) l
+            from (select row_number() over () as row, * from documents)
+        ), s as (
+            select row, doc_id, l, list_sort(list_distinct(list_filter(regexp_split_to_array(lower(t), '[^\p{L}\p{N}]+'), lambda w: w <> ''))) h from l
+        ), d as (
+            select h, len(h) n, min((doc_id, l)) f, row_number() over () as sid from s where len(h) > 0 group by h
+        ), p as (select sid, n, unnest(h) w from d),
+        o as (select a.sid x, b.sid y, count(*) c from p a join p b on a.w = b.w and a.sid <> b.sid and a.n >= 0.8 * b.n and b.n >= 0.8 * a.n group by 1, 2),
+        k as (
+            select x, min(dy.f) f, count(*) links from o join d dx on dx.sid = x join d dy on dy.sid = y where 5 * c >= 4 * (dx.n + dy.n - c) group by 1
+        ), v as (select h, least(d.f, coalesce(k.f, d.f)) since, coalesce(links, 0) links from d left join k on k.x = d.sid)
+        select doc_id, count(*) n_lines, count(*) filter (since < (doc_id, l)) n_removed, coalesce(sum(links), 0)::bigint n_links,
+               coalesce(string_agg(l::varchar, ',' order by l) filter (since < (doc_id, l)), '') removed_lines
+        from s left join v using (h) group by row, doc_id
+    """,
     "op8_decontaminate": r"""
         with d as (
             select doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') ws from documents
