@@ -15,6 +15,7 @@ from .line_dedup import line_dedup
 from .near_dedup import near_dedup
 from .packing import pack
 from .pii import find_pii
+from .substring_dedup import dedup_substrings
 from .toxicity import score_toxicity
 from .url_filter import filter_urls
 
@@ -49,6 +50,10 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup(table(spark, sf_dir, "documents"))
 
 
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return dedup_substrings(table(spark, sf_dir, "documents")).drop("removed")
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -68,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_licences": op4_licences,
     "op5_pii": op5_pii,
     "op6_line_dedup": op6_line_dedup,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_decontaminate": op8_decontaminate,
     "op9_toxicity": op9_toxicity,
     "op10_pack": op10_pack,
