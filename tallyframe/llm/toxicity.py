@@ -141,19 +141,20 @@ class Network:
 def indexed(texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
     """The distinct words of texts, the texts' words by number in a row, and how many each text has."""
     number: dict[str, int] = {}
-    split = [WORD.findall(t.lower()) for t in texts]
-    sizes = np.fromiter(map(len, split), np.int64, len(split))
-    flat = np.fromiter((number.setdefault(w, len(number)) for ws in split for w in ws), np.int64, int(sizes.sum()))
-    return list(number), flat, sizes
+    rows = [np.fromiter((number.setdefault(w, len(number)) for w in WORD.findall(t.lower())), np.int32) for t in texts]
+    sizes = np.fromiter(map(len, rows), np.int64, len(rows))
+    return list(number), np.concatenate(rows) if rows else np.zeros(0, np.int32), sizes
 
 
 def laid_out(flat: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The text of each window, and its words by number (-1 past its end)."""
     text, first = windows_of(sizes)
-    place = first[:, None] + np.arange(WINDOW)
-    inside = place < sizes[text][:, None]
-    start = (np.cumsum(sizes) - sizes)[text][:, None]
-    return text, np.where(inside, np.append(flat, -1)[np.where(inside, start + place, len(flat))], -1)
+    start, left = (np.cumsum(sizes) - sizes)[text] + first, sizes[text] - first
+    at = np.full((len(text), WINDOW), -1, np.int32)
+    for t in range(WINDOW):
+        inside = left > t
+        at[inside, t] = flat[start[inside] + t]
+    return text, at
 
 
 def score_texts(net: Network, texts: list[str], rows: int = 4096) -> np.ndarray:
@@ -178,16 +179,19 @@ def train(texts: list[str], toxic: np.ndarray, epochs: int = 8, batch: int = 256
     rng = np.random.default_rng(seed)
     words, flat, sizes = indexed(texts)
     text, at = laid_out(flat, sizes)
-    owner = np.repeat(np.arange(len(texts)), sizes)
-    pairs = np.unique(np.stack([flat, owner]), axis=1) if len(flat) else np.zeros((2, 0), np.int64)
-    held = [np.bincount(pairs[0][toxic[pairs[1]] == k], minlength=len(words)) for k in (0, 1)]
+    held = [np.zeros(len(words), np.int64) for _ in (0, 1)]
+    for end, size, k in zip(np.cumsum(sizes), sizes, toxic, strict=True):
+        held[k][np.unique(flat[end - size : end])] += 1
     scale = max(1, (toxic == 0).sum()) / max(1, (toxic == 1).sum())
     odds = lambda bad, good: np.clip(np.log((bad * scale + 4) / (good + 4)), -4, 4) / 2
     often = np.flatnonzero(held[0] + held[1] >= 3)
     net = Network({words[w]: i + 1 for i, w in enumerate(often)})
 
-    slots, n = ngram_slots(words)
-    per_slot = [np.bincount(slots, np.repeat(h, n), CHAR_SLOTS) for h in held]
+    per_slot = [np.zeros(CHAR_SLOTS) for _ in held]
+    for lo in range(0, len(words), 20_000):
+        slots, n = ngram_slots(words[lo : lo + 20_000])
+        for total, h in zip(per_slot, held, strict=True):
+            total += np.bincount(slots, np.repeat(h[lo : lo + 20_000], n), CHAR_SLOTS)
     draw = lambda *shape: rng.normal(0, 0.3, shape).astype(np.float32)
     net.p = {"words": draw(len(often) + 1, WORD_DIM) * 0.1, "chars": draw(CHAR_SLOTS, CHAR_DIM) * 0.1, "A": draw(2 * HIDDEN, ATTENTION), "v": draw(ATTENTION), "o": draw(2 * HIDDEN), "c": np.zeros(1, np.float32)}
     net.p["words"][0] = 0
@@ -202,9 +206,9 @@ def train(texts: list[str], toxic: np.ndarray, epochs: int = 8, batch: int = 256
     step = 0
     clean = np.flatnonzero(toxic[text] == 0)
     for epoch in range(epochs):
-        x, _ = net.inputs(words)
+        x = np.concatenate([net.inputs(words[lo : lo + 20_000])[0] for lo in range(0, len(words), 20_000)]) if words else net.inputs([])[0]
         if epoch:
-            logit = np.concatenate([net.run(x, at[lo : lo + 4096])[0] for lo in range(0, len(at), 4096)])
+            logit = np.concatenate([net.run(x, at[lo : lo + 2048])[0] for lo in range(0, len(at), 2048)])
         else:
             value = np.append(x[:, 0] + x[:, WORD_DIM], -9)
             logit = value[at].max(1)
