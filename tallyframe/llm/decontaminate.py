@@ -81,6 +81,7 @@ def decontaminate(
     prefixes = written(rare.unionByName(sentinel))
 
     said = doc_words.withColumn("_n", F.size("_ws"))
+    said = said if small else written(said)  # row numbers are joined on, so they are settled first
     begins = F.col("_pos") - F.col("_at") + 1
     size = F.size("_window")
     fits = (begins >= 1) & (begins + size - 1 <= F.col("_n"))
