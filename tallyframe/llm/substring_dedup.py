@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from .common import text_of, written
 
-GRAM = 24
+GRAM = 16
 BITS = 1 << 26
-CHUNK_BYTES, SHARD_BYTES = 1 << 20, 1 << 18
+SLOTS = 1 << 20
+CHUNK_BYTES, SHARD_BYTES = 1 << 20, 1 << 19
 LAST = (1 << 63) - 1
 
 
@@ -66,24 +67,34 @@ def shard_transform(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     Each piece ends in a mark (symbol 0) of its own; marks sort before bytes and
     like their pieces.
     """
-    code = np.frombuffer(b"\x00".join(pieces) + b"\x00", np.uint8).astype(np.int64)
+    code = np.frombuffer(b"\x00".join(pieces) + b"\x00" + bytes(8), np.uint8)
     sizes = np.fromiter((len(x) + 1 for x in pieces), np.int64, len(pieces))
     mark = np.cumsum(sizes) - 1
-    symbol = code + 1
+    n = len(code) - 8
+    symbol = code[:n].astype(np.int64) + 1
     symbol[mark] = 0
-    rank = symbol + len(pieces)
-    rank[mark] = np.arange(len(pieces))
-    k, n = 1, len(rank)
-    while True:
-        key = rank * (max(n, 257 + len(pieces)) + 1)
+    word, k = np.zeros(n, np.uint64), 8  # the first eight bytes; what lies past a mark does not count
+    left = np.repeat(mark, sizes) - np.arange(n)
+    for i in range(8):
+        word = (word << np.uint64(8)) | np.where(left > i, code[i : i + n], 0).astype(np.uint64)
+    order = np.argsort(word)
+    rank = np.empty(n, np.int64)
+    rank[order] = np.append(False, word[order][1:] != word[order][:-1]).cumsum()
+    # Of equal words those that end inside come first, the shorter before the longer, then by piece.
+    few = 8 * len(pieces)
+    rank = rank * (few + 1) + np.where(left < 8, left * len(pieces) + np.repeat(np.arange(len(pieces)), sizes), few)
+    order = np.argsort(rank)
+    rank[order] = np.append(False, rank[order][1:] != rank[order][:-1]).cumsum()
+    while int(rank.max()) < n - 1:
+        key = rank * (n + 1)
         key[:-k] += rank[k:] + 1
-        order = np.argsort(key, kind="stable")
+        order = np.argsort(key)
         new = np.append(False, key[order][1:] != key[order][:-1]).cumsum()
         rank = np.empty(n, np.int64)
         rank[order] = new
-        if new[-1] == n - 1:
-            break
         k *= 2
+    order = np.empty(n, np.int64)
+    order[rank] = np.arange(n)
     first = np.append(0, mark[:-1] + 1)
     before = np.append(0, symbol[:-1])
     before[first] = 0
@@ -93,8 +104,8 @@ def shard_transform(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 def merged(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Two transforms (with their suffixes) as one: the interleave is refined by one symbol a round until it is stable."""
     side = np.repeat([False, True], [len(a[0]), len(b[0])])
+    symbol = np.empty(len(side), np.uint8)
     while True:
-        symbol = np.empty(len(side), np.uint8)
         symbol[~side], symbol[side] = a[0], b[0]
         new = side[np.argsort(symbol, kind="stable")]
         if np.array_equal(new, side):
@@ -105,18 +116,26 @@ def merged(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -
     return symbol, suffix
 
 
-def shared_prefixes(transform: np.ndarray, depth: int) -> np.ndarray:
-    """Where, in suffix order, a suffix does not share ``depth`` symbols with the one before: one symbol a round, along the transform."""
-    order = np.argsort(transform, kind="stable")
-    first = transform[order]
-    always = np.append(True, (first[1:] != first[:-1]) | (first[1:] == 0))
-    block = np.zeros(len(transform), np.int32)
+def intervals(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """The suffixes of two transforms by their first ``depth`` symbols, and where a common prefix of that length ends.
+
+    ``depth`` rounds of refining the interleave; blocks of suffixes that share a
+    prefix follow their symbols through the same rounds. A mark shares nothing.
+    """
+    side = np.repeat([False, True], [len(a[0]), len(b[0])])
+    symbol = np.empty(len(side), np.uint8)
+    block = np.zeros(len(side), np.int32)
+    new = np.ones(len(side), bool)
     for _ in range(depth):
-        own = block[order]
-        new = always.copy()
-        new[1:] |= own[1:] != own[:-1]
+        symbol[~side], symbol[side] = a[0], b[0]
+        order = np.argsort(symbol, kind="stable")
+        first, own = symbol.take(order), block.take(order)
+        new[1:] = (own[1:] != own[:-1]) | (first[1:] != first[:-1]) | (first[1:] == 0)
         block = np.cumsum(new, dtype=np.int32)
-    return new
+        side = side.take(order)
+    suffix = np.empty(len(side), np.int64)
+    suffix[~side], suffix[side] = a[1], b[1]
+    return suffix, new
 
 
 def early_windows(pieces: list[bytes], docs: np.ndarray, window: int) -> list[list[int]]:
@@ -133,10 +152,11 @@ def early_windows(pieces: list[bytes], docs: np.ndarray, window: int) -> list[li
         bwt, order = shard_transform(pieces[lo:hi])
         shards.append((bwt, order + starts[lo]))
         lo = hi
-    while len(shards) > 1:
+    while len(shards) > 2:
         shards = [merged(*shards[i : i + 2]) if i + 1 < len(shards) else shards[i] for i in range(0, len(shards), 2)]
-    bwt, suffix = shards[0]
-    begin = np.flatnonzero(shared_prefixes(bwt, window))
+    nothing = (np.zeros(0, np.uint8), np.zeros(0, np.int64))
+    suffix, new = intervals(shards[0], shards[1] if len(shards) > 1 else nothing, window)
+    begin = np.flatnonzero(new)
     piece = np.searchsorted(starts, suffix, side="right") - 1
     least = np.repeat(np.minimum.reduceat(docs[piece], begin), np.diff(np.append(begin, len(suffix))))
     hit = np.flatnonzero((least < docs[piece]) & (suffix - starts[piece] + window < sizes[piece]))
@@ -155,7 +175,7 @@ def scanned(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """(_id, _order, _hash, _bytes): the id, its place in the order (null last), and the text as bytes."""
     text = text_of(docs, text_col)
     order = F.coalesce(docs[id_col].cast("long"), F.lit(LAST))
-    return docs.select(docs[id_col].alias("_id"), order.alias("_order"), F.xxhash64(text).alias("_hash"), F.encode(text, "UTF-8").alias("_bytes"))
+    return docs.select(docs[id_col].alias("_id"), order.alias("_order"), F.hash(text).alias("_hash"), F.encode(text, "UTF-8").alias("_bytes"))
 
 
 def rows_of(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray]]:
@@ -174,90 +194,113 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     other. An empty table gives no rows. ``removed`` lists first and end byte of
     each maximal run. Bytes that stay may not be valid UTF-8 on their own.
 
-    Equal windows share their anchor, the 24-byte string of smallest hash inside
+    Equal windows share their anchor, the 16-byte string of smallest hash inside
     them. Anchor hashes that only one document holds cannot belong to a repeated
     window; the others are marked in a table of ``BITS`` bits (a fixed size, sent
     to all tasks; marks met by chance only add work). What is left of a document
     is cut into pieces, runs of windows with the same anchor, of at most
-    ``2 * window - 24`` bytes. Equal pieces are combined to one with its smallest
-    id before they are dealt out by anchor, so a passage or document with very
-    many copies is one piece.
+    ``2 * window - 16`` bytes, and each distinct piece gets its smallest id. Where
+    all pieces of an anchor are alike that settles all their windows. The pieces
+    of other anchors, combined within each batch, are dealt out by anchor, so a
+    passage or document with very many copies is one piece there.
 
     Within a task, pieces are taken in chunks of whole anchors; shards of a chunk
-    get their Burrows-Wheeler transforms, which are merged pairwise by refining
-    their interleave, and common prefixes of ``window`` bytes follow from the
-    merged transform. Each interval of equal windows yields its smallest id.
+    get their Burrows-Wheeler transforms, whose interleave is refined pairwise;
+    common prefixes of ``window`` bytes follow in the same rounds. Each interval
+    of equal windows yields its smallest id.
     """
     spark = docs.sparkSession
     base = scanned(docs, id_col, text_col).select("_order", "_hash", "_bytes")
 
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def bit_table(anchors_: DataFrame):
+        """A broadcast table of ``BITS`` bits with those of column ``h`` set: at most BITS / 32 rows reach the driver, whatever the input."""
+        words = anchors_.withColumn("s", F.pmod(F.col("h").cast("long"), F.lit(BITS))).groupBy(F.expr("cast(s div 32 as int)").alias("w"))
+        got = words.agg(F.expr("bit_or(shiftleft(1L, cast(s % 32 as int)))").alias("bits")).toPandas()
+        table = np.zeros(BITS // 32, np.uint32)
+        table[got["w"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64).astype(np.uint32)
+        return spark.sparkContext.broadcast(table)
+
+    def marked(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+        at = hashes.view(np.int32).astype(np.int64) % BITS
+        return (table[at >> 5] >> (at & 31).astype(np.uint32) & np.uint32(1)).astype(bool)
+
+    def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [np.unique(anchors(data, window)[1]) for _, _, data in rows_of(batch)]
-            flat = np.concatenate(found) if found else np.zeros(0, np.uint32)
-            owner = np.repeat(np.array(batch.column(0).to_pylist(), np.int64), [len(x) for x in found])
-            yield pa.RecordBatch.from_arrays([pa.array(flat.view(np.int32)), pa.array(owner)], ["h", "d"])
-
-    held = base.mapInArrow(mark, "h int, d long").groupBy("h").agg(F.min("d").alias("lo"), F.max("d").alias("hi")).where("lo < hi")
-    slot = F.pmod(F.col("h").cast("long"), F.lit(BITS))
-    words = held.withColumn("s", slot).groupBy(F.expr("cast(s div 32 as int)").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(s % 32 as int)))").alias("bits"))
-    got = words.toPandas()  # at most BITS / 32 rows, whatever the input
-    table = np.zeros(BITS // 32, np.uint32)
-    table[got["w"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64).astype(np.uint32)
-    marks = spark.sparkContext.broadcast(table)
-
-    def cut(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, list[bytes]]]:
+            h, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int32)), pa.array(np.minimum(n, 2).astype(np.int8))], ["h", "n"])
+
+    repeated = bit_table(base.mapInArrow(seen, "h int, n tinyint").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1"))
+
+    def cut(batch: pa.RecordBatch, table: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, list[bytes]]]:
         for order, h, data in rows_of(batch):
             where, hashes = anchors(data, window)
-            if len(where):
-                at = hashes.view(np.int32).astype(np.int64) % BITS
-                lo, hi = runs(where, (marks.value[at >> 5] >> (at & 31).astype(np.uint32) & np.uint32(1)).astype(bool))
-                if len(lo):
-                    whole = data.tobytes()
-                    yield order, h, lo, hi, hashes[lo].view(np.int32), [whole[a : b + window] for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]
+            lo, hi = runs(where, marked(table, hashes)) if len(where) else (where, where)
+            if len(lo):
+                whole = data.tobytes()
+                yield order, h, lo, hi, hashes[lo].view(np.int32), [whole[a : b + window] for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for order, h, lo, hi, anchor, own in cut(batch):
+            for order, h, lo, hi, anchor, own in cut(batch, repeated.value):
                 n = len(lo)
                 keys = np.fromiter(map(xxhash.xxh3_64_intdigest, own), np.uint64, n).view(np.int64)
-                columns = [np.full(n, order), np.full(n, h), lo.astype(np.int32), (hi - lo).astype(np.int32) + window, anchor, keys]
+                columns = [np.full(n, order), np.full(n, h, np.int32), lo.astype(np.int32), (hi - lo + window).astype(np.int16), anchor, keys]
                 yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], ["_order", "_hash", "at", "size", "h", "p"])
 
+    occurrences = written(base.mapInArrow(places, "_order long, _hash int, at int, size short, h int, p long"))
+    known = written(occurrences.groupBy("h", "p").agg(F.min("_order").alias("first")))
+    mixed = bit_table(known.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"))
+
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for order, _, lo, _, anchor, own in cut(batch):
-                keys = np.fromiter(map(xxhash.xxh3_64_intdigest, own), np.uint64, len(own)).view(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(anchor), pa.array(keys), pa.array(np.full(len(lo), order)), pa.array(own, pa.binary())], ["h", "p", "d", "piece"])
-
-    distinct = base.mapInArrow(pieces, "h int, p long, d long, piece binary").groupBy("h", "p").agg(F.min("d").alias("d"), F.first("piece").alias("piece"))
+            least: dict[tuple[int, bytes], int] = {}
+            for order, _, _, _, anchor, own in cut(batch, mixed.value):
+                for key in zip(anchor.tolist(), own, strict=True):
+                    least[key] = min(order, least.get(key, order))
+            columns = [pa.array([k[0] for k in least], pa.int32()), pa.array([k[1] for k in least], pa.binary()), pa.array([*least.values()], pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, ["h", "piece", "d"])
 
     def refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def finished(rows: list[tuple]) -> pa.RecordBatch:
-            rows.sort(key=lambda r: r[3])
-            early = early_windows([r[3] for r in rows], np.array([r[2] for r in rows], np.int64), window)
-            columns = [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()), pa.array([r[2] for r in rows], pa.int64()), pa.array(early, pa.list_(pa.int32()))]
-            return pa.RecordBatch.from_arrays(columns, ["h", "p", "first", "early"])
+            rows.sort(key=lambda r: r[1])
+            early = early_windows([r[1] for r in rows], np.array([r[2] for r in rows], np.int64), window)
+            hit = [i for i, own in enumerate(early) if own]
+            keys = np.array([xxhash.xxh3_64_intdigest(rows[i][1]) for i in hit], np.uint64).view(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array([rows[i][0] for i in hit], pa.int32()), pa.array(keys), pa.array([early[i] for i in hit], pa.list_(pa.int16()))], ["h", "p", "early"])
+
+        def groups() -> Iterator[list[tuple]]:
+            own: list[tuple] = []
+            for batch in batches:
+                for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                    if own and row[0] != own[-1][0]:
+                        yield own
+                        own = []
+                    own.append(row)
+            if own:
+                yield own
 
         rows, size = [], 0
-        for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if size >= CHUNK_BYTES and row[0] != rows[-1][0]:
-                    yield finished(rows)
-                    rows, size = [], 0
-                rows.append(row)
-                size += len(row[3])
+        for own in groups():
+            if len(own) > 1:  # a lone piece has nothing to share
+                rows += own
+                size += sum(len(r[1]) for r in own)
+            if size >= CHUNK_BYTES:
+                yield finished(rows)
+                rows, size = [], 0
         if rows:
             yield finished(rows)
 
-    judged = written(distinct.repartition("h").sortWithinPartitions("h").mapInArrow(refine, "h int, p long, first long, early array<int>"))
+    dealt = base.mapInArrow(pieces, "h int, piece binary, d long").repartition("h")
+    distinct = dealt.groupBy("h", "piece").agg(F.min("d").alias("d")).sortWithinPartitions("h")
+    early = distinct.mapInArrow(refine, "h int, p long, early array<short>")
 
     # A piece that another document holds first goes as a whole, else only its windows that other pieces hold earlier.
-    occurrences = base.mapInArrow(places, "_order long, _hash long, at int, size int, h int, p long")
-    whole = F.array(F.struct(F.col("at").alias("lo"), (F.col("at") + F.col("size")).alias("hi")))
+    judged = occurrences.join(known, ["h", "p"]).join(early, ["h", "p"], "left")
+    whole = F.array(F.struct(F.col("at").alias("lo"), (F.col("at") + F.col("size")).cast("int").alias("hi")))
     pairs = F.transform(F.sequence(F.lit(0), (F.size("early") / 2).cast("int") - 1), lambda i: F.struct(
-        (F.col("at") + F.element_at("early", 2 * i + 1)).alias("lo"), (F.col("at") + F.element_at("early", 2 * i + 2) + window).alias("hi")))
-    spans = occurrences.join(judged, ["h", "p"]).where("_order > first or size(early) > 0").select(
+        (F.col("at") + F.element_at("early", 2 * i + 1)).cast("int").alias("lo"), (F.col("at") + F.element_at("early", 2 * i + 2) + window).cast("int").alias("hi")))
+    spans = judged.where("_order > first or early is not null").select(
         "_order", "_hash", F.when(F.col("_order") > F.col("first"), whole).otherwise(pairs).alias("spans")
     )
     gone = written(spans.groupBy("_order", "_hash").agg(F.flatten(F.collect_list("spans")).alias("spans")))
@@ -283,6 +326,12 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             yield pa.RecordBatch.from_arrays(columns, ["_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "removed"])
 
     kind = docs.schema[id_col].dataType.simpleString()
-    full = scanned(docs, id_col, text_col).join(gone, ["_order", "_hash"], "left").select("_id", "_bytes", "spans")
-    out = full.mapInArrow(strip, f"_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<long>")
+    # Only rows that may lose something meet their spans; the slots are at most SLOTS integers.
+    slot = F.pmod(F.xxhash64("_order", "_hash"), F.lit(SLOTS))
+    slots = F.broadcast(gone.select(slot.alias("_slot")).distinct())
+    every = scanned(docs, id_col, text_col).withColumn("_slot", slot)
+    some = every.join(slots, "_slot", "left_semi").join(gone, ["_order", "_hash"], "left").select("_id", "_bytes", "spans")
+    rest = every.join(slots, "_slot", "left_anti").select("_id", "_bytes", F.lit(None).cast(gone.schema["spans"].dataType).alias("spans"))
+    kind = docs.schema[id_col].dataType.simpleString()
+    out = some.unionByName(rest).mapInArrow(strip, f"_id {kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, removed array<long>")
     return out.withColumnRenamed("_id", id_col)
