@@ -168,7 +168,7 @@ def score_texts(net: Network, texts: list[str], rows: int = 4096) -> np.ndarray:
     return np.where(sizes > 0, sigmoid(best), 0)
 
 
-def train(texts: list[str], toxic: np.ndarray, epochs: int = 8, batch: int = 256, seed: int = 7) -> Network:
+def train(texts: list[str], toxic: np.ndarray, epochs: int = 8, most_batch: int = 256, seed: int = 7) -> Network:
     """A network fitted to labelled texts.
 
     Only some window of a toxic text need be toxic, so each epoch first scores
@@ -216,6 +216,7 @@ def train(texts: list[str], toxic: np.ndarray, epochs: int = 8, batch: int = 256
         top = order[np.append(True, text[order][1:] != text[order][:-1])]
         other = rng.choice(clean, min(len(clean), len(top)), replace=False)
         chosen = rng.permutation(np.unique(np.concatenate([top, other])))
+        batch = int(np.clip(len(chosen) // 50, 8, most_batch))  # few texts still give enough steps
         for lo in range(0, len(chosen), batch):
             own = at[chosen[lo : lo + batch]]
             used, small = np.unique(own, return_inverse=True)
