@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,7 +15,7 @@ from pyspark.sql import functions as F
 from .common import text_of, written
 
 GRAM = 16
-BITS = 1 << 26
+BITS, PARTS = 1 << 26, 64
 SLOTS = 1 << 20
 CHUNK_BYTES, SHARD_BYTES = 1 << 20, 1 << 19
 LAST = (1 << 63) - 1
@@ -213,16 +214,27 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     base = scanned(docs, id_col, text_col).select("_order", "_hash", "_bytes")
 
     def bit_table(anchors_: DataFrame):
-        """A broadcast table of ``BITS`` bits with those of column ``h`` set: at most BITS / 32 rows reach the driver, whatever the input."""
-        words = anchors_.withColumn("s", F.pmod(F.col("h").cast("long"), F.lit(BITS))).groupBy(F.expr("cast(s div 32 as int)").alias("w"))
-        got = words.agg(F.expr("bit_or(shiftleft(1L, cast(s % 32 as int)))").alias("bits")).toPandas()
-        table = np.zeros(BITS // 32, np.uint32)
-        table[got["w"].to_numpy(np.int64)] = got["bits"].to_numpy(np.int64).astype(np.uint32)
+        """A broadcast table of ``BITS`` bits with those of column ``h`` set, filled in ``PARTS`` parts by tasks; only the parts reach the driver."""
+        size = BITS // PARTS
+
+        def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            parts: dict[int, np.ndarray] = {}
+            for batch in batches:
+                slot = batch.column(0).to_numpy()
+                for part in np.unique(slot // size).tolist():
+                    parts.setdefault(part, np.zeros(size, bool))[slot[slot // size == part] % size] = True
+            packed = [zlib.compress(np.packbits(x, bitorder="little").tobytes(), 1) for x in parts.values()]
+            yield pa.RecordBatch.from_arrays([pa.array([*parts], pa.int32()), pa.array(packed, pa.binary())], ["part", "bits"])
+
+        slots = anchors_.select(F.pmod("h", F.lit(BITS)).alias("s"))
+        table = np.zeros(BITS // 8, np.uint8)
+        for row in slots.repartition(PARTS, F.expr(f"s div {size}")).mapInArrow(fill, "part int, bits binary").collect():
+            table[row["part"] * size // 8 : (row["part"] + 1) * size // 8] = np.frombuffer(zlib.decompress(row["bits"]), np.uint8)
         return spark.sparkContext.broadcast(table)
 
     def marked(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
         at = hashes.view(np.int32).astype(np.int64) % BITS
-        return (table[at >> 5] >> (at & 31).astype(np.uint32) & np.uint32(1)).astype(bool)
+        return (table[at >> 3] >> (at & 7).astype(np.uint8) & np.uint8(1)).astype(bool)
 
     def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
