@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .common import text_of, written
 
-GRAM = 16
+GRAM = 24
 BITS, PARTS = 1 << 26, 64
 SLOTS = 1 << 20
 CHUNK_BYTES, SHARD_BYTES = 1 << 20, 1 << 19
@@ -195,12 +195,12 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     other. An empty table gives no rows. ``removed`` lists first and end byte of
     each maximal run. Bytes that stay may not be valid UTF-8 on their own.
 
-    Equal windows share their anchor, the 16-byte string of smallest hash inside
-    them. Anchor hashes that only one document holds cannot belong to a repeated
+    Equal windows share their anchor, the string of ``GRAM`` bytes with the smallest
+    hash inside them. Anchor hashes that only one document holds cannot belong to a repeated
     window; the others are marked in a table of ``BITS`` bits (a fixed size, sent
     to all tasks; marks met by chance only add work). What is left of a document
     is cut into pieces, runs of windows with the same anchor, of at most
-    ``2 * window - 16`` bytes, and each distinct piece gets its smallest id. Where
+    ``2 * window - GRAM`` bytes, and each distinct piece gets its smallest id. Where
     all pieces of an anchor are alike that settles all their windows. The pieces
     of other anchors, combined within each batch, are dealt out by anchor, so a
     passage or document with very many copies is one piece there.
@@ -261,7 +261,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], ["_order", "_hash", "at", "size", "h", "p"])
 
     occurrences = written(base.mapInArrow(places, "_order long, _hash int, at int, size short, h int, p long"))
-    known = written(occurrences.groupBy("h", "p").agg(F.min("_order").alias("first")))
+    known = written(occurrences.groupBy("h", "p").agg(F.min("_order").alias("first"), F.max("_order").alias("last")))
     mixed = bit_table(known.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"))
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -308,7 +308,8 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     early = distinct.mapInArrow(refine, "h int, p long, early array<short>")
 
     # A piece that another document holds first goes as a whole, else only its windows that other pieces hold earlier.
-    judged = occurrences.join(known, ["h", "p"]).join(early, ["h", "p"], "left")
+    verdict = known.join(early, ["h", "p"], "left").where("last > first or early is not null").select("h", "p", "first", "early")
+    judged = occurrences.join(verdict, ["h", "p"])
     whole = F.array(F.struct(F.col("at").alias("lo"), (F.col("at") + F.col("size")).cast("int").alias("hi")))
     pairs = F.transform(F.sequence(F.lit(0), (F.size("early") / 2).cast("int") - 1), lambda i: F.struct(
         (F.col("at") + F.element_at("early", 2 * i + 1)).cast("int").alias("lo"), (F.col("at") + F.element_at("early", 2 * i + 2) + window).cast("int").alias("hi")))
