@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from .common import text_of, written
 
-GRAM = 24
+GRAM = 16
 BITS, PARTS = 1 << 26, 64
 SLOTS = 1 << 20
 CHUNK_BYTES, SHARD_BYTES = 1 << 20, 1 << 19
