@@ -17,6 +17,8 @@ from .components import connected_components
 WORD = re.compile(r"\w+")
 SHINGLE = 5
 CHARS_AT_ONCE = 4_000_000
+#: Counts by which rare shingles are told from frequent ones; a table of this many is sent to tasks, whatever the input.
+SLOTS = 1 << 18
 GOLDEN, MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -101,6 +103,18 @@ def probability_jaccard(a: np.ndarray, wa: np.ndarray, b: np.ndarray, wb: np.nda
     return float((ca / total[which]).sum())
 
 
+def shingled(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Owner, element and weight of the shingles of texts, a few texts at once; each of them has words."""
+    texts, lo = texts.to_pylist(), 0
+    while lo < len(texts):
+        hi, chars = lo, 0
+        while hi < len(texts) and (hi == lo or chars + len(texts[hi]) < CHARS_AT_ONCE):
+            chars += len(texts[hi])
+            hi += 1
+        yield weighted_shingles(texts[lo:hi])[:3]
+        lo = hi
+
+
 def signatures(docs: DataFrame, id_col: str, text_col: str, bands: int, rows: int) -> DataFrame:
     """(_id, _key, _bands) of each row; no key and no bands for a text without words."""
 
@@ -155,6 +169,47 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return written(both.select("a", "b", "ta", "tb").mapInArrow(check, f"a {kind}, b {kind}"))
 
 
+def prefixes(texts: DataFrame, threshold: float) -> DataFrame:
+    """(bucket, rep): the prefix shingles of each text, of which any two texts of ``threshold`` or more share one.
+
+    A probability Jaccard is at most the sum of the lesser of the two weights of
+    each shingle, weights being shares of their text. So if all texts order
+    their shingles alike and leave out a tail that weighs less than
+    ``threshold``, two texts without a common shingle before the tail are below
+    it. The order decides only how many pairs meet: shingles that few texts
+    hold come first, as far as a table of ``SLOTS`` counts tells them apart.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen = np.zeros(SLOTS, np.int64)
+        for batch in batches:
+            for _, element, _ in shingled(batch.column(1)):
+                seen += np.bincount((element % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS)
+        slot = np.flatnonzero(seen)
+        yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(seen[slot])], ["slot", "n"])
+
+    told = texts.mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # at most SLOTS rows
+    often = np.zeros(SLOTS, np.int64)
+    often[told["slot"].to_numpy()] = told["n"].to_numpy()
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lo = 0
+            for owner, element, weight in shingled(batch.column(1)):
+                order = np.lexsort((element, often[(element % np.uint64(SLOTS)).astype(np.int64)], owner))
+                owner, element, weight = owner[order], element[order], weight[order]
+                upto = np.cumsum(weight)
+                total = np.bincount(owner, weight)
+                ahead = upto - weight - (np.cumsum(total) - total)[owner]
+                keep = total[owner] - ahead >= (threshold - 1e-6) * total[owner]
+                ids = batch.column(0).take(pa.array(lo + owner[keep]))
+                yield pa.RecordBatch.from_arrays([pa.array(element[keep].astype(np.int64)), ids], ["bucket", "rep"])
+                lo += len(total)
+
+    kind = texts.schema["_id"].dataType.simpleString()
+    return written(texts.select("_id", "_text").mapInArrow(cut, f"bucket long, rep {kind}").distinct())
+
+
 def near_dedup(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -174,19 +229,22 @@ def near_dedup(
     gives no rows.
 
     Texts with the same words in the same order are one node. Nodes that agree
-    in a band share a bucket; no bucket is expanded into pairs: its members are
-    compared with its smallest and largest one, and while a bucket still holds
-    several classes, with the smallest member of a further class, ``rounds``
-    times. With 32 bands of 4 registers a pair at 0.8 shares no bucket with
-    probability 5e-8. Every pair is verified exactly on the two whole texts.
+    in a band share a bucket. A bucket's members are compared with its smallest
+    and largest one; while the members that have not yet been compared with all
+    others are of several classes, random ones of these, the heads, are compared
+    with those of other classes. What ``rounds`` rounds leave is dealt out anew
+    by prefix shingles, and goes on with ever more heads until no bucket holds a
+    pair of two classes that was not compared. With 32 bands of 4 registers a
+    pair at 0.8 shares no bucket with probability 5e-8. Every pair is verified
+    exactly on the two whole texts.
     """
     signed = written(signatures(docs, id_col, text_col, bands, rows))
     nodes = written(
         signed.where("_key is not null and _id is not null").groupBy("_key").agg(F.min("_id").alias("rep"), F.first("_bands").alias("_bands"))
     )
-    banded = nodes.select("rep", F.explode("_bands").alias("band"))
-    ends = banded.groupBy("band").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo <> hi")
-    shared = written(banded.join(ends, "band").select("band", "rep", "lo", "hi"))
+    banded = nodes.select("rep", F.explode("_bands").alias("bucket"))
+    ends = banded.groupBy("bucket").agg(F.min("rep").alias("lo"), F.max("rep").alias("hi")).where("lo <> hi")
+    shared = written(banded.join(ends, "bucket").select("bucket", "rep", "lo", "hi"))
     ids = shared.select(F.col("rep").alias("_id")).distinct()
     texts = written(docs.select(docs[id_col].alias("_id"), text_of(docs, text_col).alias("_text")).join(ids, "_id", "left_semi"))
 
@@ -196,18 +254,34 @@ def near_dedup(
     )
     tried, edges = pairs, verified(pairs, texts, threshold)
     classes = connected_components(edges)
-    for _ in range(rounds):
-        placed = shared.join(classes, shared.rep == classes.node, "left").select("band", "rep", F.coalesce("component", "rep").alias("own"))
-        split = placed.groupBy("band").agg(F.min("own").alias("first"), F.max("own").alias("last")).where("first <> last")
-        # The members of the bucket's last class stand for it; one is compared with all members of other classes.
-        heads = placed.join(split, "band").where("own = last").groupBy("band").agg(F.min("rep").alias("head"), F.first("last").alias("of"))
-        more = (
-            placed.join(heads, "band").where("own <> of")
-            .select(F.least("rep", "head").alias("a"), F.greatest("rep", "head").alias("b")).distinct()
+    # Members of a bucket that have not been compared with all members of other classes.
+    left = shared.where("rep <> lo and rep <> hi").select("bucket", "rep")
+    heads, step = 1, 0
+    while True:
+        placed = left.join(classes, left.rep == classes.node, "left").select(
+            "bucket", "rep", F.coalesce("component", "rep").alias("own"), F.pmod(F.xxhash64("rep", F.lit(step)), F.lit(1 << 31)).alias("draw")
+        )
+        split = (
+            placed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("draw").alias("least"), F.min("own").alias("first"), F.max("own").alias("last"))
+            .where("first <> last")
         )
+        is_head = (F.col("draw") == F.col("least")) | (F.col("draw") * F.col("n") < F.lit(heads << 31))
+        placed = written(placed.join(split, "bucket").select("bucket", "rep", "own", is_head.alias("is_head")))
+        if placed.isEmpty():
+            break
+        step += 1
+        if step == rounds + 1:
+            members = placed.select(F.col("rep").alias("_id")).distinct()
+            left, heads = prefixes(texts.join(members, "_id", "left_semi"), threshold), 4
+            continue
+        head = placed.where("is_head").select("bucket", F.col("rep").alias("head"), F.col("own").alias("of"))
+        more = placed.join(head, "bucket").where("own <> of").select(F.least("rep", "head").alias("a"), F.greatest("rep", "head").alias("b")).distinct()
         more = written(more.join(tried, ["a", "b"], "left_anti"))
+        left = placed.where("not is_head").select("bucket", "rep")
+        if step > rounds:
+            heads *= 4
         if more.isEmpty():
-            break
+            continue
         found = verified(more, texts, threshold)
         tried = tried.unionByName(more)
         if not found.isEmpty():

@@ -100,6 +100,32 @@ def test_near_dedup(docs, rows, none):
     assert near_dedup.near_dedup(none).collect() == []
 
 
+@pytest.mark.parametrize("rounds", [3, 0])
+def test_near_dedup_settles_whole_buckets(spark, monkeypatch, rounds):
+    rng = random.Random(8)
+    some = lambda n: ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n)]
+    frame = some(300)
+    hub, pair = frame + some(300), frame + some(300)
+    texts = {}
+    for i in range(12):  # variants that are alike to the hub only, which is neither the smallest nor the largest id
+        own = list(hub)
+        own[5 * i :: 60] = some(len(own[5 * i :: 60]))
+        texts[10 + i] = " ".join(own)
+    texts[16] = " ".join(hub)
+    texts |= {k: " ".join(pair + some(1)) for k in (51, 52)} | {k: " ".join(frame + some(300)) for k in (1, 2, 60, 99)} | {72: "", 73: None}
+    sets = {i: near_dedup.weighted_shingles([t or ""]) for i, t in texts.items()}
+    ids = sorted(texts)
+    similar = lambda a, b: near_dedup.probability_jaccard(sets[a][1], sets[a][2], sets[b][1], sets[b][2]) >= 0.8
+    edges = [(a, b) for a in ids for b in ids if a < b and len(sets[a][1]) and similar(a, b)]
+    assert all(16 in e for e in edges if e != (51, 52)) and len(edges) == 12
+    signatures = near_dedup.signatures
+    one = near_dedup.F.when(near_dedup.F.col("_key").isNotNull(), near_dedup.F.array(near_dedup.F.lit(0).cast("long")))
+    monkeypatch.setattr(near_dedup, "signatures", lambda *a: signatures(*a).withColumn("_bands", one))  # all in one bucket
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = near_dedup.near_dedup(docs, rounds=rounds).collect()
+    assert {r.doc_id: r.class_id for r in got} == classes(edges, ids) and all(r.kept == (r.doc_id == r.class_id) for r in got)
+
+
 def test_prob_min_hash_estimates_probability_jaccard():
     a, b = "a b c d e f g h i j k l m n o p q r s t u v w x y z", "a b c d e f g h i j k l m n o p q r s t a b c d e f g h"
     owner, element, weight, _ = near_dedup.weighted_shingles([a, b])
