@@ -76,8 +76,23 @@ def normal_column(sentence: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(sentence), "[^a-z0-9]+", " "))
 
 
+#: Between two words of a sentence: no sentence end, but line ends, blank lines and comment marks, and the number of a clause.
+BETWEEN = r"(?:[^A-Za-z0-9.!?]|[.!?]+(?!\s|\z))+(?:\d{1,2}[.)]\s+)?"
+
+
+def unwrapped(text: Column) -> Column:
+    """The text with each known sentence, however its lines are wrapped, on a line of its own; others stay as they are."""
+    words = {k: normal(s).split() for k, s in SENTENCES.items()}
+    out = text
+    for w in sorted(words.values(), key=len, reverse=True):
+        whole = r"(?i)(?:^|(?<=\n)|(?<=[.!?]\s))[^A-Za-z0-9\n]*" + BETWEEN.join(w) + r"(?=[.!?]+(?:\s|\z)|[^A-Za-z0-9\n]*(?:\n|\z))"
+        out = F.regexp_replace(out, whole, "\n" + " ".join(w) + "\n")
+    return F.when(F.lower(text).rlike("|".join(sorted({max(w, key=len) for w in words.values()}))), out).otherwise(text)
+
+
 def known_sentences(text: Column) -> Column:
     """Identifiers of the known sentences of a text, in order."""
+    text = unwrapped(text)
     lookup = F.create_map(*(F.lit(x) for k, s in SENTENCES.items() for x in (normal(s), k)))
     sentences = F.filter(F.split(text, SENTENCE_END), lambda s: F.lower(s).rlike(HINTS))
     return F.filter(F.transform(sentences, lambda s: lookup[normal_column(s)]), lambda k: k.isNotNull())
@@ -86,7 +101,8 @@ def known_sentences(text: Column) -> Column:
 def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: its known licence sentences and the licences they amount to.
 
-    A text is cut into sentences, each reduced to lower-case words of letters
+    Known sentences that are wrapped over lines, with or without comment marks,
+    are put on one line. A text is cut into sentences, each reduced to lower-case words of letters
     and digits and looked up among the known ones; the identifiers found, in
     order, are matched against the rules, each of which wants its identifiers
     next to each other. Rules are tried in order; what a rule matched is taken

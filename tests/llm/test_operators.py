@@ -365,6 +365,61 @@ def test_long_licences_match_the_longer_rule(spark):
     assert [r.licences for r in out] == ["Apache-2.0", "BSD-2-Clause", "GPL-3.0-or-later,MIT"]
 
 
+def test_wrapped_licences_are_found(spark):
+    apache = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+    bsd = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+    names = """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+    mit = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+    gpl = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details."""
+    isc = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies."""
+    texts = [apache, "/*\n" + "\n".join(f" * {x}" for x in apache.split("\n")) + "\n */\nint x;", bsd, bsd + names, mit, gpl, isc, "He said it was licensed under the MIT License\nof old, and no more.", "Not licensed under the\nMIT License."]
+    want = ["Apache-2.0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "MIT", "GPL-3.0-or-later", "ISC", "", ""]
+    out = licences.scan_licences(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
+    assert [r.licences for r in out] == want and [r.n_sentences for r in out[:4]] == [4, 4, 2, 3]
+
+
 def test_toxicity_gradients():
     net = toxicity.train(["good day to you", "you idiot"] * 3, np.array([0, 1] * 3), epochs=1)
     words = ["good", "day", "you", "idiot", "x"]
