@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,28 +18,55 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where that is unset (tests on one machine) a temporary folder is set.
+    Only where that is unset and Spark runs on this machine alone (as in tests)
+    a temporary folder is set; on a cluster that is an error, since each machine
+    would write to a folder of its own.
     """
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = f"file://{tempfile.mkdtemp(prefix='tallyframe-')}"
         spark.conf.set("spark.checkpoint.dir", found)
     return found.rstrip("/")
 
 
-def written(df: DataFrame) -> DataFrame:
+@contextmanager
+def tidy(spark: SparkSession) -> Iterator[None]:
+    """Jobs run inside leave no shuffle files behind: what they gave is written or collected by then."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name, "false")
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def written(df: DataFrame, **options: str) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 
     Cuts the lineage: a lost executor costs a re-read of finished files, never
     a re-run of what came before, and both readers of a reused result see the
-    same rows.
+    same rows. ``options`` go to the writer.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with tidy(spark):
+        df.write.options(**options).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Deletes tables that came from ``written`` and that nothing reads any more."""
+    for df in tables:
+        files = df.inputFiles()
+        if files:
+            jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+            folder = jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            folder.getFileSystem(conf).delete(folder, True)
+
+
 def text_of(df: DataFrame, text_col: str) -> Column:
     """The text column, null as the empty string."""
     return F.coalesce(df[text_col], F.lit(""))
