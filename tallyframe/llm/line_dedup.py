@@ -2,34 +2,53 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of, written
+from .common import discard, text_of, written
 
 SLOTS = 1 << 20
+#: Bytes by which a set keeps each of its tokens, in order of rarity.
+WIDE = 5
 
 
-def token_hashes(line: Column) -> Column:
-    """The 64-bit hashes of a line's distinct words (lower-cased runs of letters and digits), sorted."""
-    words = F.array_remove(F.split(F.lower(line), r"[^\p{L}\p{N}]+"), "")
-    return F.array_sort(F.array_distinct(F.transform(words, lambda w: F.xxhash64(w))))
+def words_of(line: Column) -> Column:
+    """A line's words: lower-cased runs of letters and digits; blank ones come along."""
+    return F.split(F.lower(line), r"[^\p{L}\p{N}]+")
 
 
 def slot_of(token: Column) -> Column:
     return F.pmod(token, F.lit(SLOTS)).cast("int")
 
 
-def rarity_table(tokens: DataFrame) -> DataFrame:
-    """One row: an array of ``SLOTS`` bytes, the rounded logarithm of how often tokens of each slot occur."""
-    counts = tokens.groupBy(slot_of(F.col("token")).alias("slot")).agg(F.count("*").alias("n"))
-    every = tokens.sparkSession.range(SLOTS).select(F.col("id").cast("int").alias("slot"))
-    level = F.coalesce(F.floor(4 * F.log2("n")), F.lit(0)).cast("tinyint")
+def rarity_table(words: DataFrame) -> DataFrame:
+    """One row: an array of ``SLOTS`` bytes, the rounded logarithm of how often words of each slot occur."""
+    counts = words.groupBy(slot_of(F.xxhash64("word")).alias("slot")).agg(F.count("*").alias("n"))
+    every = words.sparkSession.range(SLOTS).select(F.col("id").cast("int").alias("slot"))
+    level = F.coalesce(F.floor(2 * F.log2("n")), F.lit(0)).cast("tinyint")
     return every.join(counts, "slot", "left").agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("slot", level.alias("level")))), lambda x: x["level"]).alias("levels")
+        F.transform(F.sort_array(F.collect_list(F.struct("slot", level.alias("level")))), lambda x: x["level"]).alias("levels")
     )
 
 
+def ordered_tokens(line: Column, rarity: Column) -> Column:
+    """A line's distinct words as sorted longs: seven bits of rarity (plus one that keeps them positive), then 56 of hash."""
+    hashes = F.array_remove(F.array_distinct(F.transform(words_of(line), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
+    placed = lambda x: F.shiftleft(F.element_at(rarity, slot_of(x) + 1).cast("long") + 16, 56).bitwiseOR(F.shiftrightunsigned(x, 8))
+    return F.sort_array(F.transform(hashes, placed))
+
+
+def packed(tokens: Column) -> Column:
+    """The last ``WIDE`` bytes of each token, in order, as one binary."""
+    return F.unhex(F.array_join(F.transform(tokens, lambda x: F.substring(F.hex(x), 17 - 2 * WIDE, 2 * WIDE)), ""))
+
+
+def unpacked(tokens: Column, n: Column) -> Column:
+    return F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.hex(F.substring(tokens, i * WIDE + 1, F.lit(WIDE))))
+
+
 def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = 0.8) -> DataFrame:
     """One row per row of ``docs``: its lines, links, and the lines to remove.
 
@@ -39,66 +58,77 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     (blank ones, those of null or empty texts) match nothing. Rows with a null
     id come last; rows that repeat an id are one document, whose lines do not
     precede each other. ``n_links`` counts, over the lines, the other token sets
-    that match. An empty table gives no rows.
+    that match. Texts and lines may be of any length; other columns of ``docs``,
+    whatever their names, are not touched. An empty table gives no rows.
 
     Lines with equal sets are one set, combined before the shuffle, so a line
-    that very many documents share is one row of the join. The join orders each
-    set's tokens by rarity in the corpus and shares a token among the first
-    ``n - ceil(2t/(1+t) n) + 1`` of the smaller set and the first
-    ``n - ceil(t n) + 1`` of the larger; size and position bounds are conditions
-    of the join, and the exact Jaccard is computed for what is left. Rarity is
-    looked up in a table of ``SLOTS`` bytes of fixed size; tokens that share a
-    slot only share their rank, ties go by hash, so the order stays total.
+    that very many documents share is one row of the join. Each set's tokens are
+    ordered by rarity in the corpus, looked up in a table of ``SLOTS`` bytes of
+    fixed size; tokens that share a slot only share their rank, ties go by hash,
+    so the order is total. Sets of sizes n and m that match share
+    c = ceil(t/(1+t)(n+m)) tokens and have d = n+m-2c others, so some two
+    neighbours in that order are neighbours in both sets before place
+    n-c+d of the one and m-c+d of the other (d others part at most d shared
+    tokens, c is at least d+2). The join is on such pairs of prefix tokens, with
+    bounds on sizes and places as its conditions; sets too small for that bound
+    join on single prefix tokens. What is left is verified by the exact Jaccard
+    of the sets, whose tokens are told apart by 40 bits of their hash.
     """
     t = threshold
+    k = t / (1 + t)
+    # Sets of together fewer tokens may have no two neighbours in common.
+    few = math.ceil(2 * (1 + t) / (2 * t - 1) - 1e-9) if t > 0.5 else 1 << 30
     text = text_of(docs, text_col)
+    words = docs.select(F.explode(words_of(text)).alias("word")).where("word <> ''")
+    rarity = written(rarity_table(words))
     numbered = docs.select(docs[id_col].alias("_id"), text.alias("_whole")).withColumn("_row", F.monotonically_increasing_id())
     said = numbered.select("_id", "_row", F.posexplode(F.split("_whole", "\n")).alias("_line", "_text"))
-    lines = said.withColumn("_h", token_hashes(F.col("_text")))
-    key = (F.xxhash64("_h").alias("k1"), F.xxhash64(F.reverse("_h"), F.size("_h")).alias("k2"))
+    lines = said.withColumn("_r", rarity.scalar()).withColumn("_t", ordered_tokens(F.col("_text"), F.col("_r")))
+    key = (F.xxhash64("_t").alias("k1"), F.xxhash64(F.lit(7), F.col("_t")).alias("k2"))
     place = F.struct(F.col("_id").isNull().alias("e"), F.col("_id").alias("d"), F.col("_line").alias("l"))
 
-    rarity = rarity_table(lines.select(F.explode("_h").alias("token"))).scalar()
     sets = written(
-        lines.where("size(_h) > 0").select(*key, place.alias("at"), "_text")
-        .groupBy("k1", "k2").agg(F.min("at").alias("first"), F.first("_text").alias("_text"))
-        .withColumn("sid", F.monotonically_increasing_id())
-    )
-    ranked = sets.select("sid", token_hashes(F.col("_text")).alias("_h")).withColumn("n", F.size("_h")).where("n > 3").withColumn("_r", rarity)
-    ranked = ranked.withColumn(
-        "_o", F.transform(F.sort_array(F.transform("_h", lambda x: F.struct(F.element_at("_r", slot_of(x) + 1), x.alias("x")))), lambda s: s["x"])
+        lines.select(*key, place.alias("at"), F.size("_t").alias("n"), packed(F.col("_t")).alias("tokens"))
+        .groupBy("k1", "k2").agg(F.min("at").alias("first"), F.count("*").alias("times"), F.first("n").alias("n"), F.first("tokens").alias("tokens")).where("n > 0")
+        .withColumn("sid", F.monotonically_increasing_id()),
+        compression="zstd",
     )
-
-    def prefix(share: float) -> DataFrame:
-        count = F.col("n") - F.ceil(F.lit(share) * F.col("n") - 1e-9).cast("int") + 1
-        return ranked.select("sid", "n", F.posexplode(F.slice("_o", 1, count)).alias("i", "token"))
-
-    small, large = prefix(2 * t / (1 + t)).alias("s"), prefix(t).alias("g")
-    overlap = F.lit(t / (1 + t)) * (F.col("s.n") + F.col("g.n")) - 1e-9
-    can = (
-        ((F.col("s.n") < F.col("g.n")) | ((F.col("s.n") == F.col("g.n")) & (F.col("s.sid") < F.col("g.sid"))))
-        & (F.col("s.n") >= F.lit(t) * F.col("g.n") - 1e-9)
-        & (F.least(F.col("s.n") - F.col("s.i"), F.col("g.n") - F.col("g.i")) >= overlap)
+    n = F.col("n")
+    some = sets.where(n >= t / (1 - t) - 1e-9) if t < 1 else sets.where("false")
+    upto = F.least(n - 2, F.floor(2 * (1 - t) * n + 1e-9).cast("int"))
+    two = some.where("n > 1").select("sid", "n", "tokens", F.explode(F.sequence(F.lit(0), upto)).alias("i"))
+    two = two.select("sid", "n", "i", F.xxhash64(F.substring("tokens", F.col("i") * WIDE + 1, F.lit(2 * WIDE))).alias("gram"))
+    one = some.where(n < few).select("sid", "n", "tokens", F.explode(F.sequence(F.lit(0), F.floor((1 - t) * n + 1e-9).cast("int"))).alias("i"))
+    one = one.select("sid", "n", (-1 - F.col("i")).alias("i"), F.xxhash64(F.substring("tokens", F.col("i") * WIDE + 1, F.lit(WIDE))).alias("gram"))
+    grams = two.unionByName(one)
+
+    a, b = grams.alias("a"), grams.alias("b")
+    na, nb, ia, ib = F.col("a.n"), F.col("b.n"), F.col("a.i"), F.col("b.i")
+    c = F.ceil(F.lit(k) * (na + nb) - 1e-9).cast("int")
+    others = na + nb - 2 * c
+    # i counts neighbours from 0, single tokens from -1 downwards.
+    near = F.when(ia >= 0, (ia <= na - c + others) & (ib <= nb - c + others) & (F.least(ia, ib) + F.least(na - ia, nb - ib) >= c)).otherwise(
+        (na + nb < few) & (F.least(na + ia, nb + ib) + 1 >= c)
     )
-    pairs = small.join(large, (F.col("s.token") == F.col("g.token")) & can).select(F.col("s.sid").alias("a"), F.col("g.sid").alias("b")).distinct()
+    can = (F.col("a.sid") < F.col("b.sid")) & ((ia >= 0) == (ib >= 0)) & (F.least(na, nb) >= F.lit(t) * F.greatest(na, nb) - 1e-9) & near
+    pairs = a.join(b, (F.col("a.gram") == F.col("b.gram")) & can).select(F.col("a.sid").alias("a"), F.col("b.sid").alias("b")).distinct()
 
-    whole = sets.select("sid", token_hashes(F.col("_text")).alias("_h"), "first")
-    left = whole.select(F.col("sid").alias("a"), F.col("_h").alias("ha"), F.col("first").alias("fa"))
-    right = whole.select(F.col("sid").alias("b"), F.col("_h").alias("hb"), F.col("first").alias("fb"))
-    both = F.size(F.array_intersect("ha", "hb"))
+    one_of = lambda x: sets.select(F.col("sid").alias(x), F.col("n").alias(f"n{x}"), F.col("tokens").alias(f"t{x}"), F.col("first").alias(f"f{x}"))
+    both = F.size(F.array_intersect(unpacked(F.col("ta"), F.col("na")), unpacked(F.col("tb"), F.col("nb"))))
     links = written(
-        pairs.join(left, "a").join(right, "b")
-        .where(both >= F.lit(t) * (F.size("ha") + F.size("hb") - both) - 1e-9).select("a", "b", "fa", "fb")
+        pairs.join(one_of("a"), "a").join(one_of("b"), "b").where(both >= F.lit(k) * (F.col("na") + F.col("nb")) - 1e-9).select("a", "b", "fa", "fb")
     )
     ends = links.select(F.col("a").alias("sid"), F.col("fb").alias("other")).unionByName(links.select(F.col("b").alias("sid"), F.col("fa").alias("other")))
     earliest = ends.groupBy("sid").agg(F.min("other").alias("other"), F.count("*").alias("links"))
+    # Only sets that occur again or have links decide anything.
     verdict = written(
-        sets.select("sid", "k1", "k2", "first").join(earliest, "sid", "left")
+        sets.select("sid", "k1", "k2", "first", "times").join(earliest, "sid", "left").where("times > 1 or links is not null")
         .select("k1", "k2", F.least("first", F.coalesce("other", "first")).alias("since"), F.coalesce("links", F.lit(0)).alias("links"))
     )
+    discard(sets, links)
     judged = lines.select("_id", "_row", "_line", place.alias("at"), *key).join(verdict, ["k1", "k2"], "left")
     gone = F.when(F.coalesce(F.col("since") < F.col("at"), F.lit(False)), F.col("_line"))
     return judged.groupBy("_row", "_id").agg(
         F.count("*").alias("n_lines"), F.count(gone).alias("n_removed"), F.coalesce(F.sum("links"), F.lit(0)).alias("n_links"),
-        F.array_join(F.array_sort(F.collect_list(gone)).cast("array<string>"), ",").alias("removed_lines"),
+        F.array_join(F.sort_array(F.collect_list(gone)).cast("array<string>"), ",").alias("removed_lines"),
     ).select(F.col("_id").alias(id_col), "n_lines", "n_removed", "n_links", "removed_lines")
