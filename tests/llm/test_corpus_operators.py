@@ -347,11 +347,14 @@ def test_viterbi_is_the_best_path():
 
 def test_licences(docs, rows, none):
     known = {licences.normal(s): k for k, s in licences.SENTENCES.items()}
-    assert all(re.search(licences.HINTS, s.lower()) for s in licences.SENTENCES.values())
+    assert len(known) == len(licences.SENTENCES) and all(any(h in s for h in licences.HINTS) for s in known)
     got = by_id(licences.scan_licences(docs))
     assert sum(len(x) for x in got.values()) == len(rows)
     for i, t, *_ in rows:
-        ids = [known[licences.normal(s)] for s in re.split(licences.SENTENCE_END, t or "") if licences.normal(s) in known]
+        lines = (t or "").split("\n")  # neither comment marks nor lists there
+        alone = lambda k: licences.normal(lines[k]) in known and not re.match("[a-z(]", lines[k + 1] if k + 1 < len(lines) else "")
+        whole = "\n".join(f"\n{x}\n" if alone(k) else x for k, x in enumerate(lines))
+        ids = [known[licences.normal(s)] for s in re.split(r"[.!?]+[\"')\]]*(?:[ \t\n]+|\Z)|\n[ \t]*\n", whole) if licences.normal(s) in known]
         for r in got[i]:
             assert r.sentence_ids == ",".join(ids) and r.n_sentences == len(ids)
     assert licences.scan_licences(none).collect() == []
@@ -360,7 +363,8 @@ def test_licences(docs, rows, none):
 def test_long_licences_match_the_longer_rule(spark):
     s = licences.SENTENCES
     apache = ". ".join(s[k] for k in ("apache2-notice-file", "apache2-copy", "apache2-as-is", "apache2-see")) + "."
-    texts = [apache, f"{s['bsd-grant']}.\n{s['bsd-binary']}.", f"Intro text. {s['gpl-redistribute-3']}.\n\n{s['gpl-hope']}. {s['gpl-see']}. {s['mit-notice']}!"]
+    bsd = "\n".join(f"{s[k]}." for k in ("bsd-grant", "bsd-source", "bsd-binary"))
+    texts = [apache, bsd, f"Intro text. {s['gpl3-later-program']}.\n\n{s['gnu-hope-program']}. {s['gpl-see']}. {s['mit-notice']}!"]
     out = licences.scan_licences(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
     assert [r.licences for r in out] == ["Apache-2.0", "BSD-2-Clause", "GPL-3.0-or-later,MIT"]
 
@@ -414,10 +418,66 @@ GNU General Public License for more details."""
     isc = """Permission to use, copy, modify, and/or distribute this software for any
 purpose with or without fee is hereby granted, provided that the above
 copyright notice and this permission notice appear in all copies."""
-    texts = [apache, "/*\n" + "\n".join(f" * {x}" for x in apache.split("\n")) + "\n */\nint x;", bsd, bsd + names, mit, gpl, isc, "He said it was licensed under the MIT License\nof old, and no more.", "Not licensed under the\nMIT License."]
-    want = ["Apache-2.0", "Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "MIT", "GPL-3.0-or-later", "ISC", "", ""]
-    out = licences.scan_licences(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).orderBy("doc_id").collect()
-    assert [r.licences for r in out] == want and [r.n_sentences for r in out[:4]] == [4, 4, 2, 3]
+    mit_whole = "MIT License\n\nCopyright (c) 2019 Some Body\n\n" + mit + """
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR
+IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE
+AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM,
+OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE
+SOFTWARE.
+"""
+    reserved = "Copyright (c) 2001, The Authors\nAll rights reserved.\n\n"
+    credit = """
+3. All advertising materials mentioning features or use of this software must
+   display the following acknowledgement:
+     This product includes software developed by the University of
+     California, Berkeley and its contributors.
+"""
+    lgpl = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.
+
+This library is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU
+Lesser General Public License for more details."""
+    agpl = gpl.replace("GNU General", "GNU Affero General")
+    mpl = """This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""
+    free = """This is free and unencumbered software released into the public domain.
+
+Anyone is free to copy, modify, publish, use, compile, sell, or
+distribute this software, either in source code form or as a compiled
+binary, for any purpose, commercial or non-commercial, and by any
+means."""
+    title = "                                 Apache License\n                           Version 2.0, January 2004\n                        http://www.apache.org/licenses/\n\n   TERMS AND CONDITIONS FOR USE, REPRODUCTION, AND DISTRIBUTION\n\n   1. Definitions.\n"
+    gpl3 = "                    GNU GENERAL PUBLIC LICENSE\n                       Version 3, 29 June 2007\n\n Copyright (C) 2007 Free Software Foundation, Inc."
+
+    def commented(text: str, first: str, mark: str, last: str) -> str:
+        return "\n".join([first, *(f"{mark} {x}" for x in text.split("\n")), last, "int x;"])
+
+    one_line = " ".join(bsd.split())
+    cases = [
+        (apache, "Apache-2.0", 4), (mit, "MIT", 2), (mit_whole, "MIT", 4), (bsd, "BSD-2-Clause", 3), (bsd + names, "BSD-3-Clause", 4), (reserved + bsd + names, "BSD-3-Clause", 5),
+        (reserved + bsd + credit + names.replace("3.", "4."), "BSD-4-Clause", 6), (one_line, "BSD-2-Clause", 3), (gpl, "GPL-3.0-or-later", 3), (lgpl, "LGPL-2.1-or-later", 3), (agpl, "AGPL-3.0-or-later", 3),
+        (mpl, "MPL-2.0", 2), (isc, "ISC", 1), (free, "Unlicense", 2), (title, "Apache-2.0", 2), (gpl3, "GPL-3.0", 1),
+    ]
+    cases += [(commented(t, *marks), want, n) for t, want, n in cases for marks in (("/*", " *", " */"), ("", "//", ""), ("#", "#", "#"), ("", ";;", ""))]
+    cases += [
+        ("He said it was licensed under the MIT License\nof old, and no more.", "", 0), ("Not licensed under the\nMIT License.", "", 0), ("// SPDX-License-Identifier: GPL-2.0-only\nint main", "GPL-2.0-only", 1),
+        ("<!-- SPDX-License-Identifier: MIT -->\r\n<p>", "MIT", 1), ("x.\nAll rights reserved.\ny", "proprietary", 1), (mit_whole + "\n" + gpl, "MIT,GPL-3.0-or-later", 7),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _, _) in enumerate(cases)], "doc_id long, text string")
+    out = licences.scan_licences(df).orderBy("doc_id").collect()
+    assert [(r.licences, r.n_sentences) for r in out] == [(want, n) for _, want, n in cases]
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    documents = df.toPandas()  # noqa: F841
+    said = sorted(con.sql(licences.oracle_sql()).fetchall())
+    assert said == [tuple(r) for r in out]
 
 
 def test_toxicity_gradients():
