@@ -8,49 +8,79 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of, written
+from .common import discard, text_of, tidy, written
 
 GRAM = 16
-BITS, PARTS = 1 << 26, 64
+#: A window's anchor has this many bytes of the window on one side at least.
+SIDE = 17
+LEAST_BITS, MOST_BITS, PARTS = 1 << 22, 1 << 30, 64
 SLOTS = 1 << 20
-CHUNK_BYTES, SHARD_BYTES = 1 << 20, 1 << 19
+#: Anchors with more distinct pieces than these are dealt out by the longer strings at their sides.
+HOT = 2000
+CHUNK_BYTES, SHARD_BYTES, BLOCK = 1 << 20, 1 << 19, 1 << 20
 LAST = (1 << 63) - 1
+#: Values of bytes, an odd base and its inverse modulo 2^64, for hashes of all strings of a size by differences of prefix sums.
+VALUES = np.random.default_rng(50).integers(0, 1 << 64, 256, np.uint64)
+BASE = 0x9E3779B97F4A7C15
+POWERS = np.cumprod(np.append(np.uint64(1), np.full(BLOCK + 256, BASE, np.uint64)))
+INVERSES = np.cumprod(np.append(np.uint64(1), np.full(BLOCK + 256, pow(BASE, -1, 1 << 64), np.uint64)))
 
 
-def anchors(data: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """For each ``window``-byte string of ``data``: where its anchor is, and the anchor's 32-bit hash.
+def sums_of(data: np.ndarray) -> np.ndarray:
+    """Prefix sums of the bytes' values times powers of the base; ``hashes_at`` turns them into hashes of strings."""
+    return np.append(np.uint64(0), np.cumsum(VALUES[data] * POWERS[: len(data)]))
+
+
+def hashes_at(sums: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the strings from ``begin`` to ``end``: equal strings have equal ones, wherever they are."""
+    h = (sums[end] - sums[begin]) * INVERSES[begin]
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    return h ^ (h >> np.uint64(29))
+
+
+def blocks(data: np.ndarray, window: int) -> Iterator[tuple[int, np.ndarray]]:
+    """Where each block begins, and its bytes; every ``window``-byte string lies in one block."""
+    for at in range(0, max(1, len(data) - window + 1), BLOCK):
+        yield at, data[at : at + BLOCK + window - 1]
+
+
+def anchors(data: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each ``window``-byte string of a block: where its anchor is, and the anchor's 32-bit hash; and the block's sums.
 
     The anchor is the ``GRAM``-byte string inside it with the smallest hash
     (the last of equal ones); equal windows have equal anchors.
     """
     n = len(data) - window + 1
     if n <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint32)
-    h = np.zeros(len(data) - GRAM + 1, np.uint64)
-    part, size, at = data.astype(np.uint64) + np.uint64(1), 1, 0
-    for bit in range(GRAM.bit_length()):  # blocks of 1, 2, 4 ... bytes, joined to GRAM bytes
-        if GRAM >> bit & 1:
-            h = (h * np.uint64(0x9E3779B97F4A7C15)) ^ part[at : at + len(h)]
-            h ^= h >> np.uint64(31)
-            at += size
-        if 2 * size <= GRAM:
-            part = part[:-size] * np.uint64(0xD6E8FEB86659FD93) + part[size:] * np.uint64(0xA0761D6478BD642F)
-            part ^= part >> np.uint64(32)
-            size *= 2
-    h = (h * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(32)
+        return np.zeros(0, np.int64), np.zeros(0, np.uint32), np.zeros(1, np.uint64)
+    sums = sums_of(data)
+    place = np.arange(len(data) - GRAM + 1)
+    h = hashes_at(sums, place, place + GRAM) >> np.uint64(32)
     wide = window - GRAM + 1
-    low = (h << np.uint64(31)) | np.arange(len(h), 0, -1).astype(np.uint64) % np.uint64(1 << 31)
+    low = (h << np.uint64(31)) | np.arange(len(h), 0, -1).astype(np.uint64)
     span = 1
     while 2 * span <= wide:
         low = np.minimum(low[:-span], low[span:])
         span *= 2
     low = np.minimum(low[:n], low[wide - span : wide - span + n])
     where = len(h) - (low & np.uint64((1 << 31) - 1)).astype(np.int64)
-    return where, h[where].astype(np.uint32)
+    return where, h[where].astype(np.uint32), sums
+
+
+def sides(sums: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the anchors ``at`` with ``SIDE`` bytes before them, and with as many after; and which have so many.
+
+    A window whose anchor is the one at hand holds one of the two strings. So if
+    another document has the window, it has that string too.
+    """
+    before, after = at >= SIDE, at + GRAM + SIDE < len(sums)
+    left = hashes_at(sums, at[before] - SIDE, at[before] + GRAM)
+    right = hashes_at(sums, at[after], at[after] + GRAM + SIDE)
+    return left, right, before, after
 
 
 def runs(anchor: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -196,16 +226,20 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     each maximal run. Bytes that stay may not be valid UTF-8 on their own.
 
     Equal windows share their anchor, the string of ``GRAM`` bytes with the smallest
-    hash inside them. Anchor hashes that only one document holds cannot belong to a repeated
-    window; the others are marked in a table of ``BITS`` bits (a fixed size, sent
-    to all tasks; marks met by chance only add work). What is left of a document
-    is cut into pieces, runs of windows with the same anchor, of at most
-    ``2 * window - GRAM`` bytes, and each distinct piece gets its smallest id. Where
-    all pieces of an anchor are alike that settles all their windows. The pieces
-    of other anchors, combined within each batch, are dealt out by anchor, so a
-    passage or document with very many copies is one piece there.
-
-    Within a task, pieces are taken in chunks of whole anchors; shards of a chunk
+    hash inside them, and the ``SIDE`` bytes before or after it. Strings of an
+    anchor and a side that only one document holds cannot belong to a repeated
+    window; the others are marked in a table of bits (sixteen or more a mark, up
+    to ``MOST_BITS``; marks met by chance only add work) that is sent to all tasks.
+    What is left of a document is cut into pieces, runs of windows with the same
+    anchor, of at most ``2 * window - GRAM`` bytes; they are told apart by a hash of
+    64 bits and their anchor's of 32, and each distinct one gets its smallest id.
+    Where all pieces of an anchor are alike that settles all their windows. The
+    pieces of other anchors, combined within each batch, are dealt out by anchor,
+    and those of anchors with more than ``HOT`` pieces by the strings at the
+    anchor's sides, so a passage with very many copies is one piece there and a
+    frequent anchor many groups.
+
+    Within a task, pieces are taken in chunks of whole groups; shards of a chunk
     get their Burrows-Wheeler transforms, whose interleave is refined pairwise;
     common prefixes of ``window`` bytes follow in the same rounds. Each interval
     of equal windows yields its smallest id.
@@ -213,73 +247,104 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     spark = docs.sparkSession
     base = scanned(docs, id_col, text_col).select("_order", "_hash", "_bytes")
 
-    def bit_table(anchors_: DataFrame):
-        """A broadcast table of ``BITS`` bits with those of column ``h`` set, filled in ``PARTS`` parts by tasks; only the parts reach the driver."""
-        size = BITS // PARTS
+    def bit_table(hashes: DataFrame):
+        """A broadcast table of bits with those of column ``h`` set, sixteen bits or more for each as far as ``MOST_BITS`` goes.
+
+        It is filled in ``PARTS`` parts by tasks; only the parts reach the driver.
+        """
+        hashes = written(hashes.select("h"))
+        bits = min(MOST_BITS, max(LEAST_BITS, 1 << (16 * hashes.count()).bit_length()))
+        size = bits // PARTS
 
         def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             parts: dict[int, np.ndarray] = {}
             for batch in batches:
                 slot = batch.column(0).to_numpy()
                 for part in np.unique(slot // size).tolist():
-                    parts.setdefault(part, np.zeros(size, bool))[slot[slot // size == part] % size] = True
+                    own = slot[slot // size == part] % size
+                    parts.setdefault(part, np.zeros(size, bool))[own] = True
             packed = [zlib.compress(np.packbits(x, bitorder="little").tobytes(), 1) for x in parts.values()]
             yield pa.RecordBatch.from_arrays([pa.array([*parts], pa.int32()), pa.array(packed, pa.binary())], ["part", "bits"])
 
-        slots = anchors_.select(F.pmod("h", F.lit(BITS)).alias("s"))
-        table = np.zeros(BITS // 8, np.uint8)
-        for row in slots.repartition(PARTS, F.expr(f"s div {size}")).mapInArrow(fill, "part int, bits binary").collect():
-            table[row["part"] * size // 8 : (row["part"] + 1) * size // 8] = np.frombuffer(zlib.decompress(row["bits"]), np.uint8)
+        slots = hashes.select(F.pmod("h", F.lit(bits)).cast("long").alias("s"))
+        table = np.zeros(bits // 8, np.uint8)
+        with tidy(spark):
+            for row in slots.repartition(PARTS, F.expr(f"s div {size}")).mapInArrow(fill, "part int, bits binary").toLocalIterator():
+                table[row["part"] * size // 8 : (row["part"] + 1) * size // 8] |= np.frombuffer(zlib.decompress(row["bits"]), np.uint8)
+        discard(hashes)
         return spark.sparkContext.broadcast(table)
 
     def marked(table: np.ndarray, hashes: np.ndarray) -> np.ndarray:
-        at = hashes.view(np.int32).astype(np.int64) % BITS
+        at = hashes.astype(np.int64) % (8 * len(table))
         return (table[at >> 3] >> (at & 7).astype(np.uint8) & np.uint8(1)).astype(bool)
 
     def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            found = [np.unique(anchors(data, window)[1]) for _, _, data in rows_of(batch)]
-            h, n = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint32), np.zeros(0, np.int64))
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int32)), pa.array(np.minimum(n, 2).astype(np.int8))], ["h", "n"])
-
-    repeated = bit_table(base.mapInArrow(seen, "h int, n tinyint").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1"))
-
-    def cut(batch: pa.RecordBatch, table: np.ndarray) -> Iterator[tuple[int, int, np.ndarray, np.ndarray, np.ndarray, list[bytes]]]:
+            found = [np.zeros(0, np.uint64)]
+            for _, _, data in rows_of(batch):
+                own = []
+                for _, part in blocks(data, window):
+                    where, _, sums = anchors(part, window)
+                    own += sides(sums, np.unique(where))[:2]
+                found.append(np.unique(np.concatenate(own)))
+            h, n = np.unique(np.concatenate(found), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.minimum(n, 2).astype(np.int8))], ["h", "n"])
+
+    repeated = bit_table(base.mapInArrow(seen, "h long, n tinyint").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1"))
+
+    def cut(batch: pa.RecordBatch) -> Iterator[tuple]:
+        """(order, hash, begin of block, bytes, first and last window of each piece, its anchor, its hash, the hashes of its sides, 0 for none) of each block."""
         for order, h, data in rows_of(batch):
-            where, hashes = anchors(data, window)
-            lo, hi = runs(where, marked(table, hashes)) if len(where) else (where, where)
-            if len(lo):
-                whole = data.tobytes()
-                yield order, h, lo, hi, hashes[lo].view(np.int32), [whole[a : b + window] for a, b in zip(lo.tolist(), hi.tolist(), strict=True)]
+            for begin, part in blocks(data, window):
+                where, anchor, sums = anchors(part, window)
+                if not len(where):
+                    continue
+                new = np.append(True, where[1:] != where[:-1])
+                at, own = where[new], np.cumsum(new) - 1
+                left, right, before, after = sides(sums, at)
+                both = np.zeros((2, len(at)), np.int64)
+                both[0, before], both[1, after] = left.view(np.int64), right.view(np.int64)
+                both[~marked(repeated.value, both)] = 0
+                lo, hi = runs(where, both.any(0)[own])
+                if len(lo):
+                    yield order, h, begin, part, lo, hi, anchor[lo].view(np.int32), hashes_at(sums, lo, hi + window).view(np.int64), both[:, own[lo]]
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for order, h, lo, hi, anchor, own in cut(batch, repeated.value):
+            for order, h, begin, _, lo, hi, anchor, keys, _ in cut(batch):
                 n = len(lo)
-                keys = np.fromiter(map(xxhash.xxh3_64_intdigest, own), np.uint64, n).view(np.int64)
-                columns = [np.full(n, order), np.full(n, h, np.int32), lo.astype(np.int32), (hi - lo + window).astype(np.int16), anchor, keys]
+                columns = [np.full(n, order), np.full(n, h, np.int32), (lo + begin).astype(np.int32), (hi - lo + window).astype(np.int16), anchor, keys]
                 yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], ["_order", "_hash", "at", "size", "h", "p"])
 
     occurrences = written(base.mapInArrow(places, "_order long, _hash int, at int, size short, h int, p long"))
     known = written(occurrences.groupBy("h", "p").agg(F.min("_order").alias("first"), F.max("_order").alias("last")))
-    mixed = bit_table(known.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"))
+    counts = written(known.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"))
+    mixed, hot = bit_table(counts), bit_table(counts.where(F.col("n") > HOT))
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            least: dict[tuple[int, bytes], int] = {}
-            for order, _, _, _, anchor, own in cut(batch, mixed.value):
-                for key in zip(anchor.tolist(), own, strict=True):
-                    least[key] = min(order, least.get(key, order))
-            columns = [pa.array([k[0] for k in least], pa.int32()), pa.array([k[1] for k in least], pa.binary()), pa.array([*least.values()], pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, ["h", "piece", "d"])
+            least: dict[tuple[int, int, int], tuple[int, bytes]] = {}
+            for order, _, _, part, lo, hi, anchor, keys, both in cut(batch):
+                some = np.flatnonzero(marked(mixed.value, anchor))
+                heavy = marked(hot.value, anchor)
+                for i in some.tolist():
+                    groups = [g for g in both[:, i].tolist() if g] if heavy[i] else [int(anchor[i])]
+                    for key in ((g, int(anchor[i]), int(keys[i])) for g in groups):
+                        if key not in least:
+                            least[key] = (order, part[lo[i] : hi[i] + window].tobytes())
+                        elif order < least[key][0]:
+                            least[key] = (order, least[key][1])
+            own = [pa.array([k[0] for k in least], pa.int64()), pa.array([k[1] for k in least], pa.int32()), pa.array([k[2] for k in least], pa.int64())]
+            yield pa.RecordBatch.from_arrays([*own, pa.array([x[1] for x in least.values()], pa.binary()), pa.array([x[0] for x in least.values()], pa.int64())], ["g", "h", "p", "piece", "d"])
 
     def refine(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def finished(rows: list[tuple]) -> pa.RecordBatch:
-            rows.sort(key=lambda r: r[1])
-            early = early_windows([r[1] for r in rows], np.array([r[2] for r in rows], np.int64), window)
+            rows = sorted({r[3]: r for r in rows}.values(), key=lambda r: r[3])
+            early = early_windows([r[3] for r in rows], np.array([r[4] for r in rows], np.int64), window)
             hit = [i for i, own in enumerate(early) if own]
-            keys = np.array([xxhash.xxh3_64_intdigest(rows[i][1]) for i in hit], np.uint64).view(np.int64)
-            return pa.RecordBatch.from_arrays([pa.array([rows[i][0] for i in hit], pa.int32()), pa.array(keys), pa.array([early[i] for i in hit], pa.list_(pa.int16()))], ["h", "p", "early"])
+            return pa.RecordBatch.from_arrays(
+                [pa.array([rows[i][1] for i in hit], pa.int32()), pa.array([rows[i][2] for i in hit], pa.int64()), pa.array([early[i] for i in hit], pa.list_(pa.int16()))], ["h", "p", "early"]
+            )
 
         def groups() -> Iterator[list[tuple]]:
             own: list[tuple] = []
@@ -296,15 +361,15 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         for own in groups():
             if len(own) > 1:  # a lone piece has nothing to share
                 rows += own
-                size += sum(len(r[1]) for r in own)
+                size += sum(len(r[3]) for r in own)
             if size >= CHUNK_BYTES:
                 yield finished(rows)
                 rows, size = [], 0
         if rows:
             yield finished(rows)
 
-    dealt = base.mapInArrow(pieces, "h int, piece binary, d long").repartition("h")
-    distinct = dealt.groupBy("h", "piece").agg(F.min("d").alias("d")).sortWithinPartitions("h")
+    dealt = base.mapInArrow(pieces, "g long, h int, p long, piece binary, d long").repartition("g")
+    distinct = dealt.groupBy("g", "h", "p", "piece").agg(F.min("d").alias("d")).sortWithinPartitions("g")
     early = distinct.mapInArrow(refine, "h int, p long, early array<short>")
 
     # A piece that another document holds first goes as a whole, else only its windows that other pieces hold earlier.

@@ -253,15 +253,19 @@ def score_toxicity(
     label_col: str = "toxic",
     per_class: int = 2000,
     most_chars: int = 20_000,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """One row per row of ``docs``: held_out, score (0 to 1) and predicted (score >= 0.5).
 
     A bidirectional gated recurrent network reads words, each given as a word
     vector and a vector of its character n-grams, in windows of 64 words that
     overlap by half; attention pools each window; a text's score is that of its
-    highest window, over all windows of the whole text. Null, empty and wordless
-    texts score 0. Rows that repeat are scored each for itself;
-    without any usable label the untrained network's scores come out.
+    highest window, over all windows of the whole text, however long. Null, empty
+    and wordless texts score 0. Rows that repeat are scored each for itself; an id
+    that ``labels`` repeats counts as toxic if any of its rows says so; without any
+    usable label the untrained network's scores come out. Columns of ``docs`` in
+    ``keep`` come along; others, whatever their names, are not touched. An empty
+    table gives no rows.
 
     It is trained on the driver, in numpy, on a bounded sample: of each class at
     most ``per_class`` labelled texts of at most ``most_chars`` characters, none
@@ -283,13 +287,18 @@ def score_toxicity(
                 got.append(score_texts(net.value, texts[lo:hi]))
                 lo = hi
             if got:
-                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(got).astype(np.float64))], ["_id", "_score"])
+                yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(np.concatenate(got).astype(np.float64)), *batch.columns[2:]], ["_id", "_score", *kept])
 
-    kind = docs.schema[id_col].dataType.simpleString()
-    scored = docs.select(docs[id_col].alias("_id"), text_of(docs, text_col).alias("_text")).mapInArrow(score, f"_id {kind}, _score double")
+    kind = lambda name: docs.schema[name].dataType.simpleString()
+    kept = [f"_keep{i}" for i in range(len(keep))]
+    more = [docs[x].alias(k) for x, k in zip(keep, kept, strict=True)]
+    scored = docs.select(docs[id_col].alias("_id"), text_of(docs, text_col).alias("_text"), *more).mapInArrow(
+        score, ", ".join([f"_id {kind(id_col)}, _score double", *(f"{k} {kind(x)}" for x, k in zip(keep, kept, strict=True))])
+    )
     return scored.select(
         F.col("_id").alias(id_col),
         F.coalesce(F.pmod(F.crc32(F.col("_id").cast("string")), F.lit(5)) == 0, F.lit(False)).alias("held_out"),
         F.col("_score").alias("score"),
         (F.col("_score") >= 0.5).cast("int").alias("predicted"),
+        *(F.col(k).alias(x) for x, k in zip(keep, kept, strict=True)),
     )

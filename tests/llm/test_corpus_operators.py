@@ -206,6 +206,41 @@ def test_line_dedup(docs, rows, none):
     assert line_dedup(none).collect() == []
 
 
+@pytest.mark.parametrize("threshold", [0.4, 0.5, 0.7, 0.9, 1.0])
+def test_line_dedup_at_other_thresholds(spark, threshold):
+    rng = random.Random(5)
+    lines = [" ".join(rng.sample("abcdefghijklmnop", rng.randint(1, 14))) for _ in range(150)] + ["a b c", "a b d", "x y z q", "x y z", "r", "r s"]
+    sets = {frozenset(x.split()) for x in lines}
+    want = {i: sum(u != s and len(s & u) >= threshold * len(s | u) - 1e-9 for u in sets) for i, s in enumerate(frozenset(x.split()) for x in lines)}
+    got = line_dedup(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"), threshold=threshold).collect()
+    assert {r.doc_id: r.n_links for r in got} == want
+
+
+def test_dedup_substrings_with_an_anchor_that_many_pieces_share(spark, monkeypatch):
+    """Very many different texts around one frequent string, some of which repeat a window; and rules of dashes."""
+    monkeypatch.setattr(substring_dedup, "HOT", 20)
+    rng = random.Random(9)
+    some = lambda n: "".join(rng.choice("abcdefghij ") for _ in range(n))
+    texts = [some(40) + "the very frequent words" + some(40) for _ in range(400)]
+    texts += [some(9) + texts[k][25:80] + some(9) for k in range(0, 40, 4)] + ["-" * n + some(20) for n in (49, 50, 51, 90)] + [some(30) + "-" * 60]
+    seen, want = {}, {}
+    for i, t in enumerate(texts):
+        data, gone = t.encode(), bytearray(len(t))
+        for p in range(len(data) - 49):
+            if seen.setdefault(data[p : p + 50], i) < i:
+                gone[p : p + 50] = b"\1" * 50
+        want[i] = hashlib.sha256(bytes(x for x, g in zip(data, gone) if not g)).hexdigest()
+    got = substring_dedup.dedup_substrings(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(4)).collect()
+    assert {r.doc_id: r.kept_sha256 for r in got} == want and sum(r.n_removed > 0 for r in got) >= 10
+
+
+def test_blocks_of_a_long_text_hold_every_window(spark, monkeypatch):
+    monkeypatch.setattr(substring_dedup, "BLOCK", 100)
+    data = np.frombuffer(random.Random(1).randbytes(1234), np.uint8)
+    windows = [w.tobytes() for at, part in substring_dedup.blocks(data, 50) for w in np.lib.stride_tricks.sliding_window_view(part, 50)]
+    assert windows == [data[i : i + 50].tobytes() for i in range(1234 - 49)]
+
+
 def test_dedup_substrings(docs, rows, none):
     seen, want = {}, {}
     for i, t in sorted(((r[0], r[1]) for r in rows), key=lambda x: (x[0] is None, x[0] or 0)):
@@ -295,6 +330,76 @@ def test_plan_bins_is_whole_and_tight_at_any_scale():
         assert bins <= 1.02 * math.ceil((counts * np.arange(2049)).sum() / 2048)
 
 
+def test_plan_bins_places_each_item_where_squares_are_least():
+    """Item by item against the sums of squares computed in full."""
+    rng = np.random.default_rng(4)
+    counts = np.bincount(rng.integers(1, 33, 60), minlength=33)
+    plan = packing.plan_bins(counts, 32)
+    gaps, place = {}, 0
+    for size in range(32, 0, -1):
+        own = [(r[3] + k, r[4]) for r in plan[plan[:, 0] == size] for k in range(r[2] - r[1])]
+        assert len(own) == counts[size]
+        for bin_, offset in own:
+            held = defaultdict(int)
+            for g in gaps.values():
+                held[g] += g > 0
+
+            def squares(gap):
+                after = defaultdict(int, held)
+                if gap < 32:
+                    after[gap] -= 1
+                after[gap - size] += gap > size
+                return sum(n * n for n in after.values())
+
+            fit = [g for g in sorted(held) if held[g] and g >= size]
+            best = min([(squares(g), g) for g in fit] + [(squares(32), 32)])
+            assert gaps.get(bin_, 32) == best[1] == 32 - offset
+            gaps[bin_] = best[1] - size
+
+
+HELD_OUT = """
+please write to Mr. {name:Stone} about it
+Mrs. {name:Ida Lund} was there too
+Dr. {name:Hans Meier} hat Zeit
+Dear {name:Robert Hall}, we got your mail
+Regards, {name:Nina Simon}
+name: {name:Igor Pavlov}
+Frau {name:Ute Krause} ist hier
+Monsieur {name:Luc Moreau} arrive
+Señor {name:Pablo Ruiz} vive aquí
+our shop is at {address:45 Maple Street} now
+go to {address:7 King Road} first
+parcel for {address:1200 North Pine Avenue} came
+ssn {id:321-54-9876} was typed
+passport {id:P7712345} found
+iban {id:FR7630006000011234567890189} paid
+license {id:K1234590} ended
+{secret:token = "b44e15e09fd311c3cf3f1a6c4f7bcf8c070fc75a}" here
+set {secret:password=letmein2024xyz} now
+The Old Man saw The Sea
+We saw Red Square on Sunday
+the road was 20 miles long
+he said dear me and left
+room 45-12 and flight LH400
+Ung sich Enverber und Anderes Mehr
+Oosci de no con De Cios
+30 Men walked down the street
+"""
+
+
+def test_pii_finds_kinds_of_its_own_in_lines_it_has_not_seen():
+    tagger, right, wrong, missed = pii.Tagger(pii.Field(pii.labelled_rows())), 0, 0, 0
+    for line in HELD_OUT.strip().splitlines():
+        text, want = "", set()
+        for kind, inside, plain in re.findall(r"\{(\w+):([^}]*)\}|([^{]+)", line):
+            if kind:
+                want.add((kind, len(text), len(text) + len(inside)))
+            text += inside or plain
+        got = set(tagger.spans([text])[0])
+        right, wrong, missed = right + len(got & want), wrong + len(got - want), missed + len(want - got)
+    assert right / (right + wrong) >= 0.85 and right / (right + missed) >= 0.9
+
+
 def test_pii(docs, rows, none):
     def brute(t):
         found = [("email", m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]

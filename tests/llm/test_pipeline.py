@@ -51,6 +51,37 @@ def test_pipeline(spark, sf_dir, tmp_path):
     assert sorted(map(tuple, corpus_pipeline.run(spark, sf_dir).select("doc_id", "piece", "length", "ids_crc32").collect())) == sorted(map(tuple, docs.select("doc_id", "piece", "length", "ids_crc32").collect()))
 
 
+def test_stages_on_nulls_repeats_and_clashing_columns(spark, sf_dir):
+    """Decisions are by row: a repeated id, a null id or a repeated row takes no other document along."""
+    long = "word " * 3 + " ".join(f"w{i}x" for i in range(6000))
+    rows = [
+        (1, "same text here"), (2, "same text here"), (2, "other text"), (3, "q"), (3, "q"), (None, "same  text here"), (None, "alone without an id"), (4, None), (5, ""),
+        (6, long), (7, long + " and"), (8, " ".join(f"a{i}" for i in range(60))), (8, " ".join(f"b{i}" for i in range(60))), (9, " ".join(f"a{i}" for i in range(59))),
+    ]
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _id long, _key string, kept boolean"
+    docs = spark.createDataFrame([(i, t, "en", "s", 0, 77, "k", False) for i, t in rows], schema)
+    said = lambda df: sorted(((r.doc_id, r.text) for r in df.collect()), key=repr)
+    stages = dict(corpus_pipeline.STAGES)
+    got = stages["exact_dedup"](spark, docs, sf_dir)
+    assert got.columns == docs.columns
+    # Of equal texts the longest stays: the one with two blanks.
+    assert said(got) == sorted([(2, "other text"), (3, "q"), (None, "same  text here"), (None, "alone without an id"), (4, None), *rows[9:]], key=repr)
+    got = stages["near_dedup"](spark, docs, sf_dir)
+    assert said(got) == sorted([rows[0], rows[2], rows[3], rows[4], *rows[6:10], *rows[11:13]], key=repr)
+    bad = spark.read.parquet(f"{sf_dir}/benchmark.parquet").first().text
+    more = docs.unionByName(spark.createDataFrame([(8, "x " + bad, "en", "s", 0, 1, "k", True), (None, bad, "en", "s", 0, 1, "k", True)], schema))
+    got = stages["decontamination"](spark, more, sf_dir)
+    assert said(got) == sorted(rows, key=repr) and got.columns == docs.columns
+    insult = "you are scum, idiot scum idiot"
+    more = docs.unionByName(spark.createDataFrame([(8, insult, "en", "s", 0, 1, "k", True), (None, insult, "en", "s", 0, 1, "k", True)], schema))
+    got = said(stages["toxicity"](spark, more, sf_dir))
+    assert (8, insult) not in got and (None, insult) not in got and {(8, rows[11][1]), (8, rows[12][1]), (4, None), (5, "")} <= set(got)
+    packed = stages["packing"](spark, docs, sf_dir)
+    assert sorted(((r.doc_id, r.piece) for r in packed.where("doc_id in (3, 4, 5)").collect())) == [(3, 0), (3, 0), (4, 0), (5, 0)]
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs.where("false"), sf_dir).collect() == [], name
+
+
 def test_every_operator_is_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
     assert set(ORACLE_SQL) <= set(QUERIES)
