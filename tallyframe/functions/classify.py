@@ -9,7 +9,7 @@ TIMESTAMP_NTZ, TIMESTAMP_TZ = "TIMESTAMP_WITHOUT_TIME_ZONE", "TIMESTAMP_WITH_TIM
 
 # Type names of other systems by class.
 NUMERIC_NAMES = ("smallint", "integer", "bigint", "decimal", "numeric", "real", "double precision", "smallserial", "serial", "bigserial", "money")
-TEXT_NAMES = ("character varying", "varchar", "character", "char", "text", "boolean", "uuid", "json", "jsonb", "xml", "bytea", "name", "inet", "cidr", "macaddr", "bit", "bit varying", "user-defined")
+TEXT_NAMES = ("character varying", "varchar", "character", "char", "text", "boolean", "uuid", "json", "jsonb", "xml", "bytea", "name", "inet", "cidr", "macaddr", "macaddr8", "bit", "bit varying", "user-defined")
 
 # One name for the spellings of a type.
 TYPE_NAMES = {

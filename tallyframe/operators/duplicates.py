@@ -13,6 +13,12 @@ def duplicate_keys(df: DataFrame, keys: list[str], at_least: int = 2) -> DataFra
     return df.groupBy(*resolve(df.columns, keys)).agg(F.count("*").alias("duplicate_count")).where(F.col("duplicate_count") >= at_least)
 
 
+def most_duplicated(df: DataFrame, keys: list[str], n: int | None = None) -> DataFrame:
+    """Duplicated keys by falling count, then key; the first ``n`` if it is given."""
+    found = duplicate_keys(df, keys).orderBy(F.desc("duplicate_count"), *(F.col(f"`{k}`").asc_nulls_last() for k in resolve(df.columns, keys)))
+    return found.limit(n) if n else found
+
+
 def duplicate_reconciliation(pair: TablePair, keys: list[str]) -> DataFrame:
     """Keys duplicated on either side, with both counts (0: not duplicated there) and a status; null keys are keys.
 

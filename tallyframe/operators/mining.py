@@ -5,13 +5,14 @@ from __future__ import annotations
 from dataclasses import dataclass
 from itertools import combinations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.measures import age_band, binned, day_difference, missing_flag, recommended_action, rule_score, safe_ratio, split_part, wilson
 from ..functions.canonical import missing_cleaned
 from .cube import grouped_sets
+from .ranks import cells_of, exact_percentiles, with_percentiles
 from .stats import unioned
 
 # Tokens that mean missing in mining input.
@@ -81,12 +82,12 @@ def feature_types(df: DataFrame, exclude: set[str], numeric: set[str] = frozense
 
 
 def quantile_edges(df: DataFrame, columns: list[str], bins: int = 5) -> dict[str, list[float]]:
-    """Exact, distinct quantile edges per column from one aggregation; equal widths if ties leave a single bin."""
-    points = F.array(*(F.lit(i / bins) for i in range(bins + 1)))
-    row = df.agg(*(x for i, c in enumerate(columns) for x in (F.percentile(F.col(f"`{c}`").cast("double"), points).alias(f"q{i}"),))).first()
+    """Exact, distinct quantile edges per column; equal widths if ties leave a single bin."""
+    found = exact_percentiles(cells_of(df, columns), ["column_name"], "v", [i / bins for i in range(bins + 1)])
+    points = {r["column_name"]: r["q"] for r in found.collect()}  # one row per column
     out = {}
-    for i, c in enumerate(columns):
-        edges = sorted(set(row[f"q{i}"] or []))
+    for c in columns:
+        edges = sorted(set(points.get(c, [])))
         if len(edges) == 2 and bins > 1:
             edges = [edges[0] + (edges[1] - edges[0]) * k / bins for k in range(bins + 1)]
         out[c] = edges
@@ -131,11 +132,10 @@ def feature_rank(lifts: DataFrame, least: int = 1, near_unique: float = 0.9) ->
 
 def numeric_eda(df: DataFrame, columns: list[str], by: str) -> DataFrame:
     """Per class and column: count, missing, mean, median, standard deviation, extremes and quartiles."""
-    cells = F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("double").alias("v")) for c in columns))
-    rows = df.select(F.col(f"`{by}`").alias("class"), F.explode(cells).alias("c")).select("class", "c.*")
-    quart = F.percentile("v", F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75)))
-    out = rows.groupBy("class", "column_name").agg(F.count("v").alias("count"), F.count_if(F.col("v").isNull()).alias("missing"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max"), quart.alias("q"))
-    return out.withColumns({"p25": F.col("q")[0], "median": F.col("q")[1], "p75": F.col("q")[2]}).drop("q")
+    rows = cells_of(df.withColumn("class", F.col(f"`{by}`")), columns, ("class",))
+    keys = ["class", "column_name"]
+    out = rows.groupBy(*keys).agg(F.count("v").alias("count"), F.count_if(F.col("v").isNull()).alias("missing"), F.avg("v").alias("mean"), F.stddev_samp("v").alias("std"), F.min("v").alias("min"), F.max("v").alias("max"))
+    return with_percentiles(out, exact_percentiles(rows, keys, "v", [0.25, 0.5, 0.75]), keys, ["p25", "median", "p75"])
 
 
 def combination_rules(df: DataFrame, features: list[str], flag: str = "target_flag", length: int = 3, least_records: int = 30, least_rate: float = 0.0, least_lift: float = 1.0, per_level: int = 5000, prune: bool = True) -> DataFrame:
@@ -172,10 +172,11 @@ def multiclass_rules(df: DataFrame, features: list[str], length: int = 2, least_
     sets = [s for k in range(1, length + 1) for s in combinations(features, k)]
     named = df.select("target_class", *(F.coalesce(F.col(f"`{f}`").cast("string"), F.lit("UNKNOWN")).alias(f) for f in features))
     per_class = grouped_sets(named, sets, [F.count("*").alias("positives")], keep=("target_class",))
-    support = grouped_sets(named, sets, [F.count("*").alias("records")]).select("dims", "dim_values", "records")
+    # A group's rows are the sum of its classes': features that are not in a set are null in it, so they tell the groups apart.
+    per_class = per_class.withColumn("records", F.sum("positives").over(Window.partitionBy(*features)))
     base = named.groupBy("target_class").agg(F.count("*").alias("class_records"))
     total = named.agg(F.count("*").alias("all_records"))
-    out = per_class.join(support, ["dims", "dim_values"]).join(base, "target_class").crossJoin(F.broadcast(total))  # one row
+    out = per_class.join(base, "target_class").crossJoin(F.broadcast(total))  # one row
     rate = F.col("positives") / F.col("records")
     out = out.withColumns({"rate": rate, "lift": rate / (F.col("class_records") / F.col("all_records"))})
     return out.where((F.col("records") >= least_records) & (F.col("lift") >= least_lift)).select("target_class", F.col("dims").alias("features"), F.col("dim_values").alias("values"), "records", "positives", "rate", "lift")
@@ -195,16 +196,18 @@ def class_base_rates(df: DataFrame) -> DataFrame:
     return df.groupBy("target_class").agg(F.count("*").alias("records")).crossJoin(F.broadcast(total)).select("target_class", "records", (F.col("records") / F.col("n")).alias("base_rate"))  # one row
 
 
-def apply_rules(df: DataFrame, rules: DataFrame, features: list[str], keep: list[str]) -> DataFrame:
+def apply_rules(df: DataFrame, rules: DataFrame, features: list[str], keep: list[str], broadcast_rows: int = 100_000) -> DataFrame:
     """(rule, keep...) for every row and rule that it satisfies.
 
     Rows join rules on the rule's first item, then all items must be among the
-    row's; the rules are a result of bounded length, so they are broadcast.
+    row's. Rules are counted first and broadcast up to ``broadcast_rows``; more of
+    them are joined by a shuffle.
     """
     items = F.array(*(F.concat(F.lit(f"{f}="), F.coalesce(F.col(f"`{f}`").cast("string"), F.lit("UNKNOWN"))) for f in features))
     rows = df.select(*keep, items.alias("_items")).select(*keep, "_items", F.explode("_items").alias("_first"))
     wanted = rules.select("rule", F.col("items").alias("_wanted"), F.element_at("items", 1).alias("_first"))
-    return rows.join(F.broadcast(wanted), "_first").where(F.size(F.array_except("_wanted", "_items")) == 0).select("rule", *keep)
+    small = wanted.limit(broadcast_rows + 1).count() <= broadcast_rows
+    return rows.join(F.broadcast(wanted) if small else wanted, "_first").where(F.size(F.array_except("_wanted", "_items")) == 0).select("rule", *keep)
 
 
 def split_rows(df: DataFrame, ids: list[str], parts: int = 4, test_part: int = 0, seed: int = 0) -> tuple[DataFrame, DataFrame]:
@@ -213,6 +216,21 @@ def split_rows(df: DataFrame, ids: list[str], parts: int = 4, test_part: int = 0
     return df.where(part != test_part), df.where(part == test_part)
 
 
+def stratified_split(df: DataFrame, by: str, ids: list[str], share: float = 0.25, seed: int = 0) -> tuple[DataFrame, DataFrame]:
+    """(train, test): of each class of ``by``, as nearly ``share`` of its rows as ties of the id's hash allow go to the test side.
+
+    Rows are ordered by the hash of their id; the hash at ``share`` of each class
+    is found by ``exact_percentiles`` and compared with each row, so no class
+    is sorted in one task. The same rows are chosen every time.
+    """
+    draw = (F.pmod(F.xxhash64(F.lit(seed), *(F.col(f"`{c}`") for c in ids)), F.lit(1 << 52))).cast("double")
+    drawn = df.withColumns({"_draw": draw, "_class": F.col(f"`{by}`")})
+    cut = exact_percentiles(drawn, ["_class"], "_draw", [share]).select(F.col("_class").alias("_of"), F.col("q")[0].alias("_cut"))
+    placed = drawn.join(cut, F.col("_class").eqNullSafe(F.col("_of")))
+    pick = lambda test: placed.where(F.col("_draw") < F.col("_cut") if test else F.col("_draw") >= F.col("_cut")).select(*(df[c] for c in df.columns))
+    return pick(False), pick(True)
+
+
 def stratified_sample(df: DataFrame, by: str, fractions: dict, seed: int = 0) -> DataFrame:
     return df.sampleBy(by, fractions, seed)
 

@@ -7,7 +7,7 @@ import re
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.fpm import FPGrowth
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.measures import binned
 from .mining import base_of, quantile_edges, with_lift
+from .ranks import settled
 
 
 def baskets(df: DataFrame, features: list[str], target: str) -> DataFrame:
@@ -24,7 +25,7 @@ def baskets(df: DataFrame, features: list[str], target: str) -> DataFrame:
 
 def association_rules(df: DataFrame, features: list[str], target: str, value: str, support: float = 0.02, confidence: float = 0.35, lift: float = 1.3, longest: int = 4) -> DataFrame:
     """Frequent-pattern rules that end in ``target = value``: support, confidence, lift, leverage, conviction."""
-    items = baskets(df, features, target).persist()
+    items = settled(baskets(df, features, target))  # read again for every pass over the items
     model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(items)
     wanted = f"{target}={value}"
     total = items.count()
@@ -41,29 +42,57 @@ def association_rules(df: DataFrame, features: list[str], target: str, value: st
     )
 
 
-def fit_tree(df: DataFrame, numeric: list[str], categorical: list[str], flag: str = "target_flag", depth: int = 5, least: int = 1, seed: int = 7) -> tuple[object, list[str]]:
-    """A fitted pipeline (median imputation, indexing, balanced weights, tree) and the names of its inputs."""
+RARE = "INFREQUENT"
+
+
+def frequent_values(df: DataFrame, columns: list[str], least: float) -> dict[str, list[str]]:
+    """The values of each column that make up ``least`` of its rows or more, most frequent first: at most ``1 / least`` of each column."""
+    cells = F.array(*(F.struct(F.lit(c).alias("c"), F.col(f"`{c}`").cast("string").alias("v")) for c in columns))
+    counts = df.select(F.explode(cells).alias("x")).select("x.*").where("v is not null").groupBy("c", "v").agg(F.count("*").alias("n"))
+    total = df.agg((F.lit(least) * F.count("*")).alias("least"))
+    rows = counts.crossJoin(F.broadcast(total)).where("n >= least").orderBy("c", F.desc("n"), "v").collect()  # one row to join with
+    return {c: [r["v"] for r in rows if r["c"] == c] for c in columns}
+
+
+def prepared(df: DataFrame, numeric: list[str], kept: dict[str, list[str]], flag: str) -> DataFrame:
+    """Doubles for numbers; categories that are missing as the most frequent one, rare ones as ``RARE``; weights that balance the classes."""
+    base = df.agg(F.count("*").alias("__n"), F.sum(flag).alias("__p"))
+    text = lambda c, values: F.when(F.col(f"`{c}`").isNull(), values[0] if values else RARE).when(F.col(f"`{c}`").cast("string").isin(values), F.col(f"`{c}`").cast("string")).otherwise(RARE)
+    df = df.withColumns({**{c: F.col(f"`{c}`").cast("double") for c in numeric}, **{c: text(c, values) for c, values in kept.items()}})
+    own = F.when(F.col(flag) == 1, F.col("__p")).otherwise(F.col("__n") - F.col("__p"))
+    return df.crossJoin(F.broadcast(base)).withColumn("__weight", F.col("__n") / (2.0 * own)).drop("__n", "__p")  # one row
+
+
+def fit_tree(df: DataFrame, numeric: list[str], categorical: list[str], flag: str = "target_flag", depth: int = 5, least: int = 1, seed: int = 7, least_share: float = 0.01) -> tuple[object, dict[str, list[str]]]:
+    """A fitted pipeline (median imputation, one column for each frequent value, tree on balanced weights) and the values kept of each category.
+
+    Values below ``least_share`` of the rows are one, so a category of any
+    number of values gives at most ``1 / least_share`` inputs and one more.
+    """
+    kept = frequent_values(df, categorical, least_share) if categorical else {}
     stages: list = []
     if numeric:
         stages.append(Imputer(strategy="median", inputCols=numeric, outputCols=[f"{c}__num" for c in numeric]))
-    stages += [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep") for c in categorical]
-    names = [*numeric, *categorical]
-    inputs = [*(f"{c}__num" for c in numeric), *(f"{c}__idx" for c in categorical)]
-    stages.append(VectorAssembler(inputCols=inputs, outputCol="__features"))
+    for c in categorical:
+        stages += [StringIndexer(inputCol=c, outputCol=f"{c}__idx", handleInvalid="keep"), OneHotEncoder(inputCol=f"{c}__idx", outputCol=f"{c}__hot", handleInvalid="keep")]
+    stages.append(VectorAssembler(inputCols=[*(f"{c}__num" for c in numeric), *(f"{c}__hot" for c in categorical)], outputCol="__features"))
     stages.append(DecisionTreeClassifier(featuresCol="__features", labelCol=flag, weightCol="__weight", maxDepth=depth, minInstancesPerNode=least, maxBins=128, seed=seed))
-    return Pipeline(stages=stages).fit(weighted(df, numeric, categorical, flag)), names
+    return Pipeline(stages=stages).fit(prepared(df, numeric, kept, flag)), kept
 
 
-def weighted(df: DataFrame, numeric: list[str], categorical: list[str], flag: str) -> DataFrame:
-    """Doubles for numbers, ``UNKNOWN`` for missing categories, and class weights that balance the target."""
-    base = df.agg(F.count("*").alias("__n"), F.sum(flag).alias("__p"))
-    df = df.withColumns({**{c: F.col(f"`{c}`").cast("double") for c in numeric}, **{c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("UNKNOWN")) for c in categorical}})
-    own = F.when(F.col(flag) == 1, F.col("__p")).otherwise(F.col("__n") - F.col("__p"))
-    return df.crossJoin(F.broadcast(base)).withColumn("__weight", F.col("__n") / (2.0 * own)).drop("__n", "__p")  # one row
+def tree_inputs(fitted, numeric: list[str]) -> list[tuple[str, str | None]]:
+    """(column, value) of each input of the tree; no value for numbers, null for what was not among the values."""
+    indexers = [s for s in fitted.stages if hasattr(s, "labels")]
+    hot = [s for s in fitted.stages if hasattr(s, "categorySizes")]
+    out: list[tuple[str, str | None]] = [(c, None) for c in numeric]
+    for index, wide in zip(indexers, hot, strict=True):
+        labels = [*index.labels, *[RARE] * (wide.categorySizes[0] - len(index.labels))]
+        out += [(index.getInputCol(), v) for v in labels]
+    return out
 
 
-def leaf_conditions(model: DecisionTreeClassificationModel, names: list[str], labels: dict[str, list[str]]) -> list[list[str]]:
-    """The path of conditions to each leaf, as SQL text over the original columns; ``labels`` of the categorical ones."""
+def leaf_conditions(model: DecisionTreeClassificationModel, inputs: list[tuple[str, str | None]]) -> list[list[str]]:
+    """The path of conditions to each leaf, as SQL text over the original columns."""
     paths: list[list[str]] = []
     stack: list[tuple[int, str]] = []
     for line in model.toDebugString.splitlines()[1:]:
@@ -75,36 +104,33 @@ def leaf_conditions(model: DecisionTreeClassificationModel, names: list[str], la
             paths.append([c for _, c in stack])
             continue
         m = re.match(r"(?:If|Else) \(feature (\d+) (<=|>|in|not in) (.+)\)$", text)
-        name, op, value = names[int(m[1])], m[2], m[3]
-        if "in" in op:
-            known = labels[name]
-            values = [known[int(float(v))] for v in value.strip("{}").split(",") if int(float(v)) < len(known)]
-            quoted = ", ".join("'" + v.replace("'", "''") + "'" for v in values) or "null"
-            stack.append((level, f"`{name}` {op} ({quoted})"))
-        else:
-            stack.append((level, f"`{name}` {op} {value}"))
+        (name, value), op = inputs[int(m[1])], m[2]
+        if value is None:
+            stack.append((level, f"`{name}` {op} {m[3]}"))
+        else:  # the input is 1 where the column has the value
+            has = op == ">" or ("in" in op and ("1.0" in m[3]) == (op == "in"))
+            stack.append((level, f"`{name}` {'=' if has else '<>'} '" + value.replace("'", "''") + "'"))
     return paths
 
 
 def tree_rules(df: DataFrame, numeric: list[str], categorical: list[str], flag: str = "target_flag", depth: int = 4, least: int = 20) -> DataFrame:
     """One row per leaf: its path, records, positives, rate and lift, counted on all rows in one aggregation."""
-    fitted, names = fit_tree(df, numeric, categorical, flag, depth, least)
-    labels = {s.getInputCol(): list(s.labels) for s in fitted.stages if hasattr(s, "labels")}
-    paths = leaf_conditions(fitted.stages[-1], names, labels)
-    scored = fitted.transform(weighted(df, numeric, categorical, flag))
+    fitted, kept = fit_tree(df, numeric, categorical, flag, depth, least)
+    paths = leaf_conditions(fitted.stages[-1], tree_inputs(fitted, numeric))
+    scored = fitted.transform(prepared(df, numeric, kept, flag))
     frame = scored.withColumns({c: F.col(f"{c}__num") for c in numeric})
     leaf = F.lit(None).cast("int")
     for i, path in enumerate(paths):
         leaf = F.when(F.expr(" and ".join(path) or "true"), i).otherwise(leaf)
     groups = frame.withColumn("leaf", leaf).groupBy("leaf").agg(F.count("*").alias("records"), F.sum(flag).alias("positives"), F.sum("__weight").alias("weighted_records"))
     texts = df.sparkSession.createDataFrame([(i, " AND ".join(p).replace("`", "")) for i, p in enumerate(paths)], "leaf int, rule string")
-    return with_lift(groups, base_of(df, flag)).join(F.broadcast(texts), "leaf", "left")
+    return with_lift(groups, base_of(df, flag)).join(F.broadcast(texts), "leaf", "left")  # a row for each leaf
 
 
 def scored_rows(df: DataFrame, numeric: list[str], categorical: list[str], flag: str = "target_flag", depth: int = 5) -> DataFrame:
     """``df`` with the tree's probability of the positive class (``score``) and ``predicted``."""
-    fitted, _ = fit_tree(df, numeric, categorical, flag, depth)
-    out = fitted.transform(weighted(df, numeric, categorical, flag))
+    fitted, kept = fit_tree(df, numeric, categorical, flag, depth)
+    out = fitted.transform(prepared(df, numeric, kept, flag))
     return out.select(*df.columns, vector_to_array("probability")[1].alias("score"), F.col("prediction").cast("int").alias("predicted"))
 
 

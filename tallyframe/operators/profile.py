@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.canonical import zone_normalised
 from ..functions.classify import CATEGORICAL, DATE, NUMERICAL, TIMESTAMP_NTZ, TIMESTAMP_TZ, classify
+from .ranks import cells_of, distinct_counts, exact_percentiles, with_percentiles
 from .stats import category_counts, columns_of, unioned
 
 PERCENTILES = (0.01, 0.05, 0.1, 0.25, 0.5, 0.75, 0.9, 0.95, 0.99)
@@ -24,19 +25,37 @@ def long_form(df: DataFrame, measures: dict[str, dict[str, object]], batch: int
 
 
 def profile_columns(df: DataFrame, exact: bool = True, samples: int = 0) -> DataFrame:
-    """Per column: class, type, non-null and null rows, null percent, distinct values, and optionally sample values."""
-    distinct = F.count_distinct if exact else F.approx_count_distinct
+    """Per column: class, type, non-null and null rows, null percent, distinct values, and optionally sample values.
+
+    Exact distinct values are counted from one shuffle of distinct (column,
+    value) pairs; else they are estimated in the same pass as the rest. Samples
+    are the ``samples`` smallest values as text, joined by `` | ``.
+    """
     measures = {}
     for f in df.schema:
         c = F.col(f"`{f.name}`")
         measures[f.name] = {
             "data_type": F.lit(f.dataType.simpleString()), "column_class": F.lit(classify(f.dataType)), "total_rows": F.count(F.lit(1)), "non_null_rows": F.count(c),
             "null_rows": F.count_if(c.isNull()), "null_percent": F.when(F.count(F.lit(1)) == 0, 0.0).otherwise(100.0 * F.count_if(c.isNull()) / F.count(F.lit(1))),
-            "distinct_values": distinct(c.cast("string")),
         }
-        if samples:  # the smallest values: bounded state per group, unlike a set of all values
-            measures[f.name]["sample_min"], measures[f.name]["sample_max"] = F.min(c.cast("string")), F.max(c.cast("string"))
-    return long_form(df, measures)
+        if not exact:
+            measures[f.name]["distinct_values"] = F.approx_count_distinct(c.cast("string"))
+    out = long_form(df, measures)
+    if exact:
+        out = out.join(distinct_counts(df, df.columns), "column_name", "left").withColumn("distinct_values", F.coalesce("distinct_values", F.lit(0)))
+    return out.join(sample_values(df, samples), "column_name", "left") if samples else out
+
+
+def sample_values(df: DataFrame, k: int = 5) -> DataFrame:
+    """(column_name, sample_values): the ``k`` smallest distinct values of each column as text.
+
+    Each of the partitions of distinct pairs keeps its ``k`` smallest before they meet.
+    """
+    cells = F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("v")) for c in df.columns))
+    pairs = df.select(F.explode(cells).alias("c")).select("c.*").where("v is not null").distinct().withColumn("_slot", F.pmod(F.xxhash64("v"), F.lit(1024)))
+    small = Window.partitionBy("column_name", "_slot").orderBy("v")
+    few = pairs.withColumn("_i", F.row_number().over(small)).where(F.col("_i") <= k)
+    return few.groupBy("column_name").agg(F.array_join(F.slice(F.sort_array(F.collect_list("v")), 1, k), " | ").alias("sample_values"))
 
 
 def profile_numeric(df: DataFrame, columns: list[str] | None = None, exact: bool = True) -> DataFrame:
@@ -44,9 +63,11 @@ def profile_numeric(df: DataFrame, columns: list[str] | None = None, exact: bool
     measures = {}
     for n in columns or columns_of(df, NUMERICAL):
         c = F.col(f"`{n}`").cast("double")
-        middle = F.percentile(c, F.lit(0.5)) if exact else F.percentile_approx(c, 0.5, 10_000)
-        measures[n] = {"non_null_rows": F.count(c), "null_rows": F.count_if(c.isNull()), "min": F.min(c), "max": F.max(c), "sum": F.sum(c), "mean": F.avg(c), "stddev": F.stddev_samp(c), "median": middle}
-    return long_form(df, measures)
+        measures[n] = {"non_null_rows": F.count(c), "null_rows": F.count_if(c.isNull()), "min": F.min(c), "max": F.max(c), "sum": F.sum(c), "mean": F.avg(c), "stddev": F.stddev_samp(c)}
+        if not exact:
+            measures[n]["median"] = F.percentile_approx(c, 0.5, 10_000)
+    out = long_form(df, measures)
+    return with_percentiles(out, exact_percentiles(cells_of(df, list(measures)), ["column_name"], "v", [0.5]), ["column_name"], ["median"]) if exact else out
 
 
 def profile_categorical(df: DataFrame, columns: list[str] | None = None, most: int | None = None) -> DataFrame:
@@ -72,9 +93,9 @@ def describe_percentiles(df: DataFrame, columns: list[str], points: tuple[float,
     measures = {}
     for n in columns:
         c = F.col(f"`{n}`").cast("double")
-        every = F.percentile(c, F.array(*map(F.lit, points)))
-        measures[n] = {"count": F.count(c), "mean": F.avg(c), "std": F.stddev_samp(c), "min": F.min(c), "max": F.max(c), **{f"p{round(100 * p)}": every[i] for i, p in enumerate(points)}}
-    return long_form(df, measures)
+        measures[n] = {"count": F.count(c), "mean": F.avg(c), "std": F.stddev_samp(c), "min": F.min(c), "max": F.max(c)}
+    found = exact_percentiles(cells_of(df, columns), ["column_name"], "v", list(points))
+    return with_percentiles(long_form(df, measures), found, ["column_name"], [f"p{round(100 * p)}" for p in points])
 
 
 def top_values(df: DataFrame, columns: list[str], k: int = 5) -> DataFrame:

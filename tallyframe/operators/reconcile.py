@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 from ..functions.canonical import bucket, canonical, json_hash
 from ..functions.equality import absolute_difference, equal, percent, relative_difference, seconds
 from ..rules import CHANGED, MATCH, SOURCE_NULL, SOURCE_ONLY, TARGET_NULL, TARGET_ONLY, VALUE_MISMATCH, ReconRule, TablePair, common_columns, resolve
+from .ranks import exact_percentiles, with_percentiles
 
 
 def join_rows(pair: TablePair, rule: ReconRule, same_type: bool = False, scale: int = 18) -> DataFrame:
@@ -131,16 +132,23 @@ def column_mismatch_stats(cells: DataFrame, joined_rows: DataFrame) -> DataFrame
     """
     bad = ~F.col("is_equal")
     when = lambda c: F.when(bad, F.col(c))
+    wrong = cells.where(bad)
+    found = exact_percentiles(wrong, ["column_name"], "abs_difference", [0.5, 0.95])
+    # Distinct texts of both sides in one shuffle of distinct (column, side, text).
+    sides = F.array(F.struct(F.lit(1).alias("s"), F.col("source_text").alias("v")), F.struct(F.lit(0).alias("s"), F.col("target_text").alias("v")))
+    texts = wrong.select("column_name", F.explode(sides).alias("x")).select("column_name", "x.s", "x.v").where("v is not null").distinct()
+    distinct = texts.groupBy("column_name").agg(F.sum("s").alias("source_distinct"), F.sum(1 - F.col("s")).alias("target_distinct"))
     stats = cells.groupBy("column_name", "data_type").agg(
         F.count("*").alias("candidate_rows"), F.count_if(bad).alias("mismatch_rows"),
         F.count_if("source_is_null").alias("source_nulls"), F.count_if("target_is_null").alias("target_nulls"),
         F.count_if(F.col("source_is_null") & ~F.col("target_is_null")).alias("source_null_target_value"),
         F.count_if(~F.col("source_is_null") & F.col("target_is_null")).alias("source_value_target_null"),
-        F.count_distinct(when("source_text")).alias("source_distinct"), F.count_distinct(when("target_text")).alias("target_distinct"),
         F.avg(when("signed_difference")).alias("mean_signed_difference"), F.avg(when("abs_difference")).alias("mean_abs_difference"),
-        F.max(when("abs_difference")).alias("max_abs_difference"), F.median(when("abs_difference")).alias("median_abs_difference"),
-        F.percentile(when("abs_difference"), F.lit(0.95)).alias("p95_abs_difference"),
+        F.max(when("abs_difference")).alias("max_abs_difference"),
     )
+    stats = with_percentiles(stats, found, ["column_name"], ["median_abs_difference", "p95_abs_difference"])
+    none = {c: F.coalesce(c, F.lit(0)) for c in ("source_distinct", "target_distinct")}
+    stats = stats.join(distinct, "column_name", "left").withColumns(none)
     return stats.crossJoin(F.broadcast(joined_rows)).withColumn("mismatch_percent", percent(F.col("mismatch_rows"), F.col("n"))).drop("n")
 
 

@@ -31,11 +31,14 @@ def typed_keys(sample: DataFrame, target: DataFrame, keys: list[str]) -> DataFra
 
 
 def probe(target: DataFrame, key_rows: DataFrame, keys: list[str]) -> DataFrame:
-    """The target rows that have one of the keys, null equal to null. The keys are a sample of bounded size, so they are broadcast."""
+    """The target rows that have one of the keys, null equal to null.
+
+    How the keys reach the target is left to Spark, which knows their size: a small sample is broadcast.
+    """
     names = resolve(target.columns, keys)
     wanted = key_rows.toDF(*(f"_p{i}" for i in range(len(keys))))
     on = reduce(lambda a, b: a & b, (target[f"`{k}`"].eqNullSafe(wanted[f"_p{i}"]) for i, k in enumerate(names)))
-    return target.join(F.broadcast(wanted), on, "left_semi")
+    return target.join(wanted, on, "left_semi")
 
 
 def shared_columns(pair: TablePair, ignore: list[str] = ()) -> list[str]:
@@ -76,6 +79,16 @@ def sample_reconciliation(pair: TablePair, keys: list[str], date_col: str, n: in
     )
 
 
+def hashed_sample(df: DataFrame, keys: list[str], date_col: str, n: int = 1000, ignore: list[str] = ()) -> DataFrame:
+    """The latest ``n`` rows of one side alone: their keys, normalised row and row hash, as ``sample_reconciliation`` would hash them."""
+    skip = {x.lower() for x in ignore}
+    columns = [c for c in df.columns if c.lower() not in skip]
+    kinds = {f.name: f.dataType for f in df.schema}
+    rows = latest_n(df, date_col, keys, n)
+    texts = F.struct(*(normalised(F.col(f"`{c}`"), kinds[c]).alias(c.lower()) for c in columns))
+    return rows.select(*(F.col(f"`{k}`").alias(k.lower()) for k in resolve(df.columns, keys)), texts.alias("row"), pair_hash(rows, columns).alias("row_hash"))
+
+
 def sample_summary(reconciled: DataFrame) -> DataFrame:
     return reconciled.groupBy("status").agg(F.count("*").alias("n_rows"))
 

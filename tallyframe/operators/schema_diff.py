@@ -17,6 +17,22 @@ def schema_rows(spark: SparkSession, schema: T.StructType, table: str = "") -> D
     return spark.createDataFrame(rows, METADATA)
 
 
+def catalogue_schema_rows(spark: SparkSession, database: str, names: list[str]) -> DataFrame:
+    """The metadata rows of many tables of a catalogue schema; tables that cannot be read come as one row without columns.
+
+    Only metadata pass through the driver: one row for each column.
+    """
+    rows = []
+    for name in names:
+        try:
+            schema = spark.table(f"`{database}`.`{name}`").schema
+        except Exception:  # noqa: BLE001 - an unreadable table is a result
+            rows.append((name, None, None, None, None, None))
+            continue
+        rows += [(name, i, f.name, f.dataType.simpleString(), f.nullable, classify(f.dataType)) for i, f in enumerate(schema, 1)]
+    return spark.createDataFrame(rows, METADATA)
+
+
 def common_type(col: Column, extra: dict[str, str] | None = None) -> Column:
     """The common name of a type text; precision is ignored, unknown names stay."""
     plain = F.trim(F.substring_index(F.lower(col), "(", 1))

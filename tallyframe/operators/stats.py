@@ -12,6 +12,7 @@ from ..functions.canonical import category_text, zone_normalised
 from ..functions.classify import CATEGORICAL, DATE, NUMERICAL, TIMESTAMP_NTZ, TIMESTAMP_TZ, classify
 from ..functions.equality import difference_seconds
 from ..rules import ReconRule, TablePair
+from .ranks import cells_of, exact_percentiles, with_percentiles
 
 STATS = ("min", "max", "sum", "median")
 
@@ -60,24 +61,33 @@ def category_summary(compared: DataFrame) -> DataFrame:
     return out.withColumns({"distinct_difference": F.col("target_distinct") - F.col("source_distinct"), "status": F.when(good, "PASS").otherwise("FAIL")})
 
 
-def numeric_stats(df: DataFrame, columns: list[str], exact: bool = True, accuracy: int = 10_000) -> DataFrame:
-    """Long rows (column_name, stat, value) of all columns from one aggregation."""
-    def median(c: Column) -> Column:
-        return F.percentile(c, F.lit(0.5)) if exact else F.percentile_approx(c, 0.5, accuracy)
+def numeric_stats(df: DataFrame, columns: list[str], exact: bool = True, accuracy: int = 10_000, decimal: bool = False) -> DataFrame:
+    """Long rows (column_name, stat, value) of all columns.
 
-    aggs = []
+    Values are doubles, or ``decimal(38,18)`` with ``decimal``, which keeps all
+    digits and takes the approximate median; else the median is exact unless
+    told otherwise (``exact_percentiles``).
+    """
+    kind, aggs = "decimal(38,18)" if decimal else "double", []
+    ranked = exact and not decimal
     for c in columns:
-        v = F.col(f"`{c}`").cast("double")
-        aggs.append(F.struct(F.min(v).alias("min"), F.max(v).alias("max"), F.sum(v).alias("sum"), median(v).alias("median")).alias(c))
+        v = F.col(f"`{c}`").cast(kind)
+        middle = F.lit(None).cast(kind) if ranked else F.percentile_approx(v, 0.5, accuracy)
+        aggs.append(F.struct(F.min(v).alias("min"), F.max(v).alias("max"), F.sum(v).cast(kind).alias("sum"), middle.alias("median")).alias(c))
     row = df.agg(*aggs)
     cells = [F.struct(F.lit(c).alias("column_name"), F.lit(s).alias("stat"), F.col(f"`{c}`.`{s}`").alias("value")) for c in columns for s in STATS]
-    return row.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+    out = row.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+    if not ranked:
+        return out
+    found = exact_percentiles(cells_of(df, columns), ["column_name"], "v", [0.5])
+    both = with_percentiles(out, found, ["column_name"], ["_median"])
+    return both.select("column_name", "stat", F.when(F.col("stat") == "median", F.col("_median")).otherwise(F.col("value")).alias("value"))
 
 
-def numeric_stats_compare(pair: TablePair, columns: list[str], rule: ReconRule, exact: bool = True) -> DataFrame:
+def numeric_stats_compare(pair: TablePair, columns: list[str], rule: ReconRule, exact: bool = True, decimal: bool = False) -> DataFrame:
     """Each statistic on both sides: differences, and PASS within max(abs, rel * max(|s|, |t|, 1)); two nulls pass."""
-    s = numeric_stats(pair.source, columns, exact).withColumnRenamed("value", "source_value")
-    t = numeric_stats(pair.target, columns, exact).withColumnRenamed("value", "target_value")
+    s = numeric_stats(pair.source, columns, exact, decimal=decimal).withColumnRenamed("value", "source_value")
+    t = numeric_stats(pair.target, columns, exact, decimal=decimal).withColumnRenamed("value", "target_value")
     a, b = F.col("source_value"), F.col("target_value")
     limit = F.greatest(F.lit(float(rule.numeric_abs)), F.lit(float(rule.numeric_rel)) * F.greatest(F.abs(a), F.abs(b), F.lit(1.0)))
     good = F.coalesce(F.abs(b - a) <= limit, a.isNull() & b.isNull())

@@ -4,13 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import cube, duplicates, infer, mining, models, profile, reconcile, sample, schema_diff, stats
 from ..functions.classify import CATEGORICAL, DATE, NUMERICAL, TIMESTAMP_NTZ, TIMESTAMP_TZ
-from ..rules import ERROR, ReconRule, TablePair
+from ..functions.equality import to_minute
+from ..operators.ranks import settled
+from ..rules import ERROR, ReconRule, RunContext, TablePair
+from ..sources.sinks import append_audit, audit_table_name, ensure_schema, with_audit_columns
 
 
 @dataclass
@@ -34,7 +38,7 @@ def compare_table(pair: TablePair, rule: ReconRule, mode: str = "FULL", detail_l
     out.reports["counts"] = stats.count_compare(filtered)
     if mode == "COUNTS_ONLY":
         return out
-    joined = reconcile.join_rows(pair, rule)
+    joined = settled(reconcile.join_rows(pair, rule))  # joined once, read by each report
     cells = reconcile.cell_rows(joined, pair, rule)
     both = joined.agg(F.count_if(F.col("row_status").isin("MATCH", "CHANGED")).alias("n"))
     out.reports |= {
@@ -59,6 +63,31 @@ def compare_tables(pairs: dict[str, Callable[[], tuple[TablePair, ReconRule]]],
     return results, status
 
 
+def run_reconciliation(spark: SparkSession, pairs: dict[str, Callable[[], tuple[TablePair, ReconRule]]], run: RunContext, schema: str, prefix: str = "recon", mode: str = "FULL") -> dict[str, str]:
+    """``compare_tables`` whose reports, statuses and durations are appended to audit tables; gives the status of each table.
+
+    Reports whose columns vary by table go to a table of their own. A table that
+    fails leaves its error in the run's table and the next one goes on.
+    """
+    ensure_schema(spark, schema)
+    status = {}
+    for name, make in pairs.items():
+        began, error = datetime.now(timezone.utc).replace(tzinfo=None), None
+        results, verdicts = compare_tables({name: make}, mode)
+        result, status[name] = results[name], verdicts[name]
+        error = result.errors.get(name)
+        if error is None:
+            try:
+                for report, df in result.reports.items():
+                    append_audit(with_audit_columns(df, run, mode, report, (None, None, name)), audit_table_name(schema, prefix, report))
+            except Exception as e:  # noqa: BLE001 - one table's failure is a result
+                status[name], error = ERROR, f"{type(e).__name__}: {e}"
+        ended = datetime.now(timezone.utc).replace(tzinfo=None)
+        row = [(run.run_id, name, mode, status[name], error, began, ended, (ended - began).total_seconds())]
+        append_audit(spark.createDataFrame(row, "run_id string, table_name string, mode string, status string, error string, started_at timestamp, ended_at timestamp, duration_seconds double"), audit_table_name(schema, prefix, "runs"))
+    return status
+
+
 CHECKS = ("COUNTS", "TYPE", "SAMPLE", "DUPLICATE", "TYPE_ALL")
 
 
@@ -132,6 +161,11 @@ def analyse_csv(df: DataFrame, forced: dict[str, str] | None = None, depth: int
         out.reports["top_values"] = profile.top_values(full, dims)
         for m in measures:
             out.reports[f"measure_{m}"] = cube.measure_by_dims(full, dims, m, depth, budget=budget)
+    dates = [c for c in df.columns if kind[c] == "date"]
+    dated = full.withColumns({c: F.try_to_timestamp(to_minute(F.col(f"`{c}`").cast("string"))) for c in dates})
+    for d in dates:
+        for m in measures:
+            out.reports[f"measure_{m}_by_{d}"] = cube.measure_by_dims_time(dated, dims, m, d, depth, budget=budget)
     return out
 
 
@@ -145,16 +179,23 @@ def mine(df: DataFrame, target: mining.Target, ids: list[str], exclude: list[str
     for c in categorical:
         frame = profile.top_categories(frame, c, top).drop(c).withColumnRenamed(f"{c}_top", c)
     features = [*numeric, *categorical]
+    def strongest(single: DataFrame, strength: Column) -> list[str]:
+        """Features by what they tell alone; the ``most_features`` best go on."""
+        ranked = single.groupBy("features").agg(F.max(strength).alias("s")).orderBy(F.desc_nulls_last("s"), "features")
+        return [r["features"] for r in ranked.limit(most_features).collect()]  # one row per feature
+
     if target.mode == "ordinal":
-        out.reports["severity"] = mining.ordinal_severity(frame, features[:most_features], min(length, 2), least_records)
+        best = strongest(mining.ordinal_severity(frame, features, 1, least_records), F.abs(F.col("severity_index") - 1))
+        out.reports["severity"] = mining.ordinal_severity(frame, best, length, least_records)
         return out
     if target.mode == "multiclass":
-        out.reports["rules"] = mining.multiclass_rules(frame, features[:most_features], min(length, 2), least_records, least_lift)
+        best = strongest(mining.multiclass_rules(frame, features, 1, least_records, 0.0), F.col("lift"))
+        out.reports["rules"] = mining.multiclass_rules(frame, best, length, least_records, least_lift)
         return out
     lifts = mining.univariate_lift(frame, features)
     rank = mining.feature_rank(lifts, least_records)
     best = [r["feature"] for r in rank.orderBy(F.desc_nulls_last("max_lift"), "feature").limit(most_features).collect()]  # one row per feature
-    train, test = mining.split_rows(frame, ids)
+    train, test = mining.stratified_split(frame, "target_flag", ids)
     rules = mining.combination_rules(train, best, length=length, least_records=least_records, least_lift=least_lift)
     out.reports |= {"lift": lifts, "features": rank, "rules": mining.validate_rules(rules, test, best)}
     if numeric:

@@ -157,7 +157,8 @@ def changed_cells_tolerant(spark, sf_dir):
     return _cells(spark, sf_dir, ORDERS_TOLERANT)
 
 
-@query(f"""with {JOINED} select column_name, count(*) candidate_rows, count(*) filter (not eq) mismatch_rows, count(*) filter (sn) source_nulls, count(*) filter (tn) target_nulls,
+@query(f"""with {JOINED} select column_name, case column_name when 'o_custkey' then 'bigint' when 'o_totalprice' then 'double' else 'string' end data_type,
+    count(distinct sv) filter (not eq) source_distinct, count(distinct tv) filter (not eq) target_distinct, count(*) candidate_rows, count(*) filter (not eq) mismatch_rows, count(*) filter (sn) source_nulls, count(*) filter (tn) target_nulls,
     count(*) filter (sn and not tn) source_null_target_value, count(*) filter (tn and not sn) source_value_target_null, round(avg(d) filter (not eq), 4) mean_signed_difference,
     round(avg(abs(d)) filter (not eq), 4) mean_abs_difference, round(max(abs(d)) filter (not eq), 4) max_abs_difference, round(median(abs(d)) filter (not eq), 4) median_abs_difference,
     round(quantile_cont(abs(d), 0.95) filter (not eq), 4) p95_abs_difference, round(100.0 * count(*) filter (not eq) / (select count(*) from joined where sk is not null and tk is not null), 4) mismatch_percent
@@ -165,7 +166,7 @@ def changed_cells_tolerant(spark, sf_dir):
 def column_mismatch_stats(spark, sf_dir):
     joined, pair = orders_joined(spark, sf_dir)
     both = joined.agg(F.count_if(F.col("row_status").isin("MATCH", "CHANGED")).alias("n"))
-    return rounded(reconcile.column_mismatch_stats(reconcile.cell_rows(joined, pair, ORDERS), both).drop("source_distinct", "target_distinct", "data_type"))
+    return rounded(reconcile.column_mismatch_stats(reconcile.cell_rows(joined, pair, ORDERS), both))
 
 
 @query("""select o_orderkey, sha256('o_orderkey=' || o_orderkey || '||o_custkey=' || o_custkey || '||o_orderstatus=' || coalesce(o_orderstatus, '<NULL>') || '||o_orderdate=' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f')) row_hash from orders""")
@@ -428,6 +429,19 @@ def _types_sql() -> str:
         f"select '{c}' column_name, count({c}) non_missing, count(distinct {c}::varchar) distinct_values, round(count(*) filter (try_cast(replace({c}::varchar, ',', '') as double) is not null)::double / count({c}), 4) numeric_score from part" for c in found)
 
 
+def _inferred_sql() -> str:
+    """The rules of inference as SQL, by column of ``part`` as text: scores, then the first that applies."""
+    shape = "^([0-9]{4}[-/][0-9]{1,2}([-/][0-9]{1,2}([T ].*)?)?|[0-9]{1,2}[-/][0-9]{1,2}[-/][0-9]{2,4}([T ].*)?|(?i:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]{0,6}[ -][0-9]{2,4}|[0-9]{1,2}[ -](?i:jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[a-z]{0,6}[ -][0-9]{2,4})$"
+    marks = ", ".join("'" + m + "'" for m in (*infer.MISSING, *infer.MISSING_BY_DEFAULT))
+    cells = " union all ".join(f"select '{c}' column_name, trim({c}::varchar) v from part" for c in ("p_partkey", "p_name", "p_brand", "p_type", "p_size", "p_retailprice"))
+    return f"""with cells as ({cells}), kept as (select column_name, case when v not in ({marks}) then v end v from cells),
+        s as (select column_name, count(v) non_missing, count(distinct v) distinct_values, count(*) filter (try_cast(replace(v, ',', '') as double) is not null) / count(v) numeric_score,
+            count(*) filter (regexp_matches(v, '{shape}')) / count(v) date_score, count(*) filter (lower(v) in ('yes', 'no', 'true', 'false', 'y', 'n', '0', '1')) / count(v) boolean_score from kept group by 1)
+        select column_name, non_missing, distinct_values, round(numeric_score, 4) numeric_score, round(date_score, 4) date_score, round(boolean_score, 4) boolean_score,
+            case when regexp_matches(column_name, '(^id$|_id$|^id_|code$|number$|_no$|name$)') and distinct_values >= 0.95 * non_missing then 'identifier' when date_score >= 0.9 then 'date'
+                when numeric_score >= 0.98 then 'numeric' when boolean_score = 1 then 'boolean' when distinct_values <= 100 or distinct_values <= 0.2 * non_missing then 'categorical' else 'other' end inferred_type from s"""
+
+
 @query(_types_sql())
 def type_scores(spark, sf_dir):
     df = table(spark, sf_dir, "part")
@@ -435,10 +449,10 @@ def type_scores(spark, sf_dir):
     return rounded(infer.type_scores(text).select("column_name", "non_missing", "distinct_values", "numeric_score"))
 
 
-@query()
+@query(_inferred_sql())
 def infer_types(spark, sf_dir):
     df = table(spark, sf_dir, "part")
-    return infer.infer_types(df.select(*(F.col(c).cast("string").alias(c) for c in df.columns)))
+    return rounded(infer.infer_types(df.select(*(F.col(c).cast("string").alias(c) for c in df.columns))))
 
 
 @query(f"with {T_CUSTOMER} select c_custkey, c_name, round(coalesce(c_acctbal, (select median(c_acctbal) from t_customer)), 4) c_acctbal, coalesce(c_mktsegment, 'Unknown') c_mktsegment, c_nationkey from t_customer")
@@ -506,9 +520,11 @@ def feature_rank(spark, sf_dir):
 
 
 @query("""select l_returnflag "class", 'l_extendedprice' column_name, count(l_extendedprice) "count", count(*) - count(l_extendedprice) missing, round(avg(l_extendedprice), 2) mean, round(stddev_samp(l_extendedprice), 2) std, min(l_extendedprice) "min", max(l_extendedprice) "max",
-    round(quantile_cont(l_extendedprice, 0.25), 2) p25, round(median(l_extendedprice), 2) median, round(quantile_cont(l_extendedprice, 0.75), 2) p75 from lineitem group by 1""")
+    round(quantile_cont(l_extendedprice, 0.25) + 0.00001, 2) p25, round(median(l_extendedprice) + 0.00001, 2) median, round(quantile_cont(l_extendedprice, 0.75) + 0.00001, 2) p75 from lineitem group by 1""")
 def numeric_by_class(spark, sf_dir):
-    return rounded(mining.numeric_eda(table(spark, sf_dir, "lineitem"), ["l_extendedprice"], "l_returnflag"), 2)
+    out = mining.numeric_eda(table(spark, sf_dir, "lineitem"), ["l_extendedprice"], "l_returnflag")
+    # Quartiles of prices in cents may end in a tie, which both engines round alike this way.
+    return rounded(out.withColumns({c: F.col(c) + 0.00001 for c in ("p25", "median", "p75")}), 2)
 
 
 @query("""with e as (select unnest([0, 1, 2, 3, 4]) i), q as (select list_distinct([quantile_cont(o_totalprice, 0), quantile_cont(o_totalprice, 0.2), quantile_cont(o_totalprice, 0.4), quantile_cont(o_totalprice, 0.6), quantile_cont(o_totalprice, 0.8), quantile_cont(o_totalprice, 1)]) d from orders),
@@ -589,9 +605,13 @@ def domain_features(spark, sf_dir):
     return rounded(mining.domain_features(df, roles).select("o_orderkey", "amount_to_premium", "tenure_days", "age_band", "c_acctbal__missing"), 6)
 
 
-@query()
+@query(f"""with {LINES}, g as (select l_linestatus a, l_quantity b, l_shipmonth c, count(*) n, count(*) filter (target_class = 'N') p from lines
+        group by grouping sets ((l_linestatus), (l_quantity), (l_shipmonth), (l_linestatus, l_quantity), (l_linestatus, l_shipmonth), (l_quantity, l_shipmonth), (l_linestatus, l_quantity, l_shipmonth))),
+    t as (select count(*)::double an, (count(*) filter (target_class = 'N'))::double ap from lines), r as (select *, p / n conf, (p / n) / (ap / an) lift from g, t where p >= ceil(0.01 * an))
+    select concat_ws(' AND ', 'l_linestatus=' || a, 'l_quantity=' || b, 'l_shipmonth=' || c) rule, 'l_returnflag=N' consequent, round(p / an, 6) support, round(conf, 6) confidence, round(lift, 6) lift,
+    round(p / an - (n / an) * (ap / an), 6) leverage, round((1 - ap / an) / nullif(1 - conf, 0), 6) conviction from r where conf >= 0.3 and lift >= 0.9""")
 def association_rules(spark, sf_dir):
-    return models.association_rules(_lines(spark, sf_dir), ["l_linestatus", "l_shipmonth", "l_quantity"], "l_returnflag", "N", support=0.01, confidence=0.3, lift=0.9)
+    return rounded(models.association_rules(_lines(spark, sf_dir), ["l_linestatus", "l_shipmonth", "l_quantity"], "l_returnflag", "N", support=0.01, confidence=0.3, lift=0.9), 6)
 
 
 @query()

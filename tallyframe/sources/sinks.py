@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,11 +34,24 @@ def ensure_schema(spark: SparkSession, schema: str) -> None:
 
 
 def append_audit(df: DataFrame, table: str, fmt: str = "parquet") -> None:
-    """Appends with schema evolution where the format has it; a conflict is raised with both schemas in the message."""
+    """Appends by column names; columns that the table lacks are added to it, those that ``df`` lacks are null.
+
+    A column that comes with another type is an error, raised with both schemas in the message.
+    """
+    spark = df.sparkSession
     try:
-        df.write.format(fmt).mode("append").option("mergeSchema", True).saveAsTable(table)
+        if spark.catalog.tableExists(table):
+            have, own = {f.name.lower(): f for f in spark.table(table).schema}, {f.name.lower(): f for f in df.schema}
+            differing = [n for n, f in own.items() if n in have and have[n].dataType != f.dataType]
+            if differing:
+                raise ValueError(f"types differ: {', '.join(differing)}")
+            new = [f"{quoted(f.name)} {f.dataType.simpleString()}" for n, f in own.items() if n not in have]
+            if new:
+                spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(new)})")
+            order = spark.table(table).schema
+            df = df.select(*((F.col(quoted(own[f.name.lower()].name)) if f.name.lower() in own else F.lit(None).cast(f.dataType)).alias(f.name) for f in order))
+        df.write.format(fmt).mode("append").saveAsTable(table)
     except Exception as e:
-        spark = df.sparkSession
         now = spark.table(table).schema.simpleString() if spark.catalog.tableExists(table) else "no table"
         raise RuntimeError(f"append to {table} failed; incoming {df.schema.simpleString()}; existing {now}") from e
 
@@ -68,6 +82,26 @@ def write_csv(df: DataFrame, folder: str, single: bool = True) -> None:
     (df.coalesce(1) if single else df).write.mode("overwrite").options(header=True, quoteAll=True).csv(folder)
 
 
+def write_csv_file(df: DataFrame, path: str) -> None:
+    """A small report as one CSV file at ``path`` itself, in any file system that Spark writes to."""
+    parts = f"{path}.parts"
+    write_csv(df, parts)
+    spark = df.sparkSession
+    jvm, conf = spark._jvm, spark._jsparkSession.sessionState().newHadoopConf()
+    to_path = jvm.org.apache.hadoop.fs.Path
+    files = to_path(path).getFileSystem(conf)
+    part = next(s.getPath() for s in files.listStatus(to_path(parts)) if s.getPath().getName().startswith("part-"))
+    files.delete(to_path(path), False)
+    files.rename(part, to_path(path))
+    files.delete(to_path(parts), True)
+
+
+def inventory(reports: dict[str, DataFrame]) -> DataFrame:
+    """One row for each report: its name, rows and columns."""
+    rows = [df.agg(F.count("*").alias("n_rows")).select(F.lit(name).alias("report"), "n_rows", F.lit(len(df.columns)).alias("n_columns")) for name, df in reports.items()]
+    return reduce(DataFrame.unionByName, rows)
+
+
 def csv_folder(base: str, *parts: str) -> str:
     return "/".join([base.rstrip("/"), "_".join(safe_name(p) for p in parts)])
 

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tallyframe.operators import cube, duplicates, infer, mining, models, profile, reconcile, sample, schema_diff, stats
+from tallyframe.operators.ranks import distinct_counts, exact_percentiles
 from tallyframe.plans import analyses
 from tallyframe.rules import ReconRule, RunContext, TablePair
 from tallyframe.sources import readers, sinks
@@ -132,7 +133,7 @@ def test_inference(spark):
     rows = [(str(i), f"2024-01-{i % 28 + 1:02d}", f"{i},000", "yes" if i % 2 else "no", "ab"[i % 2] * 2, f"text {i} of its own") for i in range(300)]
     df = spark.createDataFrame(rows, "order_id string, shipped string, amount string, flag string, grade string, note string")
     got = {r.column_name: r.inferred_type for r in infer.infer_types(df, {"grade": "other"}).collect()}
-    assert got == {"order_id": "identifier", "shipped": "date", "amount": "numeric", "flag": "boolean", "grade": "other", "note": "identifier"}
+    assert got == {"order_id": "identifier", "shipped": "date", "amount": "numeric", "flag": "boolean", "grade": "other", "note": "other"}
 
 
 def test_cube_separates_null_from_all(spark):
@@ -164,6 +165,60 @@ def test_quantile_edges_drop_ties(spark):
     assert mining.quantile_edges(df.limit(90), ["v"])["v"] == [1.0]
 
 
+def test_exact_percentiles_of_skewed_groups(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(2)
+    rows = [("hot", float(x)) for x in rng.normal(size=3000).round(2)] + [("ties", 5.0)] * 400 + [("one", 3.0), ("none", None)] + [(None, float(x)) for x in range(7)]
+    df = spark.createDataFrame(rows, "g string, v double").repartition(5)
+    points = [0.0, 0.1, 0.37, 0.5, 0.99, 1.0]
+    got = {r.g: r.q for r in exact_percentiles(df, ["g"], "v", points).collect()}
+    assert set(got) == {"hot", "ties", "one", None}
+    for g, q in got.items():
+        assert q == pytest.approx(list(np.quantile([v for k, v in rows if k == g], points)))
+    assert exact_percentiles(df.where("false"), ["g"], "v", points).collect() == []
+    assert {r.column_name: r.distinct_values for r in distinct_counts(df, ["g", "v"]).collect()} == {"g": 4, "v": len({str(v) for _, v in rows if v is not None})}
+
+
+def test_decimal_statistics_keep_all_digits(spark):
+    big = 2**53 + 1
+    df = spark.createDataFrame([(big,), (1,)], "v long")
+    got = {r.stat: r.value for r in stats.numeric_stats(df, ["v"], decimal=True).collect()}
+    assert int(got["max"]) == big and int(got["sum"]) == big + 1
+    assert {r.stat: r.value for r in stats.numeric_stats(df, ["v"]).collect()}["median"] == pytest.approx(big / 2)
+
+
+def test_inferred_types(spark):
+    rows = [(f"u{i}", str(i), ["1", "NaN", "nan", "3"][i % 4], "2024-01-0" + str(i % 9 + 1), "yn"[i % 2], f"text {i}", "1,000") for i in range(300)]
+    df = spark.createDataFrame(rows, "username string, zipcode string, few string, seen string, flag string, free string, amount string")
+    got = {r.column_name: r for r in infer.infer_types(df, {"zipcode": "categorical"}).collect()}
+    assert got["few"].non_missing == 150 and {k: r.inferred_type for k, r in got.items()} == {
+        "username": "identifier", "zipcode": "categorical", "few": "numeric", "seen": "date", "flag": "boolean", "free": "other", "amount": "numeric",
+    }
+    assert infer.infer_types(df.select("zipcode")).first().inferred_type == "identifier"
+
+
+def test_multiclass_rules_tell_glued_values_apart(spark):
+    rows = [("x | y", "z", "A")] * 4 + [("x", "y | z", "A")] * 2 + [("x", "y | z", "B")] * 4
+    df = spark.createDataFrame(rows, "f string, g string, target_class string")
+    out = mining.multiclass_rules(df, ["f", "g"], 2, 1, 0.0).where("features = 'f | g'").collect()
+    assert sorted((r.target_class, r.records, r.positives) for r in out) == [("A", 4, 4), ("A", 6, 2), ("B", 6, 4)]
+
+
+def test_trees_take_categories_of_many_values(spark):
+    rows = [(f"v{i % 200}" if i % 3 else "often", int(i % 3 == 0)) for i in range(1200)]
+    df = spark.createDataFrame(rows, "c string, target_flag int")
+    out = models.tree_rules(df, [], ["c"]).collect()
+    assert sum(r.records for r in out) == 1200 and {r.rate for r in out} == {0.0, 1.0} and all("`" not in r.rule for r in out)
+
+
+def test_stratified_split_keeps_shares(spark):
+    df = spark.createDataFrame([(i, "rare" if i % 50 == 0 else "common") for i in range(2000)], "id long, y string")
+    train, test = mining.stratified_split(df, "y", ["id"], 0.25)
+    assert {r.y: r.n for r in test.groupBy("y").agg(F.count("*").alias("n")).collect()} == {"rare": 10, "common": 490}
+    assert train.count() == 1500 and train.join(test, "id").count() == 0 and train.columns == df.columns
+
+
 def test_targets(spark):
     df = spark.createDataFrame([("Low",), (" high ",), (None,), ("odd",)], "t string")
     order = (("low", 1), ("high", 3))
@@ -174,7 +229,7 @@ def test_targets(spark):
 
 
 def test_tree_rules_cover_all_rows(spark):
-    rows = [(float(i % 50), ["a", "b", None][i % 3], int(i % 50 > 30 and i % 3 == 0)) for i in range(600)]
+    rows = [(float(i % 50), ["a", "b", None][i % 3], int(i % 50 > 30 and i % 3 == 1)) for i in range(600)]
     df = spark.createDataFrame(rows, "n double, c string, target_flag int")
     out = models.tree_rules(df, ["n"], ["c"]).collect()
     assert sum(r.records for r in out) == 600 and sum(r.positives for r in out) == df.agg(F.sum("target_flag")).first()[0]
@@ -233,6 +288,41 @@ def test_sources(spark, pair, tmp_path):
     assert [tuple(r) for r in mixed] == [("1", "9999-12-31T00:00:00", None), ("1.5", None, '{"y": [null], "z": 1}')]
 
 
+def test_catalogue_metadata(spark):
+    duckdb = pytest.importorskip("duckdb")
+    con = duckdb.connect()
+    con.sql("create table main.b (k2 integer, k1 varchar, v double, primary key (k1, k2)); create table main.a (x date); insert into main.b values (1, 'p', 2.5)")
+
+    def run(query):
+        got = con.sql(query.replace("c.reltuples", "42").replace("::bigint", "::hugeint::bigint"))
+        kinds = ", ".join(f"{c} {'string' if str(t) == 'VARCHAR' else 'long'}" for c, t in zip(got.columns, got.types, strict=True))
+        return spark.createDataFrame(got.fetchall(), kinds)
+
+    assert readers.base_tables(run, "main") == ["a", "b"]
+    assert readers.primary_key(run, "main", "b") == ["k1", "k2"] and readers.primary_key(run, "main", "a") == []
+    assert readers.exact_rows(run, "main.b") == 1 and readers.exact_rows(run, "main.b", "v > 3") == 0
+    with pytest.raises(ValueError, match="does not exist"):
+        readers.column_metadata(lambda q: spark.createDataFrame([("b", "v", 1)], "table_name string, column_name string, ordinal_position int"), "main", "c")
+    estimate = lambda q: spark.createDataFrame([(-1,)], "estimated_rows long")
+    assert readers.estimated_rows(estimate, "main", "b") == 0 and "greatest" in readers.ESTIMATE_QUERY
+
+
+def test_audited_run_goes_on_after_a_failure(spark, pair):
+    schema, run = "audit_run_test", RunContext("r9", datetime(2024, 1, 1))
+    try:
+        pairs = {"good": lambda: (pair, RULE), "bad": lambda: (pair, ReconRule(keys=("nope",)))}
+        assert analyses.run_reconciliation(spark, pairs, run, schema) == {"good": "FAIL", "bad": "ERROR"}
+        runs = {r.table_name: r for r in spark.table(f"{schema}.recon_runs").collect()}
+        assert runs["good"].error is None and "nope" in runs["bad"].error and runs["good"].duration_seconds >= 0
+        assert spark.table(f"{schema}.recon_summary").first().run_id == "r9"
+        assert {r.table_name for r in schema_diff.catalogue_schema_rows(spark, schema, ["recon_runs", "missing"]).collect()} == {"recon_runs", "missing"}
+        more = spark.table(f"{schema}.recon_runs").limit(1).drop("error").withColumn("note", F.lit("new"))
+        sinks.append_audit(more, f"{schema}.recon_runs")
+        assert spark.table(f"{schema}.recon_runs").where("note = 'new' and error is null").count() == 1
+    finally:
+        spark.sql(f"DROP SCHEMA IF EXISTS {schema} CASCADE")
+
+
 def test_audit_roundtrip(spark, pair):
     schema, run = "audit_test", RunContext("r1", datetime(2024, 1, 1))
     sinks.ensure_schema(spark, schema)
@@ -259,3 +349,8 @@ def test_csv_export(spark, pair, tmp_path):
     sinks.write_csv(sinks.text_safe(pair.source), sinks.csv_folder(str(tmp_path), "My Report", "x"))
     assert spark.read.option("header", True).csv(f"{tmp_path}/my_report_x").count() == 5
     assert sinks.manifest(spark, {"a": "/x"}).first().path == "/x"
+    sinks.write_csv_file(sinks.text_safe(pair.source), f"{tmp_path}/one.csv")
+    assert len((tmp_path / "one.csv").read_text().splitlines()) == 6 and not (tmp_path / "one.csv.parts").exists()
+    assert [tuple(r) for r in sinks.inventory({"s": pair.source}).collect()] == [("s", 5, 5)]
+    assert duplicates.most_duplicated(pair.source, ["id"], 1).first().duplicate_count == 2
+    assert sample.hashed_sample(pair.source, ["id"], "ts", 2).count() == 2
