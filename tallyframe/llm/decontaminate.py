@@ -51,8 +51,11 @@ def decontaminate(
     window can begin and whether it fits in the document's length, and what is
     left is verified by comparing the slice with the window.
 
-    The windows are broadcast only if they are at most ``broadcast_rows``
-    (counted first); otherwise the join shuffles words and positions, and
+    Of equally rare words of a window the first decides. Texts may be of any
+    length; other columns of ``docs``, whatever their names, are not touched.
+
+    The windows, and the counts of their words, are broadcast only if the windows
+    are at most ``broadcast_rows`` (counted first); otherwise the join shuffles words and positions, and
     candidates meet their document again by its row number.
     """
     windows = written(
@@ -69,7 +72,7 @@ def decontaminate(
     frequency = spoken.groupBy("_w").agg(F.count("*").alias("_df"))
     rare = (
         windows.select("_window", "_items", F.posexplode("_window").alias("_at", "_w"))
-        .join(frequency, "_w", "left")
+        .join(maybe_broadcast(frequency), "_w", "left")
         .groupBy("_window", "_items")
         .agg(F.min(F.struct(F.coalesce("_df", F.lit(0)).alias("df"), "_at", "_w")).alias("_r"))
         .select("_window", "_items", F.col("_r._w").alias("_w"), F.col("_r._at").alias("_at"))

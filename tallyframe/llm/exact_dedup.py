@@ -28,14 +28,15 @@ def exact_dedup(
     Texts are equal if they are identical without white space; null counts as
     empty. Of equal texts the one with the most code points stays, then the one
     with the smallest id (a null id comes last). Rows that repeat an id with an
-    equal text of the same length share its decision. An empty table gives no rows, and columns of
-    ``docs`` other than the two named ones are never touched.
+    equal text of the same length share its decision. Texts may be of any length. An empty table
+    gives no rows, and columns of ``docs`` other than the two named ones are never touched.
 
     Three refinements, each over what the one before left over:
 
-    1. rows are counted by normalised length;
-    2. rows whose length occurs again are counted by length and the hash of
-       the first ``prefix_chars`` characters;
+    1. and 2. rows are counted by normalised length and, within a length, by the
+       hash of the first ``prefix_chars`` characters; a length or prefix that occurs
+       once is settled. Both are one grouping, combined before the shuffle, so that
+       a length with very many rows is no key of a join;
     3. only rows that may still have an equal (their pair of length and prefix
        hash fell in a slot that holds a repeated pair) get the full SHA-256 and
        are grouped by it.
@@ -53,11 +54,8 @@ def exact_dedup(
     slot = F.pmod(F.xxhash64("_len", "_prefix"), F.lit(filter_slots))
 
     keyed = docs.select(F.length(norm).alias("_len"), F.xxhash64(F.substring(norm, 1, prefix_chars)).alias("_prefix"))
-    by_length = keyed.groupBy("_len").agg(F.count("*").alias("_n")).where("_n > 1").select("_len")
-    by_prefix = (
-        keyed.join(by_length, "_len", "left_semi")
-        .groupBy("_len", "_prefix").agg(F.count("*").alias("_n")).where("_n > 1")
-    )
+    # One pass counts by length and prefix hash; a pair that occurs again has a length that does, so lengths need no join.
+    by_prefix = keyed.groupBy("_len", "_prefix").agg(F.count("*").alias("_n")).where("_n > 1")
     slots = by_prefix.select(slot.alias("_slot")).distinct().withColumn("_again", F.lit(True))
 
     rows = (

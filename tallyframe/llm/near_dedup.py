@@ -8,17 +8,15 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import text_of, written
+from .common import discard, text_of, written
 from .components import connected_components
 
 WORD = re.compile(r"\w+")
 SHINGLE = 5
 CHARS_AT_ONCE = 4_000_000
-#: Counts by which rare shingles are told from frequent ones; a table of this many is sent to tasks, whatever the input.
-SLOTS = 1 << 18
 GOLDEN, MIX1, MIX2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
@@ -169,45 +167,62 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return written(both.select("a", "b", "ta", "tb").mapInArrow(check, f"a {kind}, b {kind}"))
 
 
-def prefixes(texts: DataFrame, threshold: float) -> DataFrame:
-    """(bucket, rep): the prefix shingles of each text, of which any two texts of ``threshold`` or more share one.
+def may_reach(a: Column, b: Column, threshold: float) -> Column:
+    """Whether two texts that have shares ``a`` and ``b`` of their weight to themselves can have a probability Jaccard of ``threshold``.
+
+    It is at most (1-a)(1-b)/(1-ab): a common shingle of weights p and q counts
+    at most pq/(q+bp), which is concave, and sums to that.
+    """
+    return (1 - a) * (1 - b) >= F.lit(threshold - 1e-6) * (1 - a * b)
+
+
+def prefixes(members: DataFrame, threshold: float) -> DataFrame:
+    """(element, rep, own, before): the prefix shingles of each text (_id, _text, own), by which texts of other classes may still match it.
 
     A probability Jaccard is at most the sum of the lesser of the two weights of
     each shingle, weights being shares of their text. So if all texts order
     their shingles alike and leave out a tail that weighs less than
     ``threshold``, two texts without a common shingle before the tail are below
-    it. The order decides only how many pairs meet: shingles that few texts
-    hold come first, as far as a table of ``SLOTS`` counts tells them apart.
+    it. Shingles that no other class holds come first, they match nothing; then
+    those that few texts hold. ``before`` is what comes before a shingle: if it
+    is the first that two texts share, neither shares that part with the other.
+    Shingles whose smallest part before them is too large already are left out.
     """
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen = np.zeros(SLOTS, np.int64)
-        for batch in batches:
-            for _, element, _ in shingled(batch.column(1)):
-                seen += np.bincount((element % np.uint64(SLOTS)).astype(np.int64), minlength=SLOTS)
-        slot = np.flatnonzero(seen)
-        yield pa.RecordBatch.from_arrays([pa.array(slot), pa.array(seen[slot])], ["slot", "n"])
-
-    told = texts.mapInArrow(count, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")).toArrow()  # at most SLOTS rows
-    often = np.zeros(SLOTS, np.int64)
-    often[told["slot"].to_numpy()] = told["n"].to_numpy()
+    kind = members.schema["_id"].dataType.simpleString()
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             lo = 0
             for owner, element, weight in shingled(batch.column(1)):
-                order = np.lexsort((element, often[(element % np.uint64(SLOTS)).astype(np.int64)], owner))
-                owner, element, weight = owner[order], element[order], weight[order]
-                upto = np.cumsum(weight)
                 total = np.bincount(owner, weight)
-                ahead = upto - weight - (np.cumsum(total) - total)[owner]
-                keep = total[owner] - ahead >= (threshold - 1e-6) * total[owner]
-                ids = batch.column(0).take(pa.array(lo + owner[keep]))
-                yield pa.RecordBatch.from_arrays([pa.array(element[keep].astype(np.int64)), ids], ["bucket", "rep"])
+                at = pa.array(lo + owner)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(element.astype(np.int64)), batch.column(0).take(at), batch.column(2).take(at), pa.array(weight / total[owner])], ["element", "rep", "own", "share"]
+                )
                 lo += len(total)
 
-    kind = texts.schema["_id"].dataType.simpleString()
-    return written(texts.select("_id", "_text").mapInArrow(cut, f"bucket long, rep {kind}").distinct())
+    rows = written(members.select("_id", "_text", "own").mapInArrow(cut, f"element long, rep {kind}, own {kind}, share double"), compression="zstd")
+    classes_of = lambda df, *more: df.groupBy("element").agg(F.min("own").alias("_a"), F.max("own").alias("_z"), *more).where("_a <> _z").drop("_a", "_z")
+    met = classes_of(rows, F.count("*").alias("n"))
+    lists = rows.join(met, "element").groupBy("rep").agg(F.first("own").alias("own"), F.sort_array(F.collect_list(F.struct("n", "element", "share"))).alias("list"))
+
+    def head(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = np.diff(batch.column(2).offsets.to_numpy())
+            flat = batch.column(2).flatten()
+            share, owner = flat.field("share").to_numpy(), np.repeat(np.arange(len(sizes)), sizes)
+            upto = np.cumsum(share)
+            total = np.bincount(owner, share, len(sizes))
+            before = 1 - total[owner] + upto - share - (np.cumsum(total) - total)[owner]
+            keep = np.flatnonzero(1 - before >= threshold - 1e-6)
+            at = pa.array(owner[keep])
+            yield pa.RecordBatch.from_arrays([flat.field("element").take(pa.array(keep)), batch.column(0).take(at), batch.column(1).take(at), pa.array(before[keep])], ["element", "rep", "own", "before"])
+
+    firsts = written(lists.select("rep", "own", "list").mapInArrow(head, f"element long, rep {kind}, own {kind}, before double"))
+    least = classes_of(firsts, F.min("before").alias("_least"))
+    out = written(firsts.join(least, "element").where(may_reach(F.col("before"), F.col("_least"), threshold)).drop("_least"))
+    discard(rows, firsts)
+    return out
 
 
 def near_dedup(
@@ -230,13 +245,15 @@ def near_dedup(
 
     Texts with the same words in the same order are one node. Nodes that agree
     in a band share a bucket. A bucket's members are compared with its smallest
-    and largest one; while the members that have not yet been compared with all
-    others are of several classes, random ones of these, the heads, are compared
-    with those of other classes. What ``rounds`` rounds leave is dealt out anew
-    by prefix shingles, and goes on with ever more heads until no bucket holds a
-    pair of two classes that was not compared. With 32 bands of 4 registers a
-    pair at 0.8 shares no bucket with probability 5e-8. Every pair is verified
-    exactly on the two whole texts.
+    and largest one. Members of buckets that are of several classes still are
+    told apart by prefix shingles: those that can match no other class leave.
+    For ``rounds`` rounds a random member of each bucket, the head, is compared
+    with those of other classes, which joins most of what belongs together; then
+    every pair of other classes is compared whose prefix shingles let it match, so
+    no link between classes is lost. With 32 bands of 4 registers a pair at 0.8
+    shares no bucket with probability 5e-8. Every pair is verified exactly on
+    the two whole texts, however long; ties of weights do not matter to that.
+    Columns of ``docs`` other than the two named ones are not touched.
     """
     signed = written(signatures(docs, id_col, text_col, bands, rows))
     nodes = written(
@@ -254,39 +271,41 @@ def near_dedup(
     )
     tried, edges = pairs, verified(pairs, texts, threshold)
     classes = connected_components(edges)
-    # Members of a bucket that have not been compared with all members of other classes.
-    left = shared.where("rep <> lo and rep <> hi").select("bucket", "rep")
-    heads, step = 1, 0
-    while True:
-        placed = left.join(classes, left.rep == classes.node, "left").select(
-            "bucket", "rep", F.coalesce("component", "rep").alias("own"), F.pmod(F.xxhash64("rep", F.lit(step)), F.lit(1 << 31)).alias("draw")
-        )
-        split = (
-            placed.groupBy("bucket").agg(F.count("*").alias("n"), F.min("draw").alias("least"), F.min("own").alias("first"), F.max("own").alias("last"))
-            .where("first <> last")
-        )
-        is_head = (F.col("draw") == F.col("least")) | (F.col("draw") * F.col("n") < F.lit(heads << 31))
-        placed = written(placed.join(split, "bucket").select("bucket", "rep", "own", is_head.alias("is_head")))
-        if placed.isEmpty():
-            break
-        step += 1
-        if step == rounds + 1:
-            members = placed.select(F.col("rep").alias("_id")).distinct()
-            left, heads = prefixes(texts.join(members, "_id", "left_semi"), threshold), 4
-            continue
-        head = placed.where("is_head").select("bucket", F.col("rep").alias("head"), F.col("own").alias("of"))
-        more = placed.join(head, "bucket").where("own <> of").select(F.least("rep", "head").alias("a"), F.greatest("rep", "head").alias("b")).distinct()
-        more = written(more.join(tried, ["a", "b"], "left_anti"))
-        left = placed.where("not is_head").select("bucket", "rep")
-        if step > rounds:
-            heads *= 4
+
+    def placed(rows: DataFrame) -> DataFrame:
+        """``rows`` with the class of each ``rep``."""
+        return rows.join(classes, rows.rep == classes.node, "left").select(rows["*"], F.coalesce("component", "rep").alias("own"))
+
+    def split(rows: DataFrame) -> DataFrame:
+        """The rows of buckets that hold several classes."""
+        mixed = rows.groupBy("bucket").agg(F.min("own").alias("_a"), F.max("own").alias("_z")).where("_a <> _z").select("bucket")
+        return rows.join(mixed, "bucket")
+
+    def compared(found: DataFrame) -> None:
+        """Verifies the pairs that have not been tried, and joins classes."""
+        nonlocal tried, edges, classes
+        more = written(found.join(tried, ["a", "b"], "left_anti"))
         if more.isEmpty():
-            continue
-        found = verified(more, texts, threshold)
+            return
+        good = verified(more, texts, threshold)
         tried = tried.unionByName(more)
-        if not found.isEmpty():
-            edges = edges.unionByName(found)
+        if not good.isEmpty():
+            edges = edges.unionByName(good)
             classes = connected_components(edges)
+
+    pair = (F.least("rep", "head").alias("a"), F.greatest("rep", "head").alias("b"))
+    left = written(split(placed(shared.where("rep <> lo and rep <> hi").select("bucket", "rep"))))
+    if not left.isEmpty():
+        members = left.select(F.col("rep").alias("_id"), "own").distinct()
+        firsts = prefixes(texts.join(members, "_id"), threshold)
+        left = written(left.join(firsts.select("rep").distinct(), "rep", "left_semi").select("bucket", "rep"))
+        for step in range(rounds):
+            now = split(placed(left)).withColumn("draw", F.xxhash64("rep", F.lit(step)))
+            heads = now.groupBy("bucket").agg(F.min_by("rep", "draw").alias("head"), F.min_by("own", "draw").alias("of"))
+            compared(now.join(heads, "bucket").where("own <> of").select(*pair).distinct())
+        now = placed(firsts.select("element", "rep", "before"))
+        other = now.select("element", F.col("rep").alias("head"), F.col("own").alias("of"), F.col("before").alias("until"))
+        compared(now.join(other, "element").where((F.col("rep") < F.col("head")) & (F.col("own") != F.col("of")) & may_reach(F.col("before"), F.col("until"), threshold)).select(*pair).distinct())
     named = written(
         nodes.join(classes, nodes.rep == classes.node, "left").select(F.col("_key"), F.coalesce("component", "rep").alias("_class"))
     )
