@@ -26,6 +26,7 @@ LAST = (1 << 63) - 1
 VALUES = np.random.default_rng(50).integers(0, 1 << 64, 256, np.uint64)
 BASE = 0x9E3779B97F4A7C15
 POWERS = np.cumprod(np.append(np.uint64(1), np.full(BLOCK + 256, BASE, np.uint64)))
+DOWN = np.arange(BLOCK + 256, 0, -1).astype(np.uint64)
 INVERSES = np.cumprod(np.append(np.uint64(1), np.full(BLOCK + 256, pow(BASE, -1, 1 << 64), np.uint64)))
 
 
@@ -58,10 +59,14 @@ def anchors(data: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.n
     if n <= 0:
         return np.zeros(0, np.int64), np.zeros(0, np.uint32), np.zeros(1, np.uint64)
     sums = sums_of(data)
-    place = np.arange(len(data) - GRAM + 1)
-    h = hashes_at(sums, place, place + GRAM) >> np.uint64(32)
+    h = sums[GRAM:] - sums[:-GRAM]
+    h *= INVERSES[: len(h)]
+    h ^= h >> np.uint64(32)
+    h *= np.uint64(0xD6E8FEB86659FD93)
+    h >>= np.uint64(32)
     wide = window - GRAM + 1
-    low = (h << np.uint64(31)) | np.arange(len(h), 0, -1).astype(np.uint64)
+    low = h << np.uint64(31)
+    low |= DOWN[-len(h) :]
     span = 1
     while 2 * span <= wide:
         low = np.minimum(low[:-span], low[span:])
@@ -132,41 +137,35 @@ def shard_transform(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return before[order].astype(np.uint8), order
 
 
-def merged(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Two transforms (with their suffixes) as one: the interleave is refined by one symbol a round until it is stable."""
-    side = np.repeat([False, True], [len(a[0]), len(b[0])])
-    symbol = np.empty(len(side), np.uint8)
-    while True:
-        symbol[~side], symbol[side] = a[0], b[0]
-        new = side[np.argsort(symbol, kind="stable")]
-        if np.array_equal(new, side):
-            break
-        side = new
-    suffix = np.empty(len(side), np.int64)
-    suffix[~side], suffix[side] = a[1], b[1]
-    return symbol, suffix
-
+def intervals(shards: list[tuple[np.ndarray, np.ndarray]], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Suffixes of all shards whose first ``depth`` symbols another suffix shares, by these symbols; and where each such interval begins.
 
-def intervals(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """The suffixes of two transforms by their first ``depth`` symbols, and where a common prefix of that length ends.
-
-    ``depth`` rounds of refining the interleave; blocks of suffixes that share a
-    prefix follow their symbols through the same rounds. A mark shares nothing.
+    The shards' transforms are merged by refining their interleave: a round
+    sorts the suffixes, in the order of the round before, by the symbol that
+    stands before them, which the transforms tell, and each moves on to the suffix
+    that begins there. Blocks of suffixes that share a prefix follow their symbols
+    through the same rounds, and a suffix alone in its block is settled: nothing
+    that begins before it can share more. No suffix is sorted anew. A mark shares
+    nothing.
     """
-    side = np.repeat([False, True], [len(a[0]), len(b[0])])
-    symbol = np.empty(len(side), np.uint8)
-    block = np.zeros(len(side), np.int32)
-    new = np.ones(len(side), bool)
+    sizes = [len(bwt) for bwt, _ in shards]
+    at = np.cumsum([0, *sizes])
+    symbols = np.concatenate([bwt for bwt, _ in shards])
+    onward = np.empty(at[-1], np.int64)  # the suffix that is longer by one symbol
+    for lo, (bwt, _) in zip(at, shards, strict=False):
+        onward[lo + np.argsort(bwt, kind="stable")] = lo + np.arange(len(bwt))
+    now, block = np.arange(at[-1]), np.zeros(at[-1], np.int32)
+    new = np.zeros(at[-1], bool)
     for _ in range(depth):
-        symbol[~side], symbol[side] = a[0], b[0]
+        symbol = symbols[now]
         order = np.argsort(symbol, kind="stable")
-        first, own = symbol.take(order), block.take(order)
-        new[1:] = (own[1:] != own[:-1]) | (first[1:] != first[:-1]) | (first[1:] == 0)
+        symbol, block = symbol[order], block[order]
+        new = np.append(True, (block[1:] != block[:-1]) | (symbol[1:] != symbol[:-1]) | (symbol[1:] == 0)) if len(order) else new[:0]
+        several = ~(new & np.append(new[1:], True)) if len(order) else new
+        now, new = onward[now[order[several]]], new[several]
         block = np.cumsum(new, dtype=np.int32)
-        side = side.take(order)
-    suffix = np.empty(len(side), np.int64)
-    suffix[~side], suffix[side] = a[1], b[1]
-    return suffix, new
+    suffix = np.concatenate([suffixes for _, suffixes in shards])
+    return suffix[now], new
 
 
 def early_windows(pieces: list[bytes], docs: np.ndarray, window: int) -> list[list[int]]:
@@ -183,22 +182,18 @@ def early_windows(pieces: list[bytes], docs: np.ndarray, window: int) -> list[li
         bwt, order = shard_transform(pieces[lo:hi])
         shards.append((bwt, order + starts[lo]))
         lo = hi
-    while len(shards) > 2:
-        shards = [merged(*shards[i : i + 2]) if i + 1 < len(shards) else shards[i] for i in range(0, len(shards), 2)]
-    nothing = (np.zeros(0, np.uint8), np.zeros(0, np.int64))
-    suffix, new = intervals(shards[0], shards[1] if len(shards) > 1 else nothing, window)
+    out: list[list[int]] = [[] for _ in pieces]
+    suffix, new = intervals(shards, window)
+    if not len(suffix):
+        return out
     begin = np.flatnonzero(new)
     piece = np.searchsorted(starts, suffix, side="right") - 1
     least = np.repeat(np.minimum.reduceat(docs[piece], begin), np.diff(np.append(begin, len(suffix))))
-    hit = np.flatnonzero((least < docs[piece]) & (suffix - starts[piece] + window < sizes[piece]))
-    out: list[list[int]] = [[] for _ in pieces]
-    for at in np.sort(suffix[hit]):
-        own = int(np.searchsorted(starts, at, side="right")) - 1
-        off, got = int(at - starts[own]), out[own]
-        if got and got[-1] == off - 1:
-            got[-1] = off
-        else:
-            got += [off, off]
+    early = np.sort(suffix[least < docs[piece]])
+    own = np.searchsorted(starts, early, side="right") - 1
+    edge = np.flatnonzero(np.append(True, (early[1:] != early[:-1] + 1) | (own[1:] != own[:-1]))) if len(early) else early
+    for i, first, last in zip(own[edge].tolist(), (early[edge] - starts[own[edge]]).tolist(), (early[np.append(edge[1:], len(early)) - 1] - starts[own[edge]]).tolist() if len(early) else [], strict=True):
+        out[i] += [first, last]
     return out
 
 
@@ -240,9 +235,9 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     frequent anchor many groups.
 
     Within a task, pieces are taken in chunks of whole groups; shards of a chunk
-    get their Burrows-Wheeler transforms, whose interleave is refined pairwise;
-    common prefixes of ``window`` bytes follow in the same rounds. Each interval
-    of equal windows yields its smallest id.
+    get their Burrows-Wheeler transforms, whose interleave is refined round by
+    round; common prefixes of ``window`` bytes follow in the same rounds. Each
+    interval of equal windows yields its smallest id.
     """
     spark = docs.sparkSession
     base = scanned(docs, id_col, text_col).select("_order", "_hash", "_bytes")
@@ -282,11 +277,9 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         for batch in batches:
             found = [np.zeros(0, np.uint64)]
             for _, _, data in rows_of(batch):
-                own = []
                 for _, part in blocks(data, window):
                     where, _, sums = anchors(part, window)
-                    own += sides(sums, np.unique(where))[:2]
-                found.append(np.unique(np.concatenate(own)))
+                    found += sides(sums, where[np.append(True, where[1:] != where[:-1])] if len(where) else where)[:2]
             h, n = np.unique(np.concatenate(found), return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.minimum(n, 2).astype(np.int8))], ["h", "n"])
 
@@ -305,7 +298,10 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
                 both = np.zeros((2, len(at)), np.int64)
                 both[0, before], both[1, after] = left.view(np.int64), right.view(np.int64)
                 both[~marked(repeated.value, both)] = 0
-                lo, hi = runs(where, both.any(0)[own])
+                # A window with more than SIDE bytes before its anchor holds the string on that side, one with fewer the other, else both.
+                ahead = where - np.arange(len(where))
+                left, right = both.astype(bool)[:, own]
+                lo, hi = runs(where, (left | (ahead < SIDE)) & (right | (ahead > SIDE)))
                 if len(lo):
                     yield order, h, begin, part, lo, hi, anchor[lo].view(np.int32), hashes_at(sums, lo, hi + window).view(np.int64), both[:, own[lo]]
 
