@@ -15,6 +15,7 @@ from .common import written
 #: Fixed by the contract: verdict, host and path of each rule.
 RULES = (("allow", "com", "/"), ("block", "example.com", "/en/"), ("allow", "www.example.com", "/en/"), ("block", "net", "/es/"), ("block", "net", "/fr/"))
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Part of the model: letters of the longest word that a name is cut into. Longer title words are not counted, as no cut could use them.
 LONGEST_WORD = 24
 
 
@@ -98,7 +99,10 @@ def filter_urls(
     Viterbi with the word counts of all page titles. Null urls and urls without
     ``://`` have an empty host and path, no tokens, and so the larger class's
     verdict; without any ruled page everything is allowed. Repeated rows are
-    judged each for itself.
+    judged each for itself; urls may be of any length (a name of n letters has at
+    most 24 n substrings); of equally good cuts of a name the one with the
+    earliest known word decides; other columns of ``pages``, whatever their names,
+    are not touched; an empty table gives no rows.
 
     Pages are first reduced to distinct (host, names, rule verdict) with counts,
     combined before the shuffle, so a host with a third of all pages is one row

@@ -459,6 +459,23 @@ def test_viterbi_is_the_best_path():
     assert tuple(got) == path
 
 
+def test_near_dedup_loses_no_link_among_texts_of_one_template(spark):
+    """Pairs just above the threshold among texts that all are just below it."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    template, texts = [word() for _ in range(166)], []
+    for _ in range(60):
+        own = [word() for _ in range(22)]
+        other = [word() if k in (3, 8, 13, 18) else w for k, w in enumerate(own)]
+        texts += [" ".join(template + own), " ".join(template + other)]
+    owner, element, weight, _ = near_dedup.weighted_shingles(texts)
+    sets = [(element[owner == i], weight[owner == i]) for i in range(len(texts))]
+    links = {(a, b) for a in range(len(sets)) for b in range(a + 1, len(sets)) if near_dedup.probability_jaccard(*sets[a], *sets[b]) >= 0.8}
+    assert links == {(i, i + 1) for i in range(0, 120, 2)} and near_dedup.probability_jaccard(*sets[0], *sets[2]) > 0.75
+    got = near_dedup.near_dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.class_id for r in got} == {i: i - i % 2 for i in range(120)}
+
+
 def test_licences(docs, rows, none):
     known = {licences.normal(s): k for k, s in licences.SENTENCES.items()}
     assert len(known) == len(licences.SENTENCES) and all(any(h in s for h in licences.HINTS) for s in known)
@@ -676,6 +693,8 @@ def test_url_filter(spark):
         assert got[i][4] == rule[0] if rule else got[i][4] in ("allow", "block")
     assert url_filter.filter_urls(pages.limit(0)).collect() == []
     assert {r.verdict for r in url_filter.filter_urls(pages.where("url like '%.org/%'")).collect()} == {"allow"}
+    wide = spark.createDataFrame([(1, "http://a.org/" + "redcar" * 300, None, "x", "y", 1), (None, None, None, None, None, None)], "page_id long, url string, html string, host string, verdict string, n long")
+    assert sorted(len(r.path) for r in url_filter.filter_urls(wide).collect()) == [0, 1801]
 
 
 def test_url_scores_equal_naive_bayes(spark):
