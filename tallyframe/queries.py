@@ -276,30 +276,36 @@ def _altered(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return rows({"customer": c, "orders": o}), rows({"customer": changed, "nation": table(spark, sf_dir, "nation")})
 
 
-@query("""select * from (values ('c_custkey', 'bigint', 'bigint', 'MATCH'), ('c_name', 'string', 'string', 'MATCH'), ('c_nationkey', 'int', 'string', 'TYPE_MISMATCH'), ('c_acctbal', 'double', 'double', 'MATCH'),
-    ('c_mktsegment', 'string', null, 'SOURCE_ONLY_COLUMN'), ('c_extra', null, 'int', 'TARGET_ONLY_COLUMN')) v(column_name, source_data_type, target_data_type, status)""")
+#: The same changes to the rows of the catalogue, which names types in its own way.
+METADATA = """names(theirs, kind) as (values ('BIGINT', 'bigint'), ('INTEGER', 'int'), ('VARCHAR', 'string'), ('DOUBLE', 'double'), ('TIMESTAMP', 'timestamp'), ('DATE', 'date')),
+    own as (select table_name, column_name, row_number() over (partition by table_name order by ordinal_position) pos, kind from information_schema.columns join names on theirs = data_type where table_name in ('customer', 'orders', 'nation')),
+    src as (select * from own where table_name <> 'nation'),
+    tgt as (select table_name, column_name, list_position(['c_name', 'c_custkey', 'c_nationkey', 'c_acctbal'], column_name)::bigint pos, case when column_name = 'c_nationkey' then 'string' else kind end kind from own where table_name = 'customer' and column_name <> 'c_mktsegment'
+        union all select 'customer', 'c_extra', 5, 'int' union all select * from own where table_name = 'nation'),
+    cols as (select coalesce(s.table_name, t.table_name) table_name, coalesce(s.column_name, t.column_name) column_name, s.kind sk, t.kind tk, s.pos sp, t.pos tp from src s full join tgt t on s.table_name = t.table_name and s.column_name = t.column_name)"""
+ALL_COLUMNS = METADATA + """, judged as (select table_name, column_name, case when table_name not in (select table_name from src) then 'TABLE_MISSING_IN_SOURCE' when table_name not in (select table_name from tgt) then 'TABLE_MISSING_IN_TARGET'
+        when sk is null then 'COLUMN_MISSING_IN_SOURCE' when tk is null then 'COLUMN_MISSING_IN_TARGET' when sk <> tk then 'TYPE_MISMATCH' when sp <> tp then 'ORDINAL_MISMATCH' else 'MATCH' end status from cols)"""
+
+
+@query(f"""with {METADATA} select column_name, sk source_data_type, tk target_data_type, case when tk is null then 'SOURCE_ONLY_COLUMN' when sk is null then 'TARGET_ONLY_COLUMN' when sk <> tk then 'TYPE_MISMATCH' else 'MATCH' end status from cols where table_name = 'customer'""")
 def schema_difference(spark, sf_dir):
     s, t = _altered(spark, sf_dir)
     return schema_diff.schema_diff(s.where("table_name = 'customer'"), t.where("table_name = 'customer'")).select("column_name", "source_data_type", "target_data_type", "status")
 
 
-@query("""select * from (values ('c_custkey', 'bigint', 'bigint', 'MATCH'), ('c_name', 'string', 'string', 'MATCH'), ('c_nationkey', 'int', 'string', 'TYPE_MISMATCH'), ('c_acctbal', 'double', 'double', 'MATCH'),
-    ('c_mktsegment', 'string', null, 'MISSING_IN_TARGET'), ('c_extra', null, 'int', 'MISSING_IN_SOURCE')) v(column_name, source_common_type, target_common_type, status)""")
+@query(f"""with {METADATA} select column_name, sk source_common_type, tk target_common_type, case when tk is null then 'MISSING_IN_TARGET' when sk is null then 'MISSING_IN_SOURCE' when sk <> tk then 'TYPE_MISMATCH' else 'MATCH' end status from cols where table_name = 'customer'""")
 def type_check(spark, sf_dir):
     s, t = _altered(spark, sf_dir)
     return schema_diff.type_check(s.where("table_name = 'customer'"), t.where("table_name = 'customer'")).select("column_name", "source_common_type", "target_common_type", "status")
 
 
-@query("""select * from (values ('customer', 'c_custkey', 'ORDINAL_MISMATCH'), ('customer', 'c_name', 'ORDINAL_MISMATCH'), ('customer', 'c_nationkey', 'TYPE_MISMATCH'), ('customer', 'c_acctbal', 'MATCH'), ('customer', 'c_mktsegment', 'COLUMN_MISSING_IN_TARGET'),
-    ('customer', 'c_extra', 'COLUMN_MISSING_IN_SOURCE'), ('nation', 'n_nationkey', 'TABLE_MISSING_IN_SOURCE'), ('nation', 'n_name', 'TABLE_MISSING_IN_SOURCE'), ('nation', 'n_regionkey', 'TABLE_MISSING_IN_SOURCE'),
-    ('orders', 'o_orderkey', 'TABLE_MISSING_IN_TARGET'), ('orders', 'o_custkey', 'TABLE_MISSING_IN_TARGET'), ('orders', 'o_orderstatus', 'TABLE_MISSING_IN_TARGET'), ('orders', 'o_totalprice', 'TABLE_MISSING_IN_TARGET'),
-    ('orders', 'o_orderdate', 'TABLE_MISSING_IN_TARGET'), ('orders', 'o_orderpriority', 'TABLE_MISSING_IN_TARGET')) v(table_name, column_name, status)""")
+@query(f"with {ALL_COLUMNS} select * from judged")
 def type_check_all(spark, sf_dir):
     return schema_diff.type_check_all(*_altered(spark, sf_dir)).select("table_name", "column_name", "status")
 
 
-@query("""select * from (values ('customer', 6::bigint, 1::bigint, 5::bigint, 2::bigint, 1::bigint, 2::bigint, 'MISMATCH'), ('nation', 3, 0, 3, 3, 0, 0, 'MISMATCH'), ('orders', 6, 0, 6, 6, 0, 0, 'MISMATCH'))
-    v(table_name, total_columns, matched_columns, mismatched_columns, missing_columns, type_mismatches, ordinal_mismatches, overall_status)""")
+@query(f"""with {ALL_COLUMNS} select table_name, count(*) total_columns, count(*) filter (status = 'MATCH') matched_columns, count(*) filter (status <> 'MATCH') mismatched_columns, count(*) filter (status like '%MISSING%') missing_columns,
+    count(*) filter (status = 'TYPE_MISMATCH') type_mismatches, count(*) filter (status = 'ORDINAL_MISMATCH') ordinal_mismatches, case when count(*) = count(*) filter (status = 'MATCH') then 'MATCH' else 'MISMATCH' end overall_status from judged group by 1""")
 def type_check_by_table(spark, sf_dir):
     return schema_diff.type_check_summary(schema_diff.type_check_all(*_altered(spark, sf_dir)))
 
