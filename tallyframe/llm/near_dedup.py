@@ -247,8 +247,9 @@ def near_dedup(
     in a band share a bucket. A bucket's members are compared with its smallest
     and largest one. Members of buckets that are of several classes still are
     told apart by prefix shingles: those that can match no other class leave.
-    For ``rounds`` rounds a random member of each bucket, the head, is compared
-    with those of other classes, which joins most of what belongs together; then
+    For at most ``rounds`` rounds, as long as they join anything, a random member of
+    each bucket, the head, is compared with those of other classes, which joins
+    most of what belongs together; then
     every pair of other classes is compared whose prefix shingles let it match, so
     no link between classes is lost. With 32 bands of 4 registers a pair at 0.8
     shares no bucket with probability 5e-8. Every pair is verified exactly on
@@ -281,17 +282,19 @@ def near_dedup(
         mixed = rows.groupBy("bucket").agg(F.min("own").alias("_a"), F.max("own").alias("_z")).where("_a <> _z").select("bucket")
         return rows.join(mixed, "bucket")
 
-    def compared(found: DataFrame) -> None:
-        """Verifies the pairs that have not been tried, and joins classes."""
+    def compared(found: DataFrame) -> bool:
+        """Verifies the pairs that have not been tried, and joins classes; whether it joined any."""
         nonlocal tried, edges, classes
         more = written(found.join(tried, ["a", "b"], "left_anti"))
         if more.isEmpty():
-            return
+            return False
         good = verified(more, texts, threshold)
         tried = tried.unionByName(more)
-        if not good.isEmpty():
-            edges = edges.unionByName(good)
-            classes = connected_components(edges)
+        if good.isEmpty():
+            return False
+        edges = edges.unionByName(good)
+        classes = connected_components(edges)
+        return True
 
     pair = (F.least("rep", "head").alias("a"), F.greatest("rep", "head").alias("b"))
     left = written(split(placed(shared.where("rep <> lo and rep <> hi").select("bucket", "rep"))))
@@ -302,7 +305,8 @@ def near_dedup(
         for step in range(rounds):
             now = split(placed(left)).withColumn("draw", F.xxhash64("rep", F.lit(step)))
             heads = now.groupBy("bucket").agg(F.min_by("rep", "draw").alias("head"), F.min_by("own", "draw").alias("of"))
-            compared(now.join(heads, "bucket").where("own <> of").select(*pair).distinct())
+            if not compared(now.join(heads, "bucket").where("own <> of").select(*pair).distinct()):
+                break
         now = placed(firsts.select("element", "rep", "before"))
         other = now.select("element", F.col("rep").alias("head"), F.col("own").alias("of"), F.col("before").alias("until"))
         compared(now.join(other, "element").where((F.col("rep") < F.col("head")) & (F.col("own") != F.col("of")) & may_reach(F.col("before"), F.col("until"), threshold)).select(*pair).distinct())
