@@ -167,17 +167,32 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
     return written(both.select("a", "b", "ta", "tb").mapInArrow(check, f"a {kind}, b {kind}"))
 
 
+#: Parts into which a text's shingles are counted by their hash.
+PARTS = 64
+
+
 def may_reach(a: Column, b: Column, threshold: float) -> Column:
-    """Whether two texts that have shares ``a`` and ``b`` of their weight to themselves can have a probability Jaccard of ``threshold``.
+    """Whether two texts that share ``a`` of the weight of the one and ``b`` of the other, at most, can have a probability Jaccard of ``threshold``.
 
-    It is at most (1-a)(1-b)/(1-ab): a common shingle of weights p and q counts
-    at most pq/(q+bp), which is concave, and sums to that.
+    It is at most ab/(a+b-ab): a common shingle of weights p and q counts at most
+    pq/(q+(1-b)p), which is concave, and sums to that.
     """
-    return (1 - a) * (1 - b) >= F.lit(threshold - 1e-6) * (1 - a * b)
+    return (a > 0) & (b > 0) & (a * b >= F.lit(threshold - 1e-6) * (a + b - a * b))
+
+
+def in_common(x: str, y: str) -> Column:
+    """How much of its weight the text of columns ``x`` has in common with that of ``y``, at most.
+
+    What stands before the shingle at hand is not, if that is the first common
+    one. Nor are shingles in excess of the other's in one of the ``PARTS``, each of
+    which weighs ``least`` or more.
+    """
+    excess = F.aggregate(F.zip_with(f"{x}.counts", f"{y}.counts", lambda m, n: F.greatest(m - n, F.lit(0))), F.lit(0), lambda acc, d: acc + d)
+    return F.least(1 - F.col(f"{x}.before"), 1 - F.col(f"{x}.alone") - excess * F.col(f"{x}.least"))
 
 
 def prefixes(members: DataFrame, threshold: float) -> DataFrame:
-    """(element, rep, own, before): the prefix shingles of each text (_id, _text, own), by which texts of other classes may still match it.
+    """(element, rep, before, alone, counts, least): the prefix shingles of each text (_id, _text, own), by which texts of other classes may still match it.
 
     A probability Jaccard is at most the sum of the lesser of the two weights of
     each shingle, weights being shares of their text. So if all texts order
@@ -186,6 +201,9 @@ def prefixes(members: DataFrame, threshold: float) -> DataFrame:
     it. Shingles that no other class holds come first, they match nothing; then
     those that few texts hold. ``before`` is what comes before a shingle: if it
     is the first that two texts share, neither shares that part with the other.
+    ``alone`` is the weight of shingles that no other class holds, ``counts`` are
+    the numbers of the others by part of their hash, 127 at most, and ``least`` is
+    the smallest weight of one.
     Shingles whose smallest part before them is too large already are left out.
     """
     kind = members.schema["_id"].dataType.simpleString()
@@ -214,13 +232,19 @@ def prefixes(members: DataFrame, threshold: float) -> DataFrame:
             upto = np.cumsum(share)
             total = np.bincount(owner, share, len(sizes))
             before = 1 - total[owner] + upto - share - (np.cumsum(total) - total)[owner]
+            counts = np.zeros((len(sizes), PARTS), np.int64)
+            np.add.at(counts, (owner, flat.field("element").to_numpy() % PARTS), 1)
+            least = np.full(len(sizes), np.inf)
+            np.minimum.at(least, owner, share)
             keep = np.flatnonzero(1 - before >= threshold - 1e-6)
-            at = pa.array(owner[keep])
-            yield pa.RecordBatch.from_arrays([flat.field("element").take(pa.array(keep)), batch.column(0).take(at), batch.column(1).take(at), pa.array(before[keep])], ["element", "rep", "own", "before"])
-
-    firsts = written(lists.select("rep", "own", "list").mapInArrow(head, f"element long, rep {kind}, own {kind}, before double"))
-    least = classes_of(firsts, F.min("before").alias("_least"))
-    out = written(firsts.join(least, "element").where(may_reach(F.col("before"), F.col("_least"), threshold)).drop("_least"))
+            own = owner[keep]
+            held = pa.ListArray.from_arrays(pa.array(np.arange(len(keep) + 1, dtype=np.int32) * PARTS), pa.array(np.minimum(counts, 127)[own].astype(np.int8).ravel()))
+            columns = [flat.field("element").take(pa.array(keep)), batch.column(0).take(pa.array(own)), batch.column(1).take(pa.array(own)), pa.array(before[keep]), pa.array(1 - total[own]), held, pa.array(least[own])]
+            yield pa.RecordBatch.from_arrays(columns, ["element", "rep", "own", "before", "alone", "counts", "least"])
+
+    firsts = written(lists.select("rep", "own", "list").mapInArrow(head, f"element long, rep {kind}, own {kind}, before double, alone double, counts array<tinyint>, least double"))
+    first = classes_of(firsts, F.min("before").alias("_first"))
+    out = written(firsts.join(first, "element").where(may_reach(1 - F.col("before"), 1 - F.col("_first"), threshold)).drop("_first", "own"))
     discard(rows, firsts)
     return out
 
@@ -307,9 +331,10 @@ def near_dedup(
             heads = now.groupBy("bucket").agg(F.min_by("rep", "draw").alias("head"), F.min_by("own", "draw").alias("of"))
             if not compared(now.join(heads, "bucket").where("own <> of").select(*pair).distinct()):
                 break
-        now = placed(firsts.select("element", "rep", "before"))
-        other = now.select("element", F.col("rep").alias("head"), F.col("own").alias("of"), F.col("before").alias("until"))
-        compared(now.join(other, "element").where((F.col("rep") < F.col("head")) & (F.col("own") != F.col("of")) & may_reach(F.col("before"), F.col("until"), threshold)).select(*pair).distinct())
+        x, y = placed(firsts).alias("x"), placed(firsts).alias("y")
+        can = (F.col("x.rep") < F.col("y.rep")) & (F.col("x.own") != F.col("y.own")) & may_reach(1 - F.col("x.before"), 1 - F.col("y.before"), threshold)
+        near = x.join(y, (F.col("x.element") == F.col("y.element")) & can & may_reach(in_common("x", "y"), in_common("y", "x"), threshold))
+        compared(near.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
     named = written(
         nodes.join(classes, nodes.rep == classes.node, "left").select(F.col("_key"), F.coalesce("component", "rep").alias("_class"))
     )
