@@ -15,6 +15,8 @@ from .line_dedup import line_dedup
 from .near_dedup import near_dedup
 from .packing import pack
 from .pii import find_pii
+from .quality_rules import oracle_sql as quality_sql
+from .quality_rules import quality_verdicts
 from .substring_dedup import dedup_substrings
 from .toxicity import score_toxicity
 from .url_filter import filter_urls
@@ -66,6 +68,10 @@ def op10_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_verdicts(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_url_filter": op2_url_filter,
@@ -77,6 +83,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_toxicity": op9_toxicity,
     "op10_pack": op10_pack,
+    "op11_quality_rules": op11_quality_rules,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -89,6 +96,7 @@ ORACLE_SQL: dict[str, str] = {
         select doc_id, keep_id, group_size, doc_id = keep_id as kept, sha256(n) as text_sha256 from g
     """,
     "op4_licences": licences_sql(),
+    "op11_quality_rules": quality_sql(),
     "op6_line_dedup": r"""
         with l as (
             select row, doc_id, unnest(string_split(coalesce(text, ''), chr(10))) t, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) l
