@@ -14,9 +14,12 @@ from .licences import scan_licences
 from .line_dedup import line_dedup
 from .near_dedup import near_dedup
 from .packing import pack
+from .phrases import collocations
+from .phrases import oracle_sql as phrases_sql
 from .pii import find_pii
 from .quality_rules import oracle_sql as quality_sql
 from .quality_rules import quality_verdicts
+from .resampling import resample
 from .substring_dedup import dedup_substrings
 from .toxicity import score_toxicity
 from .url_filter import filter_urls
@@ -72,6 +75,14 @@ def op11_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_verdicts(table(spark, sf_dir, "documents"))
 
 
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
+def op13_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_near_dedup": op1_near_dedup,
     "op2_url_filter": op2_url_filter,
@@ -84,6 +95,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_toxicity": op9_toxicity,
     "op10_pack": op10_pack,
     "op11_quality_rules": op11_quality_rules,
+    "op12_phrases": op12_phrases,
+    "op13_resample": op13_resample,
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -97,6 +110,7 @@ ORACLE_SQL: dict[str, str] = {
     """,
     "op4_licences": licences_sql(),
     "op11_quality_rules": quality_sql(),
+    "op12_phrases": phrases_sql(),
     "op6_line_dedup": r"""
         with l as (
             select row, doc_id, unnest(string_split(coalesce(text, ''), chr(10))) t, unnest(range(len(string_split(coalesce(text, ''), chr(10))))) l
