@@ -21,7 +21,7 @@ NO_LANG = "und"
 #: A byte that UTF-8 never uses: it stands for the end of a piece.
 END = b"\xff"
 TO_END = bytes.maketrans(PIECE_ENDS, END * len(PIECE_ENDS))
-SHARD_BYTES = 8 << 20
+SHARD_BYTES = 6 << 20
 #: Keys that one group of the merge holds, about; a shard has at most ``longest`` keys for each word.
 KEYS_A_GROUP = 1 << 21
 
@@ -123,8 +123,9 @@ def counted(row: dict, longest: int, groups: int) -> tuple[list[bytes], np.ndarr
         for j in range(k):
             h = (h ^ of_word[padded[heads + j]]) * np.uint64(0x9E3779B97F4A7C15)
             h ^= h >> np.uint64(29)
-        parts.append((heads, np.full(len(heads), k), counts, h))
+        parts.append((heads.astype(np.int32), np.full(len(heads), k, np.int8), counts.astype(np.int32), h))
     heads, sizes, counts, h = (np.concatenate(x) for x in zip(*parts, strict=True))
+    del parts
     group = ((h >> np.uint64(32)) * np.uint64(groups) >> np.uint64(32)).astype(np.int64)
     key = (h & np.uint64(0xFFFFFFFF)).astype(np.uint32)
     order = np.argsort(group.astype(np.uint64) << np.uint64(32) | key)
@@ -170,20 +171,33 @@ def merged(least: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
 
 
 def frequent_phrases(longest: int, groups: int) -> Callable[[Iterator[pd.DataFrame]], Iterator[pd.DataFrame]]:
-    """The phrases of each shard whose bits are set, as text, with their counts there."""
+    """For each shard and group: the phrases whose bits are set, as text, and their counts in the shard."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.to_dict("records"):
                 words, ids, heads, sizes, counts, group, _ = counted(row, longest, groups)
-                often = np.zeros(len(heads), bool)
+                out = []
                 for m in row["marks"]:
                     a, b = np.searchsorted(group, [m["grp"], m["grp"] + 1])
-                    often[a:b] = np.unpackbits(np.frombuffer(m["bits"], np.uint8), count=b - a)
-                text = [w.decode() for w in words]
-                at = np.flatnonzero(often)
-                phrases = [" ".join(text[i - 1] for i in ids[h : h + k]) for h, k in zip(heads[at].tolist(), sizes[at].tolist(), strict=True)]
-                yield pd.DataFrame({"lang": row["lang"], "phrase": phrases, "size": sizes[at], "n": counts[at]})
+                    at = a + np.flatnonzero(np.unpackbits(np.frombuffer(m["bits"], np.uint8), count=b - a))
+                    phrases = [b" ".join([words[i - 1] for i in ids[h : h + k].tolist()]) for h, k in zip(heads[at].tolist(), sizes[at].tolist(), strict=True)]
+                    out.append((m["grp"], row["lang"], END.join(phrases), counts[at].tobytes()))
+                yield pd.DataFrame(out, columns=["grp", "lang", "phrases", "counts"])
+
+    return run
+
+
+def added(least: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """Of one group: the phrases of all shards with their counts added, those below ``least`` left out."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        total: dict[tuple[str, bytes], int] = defaultdict(int)
+        for lang, phrases, counts in zip(pdf["lang"], pdf["phrases"], pdf["counts"], strict=True):
+            for p, n in zip(phrases.split(END), np.frombuffer(counts, np.int32).tolist(), strict=True):
+                total[lang, p] += n
+        often = [(lang, p.decode(), p.count(b" ") + 1, n) for (lang, p), n in total.items() if n >= least]
+        return pd.DataFrame(often, columns=["lang", "phrase", "size", "f"])
 
     return run
 
@@ -196,8 +210,9 @@ def phrase_frequencies(docs: DataFrame, lang_col: str = "lang", text_col: str =
        the counts of its phrases. Their keys, 32 bits and a group, go to the group,
        one for each phrase and shard, packed by shard; there the counts are
        merged, and each shard is told by a bit which of its phrases may be frequent.
-    3. These, and no others, leave the shard as text with their counts, which
-       are added by language and phrase. Keys are never taken for phrases.
+    3. These, and no others, leave the shard as text with their counts, packed
+       by group again, and are added there by language and phrase. Keys are
+       never taken for phrases.
 
     No task holds more than a shard or a group: groups grow in number with the words.
     """
@@ -210,8 +225,8 @@ def phrase_frequencies(docs: DataFrame, lang_col: str = "lang", text_col: str =
     blocks = filled.mapInPandas(key_blocks(longest, groups, least), "grp long, shard long, keys binary, counts binary")
     marks = blocks.groupBy("grp").applyInPandas(merged(least), "shard long, grp long, bits binary")
     told = marks.groupBy("shard").agg(F.collect_list(F.struct("grp", "bits")).alias("marks"))  # at most a bit for each phrase of the shard
-    found = filled.join(told, "shard").mapInPandas(frequent_phrases(longest, groups), "lang string, phrase string, size int, n long")
-    counts = found.groupBy("lang", "phrase", "size").agg(F.sum("n").alias("f")).where(F.col("f") >= least)
+    found = filled.join(told, "shard").mapInPandas(frequent_phrases(longest, groups), "grp long, lang string, phrases binary, counts binary")
+    counts = found.groupBy("grp").applyInPandas(added(least), "lang string, phrase string, size int, f long")
     return totals, written(counts)
 
 
