@@ -99,17 +99,17 @@ def contributions(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Blocks of postings, each beside its buckets' counts in both corpora, as the sum of gains of each document in them."""
     for batch in batches:
         out = []
-        for row in batch.to_dict("records"):
+        for row in batch.itertuples(index=False):
             s, t = np.zeros(WIDTH, np.int64), np.zeros(WIDTH, np.int64)
-            for c in row["corpora"]:
-                s[c["bucket"] % WIDTH], t[c["bucket"] % WIDTH] = c["s"], c["t"]
-            bucket, doc, count = unpacked(row["block"])
+            at = row.buckets % WIDTH
+            s[at], t[at] = row.s, row.t
+            bucket, doc, count = unpacked(row.block)
             used = np.unique(bucket)
             gains = np.zeros(WIDTH, np.int64)
-            gains[used] = [gain(int(s[b]), int(t[b]), row["whole_s"], row["whole_t"]) for b in used]
+            gains[used] = [gain(int(s[b]), int(t[b]), row.whole_s, row.whole_t) for b in used]
             sums = np.zeros(int(doc.max()) + 1, np.int64)
             np.add.at(sums, doc, gains[bucket] * count)
-            out.append((row["chunk"], sums.tobytes()))
+            out.append((row.chunk, sums.tobytes()))
         yield pd.DataFrame(out, columns=["chunk", "sums"])
 
 
@@ -196,9 +196,9 @@ def resample(
     salt = F.pmod(F.xxhash64("chunk"), F.lit(salts)).cast("int")
     postings = chunks.select("chunk", F.explode("blocks").alias("b")).select("chunk", "b.part", "b.block", salt.alias("salt"))
     by_part = corpora.groupBy(F.expr(f"bucket div {WIDTH}").cast("int").alias("part")).agg(F.collect_list(F.struct("bucket", "s", "t")).alias("corpora"))
-    by_part = by_part.crossJoin(F.broadcast(whole)).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))  # one row
+    by_part = by_part.select("part", *(F.col(f"corpora.{c}").alias(c + "s" * (c == "bucket")) for c in ("bucket", "s", "t"))).crossJoin(F.broadcast(whole)).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))  # one row
     met = postings.join(by_part.hint("shuffle_hash"), ["part", "salt"])
-    sums = met.select("chunk", "block", "corpora", "whole_s", "whole_t").mapInPandas(contributions, "chunk long, sums binary")
+    sums = met.select("chunk", "block", "buckets", "s", "t", "whole_s", "whole_t").mapInPandas(contributions, "chunk long, sums binary")
 
     kind = docs.schema[id_col].dataType.simpleString()
     members = chunks.select("chunk", "ids", "words", "features")
