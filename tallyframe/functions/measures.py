@@ -67,12 +67,35 @@ def date_grains(col: Column) -> dict[str, Column]:
     }
 
 
+def bin_number(col: Column, edges: Sequence[float]) -> Column:
+    """The number, from 1, of the right-closed bin between ascending edges; null for null, or if there are fewer than two edges.
+
+    The first edge belongs to the first bin; what lies outside goes to the bin at that end.
+    """
+    if len(edges) < 2:
+        return F.lit(None).cast("int")
+    inner = F.array(*(F.lit(float(e)) for e in edges[1:-1])) if len(edges) > 2 else F.array().cast("array<double>")
+    passed = F.aggregate(inner, F.lit(0), lambda n, e: n + (e < col).cast("int"))
+    return F.when(col.isNotNull(), passed + 1)
+
+
+def bin_edges(number: Column, edges: Sequence[float]) -> tuple[Column, Column]:
+    """The exact lower and upper edge of a bin."""
+    side = lambda values: F.get(F.array(*(F.lit(float(e)) for e in values)), number - 1) if values else F.lit(None).cast("double")
+    return side(list(edges[:-1])), side(list(edges[1:]))
+
+
+def bin_labels(edges: Sequence[float]) -> list[str]:
+    """A text for each bin, for show: edges with six digits, or all of them where six would not tell edges apart."""
+    short = [f"{e:g}" for e in edges]
+    text = short if len(set(short)) == len(edges) else [repr(float(e)) for e in edges]
+    return [f"({lo}, {hi}]" for lo, hi in zip(text, text[1:], strict=False)]
+
+
 def binned(col: Column, edges: Sequence[float], unknown: str = "UNKNOWN") -> Column:
-    """Right-closed interval labels over ascending edges; the first edge belongs to the first bin."""
-    out = F.when(col.isNull(), unknown)
-    for lo, hi in zip(edges, edges[1:], strict=False):
-        out = out.when(col <= hi, f"({lo:g}, {hi:g}]")
-    return out.otherwise(f"({edges[-2]:g}, {edges[-1]:g}]" if len(edges) > 1 else unknown)
+    """The text of a value's bin; bins of different numbers have different texts."""
+    labels = bin_labels(edges)
+    return F.coalesce(F.get(F.array(*map(F.lit, labels)), bin_number(col, edges) - 1), F.lit(unknown)) if labels else F.lit(unknown)
 
 
 def split_part(ids: Sequence[Column], parts: int, seed: int = 0) -> Column:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from functools import reduce
 from itertools import combinations
 from math import comb
 
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.measures import date_grains
 from ..rules import NULL_TEXT
+from .ranks import percentiles_of_counts
 from .stats import unioned
 
 
@@ -42,11 +44,26 @@ def grouped_sets(df: DataFrame, sets: list[tuple[str, ...]], aggs: list[Column],
     return every.withColumns({"dims": dims, "dim_values": values})
 
 
+def with_medians(groups: DataFrame, df: DataFrame, sets: list[tuple[str, ...]], measure: Column) -> DataFrame:
+    """``groups`` of ``sets`` with the exact median of ``measure``.
+
+    Values are counted by (set, group, value), all sets in one expansion and combined before the
+    shuffle; the counts of all sets are ranked together (``percentiles_of_counts``), so a group
+    that is the whole table is no task's.
+    """
+    used = list(dict.fromkeys(d for s in sets for d in s))
+    counted = grouped_sets(df.withColumn("_measure", measure).where("_measure is not null"), sets, [F.count("*").alias("_often")], keep=("_measure",))
+    found = percentiles_of_counts(counted.select(*(F.col(f"`{d}`").alias(f"_d{i}") for i, d in enumerate(used)), "_measure", "_often"), [f"_d{i}" for i in range(len(used))], "_measure", "_often", [0.5])
+    on = reduce(lambda a, b: a & b, (F.col(f"`{d}`").eqNullSafe(F.col(f"_d{i}")) for i, d in enumerate(used)))
+    return groups.join(found, on, "left").withColumn("median", F.get("q", F.lit(0))).drop("q", *(f"_d{i}" for i in range(len(used))))
+
+
 def measure_by_dims(df: DataFrame, dims: list[str], measure: str, depth: int = 3, least_rows: int = 1, budget: int = 10_000) -> DataFrame:
     """Group rows, count, sum, mean, median, min, max and standard deviation of a measure over all combinations of dimensions."""
     m = F.col(f"`{measure}`").cast("double")
-    aggs = [F.count("*").alias("group_rows"), F.count(m).alias("count"), F.sum(m).alias("sum"), F.avg(m).alias("mean"), F.median(m).alias("median"), F.min(m).alias("min"), F.max(m).alias("max"), F.stddev_samp(m).alias("std")]
-    return grouped_sets(df, dimension_sets(dims, depth, budget), aggs).where(F.col("group_rows") >= least_rows)
+    aggs = [F.count("*").alias("group_rows"), F.count(m).alias("count"), F.sum(m).alias("sum"), F.avg(m).alias("mean"), F.min(m).alias("min"), F.max(m).alias("max"), F.stddev_samp(m).alias("std")]
+    sets = dimension_sets(dims, depth, budget)
+    return with_medians(grouped_sets(df, sets, aggs).where(F.col("group_rows") >= least_rows), df, sets, m)
 
 
 def measure_by_dims_time(df: DataFrame, dims: list[str], measure: str, date_col: str, depth: int = 2, grains: tuple[str, ...] = ("year", "month", "year_week"), budget: int = 10_000) -> DataFrame:
@@ -58,5 +75,5 @@ def measure_by_dims_time(df: DataFrame, dims: list[str], measure: str, date_col:
     if len(sets) > budget:
         raise ValueError(f"{len(sets)} combinations exceed the budget of {budget}")
     m = F.col(f"`{measure}`").cast("double")
-    aggs = [F.count("*").alias("group_rows"), F.sum(m).alias("sum"), F.avg(m).alias("mean"), F.median(m).alias("median")]
-    return grouped_sets(timed, sets, aggs)
+    aggs = [F.count("*").alias("group_rows"), F.sum(m).alias("sum"), F.avg(m).alias("mean")]
+    return with_medians(grouped_sets(timed, sets, aggs), timed, sets, m)

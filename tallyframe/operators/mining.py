@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from ..functions.measures import age_band, binned, day_difference, missing_flag, recommended_action, rule_score, safe_ratio, split_part, wilson
 from ..functions.canonical import missing_cleaned
-from .cube import grouped_sets
+from .cube import grouped_sets, with_medians
 from .ranks import cells_of, exact_percentiles, with_percentiles
 from .stats import unioned
 
@@ -185,10 +185,11 @@ def multiclass_rules(df: DataFrame, features: list[str], length: int = 2, least_
 def ordinal_severity(df: DataFrame, features: list[str], length: int = 2, least_records: int = 30) -> DataFrame:
     """Per combination: records, mean and median order, and the index against the portfolio mean."""
     sets = [s for k in range(1, length + 1) for s in combinations(features, k)]
-    groups = grouped_sets(df, sets, [F.count("*").alias("records"), F.avg("target_order").alias("mean_order"), F.median("target_order").alias("median_order")])
+    groups = grouped_sets(df, sets, [F.count("*").alias("records"), F.avg("target_order").alias("mean_order")])
+    groups = with_medians(groups.where(F.col("records") >= least_records), df, sets, F.col("target_order")).withColumnRenamed("median", "median_order")
     whole = df.agg(F.avg("target_order").alias("portfolio_mean"))
-    out = groups.where(F.col("records") >= least_records).crossJoin(F.broadcast(whole))  # one row
-    return out.select(F.col("dims").alias("features"), F.col("dim_values").alias("values"), "records", "mean_order", "median_order", (F.col("mean_order") / F.col("portfolio_mean")).alias("severity_index"))
+    out = groups.crossJoin(F.broadcast(whole))  # one row
+    return out.select(F.col("dims").alias("features"), F.col("dim_values").alias("values"), "records", "mean_order", F.col("median_order").cast("double").alias("median_order"), (F.col("mean_order") / F.col("portfolio_mean")).alias("severity_index"))
 
 
 def class_base_rates(df: DataFrame) -> DataFrame:

@@ -13,9 +13,9 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.measures import binned
+from ..functions.measures import bin_edges, bin_number
 from .mining import base_of, quantile_edges, with_lift
-from .ranks import settled
+from ..tables import settled
 
 
 def baskets(df: DataFrame, features: list[str], target: str) -> DataFrame:
@@ -153,7 +153,9 @@ def class_performance(scored: DataFrame, flag: str = "target_flag") -> DataFrame
 
 
 def risk_bands(scored: DataFrame, bands: int = 10, flag: str = "target_flag") -> DataFrame:
-    """Score bands by quantile (ties stay together): records, positives, extremes and mean of the score, rate, lift."""
+    """Score bands by quantile, numbered from the lowest (ties stay together): exact edges, records, positives, extremes and mean of the score, rate, lift."""
     edges = quantile_edges(scored, ["score"], bands)["score"]
-    groups = scored.groupBy(binned(F.col("score"), edges).alias("band")).agg(F.count("*").alias("records"), F.sum(flag).alias("positives"), F.avg("score").alias("mean_score"), F.min("score").alias("min_score"), F.max("score").alias("max_score"))
-    return with_lift(groups, base_of(scored, flag))
+    numbered = scored.withColumn("band", bin_number(F.col("score"), edges))
+    groups = numbered.groupBy("band").agg(F.count("*").alias("records"), F.sum(flag).alias("positives"), F.avg("score").alias("mean_score"), F.min("score").alias("min_score"), F.max("score").alias("max_score"))
+    low, high = bin_edges(F.col("band"), edges)
+    return with_lift(groups.withColumns({"lower_edge": low, "upper_edge": high}), base_of(scored, flag))

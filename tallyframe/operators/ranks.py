@@ -1,29 +1,16 @@
-"""Exact percentiles and distinct counts without a group's values in one task."""
+"""Running sums, exact percentiles and distinct counts without a group's values in one task."""
 
 from __future__ import annotations
 
-import tempfile
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..tables import discarded, settled
 
-def settled(df: DataFrame) -> DataFrame:
-    """``df`` as a reliable checkpoint, whose partitions keep their numbers however often it is read.
-
-    It lies in ``spark.checkpoint.dir``; where that is unset and Spark runs on
-    this machine alone, in a temporary folder.
-    """
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        found = spark.conf.get("spark.checkpoint.dir", None)
-        if not found:
-            if not spark.sparkContext.master.startswith("local["):
-                raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
-            found = f"file://{tempfile.mkdtemp(prefix='tallyframe-')}"
-        spark.sparkContext.setCheckpointDir(found)
-    return df.checkpoint()
+#: Up to so many counted rows a group may be summed in one task; beyond that, groups are ranged over partitions.
+ONE_TASK_ROWS = 1_000_000
 
 
 def cells_of(df: DataFrame, columns: list[str], keep: tuple[str, ...] = ()) -> DataFrame:
@@ -32,43 +19,62 @@ def cells_of(df: DataFrame, columns: list[str], keep: tuple[str, ...] = ()) -> D
     return df.select(*keep, F.explode(cells).alias("c")).select(*keep, "c.column_name", "c.v")
 
 
-def matched(left: DataFrame, right: DataFrame, names: list[str], how: str = "inner", also: Column | None = None) -> DataFrame:
-    """``left`` joined with ``right`` on equal ``names``, null equal to null; the names stay once, as of the left side."""
+def matched(left: DataFrame, right: DataFrame, names: list[str], how: str = "inner", also_right: list[str] | None = None) -> DataFrame:
+    """``left`` joined with ``right`` (its columns ``also_right``, or all) on equal ``names``, null equal to null; the names stay once, as of the left side."""
     own = {n: f"_right_{n}" for n in names}
+    right = right if also_right is None else right.select(*names, *also_right)
     on = reduce(lambda x, y: x & y, (F.col(f"`{n}`").eqNullSafe(F.col(f"`{r}`")) for n, r in own.items()))
-    return left.join(right.withColumnsRenamed(own), on if also is None else on & also, how).drop(*own.values())
+    return left.join(right.withColumnsRenamed(own), on, how).drop(*own.values())
+
+
+def running_sums(counted: DataFrame, by: list[str], order: list[Column], sums: list[str], near: Column | None = None) -> tuple[DataFrame, DataFrame]:
+    """(rows, table to discard): ``counted`` with, for each column c of ``sums``, ``c_before`` (its sum over the rows of the group that come earlier in ``order``) and ``c_total``.
+
+    Rows are settled once. If they are many they are ranged over partitions by
+    group and order; the sums of the ranges, of which there are no more than
+    groups and partitions together, are added to the sums within a range, so no
+    task holds more than a range, however large a group is. ``near`` is a condition over
+    ``c_before``, ``c_total`` and ``c`` of a range: only rows of ranges that meet it are given.
+    """
+    held = settled(counted)
+    earlier = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    before = lambda c, w: F.coalesce(F.sum(c).over(earlier(w)), F.lit(0))
+    if held.count() <= ONE_TASK_ROWS:
+        group = Window.partitionBy(*by)
+        return held.withColumns({f"{c}_before": before(c, group.orderBy(*order)) for c in sums} | {f"{c}_total": F.sum(c).over(group) for c in sums}), held
+    ranged = settled(held.repartitionByRange(*(F.col(b) for b in by), *order).withColumn("_part", F.spark_partition_id()))
+    discarded(held)
+    parts = ranged.groupBy(*by, "_part").agg(*(F.sum(c).alias(c) for c in sums))
+    group = Window.partitionBy(*by)
+    parts = parts.withColumns({f"{c}_before": before(c, group.orderBy("_part")) for c in sums} | {f"{c}_total": F.sum(c).over(group) for c in sums})
+    parts = (parts if near is None else parts.where(near)).drop(*sums)
+    rows = matched(ranged, parts, [*by, "_part"], also_right=[f"{c}_{x}" for c in sums for x in ("before", "total")])
+    own = Window.partitionBy(*by, "_part").orderBy(*order)
+    return rows.withColumns({f"{c}_before": F.col(f"{c}_before") + before(c, own) for c in sums}).drop("_part"), ranged
+
+
+def percentiles_of_counts(counted: DataFrame, by: list[str], value: str, n: str, points: list[float]) -> DataFrame:
+    """(by..., q): the linear percentiles at ``points`` of each group, from rows of (by..., value, how often)."""
+    asked = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(points)))
+    at = lambda a: a["p"] * (F.col("_n_total") - 1)
+    inside = lambda rank: (rank >= F.col("_n_before")) & (rank < F.col("_n_before") + F.col("_n"))
+    wanted = lambda a: inside(F.floor(at(a))) | inside(F.ceil(at(a)))
+    rows, held = running_sums(counted.select(*by, F.col(value).alias("_v"), F.col(n).alias("_n")), by, [F.col("_v")], ["_n"], F.exists(asked, wanted))
+    hit = rows.select(*by, "_v", "_n_total", F.explode(F.filter(asked, wanted)).alias("_a"))
+    ends = hit.groupBy(*by, F.col("_a.i").alias("_i")).agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"), F.max(at(F.col("_a"))).alias("at"))
+    between = F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("at") - F.floor("at"))
+    found = settled(ends.groupBy(*by).agg(F.transform(F.sort_array(F.collect_list(F.struct("_i", between.alias("q")))), lambda x: x["q"]).alias("q")))  # points of each group
+    discarded(held)
+    return found
 
 
 def exact_percentiles(rows: DataFrame, by: list[str], value: str, points: list[float]) -> DataFrame:
     """(by..., q): the linear percentiles of ``value`` at ``points`` in each group, null values aside; groups without values are absent.
 
-    Equal values are counted first, combined before the shuffle; the counts are
-    ranged over partitions by group and value. Sums per group and partition, of
-    which there are no more than groups and partitions together, tell in which
-    partition each wanted rank lies, and only rows of those are ranked. No task
-    holds more than a range partition, however large a group is.
+    Equal values are counted first, combined before the shuffle.
     """
     counted = rows.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(F.count("*").alias("_n"))
-    ranged = settled(counted.repartitionByRange(*by, "_v")).withColumn("_part", F.spark_partition_id())
-    earlier = Window.partitionBy(*by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    parts = ranged.groupBy(*by, "_part").agg(F.sum("_n").alias("_sum")).withColumns({
-        "_before": F.coalesce(F.sum("_sum").over(earlier), F.lit(0)), "_total": F.sum("_sum").over(Window.partitionBy(*by)),
-    })
-    asked = F.array(*(F.struct(F.lit(i).alias("i"), F.lit(float(p)).alias("p")) for i, p in enumerate(points)))
-    wanted = parts.select("*", F.explode(asked).alias("_a")).withColumn("_at", F.col("_a.p") * (F.col("_total") - 1))
-    wanted = wanted.select(*by, "_part", "_before", "_sum", F.col("_a.i").alias("_i"), "_at", F.explode(F.array(F.floor("_at"), F.ceil("_at"))).alias("_rank")).distinct()
-    wanted = wanted.where((F.col("_rank") >= F.col("_before")) & (F.col("_rank") < F.col("_before") + F.col("_sum")))
-
-    need = wanted.select(*by, "_part", "_before").distinct()
-    keys = [*by, "_part"]
-    near = matched(ranged, need, keys)
-    upto = Window.partitionBy(*keys).orderBy("_v").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    near = near.withColumn("_end", F.col("_before") + F.sum("_n").over(upto)).select(*keys, "_v", "_n", "_end")
-    inside = (F.col("_rank") < F.col("_end")) & (F.col("_rank") >= F.col("_end") - F.col("_n"))
-    hit = matched(wanted.select(*keys, "_i", "_at", "_rank"), near, keys, also=inside)
-    ends = hit.groupBy(*by, "_i").agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"), F.max("_at").alias("at"))
-    between = F.col("lo") + (F.col("hi") - F.col("lo")) * (F.col("at") - F.floor("at"))
-    return ends.groupBy(*by).agg(F.sort_array(F.collect_list(F.struct("_i", between.alias("q")))).alias("_q")).select(*by, F.transform("_q", lambda x: x["q"]).alias("q"))
+    return percentiles_of_counts(counted, by, "_v", "_n", points)
 
 
 def with_percentiles(out: DataFrame, found: DataFrame, by: list[str], names: list[str]) -> DataFrame:

@@ -4,23 +4,20 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.canonical import bucket, canonical, json_hash
 from ..functions.equality import absolute_difference, equal, percent, relative_difference, seconds
 from ..rules import CHANGED, MATCH, SOURCE_NULL, SOURCE_ONLY, TARGET_NULL, TARGET_ONLY, VALUE_MISMATCH, ReconRule, TablePair, common_columns, resolve
+from ..tables import settled
 from .ranks import exact_percentiles, with_percentiles
+from .skew import full_outer
 
 
-def join_rows(pair: TablePair, rule: ReconRule, same_type: bool = False, scale: int = 18) -> DataFrame:
-    """Both sides joined on canonical keys, null keys equal: k_0.., s_<col>, t_<col>, s_hash, t_hash, row_status.
-
-    The join is a null-safe full outer equi-join, so duplicate keys multiply;
-    run ``key_quality`` first. A row is CHANGED if the hash of its shared
-    columns differs, whether or not a tolerance would forgive it.
-    """
+def canonical_sides(pair: TablePair, rule: ReconRule, same_type: bool = False, scale: int = 18) -> tuple[DataFrame, DataFrame]:
+    """Source (sk_0.., s_<col>, s_hash) and target (tk_0.., t_<col>, t_hash): canonical key texts, shared values, hash of their texts."""
     pair = pair.filtered(rule)
     shared = common_columns(pair, rule, same_type)
     n_keys = len(rule.keys)
@@ -32,13 +29,28 @@ def join_rows(pair: TablePair, rule: ReconRule, same_type: bool = False, scale:
         values = [df[f"`{c[at]}`"].alias(f"{tag}_{c[0].lower()}") for c in shared]
         return df.select(*keys, *values, json_hash(texts).alias(f"{tag}_hash"))
 
-    s, t = side(pair.source, 0, "s"), side(pair.target, 1, "t")
-    on = reduce(lambda a, b: a & b, (s[f"sk_{i}"].eqNullSafe(t[f"tk_{i}"]) for i in range(n_keys)))
+    return side(pair.source, 0, "s"), side(pair.target, 1, "t")
+
+
+def join_rows(pair: TablePair, rule: ReconRule, same_type: bool = False, scale: int = 18, hot_rows: int | None = None) -> DataFrame:
+    """Both sides joined on canonical keys, null keys equal: k_0.., s_<col>, t_<col>, s_hash, t_hash, row_status.
+
+    The join is a null-safe full outer equi-join, so duplicate keys multiply;
+    run ``key_quality`` first. A row is CHANGED if the hash of its shared
+    columns differs, whether or not a tolerance would forgive it. Keys with more than
+    ``hot_rows`` rows, null ones too, are dealt over tasks (``skew.full_outer``).
+    """
+    return join_sides(*canonical_sides(pair, rule, same_type, scale), len(rule.keys), hot_rows)
+
+
+def join_sides(s: DataFrame, t: DataFrame, n_keys: int, hot_rows: int | None = None) -> DataFrame:
+    """The sides of ``canonical_sides`` joined, with the status of each row."""
     status = (
         F.when(F.col("t_hash").isNull(), SOURCE_ONLY).when(F.col("s_hash").isNull(), TARGET_ONLY)
         .when(F.col("s_hash") == F.col("t_hash"), MATCH).otherwise(CHANGED)
     )
-    return s.join(t, on, "full_outer").withColumn("row_status", status)
+    joined = full_outer(s, t, [f"sk_{i}" for i in range(n_keys)], [f"tk_{i}" for i in range(n_keys)], hot_rows)
+    return joined.withColumn("row_status", status)
 
 
 def key_json(pair: TablePair, rule: ReconRule) -> Column:
@@ -125,10 +137,19 @@ def changed_cells(cells: DataFrame, limit: int | None = None, per_column: int |
     return bad.orderBy("key_json", "column_name").limit(limit) if limit else bad
 
 
+def mismatch_report(joined: DataFrame, pair: TablePair, rule: ReconRule) -> tuple[DataFrame, DataFrame]:
+    """(cells, ``column_mismatch_stats``) of joined rows that are gone through once: rows on both sides are counted while the changed cells are written."""
+    seen = Observation()
+    watched = joined.observe(seen, F.count_if(F.col("row_status").isin(MATCH, CHANGED)).alias("n"))
+    cells = settled(cell_rows(watched, pair, rule))
+    return cells, column_mismatch_stats(cells, joined.sparkSession.range(1).select(F.lit(seen.get["n"]).alias("n")))
+
+
 def column_mismatch_stats(cells: DataFrame, joined_rows: DataFrame) -> DataFrame:
     """Per column over the changed rows: mismatches, nulls, distinct values, and the spread of differences.
 
-    ``joined_rows`` is one row with ``n`` = rows present on both sides.
+    ``joined_rows`` is one row with ``n`` = rows present on both sides. ``cells``
+    are read three times: settle them first (``mismatch_report``).
     """
     bad = ~F.col("is_equal")
     when = lambda c: F.when(bad, F.col(c))

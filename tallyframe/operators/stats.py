@@ -61,6 +61,18 @@ def category_summary(compared: DataFrame) -> DataFrame:
     return out.withColumns({"distinct_difference": F.col("target_distinct") - F.col("source_distinct"), "status": F.when(good, "PASS").otherwise("FAIL")})
 
 
+def moments(df: DataFrame, columns: list[str], kind: str, accuracy: int | None) -> DataFrame:
+    """Long rows (column_name, stat, value) in one aggregation; the median is approximate, or null without an accuracy."""
+    aggs = []
+    for c in columns:
+        v = F.col(f"`{c}`").cast(kind)
+        middle = F.percentile_approx(v, 0.5, accuracy) if accuracy else F.lit(None).cast(kind)
+        aggs.append(F.struct(F.min(v).alias("min"), F.max(v).alias("max"), F.sum(v).cast(kind).alias("sum"), middle.alias("median")).alias(c))
+    row = df.agg(*aggs)
+    cells = [F.struct(F.lit(c).alias("column_name"), F.lit(s).alias("stat"), F.col(f"`{c}`.`{s}`").alias("value")) for c in columns for s in STATS]
+    return row.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
+
+
 def numeric_stats(df: DataFrame, columns: list[str], exact: bool = True, accuracy: int = 10_000, decimal: bool = False) -> DataFrame:
     """Long rows (column_name, stat, value) of all columns.
 
@@ -68,30 +80,34 @@ def numeric_stats(df: DataFrame, columns: list[str], exact: bool = True, accurac
     digits and takes the approximate median; else the median is exact unless
     told otherwise (``exact_percentiles``).
     """
-    kind, aggs = "decimal(38,18)" if decimal else "double", []
-    ranked = exact and not decimal
-    for c in columns:
-        v = F.col(f"`{c}`").cast(kind)
-        middle = F.lit(None).cast(kind) if ranked else F.percentile_approx(v, 0.5, accuracy)
-        aggs.append(F.struct(F.min(v).alias("min"), F.max(v).alias("max"), F.sum(v).cast(kind).alias("sum"), middle.alias("median")).alias(c))
-    row = df.agg(*aggs)
-    cells = [F.struct(F.lit(c).alias("column_name"), F.lit(s).alias("stat"), F.col(f"`{c}`.`{s}`").alias("value")) for c in columns for s in STATS]
-    out = row.select(F.explode(F.array(*cells)).alias("c")).select("c.*")
-    if not ranked:
-        return out
+    if decimal or not exact:
+        return moments(df, columns, "decimal(38,18)" if decimal else "double", accuracy)
     found = exact_percentiles(cells_of(df, columns), ["column_name"], "v", [0.5])
-    both = with_percentiles(out, found, ["column_name"], ["_median"])
+    both = with_percentiles(moments(df, columns, "double", None), found, ["column_name"], ["_median"])
     return both.select("column_name", "stat", F.when(F.col("stat") == "median", F.col("_median")).otherwise(F.col("value")).alias("value"))
 
 
-def numeric_stats_compare(pair: TablePair, columns: list[str], rule: ReconRule, exact: bool = True, decimal: bool = False) -> DataFrame:
-    """Each statistic on both sides: differences, and PASS within max(abs, rel * max(|s|, |t|, 1)); two nulls pass."""
-    s = numeric_stats(pair.source, columns, exact, decimal=decimal).withColumnRenamed("value", "source_value")
-    t = numeric_stats(pair.target, columns, exact, decimal=decimal).withColumnRenamed("value", "target_value")
+def numeric_stats_compare(pair: TablePair, columns: list[str], rule: ReconRule, exact: bool = True, decimal: bool = False, accuracy: int = 10_000) -> DataFrame:
+    """Each statistic on both sides: differences, and PASS within max(abs, rel * max(|s|, |t|, 1)); two nulls pass.
+
+    Exact medians of both sides come from one ranking of values tagged with their side.
+    """
+    ranked = exact and not decimal
+    kind = "decimal(38,18)" if decimal else "double"
+    sides = {"source": pair.source, "target": pair.target}
+    both = None
+    for name, df in sides.items():
+        one = moments(df, columns, kind, None if ranked else accuracy).withColumnRenamed("value", f"{name}_value")
+        both = one if both is None else both.join(one, ["column_name", "stat"], "full_outer")
+    if ranked:
+        tagged = unioned([cells_of(df, columns).withColumn("side", F.lit(name)) for name, df in sides.items()])
+        found = exact_percentiles(tagged, ["side", "column_name"], "v", [0.5])
+        middle = found.groupBy("column_name").agg(*(F.max(F.when(F.col("side") == n, F.get("q", F.lit(0)))).alias(f"_{n}") for n in sides))
+        both = both.join(middle, "column_name", "left").withColumns({f"{n}_value": F.when(F.col("stat") == "median", F.col(f"_{n}")).otherwise(F.col(f"{n}_value")) for n in sides}).drop(*(f"_{n}" for n in sides))
     a, b = F.col("source_value"), F.col("target_value")
     limit = F.greatest(F.lit(float(rule.numeric_abs)), F.lit(float(rule.numeric_rel)) * F.greatest(F.abs(a), F.abs(b), F.lit(1.0)))
     good = F.coalesce(F.abs(b - a) <= limit, a.isNull() & b.isNull())
-    return s.join(t, ["column_name", "stat"], "full_outer").withColumns({
+    return both.withColumns({
         "abs_difference": F.abs(b - a), "rel_difference": F.try_divide(F.abs(b - a), F.greatest(F.abs(a), F.lit(1.0))), "status": F.when(good, "PASS").otherwise("FAIL"),
     })
 

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..operators import cube, duplicates, infer, mining, models, profile, reconcile, sample, schema_diff, stats
 from ..functions.classify import CATEGORICAL, DATE, NUMERICAL, TIMESTAMP_NTZ, TIMESTAMP_TZ
 from ..functions.equality import to_minute
-from ..operators.ranks import settled
+from ..tables import settled
 from ..rules import ERROR, ReconRule, RunContext, TablePair
 from ..sources.sinks import append_audit, audit_table_name, ensure_schema, with_audit_columns
 

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .functions.canonical import pair_hash
-from .functions.measures import date_grains
+from .functions.measures import bin_number, date_grains
 from .operators import cube, duplicates, infer, mining, models, profile, reconcile, sample, schema_diff, stats
 from .rules import ReconRule, RunContext, TablePair
 
@@ -165,8 +165,24 @@ def changed_cells_tolerant(spark, sf_dir):
     from cells group by 1""")
 def column_mismatch_stats(spark, sf_dir):
     joined, pair = orders_joined(spark, sf_dir)
-    both = joined.agg(F.count_if(F.col("row_status").isin("MATCH", "CHANGED")).alias("n"))
-    return rounded(reconcile.column_mismatch_stats(reconcile.cell_rows(joined, pair, ORDERS), both))
+    return rounded(reconcile.mismatch_report(joined, pair, ORDERS)[1])
+
+
+HOT = """h_s as (select case when o_custkey % 4 = 0 then null else o_orderkey end k, o_orderpriority p, o_totalprice v from orders where o_orderkey % 3 <> 0),
+    h_t as (select case when o_custkey % 40 = 0 then null when o_orderkey % 11 = 0 then -1 else o_orderkey end k, o_orderpriority p, o_totalprice v from orders where o_orderkey % 4 <> 0)"""
+
+
+@query(f"""with {HOT}, j as (select s.k sk, t.k tk, s.p sp, t.p tp, s.v sv, t.v tv, s.p is null no_s, t.p is null no_t from h_s s full join h_t t on s.k is not distinct from t.k and s.p = t.p),
+    r as (select coalesce(sp, tp) priority, case when no_t then 'SOURCE_ONLY' when no_s then 'TARGET_ONLY' when sv = tv then 'MATCH' else 'CHANGED' end row_status, coalesce(sk, tk) is null null_key from j)
+    select priority, row_status, null_key, count(*) n_rows from r group by 1, 2, 3""")
+def hot_key_status(spark, sf_dir):
+    """Null keys on both sides, and one key of the target alone: all are dealt over tasks, whatever the table's size."""
+    o, k, c = table(spark, sf_dir, "orders"), F.col("o_orderkey"), F.col("o_custkey")
+    values = ["o_orderpriority", "o_totalprice"]
+    s = o.where(k % 3 != 0).select(F.when(c % 4 != 0, k).alias("k"), *values)
+    t = o.where(k % 4 != 0).select(F.when(c % 40 == 0, None).when(k % 11 == 0, -1).otherwise(k).alias("k"), *values)
+    joined = reconcile.join_rows(TablePair(s, t, "orders"), ReconRule(keys=("k", "o_orderpriority")), hot_rows=50)
+    return joined.groupBy(F.coalesce("sk_1", "tk_1").alias("priority"), "row_status", F.coalesce("sk_0", "tk_0").isNull().alias("null_key")).agg(F.count("*").alias("n_rows"))
 
 
 @query("""select o_orderkey, sha256('o_orderkey=' || o_orderkey || '||o_custkey=' || o_custkey || '||o_orderstatus=' || coalesce(o_orderstatus, '<NULL>') || '||o_orderdate=' || strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f')) row_hash from orders""")
@@ -538,11 +554,19 @@ def numeric_by_class(spark, sf_dir):
     select bin, count(*) n_rows, min(o_totalprice) lo, max(o_totalprice) hi from (select o_totalprice, case when o_totalprice <= q[2] then 1 when o_totalprice <= q[3] then 2 when o_totalprice <= q[4] then 3 when o_totalprice <= q[5] then 4 else 5 end::bigint bin from orders, s) group by 1""")
 def quantile_bins(spark, sf_dir):
     df = table(spark, sf_dir, "orders")
-    out = mining.binned_frame(df.withColumn("price", F.col("o_totalprice")), mining.quantile_edges(df, ["o_totalprice"]))
-    per = out.groupBy("o_totalprice").agg(F.count("*").alias("n_rows"), F.min("price").alias("lo"), F.max("price").alias("hi"))
-    from pyspark.sql import Window
+    edges = mining.quantile_edges(df, ["o_totalprice"])["o_totalprice"]
+    number = bin_number(F.col("o_totalprice"), edges).cast("long")
+    return df.groupBy(number.alias("bin")).agg(F.count("*").alias("n_rows"), F.min("o_totalprice").alias("lo"), F.max("o_totalprice").alias("hi"))
+
 
-    return per.select(F.row_number().over(Window.orderBy("lo")).cast("long").alias("bin"), "n_rows", "lo", "hi")  # at most five rows
+@query("""with e as (select [quantile_cont(v, 0), quantile_cont(v, 0.25), quantile_cont(v, 0.5), quantile_cont(v, 0.75), quantile_cont(v, 1)] q from (select 1e6 + o_orderkey / 1e8 v from orders))
+    select bin, count(*) n_rows, min(o_orderkey) first_key, max(o_orderkey) last_key from (select o_orderkey, case when v <= q[2] then 1 when v <= q[3] then 2 when v <= q[4] then 3 else 4 end::bigint bin from (select o_orderkey, 1e6 + o_orderkey / 1e8 v from orders), e) group by 1""")
+def near_bins(spark, sf_dir):
+    """Bins of values that differ in their eighth digit only."""
+    df = table(spark, sf_dir, "orders").withColumn("v", F.lit(1e6) + F.col("o_orderkey") / F.lit(1e8))
+    edges = mining.quantile_edges(df, ["v"], 4)
+    label = mining.binned_frame(df.withColumn("bin", bin_number(F.col("v"), edges["v"]).cast("long")), edges)
+    return label.groupBy("bin", "v").agg(F.count("*").alias("n_rows"), F.min("o_orderkey").alias("first_key"), F.max("o_orderkey").alias("last_key")).drop("v")
 
 
 COMBOS = f"""with {LINES}, b as (select count(*) an, sum(flag) ap from lines), g as (
@@ -630,9 +654,22 @@ def _scored(spark, sf_dir):
     return models.scored_rows(_lines(spark, sf_dir), ["l_extendedprice", "l_discount"], ["l_linestatus", "l_shipmonth"])
 
 
-@query()
+STATED = """stated as (select case when l_returnflag = 'R' then 1 else 0 end flag, (l_partkey * 37 + l_linenumber * 11 + case when l_returnflag = 'R' then 150 else 0 end) % 997 / 1000.0 score from lineitem)"""
+
+
+def _stated(spark, sf_dir):
+    """Lines with a score that both engines work out alike, and that has ties."""
+    flag = F.when(F.col("l_returnflag") == "R", 1).otherwise(0)
+    score = (F.col("l_partkey") * 37 + F.col("l_linenumber") * 11 + F.when(F.col("l_returnflag") == "R", 150).otherwise(0)) % 997 / F.lit(1000.0)
+    return table(spark, sf_dir, "lineitem").select(flag.alias("target_flag"), score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
+
+
+@query(f"""with {STATED}, e as (select list_sort(list_distinct([""" + ", ".join(f"quantile_cont(score, {k / 10})" for k in range(11)) + f"""])) q from stated),
+    b as (select flag, score, q, 1 + len(list_filter(q[2 : len(q) - 1], lambda x: x < score)) band from stated, e), w as (select count(*)::double an, sum(flag)::double ap from stated),
+    g as (select band, count(*) n, sum(flag)::bigint s, sum(flag)::double / count(*) p, avg(score) mean_score, min(score) min_score, max(score) max_score, any_value(q[band]) lower_edge, any_value(q[band + 1]) upper_edge from b group by 1)
+    select band::int band, n records, s positives, round(mean_score, 6) mean_score, round(min_score, 6) min_score, round(max_score, 6) max_score, round(lower_edge, 6) lower_edge, round(upper_edge, 6) upper_edge, round(p, 6) rate, round(p / (ap / an), 6) lift, round(n / an, 6) support, {WILSON} from g, w""")
 def risk_bands(spark, sf_dir):
-    return models.risk_bands(_scored(spark, sf_dir))
+    return rounded(models.risk_bands(_stated(spark, sf_dir)), 6)
 
 
 @query()
