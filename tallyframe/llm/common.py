@@ -43,6 +43,18 @@ def tidy(spark: SparkSession) -> Iterator[None]:
         spark.conf.set(name, before)
 
 
+@contextmanager
+def small_batches(spark: SparkSession, size: str = "8m") -> Iterator[None]:
+    """Jobs run inside hand rows to Python in batches of about ``size``, so that whole texts are not held many times over."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, size)
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def written(df: DataFrame, **options: str) -> DataFrame:
     """``df`` written once to the shared folder and read back.
 

@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import text_of, written
+from .common import small_batches, text_of, written
 
 #: Fixed by the contract: what ends a piece, what separates its words (space and tab), and the language of rows without one.
 PIECE_ENDS = b".,;:!?\n\x0b\x0c\r"
@@ -217,7 +217,8 @@ def phrase_frequencies(docs: DataFrame, lang_col: str = "lang", text_col: str =
     No task holds more than a shard or a group: groups grow in number with the words.
     """
     rows = docs.select(F.coalesce(docs[lang_col].cast("string"), F.lit(NO_LANG)).alias("_lang"), text_of(docs, text_col).alias("_text"))
-    shards = written(rows.mapInPandas(shard_rows, "shard long, lang string, words binary, ids binary, n_words long"))
+    with small_batches(docs.sparkSession):
+        shards = written(rows.mapInPandas(shard_rows, "shard long, lang string, words binary, ids binary, n_words long"))
     totals = shards.groupBy("lang").agg(F.sum("n_words").alias("n")).where("n > 0")
     words = shards.agg(F.coalesce(F.sum("n_words"), F.lit(0))).first()[0]
     groups = max(256, -(-longest * words // KEYS_A_GROUP))
@@ -227,7 +228,8 @@ def phrase_frequencies(docs: DataFrame, lang_col: str = "lang", text_col: str =
     told = marks.groupBy("shard").agg(F.collect_list(F.struct("grp", "bits")).alias("marks"))  # at most a bit for each phrase of the shard
     found = filled.join(told, "shard").mapInPandas(frequent_phrases(longest, groups), "grp long, lang string, phrases binary, counts binary")
     counts = found.groupBy("grp").applyInPandas(added(least), "lang string, phrase string, size int, f long")
-    return totals, written(counts)
+    with small_batches(docs.sparkSession):  # of shards, a few
+        return totals, written(counts)
 
 
 def collocations(

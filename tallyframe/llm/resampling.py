@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import discard, text_of, written
+from .common import discard, small_batches, text_of, written
 
 #: Fixed by the contract: words, after A-Z are lower-cased, and the number of buckets.
 WORD = re.compile(rb"[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
@@ -135,7 +135,9 @@ def chunked(docs: DataFrame, id_col: str | None, text_col: str) -> DataFrame:
     own = docs[id_col] if id_col else F.lit(None).cast("string")
     kind = docs.schema[id_col].dataType.simpleString() if id_col else "string"
     rows = docs.select(F.struct(own.alias("v")).alias("_id"), text_of(docs, text_col).alias("_text"))
-    return written(rows.mapInPandas(chunk_rows, f"chunk long, ids array<struct<v: {kind}>>, words array<int>, features array<long>, blocks array<struct<part: int, block: binary>>, buckets array<int>, counts array<long>"))
+    made = rows.mapInPandas(chunk_rows, f"chunk long, ids array<struct<v: {kind}>>, words array<int>, features array<long>, blocks array<struct<part: int, block: binary>>, buckets array<int>, counts array<long>")
+    with small_batches(docs.sparkSession):
+        return written(made)
 
 
 def bucket_counts(chunks: DataFrame, name: str) -> DataFrame:
@@ -204,7 +206,8 @@ def resample(
     members = chunks.select("chunk", "ids", "words", "features")
     found = members.groupBy("chunk").cogroup(sums.groupBy("chunk")).applyInPandas(weighed, f"_id {kind}, _n_words int, n_features long, weight long")
     name = F.coalesce(F.col("_id").cast("string"), F.lit("null"))
-    scored = written(found.withColumn("score", F.col("weight") + gumbel(seed, name)))
+    with small_batches(spark):
+        scored = written(found.withColumn("score", F.col("weight") + gumbel(seed, name)))
 
     order = [F.desc("score"), F.asc_nulls_last("_id")]
     drawn = ranked(scored.where(F.col("_n_words") >= least_words), order, share)
