@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame, Window
@@ -11,6 +13,7 @@ from pyspark.sql import types as T
 
 from ..functions.measures import age_band, binned, day_difference, missing_flag, recommended_action, rule_score, safe_ratio, split_part, wilson
 from ..functions.canonical import missing_cleaned
+from ..tables import settled
 from .cube import grouped_sets, with_medians
 from .ranks import cells_of, exact_percentiles, with_percentiles
 from .stats import unioned
@@ -138,27 +141,100 @@ def numeric_eda(df: DataFrame, columns: list[str], by: str) -> DataFrame:
     return with_percentiles(out, exact_percentiles(rows, keys, "v", [0.25, 0.5, 0.75]), keys, ["p25", "median", "p75"])
 
 
-def combination_rules(df: DataFrame, features: list[str], flag: str = "target_flag", length: int = 3, least_records: int = 30, least_rate: float = 0.0, least_lift: float = 1.0, per_level: int = 5000, prune: bool = True) -> DataFrame:
-    """Rules of up to ``length`` features with enough records, rate and lift, best score first.
+def item_arrays(df: DataFrame, features: list[str], keep: list[str]) -> DataFrame:
+    """(keep..., items): each row's items (place of the feature, its value; null is UNKNOWN) in the order of ``features``."""
+    items = F.array(*(F.struct(F.lit(i).alias("f"), F.coalesce(F.col(f"`{f}`").cast("string"), F.lit("UNKNOWN")).alias("v")) for i, f in enumerate(features)))
+    return df.select(*keep, items.alias("items"))
 
-    Level by level: each level's feature sets are grouped by grouping sets over
-    all rows. With ``prune`` a longer set is tried only if each of its features
-    qualified alone. ``items`` holds the conditions as ``feature=value``.
+
+class SetTable:
+    """Which item sets may be frequent, in a fixed number of slots: a set that is has its slot marked, one that is not may share it."""
+
+    def __init__(self, frequent: DataFrame, most_slots: int):
+        # About 64 slots for each set, as long as the table stays in its bound.
+        self.slots = min(most_slots, 1 << (64 * max(64, frequent.count())).bit_length())
+        marks = bytearray(self.slots)
+        for r in frequent.select(self.slot(F.col("items")).alias("s")).distinct().collect():  # at most a row for each slot
+            marks[r["s"]] = 1
+        self.marks = F.lit(marks)
+
+    def slot(self, items: Column) -> Column:
+        return F.pmod(F.xxhash64(items), F.lit(self.slots)).cast("int")
+
+    def may_have(self, items: Column) -> Column:
+        return F.substring(self.marks, self.slot(items) + 1, 1) == F.lit(bytearray([1]))
+
+
+def candidate_sets(items: Column, tables: list[SetTable]) -> Column:
+    """All item sets of a row with one item more than those of the last table, of which every subset with one item less may be frequent.
+
+    Sets grow by an item of a later feature, from sets that may be frequent themselves.
+    """
+    singles = F.transform(F.filter(items, lambda x: tables[0].may_have(F.array(x))), lambda x: F.array(x))
+    sets = singles if tables else F.transform(items, lambda x: F.array(x))
+    for k, table in enumerate(tables, 1):
+        known = sets if k == 1 else F.filter(sets, table.may_have)
+
+        sets = F.flatten(F.transform(known, growing(items, k, table)))
+    return sets
+
+
+def growing(items: Column, k: int, table: SetTable) -> Callable[[Column], Column]:
+    return lambda s: grown(s, items, k, table)
+
+
+def grown(s: Column, items: Column, k: int, table: SetTable) -> Column:
+    """A set of ``k`` items with each later item, if the sets that have it instead of another one are in the table too."""
+    later = F.filter(items, lambda y: y["f"] > F.get(s, F.lit(k - 1))["f"])
+    subsets = lambda y: [F.concat(F.slice(s, 1, m), F.slice(s, m + 2, k), F.array(y)) for m in range(k)]
+    fit = F.filter(later, lambda y: reduce(lambda a, b: a & b, (table.may_have(x) for x in subsets(y))))
+    return F.transform(fit, lambda y: F.concat(s, F.array(y)))
+
+
+def frequent_sets(df: DataFrame, features: list[str], flag: str, length: int, least_records: int, slots: int = 1 << 20) -> list[DataFrame]:
+    """For 1 to ``length`` items: (items, records, positives) of the item sets found in ``least_records`` rows or more.
+
+    Level by level: a set can be frequent only if its subsets are, so a row is
+    expanded only to sets whose subsets with one item less are all marked in the table
+    of the level before. Tables have ``slots`` bytes however many sets there
+    are, and hold no set back: counts are of the sets themselves, and exact.
+    """
+    rows, levels, tables = item_arrays(df, features, [flag]), [], []
+    for k in range(1, min(length, len(features)) + 1):
+        sets = F.transform("items", lambda x: F.array(x)) if k == 1 else candidate_sets(F.col("items"), tables)
+        counted = rows.select(flag, F.explode(sets).alias("items")).groupBy("items").agg(F.count("*").alias("records"), F.sum(flag).alias("positives"))
+        levels.append(settled(counted.where(F.col("records") >= least_records)))
+        if k < length:
+            if levels[-1].isEmpty():
+                break
+            tables.append(SetTable(levels[-1], slots))
+    return levels
+
+
+def combination_rules(
+    df: DataFrame, features: list[str], flag: str = "target_flag", length: int = 3, least_records: int = 30, least_rate: float = 0.0, least_lift: float = 1.0, per_level: int = 5000,
+    prune: bool = False, least_positives: int = 0,
+) -> DataFrame:
+    """Rules of up to ``length`` features with enough records, positives, rate and lift, best score first.
+
+    Item sets are counted level by level (``frequent_sets``). With ``prune`` a
+    longer set counts only if each of its features gave a rule of its own.
+    ``items`` holds the conditions as ``feature=value``.
     """
     base = base_of(df, flag)
-    named = df.select(flag, *(F.coalesce(F.col(f"`{f}`").cast("string"), F.lit("UNKNOWN")).alias(f) for f in features))
     alive, levels = list(features), []
-    for k in range(1, length + 1):
-        sets = list(combinations(alive, k))
-        if not sets:
-            break
-        groups = grouped_sets(named, sets, [F.count("*").alias("records"), F.sum(flag).alias("positives")])
-        rated = with_lift(groups.where(F.col("records") >= least_records), base).where((F.col("rate") >= least_rate) & (F.col("lift") >= least_lift))
-        used = [f for f in features if any(f in s for s in sets)]
-        conditions = F.filter(F.array(*(F.when(F.col(f"`{f}`").isNotNull(), F.concat(F.lit(f"{f}="), F.col(f"`{f}`"))) for f in used)), lambda x: x.isNotNull())
-        text = F.concat_ws(" AND ", *(F.when(F.col(f"`{f}`").isNotNull(), F.concat(F.lit(f"{f} = "), F.col(f"`{f}`"))) for f in used))
+    named = lambda item: F.element_at(F.array(*map(F.lit, features)), item["f"] + 1)
+    for k, groups in enumerate(frequent_sets(df, features, flag, length, least_records), 1):
+        if k > 1 and prune:
+            groups = groups.where(F.forall("items", lambda x: named(x).isin(alive)))
+        good = (F.col("rate") >= least_rate) & (F.col("lift") >= least_lift) & (F.col("positives") >= least_positives)
+        rated = with_lift(groups, base).where(good)
+        texts = lambda sep: F.transform("items", lambda x: F.concat(named(x), F.lit(sep), x["v"]))
         score = rule_score(F.col("lift"), F.col("rate"), F.col("records"), F.col("positives"))
-        rules = rated.select(F.lit(k).alias("rule_length"), F.col("dims").alias("features"), text.alias("rule"), conditions.alias("items"), "records", "positives", "rate", "lift", "support", "ci_low", "ci_high", score.alias("score"))
+        rules = rated.select(
+            F.lit(k).alias("rule_length"), F.array_join(F.transform("items", named), " | ").alias("features"), F.array_join(texts(" = "), " AND ").alias("rule"), texts("=").alias("items"),
+            "records", "positives", "rate", "lift", "support", "ci_low", "ci_high", score.alias("score"),
+        )
         rules = rules.orderBy(F.desc("score"), F.desc("lift"), F.desc("records"), "rule").limit(per_level)
         levels.append(rules)
         if prune and k == 1:
@@ -236,9 +312,16 @@ def stratified_sample(df: DataFrame, by: str, fractions: dict, seed: int = 0) ->
     return df.sampleBy(by, fractions, seed)
 
 
-def validate_rules(rules: DataFrame, test: DataFrame, features: list[str], flag: str = "target_flag") -> DataFrame:
-    """Records, positives, rate and lift of each rule on rows it was not mined on, and the recommended action."""
+def scaled_thresholds(least_records: int, least_positives: int, test_share: float) -> tuple[int, int]:
+    """Thresholds for rules that are mined on the training share of rows only."""
+    return max(5, int(least_records * (1 - test_share))), max(2, int(least_positives * (1 - test_share)))
+
+
+def validate_rules(rules: DataFrame, test: DataFrame, features: list[str], flag: str = "target_flag", most: int | None = None) -> DataFrame:
+    """Records, positives, rate and lift of each rule (of the ``most`` best by score, if given) on rows it was not mined on, the drop of its rate, and the recommended action."""
+    if most:
+        rules = settled(rules.orderBy(F.desc("score"), F.desc("lift"), F.desc("records"), "rule").limit(most))
     hits = apply_rules(test, rules, features, [flag]).groupBy("rule").agg(F.count("*").alias("records"), F.sum(flag).alias("positives"))
     tested = with_lift(hits, base_of(test, flag)).select("rule", F.col("records").alias("test_records"), F.col("positives").alias("test_positives"), F.col("rate").alias("test_rate"), F.col("lift").alias("test_lift"))
     out = rules.join(tested, "rule", "left")
-    return out.withColumn("recommended_action", recommended_action(F.col("lift"), F.col("test_lift"), F.col("test_records")))
+    return out.withColumn("rate_drop", F.col("rate") - F.col("test_rate")).withColumn("recommended_action", recommended_action(F.col("lift"), F.col("test_lift"), F.col("test_records")))

@@ -2,18 +2,18 @@
 
 from __future__ import annotations
 
-import re
+from dataclasses import dataclass
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.fpm import FPGrowth
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.measures import bin_edges, bin_number
+from ..sources.readers import quoted
 from .mining import base_of, quantile_edges, with_lift
 from ..tables import settled
 
@@ -91,39 +91,63 @@ def tree_inputs(fitted, numeric: list[str]) -> list[tuple[str, str | None]]:
     return out
 
 
-def leaf_conditions(model: DecisionTreeClassificationModel, inputs: list[tuple[str, str | None]]) -> list[list[str]]:
-    """The path of conditions to each leaf, as SQL text over the original columns."""
-    paths: list[list[str]] = []
-    stack: list[tuple[int, str]] = []
-    for line in model.toDebugString.splitlines()[1:]:
-        level = len(line) - len(line.lstrip())
-        while stack and stack[-1][0] >= level:
-            stack.pop()
-        text = line.strip()
-        if text.startswith("Predict"):
-            paths.append([c for _, c in stack])
+@dataclass(frozen=True)
+class Condition:
+    """One step on the way to a leaf: a number beside a threshold, or a category that is, or is not, a value."""
+
+    column: str
+    holds: bool
+    threshold: float | None = None
+    value: str | None = None
+
+    def test(self) -> Column:
+        c = F.col(quoted(self.column))
+        found = c <= self.threshold if self.value is None else c == F.lit(self.value)
+        return found if self.holds else ~found
+
+    def __str__(self) -> str:
+        if self.value is None:
+            return f"{self.column} {'<=' if self.holds else '>'} {self.threshold!r}"
+        return f"{self.column} {'=' if self.holds else '<>'} " + "'" + self.value.replace("'", "''") + "'"
+
+
+def leaf_paths(model: DecisionTreeClassificationModel, inputs: list[tuple[str, str | None]]) -> list[list[Condition]]:
+    """The conditions to each leaf, leaves in the order of the model's own numbers, from its nodes."""
+    paths: list[list[Condition]] = []
+    stack = [(model._java_obj.rootNode(), [])]
+    while stack:
+        node, path = stack.pop()
+        if node.subtreeDepth() == 0:
+            paths.append(path)
             continue
-        m = re.match(r"(?:If|Else) \(feature (\d+) (<=|>|in|not in) (.+)\)$", text)
-        (name, value), op = inputs[int(m[1])], m[2]
+        split = node.split()
+        name, value = inputs[split.featureIndex()]
         if value is None:
-            stack.append((level, f"`{name}` {op} {m[3]}"))
-        else:  # the input is 1 where the column has the value
-            has = op == ">" or ("in" in op and ("1.0" in m[3]) == (op == "in"))
-            stack.append((level, f"`{name}` {'=' if has else '<>'} '" + value.replace("'", "''") + "'"))
+            left, right = (Condition(name, holds, split.threshold()) for holds in (True, False))
+        else:  # the input is 1 where the column has the value, else 0
+            has = 1.0 in list(split.leftCategories()) if split.getClass().getSimpleName() == "CategoricalSplit" else split.threshold() >= 1.0
+            left, right = Condition(name, has, value=value), Condition(name, not has, value=value)
+        stack += [(node.rightChild(), [*path, right]), (node.leftChild(), [*path, left])]  # the left child is next
     return paths
 
 
-def tree_rules(df: DataFrame, numeric: list[str], categorical: list[str], flag: str = "target_flag", depth: int = 4, least: int = 20) -> DataFrame:
-    """One row per leaf: its path, records, positives, rate and lift, counted on all rows in one aggregation."""
+def tree_leaves(df: DataFrame, numeric: list[str], categorical: list[str], flag: str = "target_flag", depth: int = 4, least: int = 20) -> tuple[DataFrame, list[list[Condition]]]:
+    """The rows that a tree fitted on them sees (numbers filled in, rare values as one), with their ``leaf``, and the way to each leaf."""
     fitted, kept = fit_tree(df, numeric, categorical, flag, depth, least)
-    paths = leaf_conditions(fitted.stages[-1], tree_inputs(fitted, numeric))
+    tree = fitted.stages[-1]
+    tree.setLeafCol("leaf")
     scored = fitted.transform(prepared(df, numeric, kept, flag))
-    frame = scored.withColumns({c: F.col(f"{c}__num") for c in numeric})
-    leaf = F.lit(None).cast("int")
-    for i, path in enumerate(paths):
-        leaf = F.when(F.expr(" and ".join(path) or "true"), i).otherwise(leaf)
-    groups = frame.withColumn("leaf", leaf).groupBy("leaf").agg(F.count("*").alias("records"), F.sum(flag).alias("positives"), F.sum("__weight").alias("weighted_records"))
-    texts = df.sparkSession.createDataFrame([(i, " AND ".join(p).replace("`", "")) for i, p in enumerate(paths)], "leaf int, rule string")
+    rows = scored.withColumns({**{c: F.col(f"{c}__num") for c in numeric}, "leaf": F.col("leaf").cast("int")})
+    return rows.select(*df.columns, "__weight", "leaf"), leaf_paths(tree, tree_inputs(fitted, numeric))
+
+
+def tree_rules(df: DataFrame, numeric: list[str], categorical: list[str], flag: str = "target_flag", depth: int = 4, least: int = 20) -> DataFrame:
+    """One row per leaf: its path, records, weighted records and positives, class, rate and lift, counted on all rows in one aggregation."""
+    rows, paths = tree_leaves(df, numeric, categorical, flag, depth, least)
+    weight = F.col("__weight")
+    groups = rows.groupBy("leaf").agg(F.count("*").alias("records"), F.sum(flag).alias("positives"), F.sum(weight).alias("weighted_records"), F.sum(weight * F.col(flag)).alias("weighted_positives"))
+    groups = groups.withColumn("predicted_class", (F.col("weighted_positives") > F.col("weighted_records") - F.col("weighted_positives")).cast("int"))
+    texts = df.sparkSession.createDataFrame([(i, " AND ".join(map(str, p))) for i, p in enumerate(paths)], "leaf int, rule string")
     return with_lift(groups, base_of(df, flag)).join(F.broadcast(texts), "leaf", "left")  # a row for each leaf
 
 
@@ -138,12 +162,6 @@ def confusion(scored: DataFrame, flag: str = "target_flag") -> DataFrame:
     return scored.groupBy(F.col(flag).alias("actual"), "predicted").agg(F.count("*").alias("records"))
 
 
-def areas(scored: DataFrame, flag: str = "target_flag") -> dict[str, float]:
-    """Areas under the ROC and precision-recall curves."""
-    rows = scored.select(F.col(flag).cast("double").alias("label"), F.col("score").alias("raw"))
-    return {m: BinaryClassificationEvaluator(rawPredictionCol="raw", metricName=m).evaluate(rows) for m in ("areaUnderROC", "areaUnderPR")}
-
-
 def class_performance(scored: DataFrame, flag: str = "target_flag") -> DataFrame:
     """Per class: actual, predicted and correct rows, recall, precision, mean score."""
     pairs = F.array(F.struct(F.col(flag).alias("class"), F.lit(1).alias("a"), F.lit(0).alias("p")), F.struct(F.col("predicted").alias("class"), F.lit(0).alias("a"), F.lit(1).alias("p")))

@@ -98,12 +98,19 @@ def describe_percentiles(df: DataFrame, columns: list[str], points: tuple[float,
     return with_percentiles(long_form(df, measures), found, ["column_name"], [f"p{round(100 * p)}" for p in points])
 
 
-def top_values(df: DataFrame, columns: list[str], k: int = 5) -> DataFrame:
-    """Per column the ``k`` most frequent values as ``value:count`` text, ties by value."""
+def present_counts(df: DataFrame, columns: list[str]) -> DataFrame:
+    """Rows per column and value as text, nulls left out."""
+    cells = F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("string").alias("category_value")) for c in columns))
+    return df.select(F.explode(cells).alias("c")).select("c.*").where("category_value is not null").groupBy("column_name", "category_value").agg(F.count("*").alias("n_rows"))
+
+
+def top_values(df: DataFrame, columns: list[str], k: int = 5, nulls: bool = True, separator: str = ", ") -> DataFrame:
+    """Per column the ``k`` most frequent values as ``value:count`` text, ties by value; null is a value, or left out."""
     w = Window.partitionBy("column_name").orderBy(F.desc("n_rows"), "category_value")
-    best = category_counts(df, columns).withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+    counts = category_counts(df, columns) if nulls else present_counts(df, columns)
+    best = counts.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
     entry = F.struct("rank", F.concat_ws(":", "category_value", "n_rows").alias("v"))
-    return best.groupBy("column_name").agg(F.array_join(F.transform(F.array_sort(F.collect_list(entry)), lambda x: x["v"]), ", ").alias("top_values"))
+    return best.groupBy("column_name").agg(F.array_join(F.transform(F.array_sort(F.collect_list(entry)), lambda x: x["v"]), separator).alias("top_values"))
 
 
 def top_categories(df: DataFrame, column: str, k: int = 10, other: str = "OTHER", unknown: str = "UNKNOWN") -> DataFrame:

@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 
 from ..operators import cube, duplicates, infer, mining, models, profile, reconcile, sample, schema_diff, stats
 from ..functions.classify import CATEGORICAL, DATE, NUMERICAL, TIMESTAMP_NTZ, TIMESTAMP_TZ
-from ..functions.equality import to_minute
 from ..tables import settled
 from ..rules import ERROR, ReconRule, RunContext, TablePair
 from ..sources.sinks import append_audit, audit_table_name, ensure_schema, with_audit_columns
@@ -149,12 +148,13 @@ def analyse_csv(df: DataFrame, forced: dict[str, str] | None = None, depth: int
     """Inferred types, profile, imputation, percentiles, and every measure over all combinations of dimensions."""
     df = infer.clean_names(df)
     types = infer.infer_types(df, forced)
-    kind = {r["column_name"]: r["inferred_type"] for r in types.select("column_name", "inferred_type").collect()}  # one row per column
+    found = types.select("column_name", "inferred_type", "date_format").collect()  # one row per column
+    kind, form = {r["column_name"]: r["inferred_type"] for r in found}, {r["column_name"]: r["date_format"] for r in found}
     measures = [c for c in df.columns if kind[c] == "numeric"]
     dims = [c for c in df.columns if kind[c] in ("categorical", "boolean")]
     typed = df.withColumns({c: F.regexp_replace(F.col(f"`{c}`").cast("string"), ",", "").try_cast("double") for c in measures})
     full = infer.impute(typed, measures, dims)
-    out = Result({"types": types, "profile": profile.profile_columns(typed), "imputation": infer.imputation_log(typed, measures, dims)})
+    out = Result({"types": types, "profile": profile.profile_columns(typed), "columns": infer.column_report(df, forced), "imputation": infer.imputation_log(typed, measures, dims)})
     if measures:
         out.reports["percentiles"] = profile.describe_percentiles(full, measures)
     if dims:
@@ -162,14 +162,14 @@ def analyse_csv(df: DataFrame, forced: dict[str, str] | None = None, depth: int
         for m in measures:
             out.reports[f"measure_{m}"] = cube.measure_by_dims(full, dims, m, depth, budget=budget)
     dates = [c for c in df.columns if kind[c] == "date"]
-    dated = full.withColumns({c: F.try_to_timestamp(to_minute(F.col(f"`{c}`").cast("string"))) for c in dates})
+    dated = full.withColumns({c: infer.dates_of(F.col(f"`{c}`"), form[c]) for c in dates if form[c] and dict(full.dtypes)[c] == "string"})
     for d in dates:
         for m in measures:
             out.reports[f"measure_{m}_by_{d}"] = cube.measure_by_dims_time(dated, dims, m, d, depth, budget=budget)
     return out
 
 
-def mine(df: DataFrame, target: mining.Target, ids: list[str], exclude: list[str] = (), length: int = 3, bins: int = 5, top: int = 20, most_features: int = 20, least_records: int = 30, least_lift: float = 1.0) -> Result:
+def mine(df: DataFrame, target: mining.Target, ids: list[str], exclude: list[str] = (), length: int = 3, bins: int = 5, top: int = 20, most_features: int = 20, least_records: int = 30, least_lift: float = 1.0, least_positives: int = 5, test_share: float = 0.25, most_validated: int = 500) -> Result:
     """Rules for a target: features binned and collapsed, ranked, mined on train rows, validated on the others."""
     df = mining.prepare_target(mining.clean_missing(df), target)
     out = Result({"base_rates": mining.class_base_rates(df)})
@@ -195,9 +195,10 @@ def mine(df: DataFrame, target: mining.Target, ids: list[str], exclude: list[str
     lifts = mining.univariate_lift(frame, features)
     rank = mining.feature_rank(lifts, least_records)
     best = [r["feature"] for r in rank.orderBy(F.desc_nulls_last("max_lift"), "feature").limit(most_features).collect()]  # one row per feature
-    train, test = mining.stratified_split(frame, "target_flag", ids)
-    rules = mining.combination_rules(train, best, length=length, least_records=least_records, least_lift=least_lift)
-    out.reports |= {"lift": lifts, "features": rank, "rules": mining.validate_rules(rules, test, best)}
+    train, test = mining.stratified_split(frame, "target_flag", ids, test_share)
+    records, positives = mining.scaled_thresholds(least_records, least_positives, test_share)
+    rules = mining.combination_rules(train, best, length=length, least_records=records, least_lift=least_lift, least_positives=positives)
+    out.reports |= {"lift": lifts, "features": rank, "rules": mining.validate_rules(rules, test, best, most=most_validated)}
     if numeric:
         out.reports["eda"] = mining.numeric_eda(df, numeric, "target_class")
     return out

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from .functions.canonical import pair_hash
 from .functions.measures import bin_number, date_grains
-from .operators import cube, duplicates, infer, mining, models, profile, reconcile, sample, schema_diff, stats
+from .operators import cube, duplicates, infer, metrics, mining, models, profile, reconcile, sample, schema_diff, stats
 from .rules import ReconRule, RunContext, TablePair
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -474,7 +474,54 @@ def type_scores(spark, sf_dir):
 @query(_inferred_sql())
 def infer_types(spark, sf_dir):
     df = table(spark, sf_dir, "part")
-    return rounded(infer.infer_types(df.select(*(F.col(c).cast("string").alias(c) for c in df.columns))))
+    return rounded(infer.infer_types(df.select(*(F.col(c).cast("string").alias(c) for c in df.columns))).drop("date_format"))
+
+
+DATED = """t as (select o_orderkey k, o_orderdate d from orders), dated as (
+    select strftime(d, '%Y-%m-%d') iso, strftime(d, '%m/%d/%Y') us, strftime(d, '%d.%m.%Y') eu, strftime(d, '%b') || ' ' || day(d) || ', ' || year(d) named,
+        case when k % 20 = 0 then '2024-13-45' else strftime(d, '%Y/%m/%d') end mostly, '2024-13-' || (40 + k % 50) never, year(d)::varchar order_year, year(d)::varchar number, strftime(d, '%Y%m%d') ship_dt,
+        case when k % 3 = 0 then 'NA' else strftime(d, '%d-%b-%y') end with_missing from t)"""
+#: The format of each column, as the other engine writes it.
+DATED_AS = {
+    "iso": ("%Y-%m-%d", "year-month-day"), "us": ("%m/%d/%Y", "month/day/year"), "eu": ("%d.%m.%Y", "day/month/year"), "named": ("%b %d, %Y", "month-name day, year"), "mostly": ("%Y/%m/%d", "year-month-day"),
+    "never": ("%Y-%m-%d", None), "order_year": ("%Y", "year"), "number": ("%Y-%m-%d", None), "ship_dt": ("%Y%m%d", "yearmonthday"), "with_missing": ("%d-%b-%y", "day month-name year"),
+}
+
+
+def _dated(spark, sf_dir):
+    k, d = F.col("o_orderkey"), F.col("o_orderdate")
+    text = lambda p: F.date_format(d, p)
+    return table(spark, sf_dir, "orders").select(
+        text("yyyy-MM-dd").alias("iso"), text("MM/dd/yyyy").alias("us"), text("dd.MM.yyyy").alias("eu"), text("MMM d, yyyy").alias("named"),
+        F.when(k % 20 == 0, "2024-13-45").otherwise(text("yyyy/MM/dd")).alias("mostly"), F.concat(F.lit("2024-13-"), (40 + k % 50).cast("string")).alias("never"), text("yyyy").alias("order_year"),
+        text("yyyy").alias("number"), text("yyyyMMdd").alias("ship_dt"), F.when(k % 3 == 0, "NA").otherwise(text("dd-MMM-yy")).alias("with_missing"),
+    )
+
+
+@query(f"with {DATED}, s as (" + " union all ".join(
+    f"select '{c}' column_name, count(v) non_missing, count(try_strptime(v, '{p}'))::double / count(v) score, {repr(name) if name else 'null'} f from (select nullif({c}, 'NA') v from dated)" for c, (p, name) in DATED_AS.items())
+    + ") select column_name, non_missing, round(score, 6) date_score, f date_format, case when score >= 0.9 then 'date' when column_name = 'number' then 'numeric' else 'categorical' end inferred_type from s")
+def date_formats(spark, sf_dir):
+    out = infer.infer_types(_dated(spark, sf_dir))
+    return rounded(out.select("column_name", "non_missing", "date_score", "date_format", "inferred_type"), 6)
+
+
+REPORTED = ("iso", "eu", "number", "with_missing")
+
+
+@query(f"with {DATED}, " + """v as (""" + " union all ".join(f"select '{c}' column_name, nullif({c}, 'NA') v from dated" for c in REPORTED) + """),
+    c as (select column_name, v, count(*) n from v where v is not null group by 1, 2), r as (select *, row_number() over (partition by column_name order by n desc, v) k from c),
+    o as (select column_name, string_agg(v || ':' || n, ' | ' order by k) top_values from r where k <= 5 group by 1), u as (select column_name, count(*) unique_count from c group by 1),
+    f(column_name, t) as (values ('iso', 'date'), ('eu', 'date'), ('number', 'numeric'), ('with_missing', 'date')),
+    e as (select v.column_name, v, t, case column_name when 'iso' then try_strptime(v, '%Y-%m-%d') when 'eu' then try_strptime(v, '%d.%m.%Y') when 'with_missing' then try_strptime(v, '%d-%b-%y') end d from v join f using (column_name)),
+    s as (select column_name, any_value(t) inferred_type, count(*) row_count, count(v) non_null_count, count(*) - count(v) null_count, round(100.0 * (count(*) - count(v)) / count(*), 4) null_percent,
+        min(case when t = 'numeric' then v::double end) "min", max(case when t = 'numeric' then v::double end) "max", round(avg(case when t = 'numeric' then v::double end), 4) mean, round(median(case when t = 'numeric' then v::double end), 4) median,
+        round(stddev_samp(case when t = 'numeric' then v::double end), 4) std, strftime(min(d), '%Y-%m-%d') first_date, strftime(max(d), '%Y-%m-%d') last_date from e group by 1)
+    select s.*, unique_count, round(100.0 * unique_count / non_null_count, 4) unique_percent, top_values from s join o using (column_name) join u using (column_name)""")
+def column_report(spark, sf_dir):
+    out = infer.column_report(_dated(spark, sf_dir).select(*REPORTED)).drop("date_format", "data_type")
+    day = lambda c: F.date_format(c, "yyyy-MM-dd").alias(c)
+    return rounded(out.select(*(c for c in out.columns if c not in ("first_date", "last_date")), day("first_date"), day("last_date")))
 
 
 @query(f"with {T_CUSTOMER} select c_custkey, c_name, round(coalesce(c_acctbal, (select median(c_acctbal) from t_customer)), 4) c_acctbal, coalesce(c_mktsegment, 'Unknown') c_mktsegment, c_nationkey from t_customer")
@@ -672,9 +719,36 @@ def risk_bands(spark, sf_dir):
     return rounded(models.risk_bands(_stated(spark, sf_dir)), 6)
 
 
-@query()
+@query(f"""with {STATED}, c as (select flag::int "class", count(*) actual, count(*) filter (flag = guess) correct, round(avg(score), 6) mean_score from (select *, case when score >= 0.5 then 1 else 0 end guess from stated) group by 1),
+    g as (select case when score >= 0.5 then 1 else 0 end guess, count(*) predicted from stated group by 1)
+    select "class", actual, predicted, correct, mean_score, round(correct / actual, 6) recall, round(correct / predicted, 6) "precision" from c join g on "class" = guess""")
 def class_performance(spark, sf_dir):
-    return models.class_performance(_scored(spark, sf_dir))
+    return rounded(models.class_performance(_stated(spark, sf_dir)), 6)
+
+
+@query(f"""with {STATED}, c as (select score, count(*) n, sum(flag)::bigint p from stated group by 1),
+    r as (select *, coalesce(sum(n) over w, 0) bn, coalesce(sum(p) over w, 0) bp from c window w as (order by score desc rows between unbounded preceding and 1 preceding))
+    select sum(n)::bigint records, sum(p)::bigint positives, round(sum((n - p) * (bp + p / 2)) / sum(p) / (sum(n) - sum(p)), 6) roc_auc, round(sum(p * (bp + p) / (bn + n)) / sum(p), 6) average_precision,
+    round(sum(p * ((bp + p) / (bn + n) + case when bn > 0 then bp / bn else 1 end) / 2) / sum(p), 6) pr_auc from r""")
+def score_areas(spark, sf_dir):
+    return rounded(metrics.areas(_stated(spark, sf_dir)), 6)
+
+
+@query(f"""with {STATED}, s as (select flag::int::varchar a, case when score >= 0.5 then '1' else '0' end g from stated), k("class") as (values ('0'), ('1')),
+    c as (select "class", (select count(*) from s where a = "class") support, (select count(*) from s where g = "class") guessed, (select count(*) from s where a = g and a = "class") correct from k),
+    m as (select *, correct / guessed pr, correct / support re from c), f as (select *, 2 * pr * re / (pr + re) f1 from m)
+    select "class", round(pr, 6) "precision", round(re, 6) recall, round(f1, 6) f1, support from f
+    union all select 'macro avg', round(avg(pr), 6), round(avg(re), 6), round(avg(f1), 6), sum(support)::bigint from f
+    union all select 'weighted avg', round(sum(pr * support) / sum(support), 6), round(sum(re * support) / sum(support), 6), round(sum(f1 * support) / sum(support), 6), sum(support)::bigint from f
+    union all select 'accuracy', round(sum(correct) / sum(support), 6), round(sum(correct) / sum(support), 6), round(sum(correct) / sum(support), 6), sum(support)::bigint from f""")
+def class_report(spark, sf_dir):
+    return rounded(metrics.class_report(_stated(spark, sf_dir)), 6)
+
+
+@query()
+def tree_performance(spark, sf_dir):
+    """The class report of a fitted tree, on all lines."""
+    return metrics.class_report(_scored(spark, sf_dir))
 
 
 @query("select distinct 'run-1' run_id, 'COUNTS' check_name, 'summary' output_type, 'orders' source_table, (select count(*) from orders) source_count")
