@@ -21,7 +21,7 @@ NO_LANG = "und"
 #: A byte that UTF-8 never uses: it stands for the end of a piece.
 END = b"\xff"
 TO_END = bytes.maketrans(PIECE_ENDS, END * len(PIECE_ENDS))
-SHARD_BYTES = 6 << 20
+SHARD_BYTES = 4 << 20
 #: Keys that one group of the merge holds, about; a shard has at most ``longest`` keys for each word.
 KEYS_A_GROUP = 1 << 21
 
