@@ -91,8 +91,17 @@ def pair_hash(df: DataFrame, columns: Iterable[str]) -> Column:
     return F.sha2(F.concat_ws("||", *(F.concat(F.lit(f"{c}="), normalised(F.col(f"`{c}`"), kinds[c])) for c in columns)), 256)
 
 
+def portable_hash(texts: Iterable[Column]) -> Column:
+    """A number of 60 bits from SHA-256 of the texts, null told apart from every text; any system that has SHA-256 can work it out.
+
+    Each text is preceded by its length, so no two rows of texts are written alike.
+    """
+    parts = (F.coalesce(F.concat(F.length(t).cast("string"), F.lit(":"), t), F.lit(HASH_NULL)) for t in texts)
+    return F.conv(F.substring(F.sha2(F.concat(*parts), 256), 1, 15), 16, 10).cast("long")
+
+
 def bucket(keys: Iterable[Column], buckets: int) -> Column:
-    return F.pmod(F.xxhash64(*keys), F.lit(buckets))
+    return F.pmod(portable_hash(keys), F.lit(buckets))
 
 
 def missing_cleaned(col: Column, tokens: Iterable[str]) -> Column:

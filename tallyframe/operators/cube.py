@@ -53,9 +53,9 @@ def with_medians(groups: DataFrame, df: DataFrame, sets: list[tuple[str, ...]],
     """
     used = list(dict.fromkeys(d for s in sets for d in s))
     counted = grouped_sets(df.withColumn("_measure", measure).where("_measure is not null"), sets, [F.count("*").alias("_often")], keep=("_measure",))
-    found = percentiles_of_counts(counted.select(*(F.col(f"`{d}`").alias(f"_d{i}") for i, d in enumerate(used)), "_measure", "_often"), [f"_d{i}" for i in range(len(used))], "_measure", "_often", [0.5])
+    found = percentiles_of_counts(counted.select(*(F.col(f"`{d}`").alias(f"_d{i}") for i, d in enumerate(used)), "_measure", "_often"), [f"_d{i}" for i in range(len(used))], "_measure", "_often", [0.5]).withColumnRenamed("q", "_median")
     on = reduce(lambda a, b: a & b, (F.col(f"`{d}`").eqNullSafe(F.col(f"_d{i}")) for i, d in enumerate(used)))
-    return groups.join(found, on, "left").withColumn("median", F.get("q", F.lit(0))).drop("q", *(f"_d{i}" for i in range(len(used))))
+    return groups.join(found, on, "left").withColumn("median", F.get("_median", F.lit(0))).drop("_median", *(f"_d{i}" for i in range(len(used))))
 
 
 def measure_by_dims(df: DataFrame, dims: list[str], measure: str, depth: int = 3, least_rows: int = 1, budget: int = 10_000) -> DataFrame:

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from ..functions.measures import bin_edges, bin_number
 from ..sources.readers import quoted
+from . import metrics
 from .mining import base_of, quantile_edges, with_lift
 from ..tables import settled
 
@@ -162,6 +163,12 @@ def confusion(scored: DataFrame, flag: str = "target_flag") -> DataFrame:
     return scored.groupBy(F.col(flag).alias("actual"), "predicted").agg(F.count("*").alias("records"))
 
 
+def areas(scored: DataFrame, flag: str = "target_flag") -> dict[str, float]:
+    """Exact areas under the ROC and precision-recall curves, by their usual names (``metrics.areas``)."""
+    row = metrics.areas(scored, flag).first()
+    return {"areaUnderROC": row["roc_auc"], "areaUnderPR": row["pr_auc"]}
+
+
 def class_performance(scored: DataFrame, flag: str = "target_flag") -> DataFrame:
     """Per class: actual, predicted and correct rows, recall, precision, mean score."""
     pairs = F.array(F.struct(F.col(flag).alias("class"), F.lit(1).alias("a"), F.lit(0).alias("p")), F.struct(F.col("predicted").alias("class"), F.lit(0).alias("a"), F.lit(1).alias("p")))

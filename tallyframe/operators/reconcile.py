@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.canonical import bucket, canonical, json_hash
+from ..functions.canonical import bucket, canonical, json_hash, portable_hash
 from ..functions.equality import absolute_difference, equal, percent, relative_difference, seconds
 from ..rules import CHANGED, MATCH, SOURCE_NULL, SOURCE_ONLY, TARGET_NULL, TARGET_ONLY, VALUE_MISMATCH, ReconRule, TablePair, common_columns, resolve
-from ..tables import settled
+from ..tables import Watch, settled
 from .ranks import exact_percentiles, with_percentiles
 from .skew import full_outer
 
@@ -139,10 +139,9 @@ def changed_cells(cells: DataFrame, limit: int | None = None, per_column: int |
 
 def mismatch_report(joined: DataFrame, pair: TablePair, rule: ReconRule) -> tuple[DataFrame, DataFrame]:
     """(cells, ``column_mismatch_stats``) of joined rows that are gone through once: rows on both sides are counted while the changed cells are written."""
-    seen = Observation()
-    watched = joined.observe(seen, F.count_if(F.col("row_status").isin(MATCH, CHANGED)).alias("n"))
-    cells = settled(cell_rows(watched, pair, rule))
-    return cells, column_mismatch_stats(cells, joined.sparkSession.range(1).select(F.lit(seen.get["n"]).alias("n")))
+    watch = Watch(joined, n=F.count_if(F.col("row_status").isin(MATCH, CHANGED)))
+    cells = settled(cell_rows(watch.rows, pair, rule))
+    return cells, column_mismatch_stats(cells, joined.sparkSession.range(1).select(F.lit(watch.values()["n"]).alias("n")))
 
 
 def column_mismatch_stats(cells: DataFrame, joined_rows: DataFrame) -> DataFrame:
@@ -185,26 +184,66 @@ def key_quality(df: DataFrame, keys: tuple[str, ...] | list[str]) -> DataFrame:
     )
 
 
+def full_reports(pair: TablePair, rule: ReconRule, detail_limit: int = 100_000) -> dict[str, DataFrame]:
+    """All row reports of one table: counts, source_keys, target_keys, buckets, summary, rows, columns, cells.
+
+    Each side is scanned once: its canonical rows are written, and counted with
+    their null keys on the way (``DataFrame.observe``). The join, whose rows
+    are written once too while those on both sides are counted, the key groups and the bucket
+    sums all read those tables. Keys are compared as canonical texts, as the join does.
+    """
+    n_keys = len(rule.keys)
+    names = [c[0].lower() for c in common_columns(pair.filtered(rule), rule)][n_keys:]
+    sides, seen = [], []
+    for df, tag in zip(canonical_sides(pair, rule), "st", strict=True):
+        a_null = reduce(lambda a, b: a | b, (F.col(f"{tag}k_{i}").isNull() for i in range(n_keys)))
+        watch = Watch(df, n=F.count(F.lit(1)), null_keys=F.count_if(a_null))
+        sides.append(settled(watch.rows))
+        seen.append(watch.values())
+    watch = Watch(join_sides(*sides, n_keys), both=F.count_if(F.col("row_status").isin(MATCH, CHANGED)))
+    joined = settled(watch.rows)
+    cells = settled(cell_rows(joined, pair, rule))
+    one = joined.sparkSession.range(1)
+    counts = [F.lit(x["n"]).cast("long") for x in seen]
+    diff = counts[1] - counts[0]
+
+    def keys_of(i: int) -> DataFrame:
+        per_key = sides[i].groupBy(*(f"{'st'[i]}k_{k}" for k in range(n_keys))).agg(F.count("*").alias("n"))
+        found = per_key.agg(F.count("*").alias("distinct_keys"), F.count_if(F.col("n") > 1).alias("duplicate_key_groups"), F.coalesce(F.sum(F.when(F.col("n") > 1, F.col("n") - 1)), F.lit(0)).cast("long").alias("duplicate_surplus_rows"))
+        return found.select(counts[i].alias("total_rows"), F.lit(seen[i]["null_keys"]).cast("long").alias("null_key_rows"), *found.columns)
+
+    return {
+        "counts": one.select(F.lit(pair.name).alias("table_name"), counts[0].alias("source_count"), counts[1].alias("target_count"), diff.alias("difference"), F.when(diff == 0, "MATCH").otherwise("MISMATCH").alias("status")),
+        "source_keys": keys_of(0), "target_keys": keys_of(1), "buckets": bucket_sums(*sides, names, rule), "summary": table_summary(joined, pair, rule), "rows": row_status_detail(joined, pair, rule),
+        "columns": column_mismatch_stats(cells, one.select(F.lit(watch.values()["both"]).alias("n"))), "cells": changed_cells(cells, detail_limit),
+    }
+
+
 def null_key_rows(df: DataFrame, keys: list[str]) -> DataFrame:
     return df.where(reduce(lambda a, b: a | b, (F.col(f"`{k}`").isNull() for k in resolve(df.columns, keys))))
 
 
+def hashed_side(side: DataFrame, tag: str, names: list[str], n_keys: int, buckets: int, rule: ReconRule, scale: int = 18) -> DataFrame:
+    """(bucket_id, h) of a side of ``canonical_sides``: the bucket of its key texts and the hash of all its texts, both portable."""
+    keys = [F.col(f"{tag}k_{i}") for i in range(n_keys)]
+    kinds = {f.name: f.dataType for f in side.schema}
+    texts = [canonical(F.col(f"`{tag}_{n}`"), kinds[f"{tag}_{n}"], rule, scale) for n in names]
+    return side.select(bucket(keys, buckets).alias("bucket_id"), portable_hash([*keys, *texts]).alias("h"))
+
+
 def bucket_summary(pair: TablePair, rule: ReconRule) -> DataFrame:
     """Per bucket of the key space: counts and checksums of both sides, and whether they agree.
 
-    Both sides are tagged and summed in one shuffle; checksums are decimal sums,
-    which cannot overflow.
+    Both sides are tagged and summed in one shuffle; checksums are decimal sums of
+    portable hashes, which cannot overflow, so they can be compared with sums that another system made.
     """
-    pair = pair.filtered(rule)
-    shared = common_columns(pair, rule)
+    return bucket_sums(*canonical_sides(pair, rule), [c[0].lower() for c in common_columns(pair.filtered(rule), rule)][len(rule.keys) :], rule)
 
-    def side(df: DataFrame, at: int, is_source: bool) -> DataFrame:
-        kinds = {f.name: f.dataType for f in df.schema}
-        texts = [(c[0].lower(), canonical(df[f"`{c[at]}`"], kinds[c[at]], rule)) for c in shared]
-        keys = [t for _, t in texts[: len(rule.keys)]]
-        return df.select(bucket(keys, rule.hash_buckets).alias("bucket_id"), F.xxhash64(json_hash(texts)).alias("h"), F.lit(is_source).alias("src"))
 
-    rows = side(pair.source, 0, True).unionByName(side(pair.target, 1, False))
+def bucket_sums(s: DataFrame, t: DataFrame, names: list[str], rule: ReconRule) -> DataFrame:
+    """``bucket_summary`` of the sides of ``canonical_sides``, whose other columns are ``names``."""
+    side = lambda df, tag, src: hashed_side(df, tag, names, len(rule.keys), rule.hash_buckets, rule).withColumn("src", F.lit(src))
+    rows = side(s, "s", True).unionByName(side(t, "t", False))
     measures = []
     for tag, own in (("source", F.col("src")), ("target", ~F.col("src"))):
         h = F.when(own, F.col("h"))
@@ -214,3 +253,32 @@ def bucket_summary(pair: TablePair, rule: ReconRule) -> DataFrame:
         ]
     same = (F.col("source_rows") == F.col("target_rows")) & (F.col("source_hash_sum") == F.col("target_hash_sum")) & F.col("source_hash_min").eqNullSafe(F.col("target_hash_min")) & F.col("source_hash_max").eqNullSafe(F.col("target_hash_max"))
     return rows.groupBy("bucket_id").agg(*measures).withColumn("bucket_match", same)
+
+
+def checksum_tree(buckets: DataFrame, roots: int) -> DataFrame:
+    """Sums of ``bucket_summary`` at three levels: all (level 0), ``roots`` groups of buckets (1), buckets (2); and whether both sides agree there.
+
+    A reader goes down from the top and stops where sums agree; the rows are summed once, upper levels from the sums below.
+    """
+    sums = ["source_rows", "target_rows", "source_hash_sum", "target_hash_sum"]
+    tagged = buckets.select(F.pmod("bucket_id", F.lit(roots)).alias("root_id"), "bucket_id", *sums)
+    tree = tagged.rollup("root_id", "bucket_id").agg(F.grouping("root_id").alias("_g0"), F.grouping("bucket_id").alias("_g1"), *(F.sum(c).cast("decimal(38,0)").alias(c) for c in sums))
+    same = (F.col("source_rows") == F.col("target_rows")) & (F.col("source_hash_sum") == F.col("target_hash_sum"))
+    return tree.select((2 - F.col("_g0") - F.col("_g1")).cast("int").alias("level"), "root_id", "bucket_id", *(F.col(c).cast("long").alias(c) if c.endswith("rows") else c for c in sums), same.alias("node_match"))
+
+
+def differing_rows(pair: TablePair, rule: ReconRule, roots: int = 64, hot_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(joined rows that are no match, ``checksum_tree``): only rows of buckets whose sums differ are joined.
+
+    Buckets are summed from hashes alone; the differing ones, at most
+    ``rule.hash_buckets``, go to both sides' scans, and full rows of no other bucket are moved.
+    """
+    s, t = canonical_sides(pair, rule)
+    names = [c[0].lower() for c in common_columns(pair.filtered(rule), rule)][len(rule.keys) :]
+    sums = settled(bucket_sums(s, t, names, rule))
+    tree = checksum_tree(sums, roots)
+    differing = sums.where(~F.col("bucket_match")).select("bucket_id")
+    keys = lambda tag: [F.col(f"{tag}k_{i}") for i in range(len(rule.keys))]
+    kept = lambda df, tag: df.withColumn("bucket_id", bucket(keys(tag), rule.hash_buckets)).join(F.broadcast(differing), "bucket_id", "left_semi").drop("bucket_id")
+    joined = join_sides(kept(s, "s"), kept(t, "t"), len(rule.keys), hot_rows)
+    return joined.where(F.col("row_status") != MATCH), tree

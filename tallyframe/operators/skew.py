@@ -70,9 +70,10 @@ def full_outer(left: DataFrame, right: DataFrame, left_keys: list[str], right_ke
         """``df`` with the cell of each row: its own salt, and every salt of the other side if that has the key too."""
         at = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_h{i}")) for i, k in enumerate(keys)))
         marked = df.join(F.broadcast(hot), at, "left")  # at most MOST_HOT rows
-        salt = F.coalesce(F.pmod(F.monotonically_increasing_id(), F.col(own)), F.lit(0)).cast("int")
+        # Dealt before rows are repeated, so that all copies of a row have its salt.
+        marked = marked.withColumn(f"{tag}_own", F.coalesce(F.pmod(F.monotonically_increasing_id(), F.col(own)), F.lit(0)).cast("int"))
         every = F.when(F.col("_both"), F.sequence(F.lit(0), F.col(other) - 1)).otherwise(F.array(F.lit(0)))
-        return marked.select(*df.columns, salt.alias(f"{tag}_own"), F.coalesce("_both", F.lit(False)).alias(f"{tag}_both"), F.explode(every).alias(f"{tag}_other"))
+        return marked.select(*df.columns, f"{tag}_own", F.coalesce("_both", F.lit(False)).alias(f"{tag}_both"), F.explode(every).alias(f"{tag}_other"))
 
     a, b = dealt(left, left_keys, "_ls", "_rs", "_a"), dealt(right, right_keys, "_rs", "_ls", "_b")
     joined = a.join(b, on & (F.col("_a_own") == F.col("_b_other")) & (F.col("_a_other") == F.col("_b_own")), "full_outer")

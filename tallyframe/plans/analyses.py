@@ -11,9 +11,8 @@ from pyspark.sql import functions as F
 
 from ..operators import cube, duplicates, infer, mining, models, profile, reconcile, sample, schema_diff, stats
 from ..functions.classify import CATEGORICAL, DATE, NUMERICAL, TIMESTAMP_NTZ, TIMESTAMP_TZ
-from ..tables import settled
 from ..rules import ERROR, ReconRule, RunContext, TablePair
-from ..sources.sinks import append_audit, audit_table_name, ensure_schema, with_audit_columns
+from ..sources.sinks import append_run, audit_table_name, ensure_schema, with_audit_columns
 
 
 @dataclass
@@ -33,19 +32,10 @@ def compare_table(pair: TablePair, rule: ReconRule, mode: str = "FULL", detail_l
     out = Result({"schema": schema_diff.schema_diff(*meta)})
     if mode == "METADATA_ONLY":
         return out
-    filtered = pair.filtered(rule)
-    out.reports["counts"] = stats.count_compare(filtered)
     if mode == "COUNTS_ONLY":
+        out.reports["counts"] = stats.count_compare(pair.filtered(rule))
         return out
-    joined = settled(reconcile.join_rows(pair, rule))  # joined once, read by each report
-    cells = reconcile.cell_rows(joined, pair, rule)
-    both = joined.agg(F.count_if(F.col("row_status").isin("MATCH", "CHANGED")).alias("n"))
-    out.reports |= {
-        "source_keys": reconcile.key_quality(filtered.source, rule.keys), "target_keys": reconcile.key_quality(filtered.target, rule.keys),
-        "buckets": reconcile.bucket_summary(pair, rule), "summary": reconcile.table_summary(joined, pair, rule),
-        "rows": reconcile.row_status_detail(joined, pair, rule), "columns": reconcile.column_mismatch_stats(cells, both),
-        "cells": reconcile.changed_cells(cells, detail_limit),
-    }
+    out.reports |= reconcile.full_reports(pair, rule, detail_limit)
     return out
 
 
@@ -65,10 +55,13 @@ def compare_tables(pairs: dict[str, Callable[[], tuple[TablePair, ReconRule]]],
 def run_reconciliation(spark: SparkSession, pairs: dict[str, Callable[[], tuple[TablePair, ReconRule]]], run: RunContext, schema: str, prefix: str = "recon", mode: str = "FULL") -> dict[str, str]:
     """``compare_tables`` whose reports, statuses and durations are appended to audit tables; gives the status of each table.
 
-    Reports whose columns vary by table go to a table of their own. A table that
-    fails leaves its error in the run's table and the next one goes on.
+    A table that fails leaves its error in the run's table and the next one goes
+    on. A run that is repeated with the same ``run`` takes the place of what it
+    left before, be it whole or half done (``append_run``).
     """
     ensure_schema(spark, schema)
+    marks = audit_table_name(schema, prefix, "commits")
+    put = lambda df, report, of: append_run(df, audit_table_name(schema, prefix, report), run, report, of, marks)
     status = {}
     for name, make in pairs.items():
         began, error = datetime.now(timezone.utc).replace(tzinfo=None), None
@@ -78,12 +71,12 @@ def run_reconciliation(spark: SparkSession, pairs: dict[str, Callable[[], tuple[
         if error is None:
             try:
                 for report, df in result.reports.items():
-                    append_audit(with_audit_columns(df, run, mode, report, (None, None, name)), audit_table_name(schema, prefix, report))
+                    put(with_audit_columns(df, run, mode, report, (None, None, name)), report, name)
             except Exception as e:  # noqa: BLE001 - one table's failure is a result
                 status[name], error = ERROR, f"{type(e).__name__}: {e}"
         ended = datetime.now(timezone.utc).replace(tzinfo=None)
         row = [(run.run_id, name, mode, status[name], error, began, ended, (ended - began).total_seconds())]
-        append_audit(spark.createDataFrame(row, "run_id string, table_name string, mode string, status string, error string, started_at timestamp, ended_at timestamp, duration_seconds double"), audit_table_name(schema, prefix, "runs"))
+        put(spark.createDataFrame(row, "run_id string, table_name string, mode string, status string, error string, started_at timestamp, ended_at timestamp, duration_seconds double"), "runs", name)
     return status
 
 

@@ -221,9 +221,47 @@ def duplicate_summary(spark, sf_dir):
     return duplicates.duplicate_summary(duplicates.duplicate_reconciliation(lineitem_pair(spark, sf_dir), ORDER_KEYS))
 
 
-@query()
+#: Keys and text are written alike by both engines, prices are not.
+SUMMED = ReconRule(keys=("o_orderkey",), exclude=("o_orderdate", "o_totalprice", "o_orderpriority"), hash_buckets=512)
+_KEY, _OWN = "length(k) || ':' || k", "coalesce(length(c) || ':' || c, '∅') || coalesce(length(s) || ':' || s, '∅')"
+BUCKETS = T_ORDERS + f""", texts as (
+    select o_orderkey || '.000000000000000000' k, o_custkey || '.000000000000000000' c, o_orderstatus s, true src from orders union all select o_orderkey || '.000000000000000000', o_custkey || '.000000000000000000', o_orderstatus, false from t_orders
+), hashed as (select ('0x' || substr(sha256({_KEY}), 1, 15))::bigint % 512 bucket_id, ('0x' || substr(sha256({_KEY} || {_OWN}), 1, 15))::bigint h, src from texts),
+sums as (select bucket_id, count(*) filter (src) source_rows, count(*) filter (not src) target_rows, coalesce(sum(h) filter (src), 0)::decimal(38, 0) source_hash_sum, coalesce(sum(h) filter (not src), 0)::decimal(38, 0) target_hash_sum,
+    min(h) filter (src) source_hash_min, min(h) filter (not src) target_hash_min, max(h) filter (src) source_hash_max, max(h) filter (not src) target_hash_max from hashed group by 1)"""
+
+
+def _sums_as_text(df: DataFrame) -> DataFrame:
+    return df.withColumns({c: F.col(c).cast("decimal(38,0)").cast("string") for c in ("source_hash_sum", "target_hash_sum")})
+
+
+@query(f"""with {BUCKETS} select * replace (source_hash_sum::varchar as source_hash_sum, target_hash_sum::varchar as target_hash_sum), source_rows = target_rows and source_hash_sum = target_hash_sum and source_hash_min is not distinct from target_hash_min and source_hash_max is not distinct from target_hash_max bucket_match from sums""")
 def bucket_checksum(spark, sf_dir):
-    return reconcile.bucket_summary(orders_pair(spark, sf_dir), ReconRule(keys=("o_orderkey",), hash_buckets=64))
+    return _sums_as_text(reconcile.bucket_summary(orders_pair(spark, sf_dir), SUMMED).drop("source_distinct", "target_distinct"))
+
+
+@query(f"""with {BUCKETS}, tree as (
+    select 2 level, bucket_id % 16 root_id, bucket_id, source_rows, target_rows, source_hash_sum, target_hash_sum from sums
+    union all select 1, bucket_id % 16, null, sum(source_rows)::bigint, sum(target_rows)::bigint, sum(source_hash_sum), sum(target_hash_sum) from sums group by 2
+    union all select 0, null, null, sum(source_rows)::bigint, sum(target_rows)::bigint, sum(source_hash_sum), sum(target_hash_sum) from sums)
+    select level, coalesce(root_id, -1) root_id, coalesce(bucket_id, -1) bucket_id, source_rows, target_rows, source_hash_sum::decimal(38, 0)::varchar source_hash_sum, target_hash_sum::decimal(38, 0)::varchar target_hash_sum,
+    source_rows = target_rows and source_hash_sum = target_hash_sum node_match from tree""")
+def checksum_tree(spark, sf_dir):
+    tree = reconcile.checksum_tree(reconcile.bucket_summary(orders_pair(spark, sf_dir), SUMMED), 16)
+    return _sums_as_text(tree.withColumns({c: F.coalesce(c, F.lit(-1).cast("long")) for c in ("root_id", "bucket_id")}))
+
+
+#: A target that differs in few rows, near one another: most buckets agree.
+FEW = """few as (select o_orderkey, case when o_orderkey % 5000 = 17 then o_custkey + 1 else o_custkey end o_custkey, o_orderstatus from orders where o_orderkey % 7000 <> 33)"""
+
+
+@query(f"""with {FEW}, r as (select coalesce(s.o_orderkey, t.o_orderkey) k, case when t.o_orderkey is null then 'SOURCE_ONLY' when s.o_orderkey is null then 'TARGET_ONLY' when s.o_custkey = t.o_custkey then 'MATCH' else 'CHANGED' end row_status from orders s full join few t on s.o_orderkey = t.o_orderkey)
+    select '{{"o_orderkey":"' || (k::decimal(38, 18))::varchar || '"}}' key_json, row_status from r where row_status <> 'MATCH'""")
+def pruned_differences(spark, sf_dir):
+    o, k = table(spark, sf_dir, "orders"), F.col("o_orderkey")
+    few = o.where(k % 7000 != 33).withColumn("o_custkey", F.when(k % 5000 == 17, F.col("o_custkey") + 1).otherwise(F.col("o_custkey")))
+    pair, rule = TablePair(o, few, "orders"), ReconRule(keys=("o_orderkey",), exclude=SUMMED.exclude, hash_buckets=4096)
+    return reconcile.row_status_detail(reconcile.differing_rows(pair, rule)[0], pair, rule)
 
 
 @query(f"with {T_ORDERS} select 'orders' table_name, (select count(*) from orders) source_count, (select count(*) from t_orders) target_count, (select count(*) from t_orders) - (select count(*) from orders) difference, 'MISMATCH' status")

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
+from contextlib import contextmanager
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..rules import RunContext
 from .readers import quoted, safe_name
@@ -41,21 +44,84 @@ def append_audit(df: DataFrame, table: str, fmt: str = "parquet") -> None:
     spark = df.sparkSession
     try:
         if spark.catalog.tableExists(table):
-            have, own = {f.name.lower(): f for f in spark.table(table).schema}, {f.name.lower(): f for f in df.schema}
-            differing = [n for n, f in own.items() if n in have and have[n].dataType != f.dataType]
-            if differing:
-                raise ValueError(f"types differ: {', '.join(differing)}")
-            new = [f"{quoted(f.name)} {f.dataType.simpleString()}" for n, f in own.items() if n not in have]
-            if new:
-                spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(new)})")
-            order = spark.table(table).schema
-            df = df.select(*((F.col(quoted(own[f.name.lower()].name)) if f.name.lower() in own else F.lit(None).cast(f.dataType)).alias(f.name) for f in order))
-        df.write.format(fmt).mode("append").saveAsTable(table)
+            own, order = {f.name.lower(): f for f in df.schema}, with_new_columns(df, table)
+            df.select(*((F.col(quoted(own[f.name.lower()].name)) if f.name.lower() in own else F.lit(None).cast(f.dataType)).alias(f.name) for f in order)).write.mode("append").insertInto(table)
+        else:
+            df.write.format(fmt).mode("append").saveAsTable(table)
     except Exception as e:
         now = spark.table(table).schema.simpleString() if spark.catalog.tableExists(table) else "no table"
         raise RuntimeError(f"append to {table} failed; incoming {df.schema.simpleString()}; existing {now}") from e
 
 
+@contextmanager
+def dynamic_overwrite(spark: SparkSession) -> Iterator[None]:
+    """Inserts that overwrite take the place of the partitions they write to, not of the whole table; ``insertInto`` reads this from the session only."""
+    name = "spark.sql.sources.partitionOverwriteMode"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "dynamic")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+#: What a run's part of an audit table is known by; a retried run writes the same parts again.
+RUN_PARTS = ("run_id", "output_type", "report_of")
+
+
+def append_run(df: DataFrame, table: str, run: RunContext, output: str, of: str, marks: str, fmt: str = "parquet") -> int:
+    """Puts the rows of one run, report and table into an audit table so that it may be done again: gives the rows written.
+
+    The table is partitioned by ``RUN_PARTS``; only the run's own partition is
+    overwritten (dynamic mode), so a retried run leaves no row twice, and other runs'
+    rows are not touched. The commit mark is an event in ``marks`` that comes after the
+    rows; ``committed`` shows only rows whose part has one. New columns are added as
+    ``append_audit`` does, and a type that changes is an error with both schemas.
+    """
+    spark = df.sparkSession
+    own = df.select(*(F.col(quoted(c)) for c in df.columns if c.lower() not in RUN_PARTS))
+    parts = {"run_id": run.run_id, "output_type": output, "report_of": of}
+    rows = own.withColumns({k: F.lit(v) for k, v in parts.items()})
+    try:
+        if not spark.catalog.tableExists(table):
+            spark.createDataFrame([], rows.schema).write.format(fmt).partitionBy(*RUN_PARTS).saveAsTable(table)
+        order = with_new_columns(rows, table)
+        values = {f.name.lower(): f.name for f in rows.schema}
+        aligned = rows.select(*((F.col(quoted(values[f.name.lower()])) if f.name.lower() in values else F.lit(None).cast(f.dataType)).alias(f.name) for f in order))
+        if aligned.isEmpty():  # no rows would overwrite no partition: what an earlier try left goes by name
+            where = ", ".join(f"{k} = '" + v.replace("\\", "\\\\").replace("'", "\\'") + "'" for k, v in parts.items())
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({where})")
+        else:
+            with dynamic_overwrite(spark):
+                aligned.write.format(fmt).mode("overwrite").insertInto(table)
+        spark.catalog.refreshTable(table)  # whose files of this partition are others now
+        n = spark.table(table).where(reduce(lambda a, b: a & b, (F.col(k) == v for k, v in parts.items()))).count()  # of this partition's files only
+    except Exception as e:
+        now = spark.table(table).schema.simpleString() if spark.catalog.tableExists(table) else "no table"
+        raise RuntimeError(f"append to {table} failed; incoming {df.schema.simpleString()}; existing {now}") from e
+    append_audit(spark.createDataFrame([(table, *parts.values(), n, run.run_ts)], "audit_table string, run_id string, output_type string, report_of string, n_rows long, run_ts timestamp"), marks)
+    return n
+
+
+def committed(spark: SparkSession, table: str, marks: str) -> DataFrame:
+    """The rows of an audit table whose part was written to its end."""
+    done = spark.table(marks).where(F.col("audit_table") == table).select(*RUN_PARTS).distinct()
+    return spark.table(table).join(done, list(RUN_PARTS), "left_semi")
+
+
+def with_new_columns(df: DataFrame, table: str) -> T.StructType:
+    """Adds the columns of ``df`` that the table lacks to it, and gives its schema; a column that comes with another type is an error."""
+    spark = df.sparkSession
+    have, own = {f.name.lower(): f for f in spark.table(table).schema}, {f.name.lower(): f for f in df.schema}
+    differing = [n for n, f in own.items() if n in have and have[n].dataType != f.dataType]
+    if differing:
+        raise ValueError(f"types differ: {', '.join(differing)}")
+    new = [f"{quoted(f.name)} {f.dataType.simpleString()}" for n, f in own.items() if n not in have]
+    if new:
+        spark.sql(f"ALTER TABLE {table} ADD COLUMNS ({', '.join(new)})")
+    return spark.table(table).schema
+
+
 def overwrite(df: DataFrame, table: str, fmt: str = "parquet") -> None:
     df.write.format(fmt).mode("overwrite").option("overwriteSchema", True).saveAsTable(table)
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -31,6 +32,21 @@ def settled(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+class Watch:
+    """Aggregates of a frame that are taken while its rows go by, in whatever job reads them first."""
+
+    def __init__(self, df: DataFrame, **aggs: Column):
+        self.watch, self.df, self.aggs = Observation(), df, [c.alias(n) for n, c in aggs.items()]
+        self.rows = df.observe(self.watch, *self.aggs)
+
+    def values(self) -> dict[str, int]:
+        """What was seen, once ``rows`` have been read."""
+        try:
+            return self.watch.get
+        except Py4JJavaError:  # of a relation that Spark knows to be empty, rows are not read at all
+            return self.df.agg(*self.aggs).first().asDict()
+
+
 def discarded(*tables: DataFrame) -> None:
     """Deletes tables that came from ``settled`` and that nothing reads any more."""
     for df in tables:
