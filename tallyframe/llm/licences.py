@@ -48,6 +48,13 @@ SENTENCES: dict[str, str] = {
     "bsd-binary": "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the documentation and/or other materials provided with the distribution",
     "bsd-credit": "All advertising materials mentioning features or use of this software must display the following acknowledgement: This product includes software developed by the University of California, Berkeley and its contributors",
     "bsd-names": "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
+    "bsd-names-author": "The name of the author may not be used to endorse or promote products derived from this software without specific prior written permission",
+    "x11-names": "Except as contained in this notice, the name of the holder shall not be used in advertising or otherwise to promote the sale, use or other dealings in this Software without prior written authorization from the holder",
+    "hpnd-sell-grant": "Permission to use, copy, modify, distribute, and sell this software and its documentation for any purpose is hereby granted without fee, provided that the above copyright notice appear in all copies and that both that copyright notice and this permission notice appear in supporting documentation",
+    "wtfpl-title": "DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE",
+    "wtfpl-title-version": "DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE Version 2, December 2004",
+    "wtfpl-terms": "DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE TERMS AND CONDITIONS FOR COPYING, DISTRIBUTION AND MODIFICATION",
+    "wtfpl-do": "You just DO WHAT THE FUCK YOU WANT TO",
     "bsd-names-university": "Neither the name of the University nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission",
     "bsd-as-is": "THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS \"AS IS\" AND ANY EXPRESS OR IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED",
     "mpl-notice": "This Source Code Form is subject to the terms of the Mozilla Public License, v",
@@ -97,18 +104,54 @@ def normal(sentence: str) -> str:
     return re.sub("[^a-z0-9]+", " ", sentence.lower()).strip()
 
 
+#: Holes in known sentences, of normalised text: what may stand for a holder, program or organisation, and the wording that then is looked up.
+#: The wordings are fixed values; a sentence that is known as it stands is not looked at for holes.
+HOLE = "[a-z0-9][a-z0-9 ]{0,160}"
+HOLES: tuple[tuple[str, str], ...] = (
+    (f"^neither the names? of {HOLE} nor the names? of (?:its|their|any|other|the) contributors may be used", "neither the name of the copyright holder nor the names of its contributors may be used"),
+    (f"^neither {HOLE} nor the names of its contributors may be used", "neither the name of the copyright holder nor the names of its contributors may be used"),
+    (f"^the names? of {HOLE} may not be used to endorse", "the name of the author may not be used to endorse"),
+    ("derived from this software without (?:specific )?prior written (?:permission|consent)(?: from| of)?.*$", "derived from this software without specific prior written permission"),
+    (f"^this software is provided by {HOLE} as is and any express or implied", "this software is provided by the copyright holders and contributors as is and any express or implied"),
+    (f"this product includes software developed by {HOLE}$", "this product includes software developed by the university of california berkeley and its contributors"),
+    (f"^except as contained in this notice the names? of {HOLE} shall not be used in advertising (.*) authorization from {HOLE}$", "except as contained in this notice the name of the holder shall not be used in advertising or otherwise to promote the sale use or other dealings in this software without prior written authorization from the holder"),
+    (f"^{HOLE} is free software you can redistribute it and or modify (?:it|them) under the terms of the gnu", "this program is free software you can redistribute it and or modify it under the terms of the gnu"),
+    (f"^{HOLE} (?:is|are) distributed in the hope that (?:it|they) will be useful", "this program is distributed in the hope that it will be useful"),
+    ("permission to use copy modify distribute and sell this software and its documentation for any purpose is hereby granted without fee provided that the above copyright notice appear in all copies and that both that copyright notice and this permission notice appear in supporting documentation .*$",
+     "permission to use copy modify distribute and sell this software and its documentation for any purpose is hereby granted without fee provided that the above copyright notice appear in all copies and that both that copyright notice and this permission notice appear in supporting documentation"),
+)
+#: An item of a list that is no known sentence. It counts where it follows a clause of a list of conditions, which then is not the known licence.
+UNKNOWN_ITEM, LISTED = "clause-unknown", "bsd-"
+#: Stands before items of lists until sentences are cut.
+ITEM_MARK = "\x1e"
+
+
+def filled(sentence: str) -> str:
+    """A normalised sentence with its holes filled as the known one has them."""
+    for pattern, wording in HOLES:
+        sentence = re.sub(pattern, wording, sentence)
+    return sentence
+
+
 KNOWN = {normal(said): key for key, said in SENTENCES.items()}
 
+NAMES = (("bsd-names",), ("bsd-names-university",), ("bsd-names-author",))
+BSD = tuple(("bsd-grant", "bsd-source", "bsd-binary", *more) for more in (*(("bsd-credit", *n) for n in (*NAMES, ())), *NAMES, ()))
+
 LONG: tuple[tuple[str, tuple[str, ...]], ...] = (
     *(("Apache-2.0", ("apache2-notice-file", copy, "apache2-as-is", "apache2-see")) for copy in ("apache2-copy", "apache2-copy-https", "apache2-copy-at")),
     ("Apache-2.0", ("apache2-title", "apache2-terms")),
-    *(("BSD-4-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-credit", *names)) for names in (("bsd-names",), ("bsd-names-university",), ())),
-    *(("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", names)) for names in ("bsd-names", "bsd-names-university")),
+    *(("unknown-conditions", (*ids, UNKNOWN_ITEM)) for ids in BSD),
+    *(("BSD-4-Clause", ("bsd-grant", "bsd-source", "bsd-binary", "bsd-credit", *names)) for names in (*NAMES, ())),
+    *(("BSD-3-Clause", ("bsd-grant", "bsd-source", "bsd-binary", *names)) for names in NAMES),
     ("BSD-2-Clause", ("bsd-grant", "bsd-source", "bsd-binary")),
+    *(("X11", (*title, "mit-grant", keep, "mit-as-is", "mit-liable", "x11-names")) for title in (("mit-title",), ()) for keep in ("mit-keep", "mit-keep-paragraph")),
     *(("MIT", ("mit-title", "mit-grant", keep, "mit-as-is", "mit-liable")) for keep in ("mit-keep", "mit-keep-paragraph")),
     *(("MIT", ("mit-grant", keep, "mit-as-is", "mit-liable")) for keep in ("mit-keep", "mit-keep-paragraph")),
     ("ISC", ("isc-grant", "isc-as-is")),
     ("ISC", ("isc-grant-and", "isc-as-is")),
+    ("HPND-sell-variant", ("hpnd-sell-grant",)),
+    *(("WTFPL", (*title, "wtfpl-terms", "wtfpl-do")) for title in (("wtfpl-title-version",), ("wtfpl-title",), ())),
     ("MPL-2.0", ("mpl-notice", "mpl2-copy")),
     ("MPL-2.0", ("mpl-notice", "mpl2-copy-http")),
     ("Unlicense", ("unlicense-free", "unlicense-anyone")),
@@ -142,13 +185,14 @@ RULES: tuple[tuple[str, tuple[str, ...]], ...] = (
     ("CC-BY-SA-4.0", ("cc-by-sa-4-notice",)),
     ("CC-BY-NC-4.0", ("cc-by-nc-4-notice",)),
     ("CC0-1.0", ("cc0-notice",)),
+    *(("WTFPL", (x,)) for x in ("wtfpl-title-version", "wtfpl-title", "wtfpl-do")),
     *((x, (f"spdx-{x.lower()}",)) for x in SPDX),
     *((x, (f"{x.lower()}-work",)) for x in CC),
     ("proprietary", ("all-rights-reserved",)),
 )
 
 #: Every known sentence holds one of these; texts without any are not cut at all.
-HINTS = ("licen", "software", "rights", "permi", "redistribut", "warrant", "liab", "terms and", "mpl")
+HINTS = ("licen", "software", "rights", "permi", "redistribut", "warrant", "liab", "terms and", "mpl", "fuck you want", "endorse", "useful")
 #: Comment marks before and after a line's words; marks of a list's items.
 LEADER, TRAILER = r"^[ \t]*(?:(?:/[/*]+|[*#;%>|]+|--+|<!--)[ \t]+)*[ \t]*", r"[ \t]*(?:\*+/|-->)?[ \t]*\z"
 ITEM = r"^(?:\(?(?:[0-9]{1,2}|[A-Za-z])[.)]|[-•])[ \t]+"
@@ -156,6 +200,8 @@ ITEM = r"^(?:\(?(?:[0-9]{1,2}|[A-Za-z])[.)]|[-•])[ \t]+"
 INLINE_ITEM = r":[ \t\n]+\(?[0-9]{1,2}[.)][ \t\n]+"
 #: Where a sentence ends: a mark before white space or the end, or an empty line.
 SENTENCE_END = r"""[.!?]+["')\]]*(?:[ \t\n]+|\z)|\n[ \t]*\n[ \t\n]*"""
+#: Marks that end no sentence: of a company before a small letter, of a person's middle initial.
+NO_END = ((r"\b(Inc|Ltd|Co|Corp|LLC)\.([ \t\n]+[a-z])"), (r"([A-Z][a-z]+ [A-Z])\.([ \t\n]+[A-Z][a-z])"))
 #: A line that goes on with what stands before it.
 GOES_ON = "^[a-z(]"
 
@@ -180,13 +226,16 @@ def sentences_of(text: Column) -> Column:
         def part(x: Column, i: Column) -> Column:
             after = F.coalesce(F.get(lines, i + 1), F.lit(""))
             alone = known[normal_column(x)].isNotNull() & (~after.rlike(GOES_ON) | F.lower(x).startswith("spdx"))
-            return F.when(alone, F.concat(F.lit("\n\n"), x, F.lit("\n\n"))).when(x.rlike(ITEM), F.concat(F.lit("\n\n"), F.regexp_replace(x, ITEM, ""))).otherwise(F.concat(F.lit("\n"), x))
+            return F.when(alone, F.concat(F.lit("\n\n"), x, F.lit("\n\n"))).when(x.rlike(ITEM), F.concat(F.lit(f"\n\n{ITEM_MARK}"), F.regexp_replace(x, ITEM, ""))).otherwise(F.concat(F.lit("\n"), x))
 
         return F.array_join(F.transform(lines, part), "")
 
     # A transform over one element holds the lines, so that they are made once.
     whole = F.get(F.transform(F.array(lines), joined), F.lit(0))
-    return F.split(F.regexp_replace(whole, INLINE_ITEM, ":\n\n"), SENTENCE_END)
+    whole = F.regexp_replace(whole, INLINE_ITEM, f":\n\n{ITEM_MARK}")
+    for pattern in NO_END:
+        whole = F.regexp_replace(whole, pattern, "$1$2")
+    return F.split(whole, SENTENCE_END)
 
 
 def known_sentences(text: Column) -> Column:
@@ -196,7 +245,17 @@ def known_sentences(text: Column) -> Column:
     some = F.lit(False)
     for hint in HINTS:
         some = some | F.contains(low, F.lit(hint))
-    found = F.filter(F.transform(sentences_of(text), lambda s: known[normal_column(s)]), lambda k: k.isNotNull())
+
+    def of(s: Column) -> Column:
+        filled = normal_column(s)
+        for pattern, wording in HOLES:
+            filled = F.regexp_replace(filled, pattern, wording)
+        return F.coalesce(known[normal_column(s)], known[filled], F.when(s.startswith(ITEM_MARK), UNKNOWN_ITEM))
+
+    found = F.filter(F.transform(sentences_of(text), of), lambda k: k.isNotNull())
+    # A transform over one element holds the identifiers, so that they are found once.
+    after = lambda ids: F.filter(ids, lambda k, i: (k != UNKNOWN_ITEM) | F.coalesce(F.get(ids, i - 1).startswith(LISTED), F.lit(False)))
+    found = F.get(F.transform(F.array(found), after), F.lit(0))
     return F.when(some, found).otherwise(F.array().cast("array<string>"))
 
 
@@ -204,7 +263,10 @@ def scan_licences(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row per row of ``docs``: its known licence sentences and the licences they amount to.
 
     A text is cut into sentences (``sentences_of``), each reduced to lower-case
-    words of letters and digits and looked up among the known ones; the
+    words of letters and digits and looked up among the known ones, if need be
+    with the names in its holes (holder, program, organisation) replaced by those of the known
+    sentence. An item of a list that is unknown and follows a clause of a list of conditions counts as
+    ``clause-unknown``: such a list is ``unknown-conditions``, not the licence that it begins like. The
     identifiers found, in order, are matched against the rules, each of which
     wants its identifiers next to each other. Rules are tried in order; what a
     rule matched is taken out before the next is tried, so that parts of a long
@@ -239,6 +301,12 @@ def oracle_sql() -> str:
     quote = lambda x: "'" + x.replace("'", "''") + "'"
     known = ", ".join(f"({quote(k)}, {quote(v)})" for k, v in KNOWN.items())
     plain = lambda x: f"trim(regexp_replace(lower({x}), '[^a-z0-9]+', ' ', 'g'))"
+    cut = f"regexp_replace(t, {quote(INLINE_ITEM)}, ':' || repeat(chr(10), 2) || chr(30), 'g')"
+    for pattern in NO_END:
+        cut = f"regexp_replace({cut}, {quote(pattern)}, '\\1\\2', 'g')"
+    full = "p"
+    for pattern, wording in HOLES:
+        full = f"regexp_replace({full}, {quote(pattern)}, {quote(wording)}, 'g')"
     steps = ""
     for i, (name, wanted) in enumerate(RULES):
         pattern = quote("".join(f" {x} " for x in wanted))
@@ -257,12 +325,20 @@ def oracle_sql() -> str:
             select row, i, x, id, lead(x, 1, '') over (partition by row order by i) nx from bare left join known on known.s = {plain("x")}
         ), whole as (
             select row, string_agg(case when id is not null and (not regexp_matches(nx, '{GOES_ON}') or starts_with(lower(x), 'spdx')) then repeat(chr(10), 2) || x || repeat(chr(10), 2)
-                when regexp_matches(x, {quote(ITEM)}) then repeat(chr(10), 2) || regexp_replace(x, {quote(ITEM)}, '') else chr(10) || x end, '' order by i) t from told group by row
+                when regexp_matches(x, {quote(ITEM)}) then repeat(chr(10), 2) || chr(30) || regexp_replace(x, {quote(ITEM)}, '') else chr(10) || x end, '' order by i) t from told group by row
         ), cut as (
             select row, unnest(a) s, unnest(range(len(a))) i
-            from (select row, regexp_split_to_array(regexp_replace(t, {quote(INLINE_ITEM)}, ':' || repeat(chr(10), 2), 'g'), {quote(SENTENCE_END)}) a from whole)
+            from (select row, regexp_split_to_array({cut}, {quote(SENTENCE_END)}) a from whole)
+        ), tried as (
+            select row, i, starts_with(s, chr(30)) item, {plain("cut.s")} p from cut
+        ), full_ as (
+            select row, i, item, p, {full} f from tried
+        ), named as (
+            select row, i, coalesce(a.id, b.id, case when item then '{UNKNOWN_ITEM}' end) id from full_ left join known a on a.s = p left join known b on b.s = f
+        ), kept as (
+            select row, i, id, lag(id, 1, '') over (partition by row order by i) before from named where id is not null
         ), found as (
-            select row, count(*) n, string_agg(id, ',' order by i) ids from cut join known on known.s = {plain("cut.s")} group by 1
+            select row, count(*) n, string_agg(id, ',' order by i) ids from kept where id <> '{UNKNOWN_ITEM}' or starts_with(before, '{LISTED}') group by 1
         ), r0 as (
             select row, doc_id, coalesce(n, 0) n, coalesce(ids, '') ids, ' ' || replace(coalesce(ids, ''), ',', '  ') || ' ' l, '' f from d left join found using (row)
         ){steps}

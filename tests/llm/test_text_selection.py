@@ -201,3 +201,54 @@ def test_resample_without_target_or_documents(spark, docs, rows, none):
 def test_packed_postings_come_back():
     b, d, n = np.array([0, 5, 127]), np.array([4095, 0, 7]), np.array([1, 70_000, 3])
     assert [x.tolist() for x in resampling.unpacked(resampling.packed(b, d, n))] == [b.tolist(), d.tolist(), n.tolist()]
+
+
+BSD_CLAUSES = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+1. Redistributions of source code must retain the above copyright
+   notice, this list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright
+   notice, this list of conditions and the following disclaimer in the
+   documentation and/or other materials provided with the distribution.
+"""
+ENDORSE = "may be used to endorse or promote products derived from\n   this software without specific prior written permission"
+HOLDERS = ("Google Inc.", "the copyright holder", "the University", "the <organization>", "Red Hat, Inc", "The Open Group", "Sun Microsystems, Inc.", "the Example Project", "Jane Q. Public", "the authors")
+MIT_GRANT = """Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY,
+FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER
+LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS IN THE SOFTWARE.
+"""
+
+
+def gnu(name, kind="General", version="3", later=True):
+    end = f"either version {version} of the License, or\n(at your option) any later version" if later else f"version {version} of the License"
+    return f"""{name} is free software: you can redistribute it and/or modify
+it under the terms of the GNU {kind} Public License as published by
+the Free Software Foundation, {end}.
+
+{name} is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU {kind} Public License for more details."""
+
+
+def test_licences_with_names_in_their_holes(spark):
+    from tallyframe.llm.licences import scan_licences
+
+    cases = [(BSD_CLAUSES + f"3. Neither the name of {h} nor the names of its\n   contributors {ENDORSE}.\n", "BSD-3-Clause") for h in HOLDERS]
+    cases += [(BSD_CLAUSES + f"3. The name of {h} may not be used to endorse or promote products derived from\n   this software without specific prior written permission.\n", "BSD-3-Clause") for h in HOLDERS]
+    cases += [(BSD_CLAUSES + f"3. {more}\n", "unknown-conditions") for more in ("This software may not be used by the military.", "You must send a postcard to the author.", "Modified versions must carry another name.")]
+    cases += [(BSD_CLAUSES, "BSD-2-Clause"), (BSD_CLAUSES + "\nTHIS SOFTWARE IS PROVIDED BY ACME LTD \"AS IS\".\n", "BSD-2-Clause")]
+    cases += [(gnu(n), "GPL-3.0-or-later") for n in ("Bash", "GNU Emacs", "The Example Compiler 2", "This program")]
+    cases += [(gnu("Foo", "Lesser General", "2.1"), "LGPL-2.1-or-later"), (gnu("Bar", "Affero General", "3", False), "AGPL-3.0-only"), (gnu("This library", "Lesser General", "3"), "LGPL-3.0-or-later")]
+    cases += [(MIT_GRANT, "MIT"), (MIT_GRANT + "\nExcept as contained in this notice, the name of the X Consortium shall not be\nused in advertising or otherwise to promote the sale, use or other dealings in\nthis Software without prior written authorization from the X Consortium.\n", "X11")]
+    cases += [("Permission to use, copy, modify, distribute, and sell this software and its\ndocumentation for any purpose is hereby granted without fee, provided that\nthe above copyright notice appear in all copies and that both that\ncopyright notice and this permission notice appear in supporting\ndocumentation, and that the name of Some Body not be used in advertising.", "HPND-sell-variant")]
+    cases += [("            DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE\n                    Version 2, December 2004\n\nCopyright (C) 2004 Some Body\n\n            DO WHAT THE FUCK YOU WANT TO PUBLIC LICENSE\n   TERMS AND CONDITIONS FOR COPYING, DISTRIBUTION AND MODIFICATION\n\n  0. You just DO WHAT THE FUCK YOU WANT TO.\n", "WTFPL")]
+    cases += [("1. Buy rights.\n2. Sell licences.\n3. Be useful.", None), ("Bash is free software, they say, and useful.", None)]
+    got = scan_licences(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")).collect()
+    assert [(r.licence, r.licences) for r in sorted(got, key=lambda r: r.doc_id)] == [(want, want or "") for _, want in cases]
