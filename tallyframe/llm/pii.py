@@ -270,6 +270,18 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
+def holds(kind: str, said: str) -> bool:
+    """Whether a span of the model passes the check of its kind: digits of cards and phones, parts of addresses of hosts."""
+    digits = "".join(c for c in said if "0" <= c <= "9")
+    if kind == "card":
+        return 13 <= len(digits) <= 19 and luhn(digits)
+    if kind == "phone":
+        return 9 <= len(digits) <= 15
+    if kind == "ip":
+        return re.fullmatch(r"[0-9]+(?:\.[0-9]+){3}", said) is not None and all(int(x) <= 255 for x in said.split("."))
+    return kind != "email" or "@" in said[1:-1]
+
+
 def base_spans(text: str) -> list[tuple[str, int, int]]:
     """Spans of the base patterns, by kind, then start."""
     found, end, at = [], 0, text.find("@")
@@ -369,7 +381,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     Base spans come from four fixed patterns (leftmost, non-overlapping per
     kind; matches that fail their check are dropped). A conditional random
     field over word shapes, trained here from ``LABELLED``, adds its spans that
-    touch no base span, among them kinds of its own: secrets, names of persons after
+    touch no base span and pass the check of their kind, among them kinds of its own: secrets, names of persons after
     a title or greeting, street addresses, and numbers of papers. Offsets count
     code points, ends are exclusive; counts of the four base kinds and
     ``base_sha256`` are of base spans, counts of the other kinds are of the model's
@@ -395,7 +407,7 @@ def find_pii(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
                 rows = []
                 for text, added in zip(texts[lo:hi], tagger.spans(texts[lo:hi]), strict=True):
                     base = base_spans(text)
-                    more = [x for x in added if not any(b < x[2] and x[1] < e for _, b, e in base)]
+                    more = [x for x in added if holds(x[0], text[x[1] : x[2]]) and not any(b < x[2] and x[1] < e for _, b, e in base)]
                     said = ["{}:{}:{}".format(*x) for x in base]
                     every = sorted(base + more, key=lambda x: (KINDS.index(x[0]), x[1]))
                     counts = [*(sum(x[0] == k for x in base) for k in BASE), *(sum(x[0] == k for x in more) for k in ADDED)]

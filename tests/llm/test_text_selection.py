@@ -252,3 +252,16 @@ def test_licences_with_names_in_their_holes(spark):
     cases += [("1. Buy rights.\n2. Sell licences.\n3. Be useful.", None), ("Bash is free software, they say, and useful.", None)]
     got = scan_licences(spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "doc_id long, text string")).collect()
     assert [(r.licence, r.licences) for r in sorted(got, key=lambda r: r.doc_id)] == [(want, want or "") for _, want in cases]
+
+
+def test_spans_of_the_model_pass_the_check_of_their_kind(spark):
+    from tallyframe.llm import pii
+
+    assert pii.holds("card", "4111-1111 1111 1111") and not pii.holds("card", "4111 1111 1111 1112") and not pii.holds("card", "4222222")
+    assert pii.holds("ip", "10.0.0.255") and not pii.holds("ip", "10.0.0.256") and not pii.holds("ip", "1.2.3")
+    assert pii.holds("phone", "(212) 555-0143") is True and not pii.holds("phone", "555-014") and pii.holds("secret", "x") and not pii.holds("email", "a@")
+    rng = random.Random(1)
+    texts = [f"paid with {''.join(rng.choice('0123456789') for _ in range(16))} on {rng.choice(['monday', 'the card'])}" for _ in range(300)]
+    got = pii.find_pii(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    cards = [(texts[r.doc_id], x.split(":")) for r in got for x in r.spans.split(",") if x.startswith("card:")]
+    assert cards and all(pii.luhn(t[int(a) : int(b)]) for t, (_, a, b) in cards)
