@@ -798,3 +798,5 @@ def audit_columns(spark, sf_dir):
     pair = TablePair(table(spark, sf_dir, "orders"), table(spark, sf_dir, "orders"), "orders")
     out = with_audit_columns(stats.count_compare(pair), RunContext("run-1", datetime(2024, 1, 1)), "COUNTS", "summary", ("db", "public", "orders"), ("main", "gold", "orders"))
     return out.select("run_id", "check_name", "output_type", "source_table", "source_count")
+
+from . import check_queries  # noqa: E402,F401 - registers its queries here
