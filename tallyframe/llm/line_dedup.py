@@ -33,11 +33,10 @@ def rarity_table(words: DataFrame) -> DataFrame:
     )
 
 
-def ordered_tokens(line: Column, rarity: Column) -> Column:
-    """A line's distinct words as sorted longs: seven bits of rarity (plus one that keeps them positive), then 56 of hash."""
-    hashes = F.array_remove(F.array_distinct(F.transform(words_of(line), lambda w: F.xxhash64(w))), F.xxhash64(F.lit("")))
+def ordered_tokens(words: Column, rarity: Column) -> Column:
+    """Distinct words as sorted longs: seven bits of rarity (plus one that keeps them positive), then 56 of hash."""
     placed = lambda x: F.shiftleft(F.element_at(rarity, slot_of(x) + 1).cast("long") + 16, 56).bitwiseOR(F.shiftrightunsigned(x, 8))
-    return F.sort_array(F.transform(hashes, placed))
+    return F.sort_array(F.transform(F.transform(words, lambda w: F.xxhash64(w)), placed))
 
 
 def packed(tokens: Column) -> Column:
@@ -83,12 +82,14 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rarity = written(rarity_table(words))
     numbered = docs.select(docs[id_col].alias("_id"), text.alias("_whole")).withColumn("_row", F.monotonically_increasing_id())
     said = numbered.select("_id", "_row", F.posexplode(F.split("_whole", "\n")).alias("_line", "_text"))
-    lines = said.withColumn("_r", rarity.scalar()).withColumn("_t", ordered_tokens(F.col("_text"), F.col("_r")))
-    key = (F.xxhash64("_t").alias("k1"), F.xxhash64(F.lit(7), F.col("_t")).alias("k2"))
+    # A set is known by its words in their own order, which the last pass over the lines can do without their rarity.
+    lines = said.withColumn("_s", F.sort_array(F.array_remove(F.array_distinct(words_of(F.col("_text"))), "")))
+    key = (F.xxhash64("_s").alias("k1"), F.xxhash64(F.lit(7), F.col("_s")).alias("k2"))
+    ordered = lines.withColumn("_r", rarity.scalar()).withColumn("_t", ordered_tokens(F.col("_s"), F.col("_r")))
     place = F.struct(F.col("_id").isNull().alias("e"), F.col("_id").alias("d"), F.col("_line").alias("l"))
 
     sets = written(
-        lines.select(*key, place.alias("at"), F.size("_t").alias("n"), packed(F.col("_t")).alias("tokens"))
+        ordered.select(*key, place.alias("at"), F.size("_t").alias("n"), packed(F.col("_t")).alias("tokens"))
         .groupBy("k1", "k2").agg(F.min("at").alias("first"), F.count("*").alias("times"), F.first("n").alias("n"), F.first("tokens").alias("tokens")).where("n > 0")
         .withColumn("sid", F.monotonically_increasing_id()),
         compression="zstd",
