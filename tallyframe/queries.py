@@ -235,9 +235,11 @@ def _sums_as_text(df: DataFrame) -> DataFrame:
     return df.withColumns({c: F.col(c).cast("decimal(38,0)").cast("string") for c in ("source_hash_sum", "target_hash_sum")})
 
 
-@query(f"""with {BUCKETS} select * replace (source_hash_sum::varchar as source_hash_sum, target_hash_sum::varchar as target_hash_sum), source_rows = target_rows and source_hash_sum = target_hash_sum and source_hash_min is not distinct from target_hash_min and source_hash_max is not distinct from target_hash_max bucket_match from sums""")
+@query(f"""with {BUCKETS} select * replace (source_hash_sum::varchar as source_hash_sum, target_hash_sum::varchar as target_hash_sum, coalesce(source_hash_min, -1) as source_hash_min, coalesce(target_hash_min, -1) as target_hash_min,
+    coalesce(source_hash_max, -1) as source_hash_max, coalesce(target_hash_max, -1) as target_hash_max), source_rows = target_rows and source_hash_sum = target_hash_sum and source_hash_min is not distinct from target_hash_min and source_hash_max is not distinct from target_hash_max bucket_match from sums""")
 def bucket_checksum(spark, sf_dir):
-    return _sums_as_text(reconcile.bucket_summary(orders_pair(spark, sf_dir), SUMMED).drop("source_distinct", "target_distinct"))
+    out = reconcile.bucket_summary(orders_pair(spark, sf_dir), SUMMED).drop("source_distinct", "target_distinct")
+    return _sums_as_text(out.na.fill(-1, [f"{side}_hash_{m}" for side in ("source", "target") for m in ("min", "max")]))
 
 
 @query(f"""with {BUCKETS}, tree as (
