@@ -124,3 +124,12 @@ def test_missing_tokens(spark):
     df = spark.createDataFrame([(" ? ",), ("x ",), (None,)], "s string")
     assert values(df, canonical.missing_cleaned(F.col("s"), ("?", ""))) == [(None,), ("x",), (None,)]
     assert dt.date(2024, 1, 1).isoformat() == "2024-01-01"
+
+
+def test_display_order_puts_the_worst_first(spark):
+    from tallyframe.functions.ordering import ROWS_FIRST, for_display, status_rank
+
+    rows = [("b", "PASS"), ("a", "FAIL"), (None, "FAIL"), ("c", None), ("d", "ERROR"), ("a", "COUNTS_ONLY")]
+    shown = for_display(spark.createDataFrame(rows, "table_name string, status string"), ["table_name"])
+    assert [(r.table_name, r.status, r.display_rank) for r in shown.collect()] == [("d", "ERROR", 1), ("a", "FAIL", 2), (None, "FAIL", 2), ("a", "COUNTS_ONLY", 3), ("b", "PASS", 3), ("c", None, 3)]
+    assert [r[0] for r in spark.createDataFrame([("CHANGED",), ("TARGET_ONLY",), ("MATCH",)], "s string").select(status_rank(F.col("s"), ROWS_FIRST)).collect()] == [1, 3, 4]
