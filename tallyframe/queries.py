@@ -737,6 +737,16 @@ def tree_rules(spark, sf_dir):
     return models.tree_rules(df, ["l_extendedprice", "ship_day"], ["l_linestatus", "l_shipmonth"])
 
 
+@query(f"""with x as (select case when l_quantity > 25 then 1 else 0 end flag, case when l_quantity > 25 then 1 else 0 end leaf from lineitem), w as (select count(*)::double an, sum(flag)::double ap from x),
+    g as (select leaf, count(*) n, sum(flag)::bigint s, sum(flag)::double / count(*) p from x group by 1)
+    select leaf::int leaf, n records, s positives, round(an / 2, 6) weighted_records, case leaf when 1 then round(an / 2, 6) else 0.0 end weighted_positives, leaf::int predicted_class, round(p, 6) rate, round(p / (ap / an), 6) lift, round(n / an, 6) support,
+    {WILSON}, case leaf when 1 then 'l_quantity > 25.5' else 'l_quantity <= 25.5' end rule from g, w""")
+def tree_rules_of_a_threshold(spark, sf_dir):
+    """A class that one threshold tells apart, among inputs that say nothing: the tree's rules are known beforehand."""
+    df = table(spark, sf_dir, "lineitem").withColumn("target_flag", (F.col("l_quantity") > 25).cast("int"))
+    return rounded(models.tree_rules(df, ["l_quantity", "l_linenumber"], ["l_linestatus"], depth=3), 6)
+
+
 def _scored(spark, sf_dir):
     return models.scored_rows(_lines(spark, sf_dir), ["l_extendedprice", "l_discount"], ["l_linestatus", "l_shipmonth"])
 
