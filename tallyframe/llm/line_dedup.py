@@ -85,7 +85,8 @@ def line_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     # A set is known by its words in their own order, which the last pass over the lines can do without their rarity.
     lines = said.withColumn("_s", F.sort_array(F.array_remove(F.array_distinct(words_of(F.col("_text"))), "")))
     key = (F.xxhash64("_s").alias("k1"), F.xxhash64(F.lit(7), F.col("_s")).alias("k2"))
-    ordered = lines.withColumn("_r", rarity.scalar()).withColumn("_t", ordered_tokens(F.col("_s"), F.col("_r")))
+    # The table is named in the expression, never a column beside each line.
+    ordered = lines.withColumn("_t", ordered_tokens(F.col("_s"), rarity.scalar()))
     place = F.struct(F.col("_id").isNull().alias("e"), F.col("_id").alias("d"), F.col("_line").alias("l"))
 
     sets = written(
