@@ -170,12 +170,19 @@ def candidate_sets(items: Column, tables: list[SetTable]) -> Column:
 
     Sets grow by an item of a later feature, from sets that may be frequent themselves.
     """
-    singles = F.transform(F.filter(items, lambda x: tables[0].may_have(F.array(x))), lambda x: F.array(x))
-    sets = singles if tables else F.transform(items, lambda x: F.array(x))
-    for k, table in enumerate(tables, 1):
-        known = sets if k == 1 else F.filter(sets, table.may_have)
-
-        sets = F.flatten(F.transform(known, growing(items, k, table)))
+    if not tables:
+        return F.transform(items, lambda x: F.array(x))
+    # A transform over one element holds the items that may be frequent, so that they are looked up once.
+    items = F.filter(items, lambda x: tables[0].may_have(F.array(x)))
+    return F.get(F.transform(F.array(items), lambda own: larger_sets(own, tables)), F.lit(0))
+
+
+def larger_sets(items: Column, tables: list[SetTable]) -> Column:
+    """``candidate_sets`` of items that may all be frequent: pairs need no look, larger sets one for each subset."""
+    later = lambda i: F.slice(items, i + 2, F.size(items))
+    sets = F.flatten(F.transform(items, lambda x, i: F.transform(later(i), lambda y: F.array(x, y))))
+    for k, table in enumerate(tables[1:], 2):
+        sets = F.flatten(F.transform(F.filter(sets, table.may_have), growing(items, k, table)))
     return sets
 
 
@@ -198,11 +205,14 @@ def frequent_sets(df: DataFrame, features: list[str], flag: str, length: int, le
     expanded only to sets whose subsets with one item less are all marked in the table
     of the level before. Tables have ``slots`` bytes however many sets there
     are, and hold no set back: counts are of the sets themselves, and exact.
+    Rows that agree in all features are counted first, combined before the shuffle, and expanded as one.
     """
-    rows, levels, tables = item_arrays(df, features, [flag]), [], []
+    named = df.select(F.col(flag).alias("_flag"), *(F.coalesce(F.col(f"`{f}`").cast("string"), F.lit("UNKNOWN")).alias(f"_{i}") for i, f in enumerate(features)))
+    alike = named.groupBy(*(f"_{i}" for i in range(len(features)))).agg(F.count("*").alias("n"), F.sum("_flag").alias("p"))
+    rows, levels, tables = settled(item_arrays(alike, [f"_{i}" for i in range(len(features))], ["n", "p"])), [], []
     for k in range(1, min(length, len(features)) + 1):
         sets = F.transform("items", lambda x: F.array(x)) if k == 1 else candidate_sets(F.col("items"), tables)
-        counted = rows.select(flag, F.explode(sets).alias("items")).groupBy("items").agg(F.count("*").alias("records"), F.sum(flag).alias("positives"))
+        counted = rows.select("n", "p", F.explode(sets).alias("items")).groupBy("items").agg(F.sum("n").alias("records"), F.sum("p").alias("positives"))
         levels.append(settled(counted.where(F.col("records") >= least_records)))
         if k < length:
             if levels[-1].isEmpty():
