@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import json
 import zlib
+from array import array
 from collections.abc import Iterator
+from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
@@ -19,6 +21,8 @@ from .common import text_of, written
 #: each (but the dotted capital I), and common marks, which have one normal form.
 PLAIN = regex.compile("[\t\n\v\f\r -~\u00a0-\u012f\u0131-\u024f\u2010-\u2027\u2030-\u205e]*")
 CHARS_AT_ONCE = 4_000_000
+#: Items of one size whose places are told together; the driver holds so many at once.
+ITEMS_TOGETHER = 1 << 20
 
 
 class ChunkEncoder:
@@ -144,44 +148,100 @@ def pieces_of(docs: DataFrame, id_col: str, text_col: str, tokenizer_path: str,
     )
 
 
-def plan_bins(counts: np.ndarray, capacity: int, most_steps: int = 200_000) -> np.ndarray:
+def placements(size: int, total: int, held: list[int], capacity: int, together: int) -> Iterator[np.ndarray]:
+    """The gaps into which ``total`` items of ``size`` go one after the other, ``together`` of them an array; ``held`` (open bins by gap) follows.
+
+    A heap has each gap's cost, then the gap, as one number; a placement changes the
+    costs of at most three gaps, so a step takes the same time whatever the number of bins.
+    """
+    wide = capacity + 1
+
+    def priced(gap: int) -> int:
+        if gap == capacity:  # a new bin
+            return (0 if size == capacity else 2 * held[capacity - size] + 1) * wide + gap
+        return (1 - 2 * held[gap] if gap == size else 2 * (held[gap - size] - held[gap]) + 2) * wide + gap
+
+    def afresh() -> list[int]:
+        return sorted([price[g] for g in range(size, capacity + 1) if g == capacity or held[g]])
+
+    price = [priced(g) if g >= size else 0 for g in range(wide)]
+    heap = afresh()
+    for lo in range(0, total, together):
+        n = min(together, total - lo)
+        if 2 * size > capacity and len(heap) == 1:  # only a new bin has room, and what it leaves has none
+            held[capacity - size] += n if size < capacity else 0
+            yield np.full(n, capacity, np.int64)
+            continue
+        gaps = []
+        for _ in range(n):
+            top = heappop(heap)
+            gap = top % wide
+            while top != price[gap] or (gap < capacity and not held[gap]):  # it has changed since
+                top = heappop(heap)
+                gap = top % wide
+            gaps.append(gap)
+            left = gap - size
+            if gap < capacity:
+                held[gap] -= 1
+            if left:
+                held[left] += 1
+            if gap == capacity or held[gap]:
+                price[gap] = priced(gap)
+                heappush(heap, price[gap])
+            if left >= size:
+                price[left] = priced(left)
+                heappush(heap, price[left])
+            above = gap + size
+            if above <= capacity:
+                price[above] = priced(above)
+                if above == capacity or held[above]:
+                    heappush(heap, price[above])
+        yield np.array(gaps, np.int64)
+        if len(heap) > 100 * wide:
+            heap = afresh()
+
+
+def plan_bins(counts: np.ndarray, capacity: int, together: int = 1) -> np.ndarray:
     """Places for ``counts[s]`` items of each size ``s``: rows (size, first rank, end rank, first bin, offset), sorted by size and rank.
 
-    Sizes are taken from the largest down. An item goes where the sum, over the
+    Sizes are taken from the largest down, items one by one, however many there
+    are. An item goes where the sum, over the
     residual gaps of open bins, of the squared number of bins with that gap
     becomes smallest (a full bin has no gap and counts nothing). Of equal
     choices the smallest gap wins, an open bin before a new one.
 
-    Items of one size are alike, and so are bins of one gap, so a step places
-    ``total / most_steps`` items (one at least) at once by the choice for the
-    first of them; bins stay open from step to step, and a gap's bins are kept
-    as runs of bin numbers. The work is bounded whatever the number of items.
+    Items of one size are alike, and so are bins of one gap: only how many items
+    go into which gap decides the packing. So of ``together`` items of one size
+    in a row, those of one gap are told together, largest gap first (a bin that
+    takes two of them is then told the first one first); a gap's bins are
+    kept as runs of bin numbers. Rows then grow in number with the pairs of size and gap, not with the items.
     """
-    held = np.zeros(capacity + 1, np.int64)  # open bins by gap; gaps 0 and capacity stay 0
+    held = [0] * (capacity + 1)  # open bins by gap; gaps 0 and capacity stay 0
     runs: list[list[tuple[int, int]]] = [[] for _ in range(capacity + 1)]  # (first bin, bins) of each gap
-    step, bins, slots = max(1, int(counts.sum()) // most_steps), 0, []
+    bins, slots = 0, array("q")
     for size in range(len(counts) - 1, 0, -1):
-        done, total = 0, int(counts[size])
-        while done < total:
-            gaps = np.flatnonzero(held[size:]) + size
-            cost = 2 * (np.where(gaps == size, 0, held[gaps - size]) - held[gaps]) + np.where(gaps == size, 1, 2)
-            best = int(gaps[np.argmin(cost)]) if len(gaps) else 0
-            fresh = 0 if size == capacity else 2 * int(held[capacity - size]) + 1
-            n = min(step, total - done)
-            if best and cost.min() <= fresh:
-                first, own = runs[best].pop()
-                n = min(n, own)
-                if own > n:
-                    runs[best].append((first, own - n))
-                    first += own - n
-                held[best] -= n
-            else:
-                best, first, bins = capacity, bins, bins + n
-            slots.append((size, done, done + n, first, capacity - best))
-            if best > size:
-                runs[best - size].append((first, n))
-                held[best - size] += n
-            done += n
+        done = 0
+        for gaps in placements(size, int(counts[size]), held, capacity, together):
+            gaps = np.sort(gaps)[::-1]
+            starts = np.flatnonzero(np.append(True, gaps[1:] != gaps[:-1]))
+            for gap, n in zip(gaps[starts].tolist(), np.diff(np.append(starts, len(gaps))).tolist(), strict=True):
+                if gap == capacity:
+                    runs[gap].append((bins, n))
+                    bins += n
+                while n:
+                    first, own = runs[gap].pop()
+                    m = min(n, own)
+                    if own > m:
+                        runs[gap].append((first, own - m))
+                        first += own - m
+                    slots.extend((size, done, done + m, first, capacity - gap))
+                    if gap > size:
+                        last = runs[gap - size]
+                        if last and last[-1][0] == first + m:  # its bins go on where these end
+                            last[-1] = (first, m + last[-1][1])
+                        else:
+                            last.append((first, m))
+                    done, n = done + m, n - m
     out = np.array(slots, np.int64).reshape(-1, 5)
     return out[np.lexsort((out[:, 1], out[:, 0]))]
 
@@ -203,11 +263,11 @@ def pack(
     smallest gap. Sequence ids are not consecutive in any order of the documents.
 
     The tokenised lengths make a histogram of at most ``capacity`` entries; the
-    packing is planned on it (``plan_bins``), so neither the driver nor a task
+    packing is planned on it (``plan_bins``), item by item at every size, so neither the driver nor a task
     ever holds all pieces. Pieces are numbered within their length in chunks
     whose sizes are summed first; a length has more chunks the more pieces share
-    it, so that a chunk holds about a million at most. The plan's slots, bounded
-    by ``plan_bins``, are broadcast, and each piece finds its slot by binary search.
+    it, so that a chunk holds about a million at most. The plan's slots, which grow
+    with the pairs of size and gap, are broadcast, and each piece finds its slot by binary search.
     """
     spark = docs.sparkSession
     pieces = written(pieces_of(docs, id_col, text_col, tokenizer_path, capacity))
@@ -223,7 +283,7 @@ def pack(
         held[first[length] + salt] = n
     before = np.cumsum(held) - held
     before -= np.repeat(before[np.minimum(first, len(held) - 1)], salts)
-    plan = spark.sparkContext.broadcast((plan_bins(counts, capacity), before, first))
+    plan = spark.sparkContext.broadcast((plan_bins(counts, capacity, ITEMS_TOGETHER), before, first))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots, before, first = plan.value

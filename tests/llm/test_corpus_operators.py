@@ -339,6 +339,34 @@ def test_plan_bins_is_whole_and_tight_at_any_scale():
         assert bins <= 1.02 * math.ceil((counts * np.arange(2049)).sum() / 2048)
 
 
+def test_plan_bins_goes_item_by_item_at_any_scale():
+    """More than 400,000 items against the rule for each of them, told one by one and by gap."""
+    counts, capacity = np.zeros(17, np.int64), 16
+    counts[[3, 4, 5, 7]] = 150_001, 90_003, 120_002, 110_007
+    want, held = defaultdict(int), [0] * (capacity + 1)
+    for size in (7, 5, 4, 3):
+        for _ in range(counts[size]):
+            squares = lambda g: 1 - 2 * held[g] if g == size else 2 * (held[g - size] - held[g]) + 2
+            choices = [(squares(g), g) for g in range(size, capacity) if held[g]] + [(2 * held[capacity - size] + 1, capacity)]
+            gap = min(choices)[1]
+            want[size, capacity - gap] += 1
+            held[gap] -= gap < capacity
+            held[gap - size] += gap > size
+    for together in (1, 1 << 20):
+        plan, got = packing.plan_bins(counts, capacity, together), defaultdict(int)
+        for size, lo, hi, _, offset in plan.tolist():
+            got[size, offset] += hi - lo
+        assert got == want
+        n = plan[:, 2] - plan[:, 1]
+        bins = np.repeat(plan[:, 3] - np.cumsum(n) + n, n) + np.arange(n.sum())
+        size, offset = np.repeat(plan[:, 0], n), np.repeat(plan[:, 4], n)
+        order = np.lexsort((offset, bins))
+        bins, size, offset = bins[order], size[order], offset[order]
+        same = bins[1:] == bins[:-1]  # each bin is filled without gaps
+        assert (offset[np.append(True, ~same)] == 0).all() and ((offset + size)[:-1][same] == offset[1:][same]).all() and (offset + size).max() <= capacity
+    assert len(plan) < 1000
+
+
 def test_plan_bins_places_each_item_where_squares_are_least():
     """Item by item against the sums of squares computed in full."""
     rng = np.random.default_rng(4)
