@@ -53,6 +53,25 @@ def join_sides(s: DataFrame, t: DataFrame, n_keys: int, hot_rows: int | None = N
     return joined.withColumn("row_status", status)
 
 
+def status_counts(pair: TablePair, rule: ReconRule, same_type: bool = False, scale: int = 18) -> DataFrame:
+    """(k_0.., row_status, n_rows): how many rows ``join_rows`` has of each key and status, told without joining.
+
+    Rows that agree in key and hash are counted for each side, then added up by
+    key: of a key that both sides have, each pair of rows with one hash is a
+    match and each other pair a change. So a key, null or not, of any number of
+    rows on both sides costs as much as its rows, not its pairs.
+    """
+    s, t = canonical_sides(pair, rule, same_type, scale)
+    keys = [f"k_{i}" for i in range(len(rule.keys))]
+    tagged = lambda df, tag: df.select(*(F.col(f"{tag}{k}").alias(k) for k in keys), F.unhex(f"{tag}_hash").alias("_hash"), F.lit(int(tag == "s")).alias("_s"))
+    alike = tagged(s, "s").unionByName(tagged(t, "t")).groupBy(*keys, "_hash").agg(F.sum("_s").alias("_s"), F.sum(1 - F.col("_s")).alias("_t"))
+    of_key = alike.groupBy(*keys).agg(F.sum("_s").alias("_s"), F.sum("_t").alias("_t"), F.sum(F.col("_s") * F.col("_t")).alias("_m"))
+    count = lambda status, n: F.struct(F.lit(status).alias("row_status"), n.alias("n_rows"))
+    own, other, same = F.col("_s"), F.col("_t"), F.col("_m")
+    counts = F.when(other == 0, F.array(count(SOURCE_ONLY, own))).when(own == 0, F.array(count(TARGET_ONLY, other))).otherwise(F.array(count(MATCH, same), count(CHANGED, own * other - same)))
+    return of_key.select(*keys, F.inline(counts)).where(F.col("n_rows") > 0)
+
+
 def key_json(pair: TablePair, rule: ReconRule) -> Column:
     """The key of a joined row as JSON text, from whichever side has it, nulls kept."""
     names = [k.lower() for k in resolve(pair.source.columns, rule.keys)]

@@ -13,6 +13,8 @@ SLOTS = 1 << 16
 MOST_HOT = 10_000
 #: Inputs that Spark estimates to be smaller, both together, are joined without counting: no key of theirs is too large for a task.
 COUNTED_BYTES = 32 << 20
+#: Rows of a hot key that both sides have are repeated so often at most, on average: beyond that its cells become larger, not more.
+MOST_COPIES = 16
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -63,7 +65,9 @@ def full_outer(left: DataFrame, right: DataFrame, left_keys: list[str], right_ke
         return left.join(right, on, "full_outer")
 
     cell_rows = min(cell_rows, rows or cell_rows)
-    salts = lambda n: F.greatest(F.ceil(F.col(n) / cell_rows), F.lit(1)).cast("int")
+    l, r = F.col("n_left").cast("double"), F.col("n_right").cast("double")
+    cell = F.greatest(F.lit(cell_rows), F.ceil(2 * l * r / (MOST_COPIES * (l + r))))
+    salts = lambda n: F.greatest(F.ceil(F.col(n) / cell), F.lit(1)).cast("int")
     hot = hot.withColumns({"_ls": salts("n_left"), "_rs": salts("n_right"), "_both": (F.col("n_left") > 0) & (F.col("n_right") > 0)})
 
     def dealt(df: DataFrame, keys: list[str], own: str, other: str, tag: str) -> DataFrame:

@@ -82,6 +82,39 @@ def test_a_hot_key_runs_in_even_tasks(spark):
     assert sum(per) == 400 * 300 and len(per) == 4 and max(per) < 2 * min(per)
 
 
+def test_rows_of_a_very_hot_key_are_not_repeated_with_its_size(spark):
+    """A null key on both sides: rows that go into the join, for each row of the inputs."""
+    def dealt_rows(n):
+        left, right = (spark.range(n).select(F.lit(None).cast("long").alias(x), F.col("id").alias(f"{x}_v")) for x in "xy")
+        joined = skew.full_outer(left, right, ["x"], ["y"], 10, 10)
+        assert joined.count() == n * n
+        node = joined._jdf.queryExecution().optimizedPlan()
+        while "Join" not in node.nodeName():
+            node = node.children().head()
+        frame = lambda plan: spark._jvm.org.apache.spark.sql.classic.Dataset.ofRows(spark._jsparkSession, plan).count()
+        return sum(frame(node.children().apply(i)) for i in range(2)) / (2 * n)
+
+    assert dealt_rows(100) <= 1.3 * skew.MOST_COPIES and dealt_rows(1000) <= 1.3 * skew.MOST_COPIES
+
+
+def test_status_counts_are_those_of_the_joined_rows(spark):
+    left, right, _, _ = sides(spark)
+    s = left.select("a", "b", F.pmod("l", F.lit(7)).alias("v"))
+    t = right.select(F.col("c").alias("a"), F.col("d").alias("b"), F.pmod("r", F.lit(7)).alias("v"))
+    rule = ReconRule(keys=("a", "b"))
+    for x, y in ((s, t), (t, s), (s.where("false"), t), (s.where("false"), t.where("false"))):
+        joined = reconcile.join_rows(TablePair(x, y, "hot"), rule)
+        want = joined.groupBy(F.coalesce("sk_0", "tk_0").alias("k_0"), F.coalesce("sk_1", "tk_1").alias("k_1"), "row_status").count()
+        assert {tuple(r) for r in reconcile.status_counts(TablePair(x, y, "hot"), rule).collect()} == {tuple(r) for r in want.collect()}
+
+
+def test_pairs_of_a_hot_key_are_counted_and_not_made(spark):
+    """A null key of 200,000 rows on both sides has 40 billion pairs."""
+    rows = spark.range(200_000).select(F.lit(None).cast("long").alias("k"), F.pmod("id", F.lit(1000)).alias("v"))
+    got = {tuple(r) for r in reconcile.status_counts(TablePair(rows, rows, "hot"), ReconRule(keys=("k",))).collect()}
+    assert got == {(None, "MATCH", 1000 * 200 * 200), (None, "CHANGED", 200_000**2 - 1000 * 200 * 200)}
+
+
 RULE = ReconRule(keys=("id",), hash_buckets=16)
 
 
