@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline
 from pyspark.ml.classification import DecisionTreeClassificationModel, DecisionTreeClassifier
 from pyspark.ml.feature import Imputer, OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.fpm import FPGrowth
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -15,31 +15,30 @@ from pyspark.sql import functions as F
 from ..functions.measures import bin_edges, bin_number
 from ..sources.readers import quoted
 from . import metrics
-from .mining import base_of, quantile_edges, with_lift
-from ..tables import settled
-
-
-def baskets(df: DataFrame, features: list[str], target: str) -> DataFrame:
-    """Rows as item arrays ``feature=value``, the target among them."""
-    return df.select(F.array(*(F.concat(F.lit(f"{c}="), F.coalesce(F.col(f"`{c}`").cast("string"), F.lit("UNKNOWN"))) for c in [*features, target])).alias("items"))
+from .mining import base_of, frequent_sets, quantile_edges, with_lift
+from .stats import unioned
 
 
 def association_rules(df: DataFrame, features: list[str], target: str, value: str, support: float = 0.02, confidence: float = 0.35, lift: float = 1.3, longest: int = 4) -> DataFrame:
-    """Frequent-pattern rules that end in ``target = value``: support, confidence, lift, leverage, conviction."""
-    items = settled(baskets(df, features, target))  # read again for every pass over the items
-    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=confidence).fit(items)
-    wanted = f"{target}={value}"
-    total = items.count()
-    freq = model.freqItemsets
-    share = F.col("freq") / F.lit(float(total))
-    own = freq.select(F.array_sort("items").alias("antecedent"), share.alias("antecedent_support"))
-    target_row = freq.where((F.size("items") == 1) & F.array_contains("items", wanted)).agg(F.max(share).alias("consequent_support"))
-    rules = model.associationRules.where((F.size("consequent") == 1) & F.array_contains("consequent", wanted) & (F.size("antecedent") < longest) & (F.col("lift") >= lift))
-    rules = rules.withColumn("antecedent", F.array_sort("antecedent")).join(own, "antecedent").crossJoin(F.broadcast(target_row))  # one row
-    sc = F.col("consequent_support")
+    """Frequent-pattern rules that end in ``target = value``: support, confidence, lift, leverage, conviction.
+
+    Antecedents are item sets ``feature=value``, counted level by level
+    (``frequent_sets``) from rows that agree in all features, which are combined before the shuffle: no
+    task or cache holds baskets of single rows. A rule is frequent if rows with
+    its antecedent and the consequent are ``support`` of all, so its antecedent is too.
+    """
+    flag = (F.coalesce(F.col(f"`{target}`").cast("string"), F.lit("UNKNOWN")) == str(value)).cast("int")
+    rows = df.select(*(F.col(f"`{f}`") for f in features), flag.alias("_rule_flag"))
+    whole = rows.agg(F.count("*").alias("n"), F.sum("_rule_flag").alias("p")).first()
+    total, least = whole["n"], math.ceil(support * whole["n"])
+    found = unioned(frequent_sets(rows, features, "_rule_flag", max(longest - 1, 1), least)).where(F.size("items") < longest)
+    text = lambda x: F.concat(F.element_at(F.array(*(F.lit(f"{f}=") for f in features)), x["f"] + 1), x["v"])
+    sc, n, together = F.lit((whole["p"] or 0) / max(total, 1)), F.col("records").cast("double"), F.col("positives").cast("double")
+    rated = found.withColumns({"support": together / total, "confidence": together / n}).withColumn("lift", F.try_divide("confidence", sc))
+    rules = rated.where((F.col("positives") >= max(least, 1)) & (F.col("confidence") >= confidence) & (F.col("lift") >= lift))
     return rules.select(
-        F.array_join("antecedent", " AND ").alias("rule"), F.lit(wanted).alias("consequent"), "support", "confidence", "lift",
-        (F.col("support") - F.col("antecedent_support") * sc).alias("leverage"), F.try_divide(1 - sc, F.nullif(1 - F.col("confidence"), F.lit(0.0))).alias("conviction"),
+        F.array_join(F.array_sort(F.transform("items", text)), " AND ").alias("rule"), F.lit(f"{target}={value}").alias("consequent"), "support", "confidence", "lift",
+        (F.col("support") - n / total * sc).alias("leverage"), F.try_divide(1 - sc, F.nullif(1 - F.col("confidence"), F.lit(0.0))).alias("conviction"),
     )
 
 

@@ -270,6 +270,33 @@ def test_item_sets_are_those_without_pruning(spark, slots):
     assert len(got) >= 3
 
 
+def test_association_rules_come_from_rows_counted_alike(spark, monkeypatch):
+    rng = random.Random(6)
+    rows = [(rng.choice(["a", "b", None]), rng.randrange(3), rng.choice(["u", "v"]), rng.choice(["Y", "N", "N", None])) for _ in range(3000)]
+    df, features, held = spark.createDataFrame(rows, "f string, g int, h string, t string"), ["f", "g", "h"], []
+
+    def watched(frame):
+        out = settled(frame)
+        held.append(out.count())
+        return out
+
+    monkeypatch.setattr(mining, "settled", watched)
+    monkeypatch.setattr(models, "settled", watched, raising=False)
+    for target, longest in (("N", 4), ("UNKNOWN", 3)):
+        got = {r.rule: (r.support, r.confidence, r.lift) for r in models.association_rules(df, features, "t", target, 0.01, 0.2, 0.9, longest).collect()}
+        named = [([f"{f}={'UNKNOWN' if v is None else v}" for f, v in zip(features, r, strict=False)], (r[3] or "UNKNOWN") == target) for r in rows]
+        share, want = sum(y for _, y in named) / len(rows), {}
+        for k in range(1, longest):
+            n, p = Counter(), Counter()
+            for items, y in named:
+                n.update(itertools.combinations(items, k))
+                p.update(itertools.combinations(items, k) if y else ())
+            want |= {" AND ".join(sorted(s)): (p[s] / len(rows), p[s] / n[s], p[s] / n[s] / share) for s in n if p[s] >= 30 and p[s] / n[s] >= 0.2 and p[s] / n[s] / share >= 0.9}
+        assert got.keys() == want.keys() and len(want) > 8 and all(got[r] == pytest.approx(want[r]) for r in want)
+    assert models.association_rules(df.where("false"), features, "t", "N").collect() == []
+    assert max(held) <= 21  # rows that differ in a feature (18) and item sets (at most 21 of two), not all rows
+
+
 def test_rules_need_positives_and_rate_drops_are_told(spark):
     rows = [("a", "u", 1)] * 40 + [("a", "v", 0)] * 20 + [("b", "u", 0)] * 60 + [("c", "u", 1)] * 4
     df = spark.createDataFrame(rows, "f string, g string, target_flag int")
