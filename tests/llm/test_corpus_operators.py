@@ -767,3 +767,14 @@ def test_url_scores_equal_naive_bayes(spark):
         assert r.log_odds == pytest.approx(odds, abs=1e-5), r
         if not r.rule:
             assert r.verdict == ("block" if odds > 0 else "allow")
+
+
+def test_line_pairs_are_the_same_in_any_number_of_parts(spark, monkeypatch):
+    words, rng = [f"w{i}" for i in range(40)], random.Random(8)
+    base = [" ".join(rng.sample(words, rng.randint(1, 14))) for _ in range(25)]
+    texts = ["\n".join(x + rng.choice(["", " more", " w1"]) for x in rng.sample(base, 6)) for _ in range(30)]
+    docs, seen = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), []
+    for parts in (1, 2, 5):
+        monkeypatch.setattr("tallyframe.llm.line_dedup.PARTS", parts)
+        seen.append({tuple(r) for r in line_dedup(docs).collect()})
+    assert seen[0] == seen[1] == seen[2] and sum(r[3] for r in seen[0]) > 100
