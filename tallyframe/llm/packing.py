@@ -21,8 +21,8 @@ from .common import text_of, written
 #: each (but the dotted capital I), and common marks, which have one normal form.
 PLAIN = regex.compile("[\t\n\v\f\r -~\u00a0-\u012f\u0131-\u024f\u2010-\u2027\u2030-\u205e]*")
 CHARS_AT_ONCE = 4_000_000
-#: Items of one size whose places are told together; the driver holds so many at once.
-ITEMS_TOGETHER = 1 << 20
+#: Places of items that are held at once before they are counted by gap; the plan does not depend on it.
+ITEMS_AT_ONCE = 1 << 20
 
 
 class ChunkEncoder:
@@ -201,7 +201,7 @@ def placements(size: int, total: int, held: list[int], capacity: int, together:
             heap = afresh()
 
 
-def plan_bins(counts: np.ndarray, capacity: int, together: int = 1) -> np.ndarray:
+def plan_bins(counts: np.ndarray, capacity: int, together: int | None = 1) -> np.ndarray:
     """Places for ``counts[s]`` items of each size ``s``: rows (size, first rank, end rank, first bin, offset), sorted by size and rank.
 
     Sizes are taken from the largest down, items one by one, however many there
@@ -212,7 +212,7 @@ def plan_bins(counts: np.ndarray, capacity: int, together: int = 1) -> np.ndarra
 
     Items of one size are alike, and so are bins of one gap: only how many items
     go into which gap decides the packing. So of ``together`` items of one size
-    in a row, those of one gap are told together, largest gap first (a bin that
+    in a row (None: of all, however many), those of one gap are told together, largest gap first (a bin that
     takes two of them is then told the first one first); a gap's bins are
     kept as runs of bin numbers. Rows then grow in number with the pairs of size and gap, not with the items.
     """
@@ -221,19 +221,19 @@ def plan_bins(counts: np.ndarray, capacity: int, together: int = 1) -> np.ndarra
     bins, slots = 0, array("q")
     for size in range(len(counts) - 1, 0, -1):
         done = 0
-        for gaps in placements(size, int(counts[size]), held, capacity, together):
-            gaps = np.sort(gaps)[::-1]
-            starts = np.flatnonzero(np.append(True, gaps[1:] != gaps[:-1]))
-            for gap, n in zip(gaps[starts].tolist(), np.diff(np.append(starts, len(gaps))).tolist(), strict=True):
+        taken = (np.bincount(gaps, minlength=capacity + 1) for gaps in placements(size, int(counts[size]), held, capacity, together or ITEMS_AT_ONCE))
+        for own in taken if together else [sum(taken, np.zeros(capacity + 1, np.int64))]:
+            for gap in np.flatnonzero(own)[::-1].tolist():
+                n = int(own[gap])
                 if gap == capacity:
                     runs[gap].append((bins, n))
                     bins += n
                 while n:
-                    first, own = runs[gap].pop()
-                    m = min(n, own)
-                    if own > m:
-                        runs[gap].append((first, own - m))
-                        first += own - m
+                    first, there = runs[gap].pop()
+                    m = min(n, there)
+                    if there > m:
+                        runs[gap].append((first, there - m))
+                        first += there - m
                     slots.extend((size, done, done + m, first, capacity - gap))
                     if gap > size:
                         last = runs[gap - size]
@@ -283,7 +283,7 @@ def pack(
         held[first[length] + salt] = n
     before = np.cumsum(held) - held
     before -= np.repeat(before[np.minimum(first, len(held) - 1)], salts)
-    plan = spark.sparkContext.broadcast((plan_bins(counts, capacity, ITEMS_TOGETHER), before, first))
+    plan = spark.sparkContext.broadcast((plan_bins(counts, capacity, None), before, first))
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots, before, first = plan.value

@@ -367,6 +367,15 @@ def test_plan_bins_goes_item_by_item_at_any_scale():
     assert len(plan) < 1000
 
 
+def test_plan_bins_does_not_switch_by_the_number_of_items(monkeypatch):
+    """The plan of all items of a size is one, whether their places fit the driver's block or take many."""
+    counts = np.bincount(np.random.default_rng(5).integers(1, 65, 40_000), minlength=65)
+    whole = packing.plan_bins(counts, 64, None)
+    monkeypatch.setattr(packing, "ITEMS_AT_ONCE", 100)
+    assert packing.plan_bins(counts, 64, None).tolist() == whole.tolist()
+    assert packing.plan_bins(counts, 64, int(counts.max())).tolist() == whole.tolist()
+
+
 def test_plan_bins_places_each_item_where_squares_are_least():
     """Item by item against the sums of squares computed in full."""
     rng = np.random.default_rng(4)
