@@ -8,10 +8,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, text_of, tidy, written
+from .common import discard, small_batches, text_of, tidy, written
 
 GRAM = 16
 #: A window's anchor has this many bytes of the window on one side at least.
@@ -20,7 +21,12 @@ LEAST_BITS, MOST_BITS, PARTS = 1 << 22, 1 << 30, 64
 SLOTS = 1 << 20
 #: Anchors with more distinct pieces than these are dealt out by the longer strings at their sides.
 HOT = 2000
-CHUNK_BYTES, SHARD_BYTES, BLOCK = 1 << 20, 1 << 19, 1 << 20
+#: Chunks are small enough for their arrays to stay in a core's cache; a group is whole in its chunk, however large.
+CHUNK_BYTES, SHARD_BYTES, BLOCK = 1 << 17, 1 << 16, 1 << 20
+#: Texts are looked through so many bytes at once, longer ones in blocks of their own.
+STRETCH = 1 << 17
+#: Text bytes for which hashes of strings are counted in one part; these take about 1.3 times as many.
+PART_BYTES = 12 << 20
 LAST = (1 << 63) - 1
 #: Values of bytes, an odd base and its inverse modulo 2^64, for hashes of all strings of a size by differences of prefix sums.
 VALUES = np.random.default_rng(50).integers(0, 1 << 64, 256, np.uint64)
@@ -49,15 +55,39 @@ def blocks(data: np.ndarray, window: int) -> Iterator[tuple[int, np.ndarray]]:
         yield at, data[at : at + BLOCK + window - 1]
 
 
-def anchors(data: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """For each ``window``-byte string of a block: where its anchor is, and the anchor's 32-bit hash; and the block's sums.
+def texts_of(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all values of a binary column without nulls, and where in them each begins, and the last ends."""
+    if not len(column):
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
+    _, edges, data = column.buffers()
+    kind = np.int64 if pa.types.is_large_binary(column.type) else np.int32
+    return np.frombuffer(data or b"", np.uint8), np.frombuffer(edges, kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
 
-    The anchor is the ``GRAM``-byte string inside it with the smallest hash
+
+def stretches(column: pa.Array, window: int) -> Iterator[tuple[slice, np.ndarray, int, np.ndarray]]:
+    """Which rows, where each begins, bytes of the first row before these, and bytes: many texts in a row, or a block of a long one."""
+    data, edges = texts_of(column)
+    lo = 0
+    while lo < len(column):
+        if edges[lo + 1] - edges[lo] > STRETCH:
+            for begin, part in blocks(data[edges[lo] : edges[lo + 1]], window):
+                yield slice(lo, lo + 1), np.zeros(1, np.int64), begin, part
+            lo += 1
+        else:
+            hi = int(np.searchsorted(edges, edges[lo] + STRETCH, side="right")) - 1
+            yield slice(lo, hi), edges[lo:hi] - edges[lo], 0, data[edges[lo] : edges[hi]]
+            lo = hi
+
+
+def anchors(data: np.ndarray, starts: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For each ``window``-byte string inside one of the texts that begin at ``starts``: where it is, where its anchor is; hashes of all anchors; the sums.
+
+    The anchor is the ``GRAM``-byte string inside it with the smallest 32-bit hash
     (the last of equal ones); equal windows have equal anchors.
     """
     n = len(data) - window + 1
     if n <= 0:
-        return np.zeros(0, np.int64), np.zeros(0, np.uint32), np.zeros(1, np.uint64)
+        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint32), np.zeros(1, np.uint64)
     sums = sums_of(data)
     h = sums[GRAM:] - sums[:-GRAM]
     h *= INVERSES[: len(h)]
@@ -72,20 +102,25 @@ def anchors(data: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.n
         low = np.minimum(low[:-span], low[span:])
         span *= 2
     low = np.minimum(low[:n], low[wide - span : wide - span + n])
-    where = len(h) - (low & np.uint64((1 << 31) - 1)).astype(np.int64)
-    return where, h[where].astype(np.uint32), sums
+    inside = np.ones(n, bool)
+    across = (starts[1:, None] - np.arange(1, window)).ravel()  # windows that begin before a text and end in it
+    inside[across[(across >= 0) & (across < n)]] = False
+    at = np.flatnonzero(inside)
+    return at, len(h) - (low[at] & np.uint64((1 << 31) - 1)).astype(np.int64), h, sums
 
 
-def sides(sums: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes of the anchors ``at`` with ``SIDE`` bytes before them, and with as many after; and which have so many.
+def sides(sums: np.ndarray, at: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the anchors ``at`` with ``SIDE`` bytes of their text before them, and with as many after; which have so many; and their texts.
 
     A window whose anchor is the one at hand holds one of the two strings. So if
     another document has the window, it has that string too.
     """
-    before, after = at >= SIDE, at + GRAM + SIDE < len(sums)
+    text = np.searchsorted(starts, at, side="right") - 1
+    before = at - SIDE >= starts[text]
+    after = at + GRAM + SIDE <= np.append(starts[1:], len(sums) - 1)[text]
     left = hashes_at(sums, at[before] - SIDE, at[before] + GRAM)
     right = hashes_at(sums, at[after], at[after] + GRAM + SIDE)
-    return left, right, before, after
+    return left, right, before, after, text
 
 
 def runs(anchor: np.ndarray, keep: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -120,17 +155,17 @@ def shard_transform(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     few = 8 * len(pieces)
     rank = rank * (few + 1) + np.where(left < 8, left * len(pieces) + np.repeat(np.arange(len(pieces)), sizes), few)
     order = np.argsort(rank)
-    rank[order] = np.append(False, rank[order][1:] != rank[order][:-1]).cumsum()
-    while int(rank.max()) < n - 1:
-        key = rank * (n + 1)
-        key[:-k] += rank[k:] + 1
-        order = np.argsort(key)
-        new = np.append(False, key[order][1:] != key[order][:-1]).cumsum()
-        rank = np.empty(n, np.int64)
-        rank[order] = new
+    key, own, places = rank[order], order, np.arange(n)
+    while len(own):  # suffixes alone in their place have found it; a rank is the first place of those that are still alike
+        new = np.append(True, key[1:] != key[:-1])
+        rank[own] = np.maximum.accumulate(np.where(new, places, 0))
+        alike = ~(new & np.append(new[1:], True))
+        own, places = own[alike], places[alike]
+        key = rank[own] * n + rank[own + k] if len(own) else own
+        by = np.argsort(key)
+        key, own = key[by], own[by]
+        order[places] = own
         k *= 2
-    order = np.empty(n, np.int64)
-    order[rank] = np.arange(n)
     first = np.append(0, mark[:-1] + 1)
     before = np.append(0, symbol[:-1])
     before[first] = 0
@@ -156,16 +191,20 @@ def intervals(shards: list[tuple[np.ndarray, np.ndarray]], depth: int) -> tuple[
         onward[lo + np.argsort(bwt, kind="stable")] = lo + np.arange(len(bwt))
     now, block = np.arange(at[-1]), np.zeros(at[-1], np.int32)
     new = np.zeros(at[-1], bool)
+    several = new
     for _ in range(depth):
         symbol = symbols[now]
         order = np.argsort(symbol, kind="stable")
         symbol, block = symbol[order], block[order]
         new = np.append(True, (block[1:] != block[:-1]) | (symbol[1:] != symbol[:-1]) | (symbol[1:] == 0)) if len(order) else new[:0]
         several = ~(new & np.append(new[1:], True)) if len(order) else new
-        now, new = onward[now[order[several]]], new[several]
+        if 8 * np.count_nonzero(several) < 7 * len(several):  # settled ones leave once they are many
+            order, new = order[several], new[several]
+            several = several[several]
+        now = onward[now[order]]
         block = np.cumsum(new, dtype=np.int32)
     suffix = np.concatenate([suffixes for _, suffixes in shards])
-    return suffix[now], new
+    return suffix[now[several]], new[several]
 
 
 def early_windows(pieces: list[bytes], docs: np.ndarray, window: int) -> list[list[int]]:
@@ -204,12 +243,6 @@ def scanned(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(docs[id_col].alias("_id"), order.alias("_order"), F.hash(text).alias("_hash"), F.encode(text, "UTF-8").alias("_bytes"))
 
 
-def rows_of(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray]]:
-    """(order, hash, bytes) of each row of (_order, _hash, _bytes)."""
-    for order, h, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2), strict=True):
-        yield order, h, np.frombuffer(data.as_buffer(), np.uint8)
-
-
 def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = 50) -> DataFrame:
     """One row per row of ``docs``: which bytes repeat a string of a document with a smaller id.
 
@@ -273,46 +306,75 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         at = hashes.astype(np.int64) % (8 * len(table))
         return (table[at >> 3] >> (at & 7).astype(np.uint8) & np.uint8(1)).astype(bool)
 
+    # Hashes are dealt out by their first bits, many a row; of equal ones in a batch two are enough.
+    bits = max(6, ((base.agg(F.sum(F.octet_length("_bytes"))).first()[0] or 0) // PART_BYTES).bit_length())
+    firsts = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+
     def seen(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [np.zeros(0, np.uint64)]
-            for _, _, data in rows_of(batch):
-                for _, part in blocks(data, window):
-                    where, _, sums = anchors(part, window)
-                    found += sides(sums, where[np.append(True, where[1:] != where[:-1])] if len(where) else where)[:2]
-            h, n = np.unique(np.concatenate(found), return_counts=True)
-            yield pa.RecordBatch.from_arrays([pa.array(h.view(np.int64)), pa.array(np.minimum(n, 2).astype(np.int8))], ["h", "n"])
-
-    repeated = bit_table(base.mapInArrow(seen, "h long, n tinyint").groupBy("h").agg(F.sum("n").alias("n")).where("n > 1"))
+            for _, starts, _, part in stretches(batch.column(2), window):
+                _, where, _, sums = anchors(part, starts, window)
+                found += sides(sums, where[np.append(True, where[1:] != where[:-1])] if len(where) else where, starts)[:2]
+            h = np.sort(np.concatenate(found))
+            h = h[np.append(np.ones(min(2, len(h)), bool), h[2:] != h[:-2])]
+            edges = np.append(np.searchsorted(h, firsts), len(h))
+            some = np.flatnonzero(edges[1:] > edges[:-1])
+            of = pa.Array.from_buffers(pa.binary(), len(some), [None, pa.py_buffer(np.append(8 * edges[some], 8 * len(h)).astype(np.int32)), pa.py_buffer(h)])
+            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), of], ["part", "hashes"])
+
+    def recurring(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def finished(own: list[bytes]) -> pa.RecordBatch:
+            h = np.sort(np.frombuffer(b"".join(own), np.int64))
+            h = h[1:][h[1:] == h[:-1]]
+            return pa.RecordBatch.from_arrays([pa.array(h[np.append(True, h[1:] != h[:-1])] if len(h) else h)], ["h"])
+
+        now, own = -1, []
+        for batch in batches:
+            for part, hashes in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                if part != now and own:
+                    yield finished(own)
+                    own = []
+                now = part
+                own.append(hashes)
+        if own:
+            yield finished(own)
+
+    with small_batches(spark):
+        dealt = base.mapInArrow(seen, "part int, hashes binary").repartition("part").sortWithinPartitions("part")
+        repeated = bit_table(dealt.mapInArrow(recurring, "h long"))
 
     def cut(batch: pa.RecordBatch) -> Iterator[tuple]:
-        """(order, hash, begin of block, bytes, first and last window of each piece, its anchor, its hash, the hashes of its sides, 0 for none) of each block."""
-        for order, h, data in rows_of(batch):
-            for begin, part in blocks(data, window):
-                where, anchor, sums = anchors(part, window)
-                if not len(where):
-                    continue
-                new = np.append(True, where[1:] != where[:-1])
-                at, own = where[new], np.cumsum(new) - 1
-                left, right, before, after = sides(sums, at)
-                both = np.zeros((2, len(at)), np.int64)
-                both[0, before], both[1, after] = left.view(np.int64), right.view(np.int64)
-                both[~marked(repeated.value, both)] = 0
-                # A window with more than SIDE bytes before its anchor holds the string on that side, one with fewer the other, else both.
-                ahead = where - np.arange(len(where))
-                left, right = both.astype(bool)[:, own]
-                lo, hi = runs(where, (left | (ahead < SIDE)) & (right | (ahead > SIDE)))
-                if len(lo):
-                    yield order, h, begin, part, lo, hi, anchor[lo].view(np.int32), hashes_at(sums, lo, hi + window).view(np.int64), both[:, own[lo]]
+        """(order, hash, place in the text) of each piece, bytes, its first and last window in these, its anchor, its hash, the hashes of its sides, 0 for none."""
+        orders, hashes = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+        for rows, starts, begin, part in stretches(batch.column(2), window):
+            at, where, h, sums = anchors(part, starts, window)
+            if not len(at):
+                continue
+            new = np.append(True, where[1:] != where[:-1])
+            anchor, own = where[new], np.cumsum(new) - 1
+            left, right, before, after, text = sides(sums, anchor, starts)
+            both = np.zeros((2, len(anchor)), np.int64)
+            both[0, before], both[1, after] = left.view(np.int64), right.view(np.int64)
+            both[~marked(repeated.value, both)] = 0
+            # A window with more than SIDE bytes before its anchor holds the string on that side, one with fewer the other, else both.
+            ahead = where - at
+            left, right = both.astype(bool)[:, own]
+            lo, hi = runs(where, (left | (ahead < SIDE)) & (right | (ahead > SIDE)))
+            if len(lo):
+                own, lo, hi = own[lo], at[lo], at[hi]
+                text = text[own]
+                keys = hashes_at(sums, lo, hi + window).view(np.int64)
+                yield orders[rows][text], hashes[rows][text], lo - starts[text] + begin, part, lo, hi, h[anchor[own]].astype(np.uint32).view(np.int32), keys, both[:, own]
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for order, h, begin, _, lo, hi, anchor, keys, _ in cut(batch):
-                n = len(lo)
-                columns = [np.full(n, order), np.full(n, h, np.int32), (lo + begin).astype(np.int32), (hi - lo + window).astype(np.int16), anchor, keys]
+            for order, h, at, _, lo, hi, anchor, keys, _ in cut(batch):
+                columns = [order, h, at.astype(np.int32), (hi - lo + window).astype(np.int16), anchor, keys]
                 yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], ["_order", "_hash", "at", "size", "h", "p"])
 
-    occurrences = written(base.mapInArrow(places, "_order long, _hash int, at int, size short, h int, p long"))
+    plain = {f"parquet.enable.dictionary#{x}": "false" for x in ("at", "h", "p")}  # hardly a value repeats
+    occurrences = written(base.mapInArrow(places, "_order long, _hash int, at int, size short, h int, p long"), **plain)
     known = written(occurrences.groupBy("h", "p").agg(F.min("_order").alias("first"), F.max("_order").alias("last")))
     counts = written(known.groupBy("h").agg(F.count("*").alias("n")).where("n > 1"))
     mixed, hot = bit_table(counts), bit_table(counts.where(F.col("n") > HOT))
@@ -322,14 +384,18 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
             least: dict[tuple[int, int, int], tuple[int, bytes]] = {}
             for order, _, _, part, lo, hi, anchor, keys, both in cut(batch):
                 some = np.flatnonzero(marked(mixed.value, anchor))
-                heavy = marked(hot.value, anchor)
-                for i in some.tolist():
-                    groups = [g for g in both[:, i].tolist() if g] if heavy[i] else [int(anchor[i])]
-                    for key in ((g, int(anchor[i]), int(keys[i])) for g in groups):
+                heavy = marked(hot.value, anchor[some]).tolist()
+                data = part.tobytes()
+                told = zip(order[some].tolist(), lo[some].tolist(), (hi[some] + window).tolist(), anchor[some].tolist(), keys[some].tolist(), both[:, some].T.tolist(), heavy, strict=True)
+                for first, a, b, own, p, groups, much in told:
+                    for g in groups if much else (own,):
+                        if not g and much:
+                            continue
+                        key = g, own, p
                         if key not in least:
-                            least[key] = (order, part[lo[i] : hi[i] + window].tobytes())
-                        elif order < least[key][0]:
-                            least[key] = (order, least[key][1])
+                            least[key] = (first, data[a:b])
+                        elif first < least[key][0]:
+                            least[key] = (first, least[key][1])
             own = [pa.array([k[0] for k in least], pa.int64()), pa.array([k[1] for k in least], pa.int32()), pa.array([k[2] for k in least], pa.int64())]
             yield pa.RecordBatch.from_arrays([*own, pa.array([x[1] for x in least.values()], pa.binary()), pa.array([x[0] for x in least.values()], pa.int64())], ["g", "h", "p", "piece", "d"])
 
@@ -382,19 +448,25 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for data, spans in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+            data, edges = texts_of(batch.column(1))
+            spans = batch.column(2)
+            upto = np.append(0, np.cumsum(pc.fill_null(pc.list_value_length(spans), 0).to_numpy(zero_copy_only=False))).tolist()
+            flat = spans.flatten()
+            los, his = pc.struct_field(flat, 0).to_numpy(), pc.struct_field(flat, 1).to_numpy()
+            view, edges = memoryview(data), edges.tolist()
+            for a, b, i, j in zip(edges[:-1], edges[1:], upto[:-1], upto[1:], strict=True):
                 joined: list[list[int]] = []
-                for lo, hi in sorted((s["lo"], s["hi"]) for s in spans or ()):
+                for lo, hi in sorted(zip(los[i:j].tolist(), his[i:j].tolist(), strict=True)):
                     if joined and lo <= joined[-1][1]:
                         joined[-1][1] = max(hi, joined[-1][1])
                     else:
                         joined.append([lo, hi])
-                at, kept = 0, hashlib.sha256()
+                at, kept = a, hashlib.sha256()
                 for lo, hi in joined:
-                    kept.update(data[at:lo])
-                    at = hi
-                kept.update(data[at:])
-                rows.append((len(data), sum(hi - lo for lo, hi in joined), len(joined), kept.hexdigest(), [x for s in joined for x in s]))
+                    kept.update(view[at : a + lo])
+                    at = a + hi
+                kept.update(view[at:b])
+                rows.append((b - a, sum(hi - lo for lo, hi in joined), len(joined), kept.hexdigest(), [x for s in joined for x in s]))
             n, removed, n_spans, sha, every = zip(*rows, strict=True) if rows else ((),) * 5
             columns = [batch.column(0), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(n_spans, pa.int64()), pa.array(sha, pa.string()), pa.array(every, pa.list_(pa.int64()))]
             yield pa.RecordBatch.from_arrays(columns, ["_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "removed"])

@@ -8,6 +8,7 @@ import zlib
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tallyframe.llm import licences, near_dedup, packing, pii, substring_dedup, toxicity, url_filter
@@ -241,6 +242,26 @@ def test_blocks_of_a_long_text_hold_every_window(spark, monkeypatch):
     assert windows == [data[i : i + 50].tobytes() for i in range(1234 - 49)]
 
 
+def test_texts_are_looked_through_many_at_once(monkeypatch):
+    """Windows and anchors of texts in a row are those of each text alone; none lies across two texts."""
+    rng = np.random.default_rng(8)
+    texts = [bytes(rng.integers(97, 101, n, np.uint8)) for n in (0, 60, 3, 49, 50, 0, 700, 120, 51, 0)]
+
+    def told(stretch):
+        monkeypatch.setattr(substring_dedup, "STRETCH", stretch)
+        out, n = set(), 0
+        for rows, starts, begin, part in substring_dedup.stretches(pa.array([b"skipped", *texts], pa.binary())[1:], 50):
+            at, where, _, _ = substring_dedup.anchors(part, starts, 50)
+            text = np.searchsorted(starts, at, side="right") - 1
+            out |= set(zip((text + rows.start).tolist(), (at - starts[text] + begin).tolist(), (where - at).tolist(), strict=True))
+            n += 1
+        return out, n
+
+    whole, n = told(1 << 17)
+    assert n == 1 and {(t, a) for t, a, _ in whole} == {(i, a) for i, x in enumerate(texts) for a in range(len(x) - 49)}
+    assert told(130)[0] == told(0)[0] == whole
+
+
 def test_dedup_substrings(docs, rows, none):
     seen, want = {}, {}
     for i, t in sorted(((r[0], r[1]) for r in rows), key=lambda x: (x[0] is None, x[0] or 0)):
