@@ -808,3 +808,38 @@ def test_line_pairs_are_the_same_in_any_number_of_parts(spark, monkeypatch):
         monkeypatch.setattr("tallyframe.llm.line_dedup.PARTS", parts)
         seen.append({tuple(r) for r in line_dedup(docs).collect()})
     assert seen[0] == seen[1] == seen[2] and sum(r[3] for r in seen[0]) > 100
+
+
+@pytest.mark.parametrize("threshold", [0.6, 0.8, 0.9])
+def test_links_of_a_crowd_of_near_copies_are_counted_without_a_row_for_each_pair(spark, monkeypatch, threshold):
+    from tallyframe.llm import line_dedup as module
+
+    rng, made = random.Random(4), []
+    lines = ["one line alone of few words", ""]
+    for b in range(2):
+        base = [f"base{b}x{i:02}" for i in range(40)]
+        for k in range(160):
+            some = list(base)
+            for j in rng.sample(range(40), k % 4):
+                some[j] = rng.choice([f"new{b}x{k}x{j}", f"often{rng.randint(0, 5)}", "often"])
+            lines.append(" ".join(some))
+    sets = list(dict.fromkeys(frozenset(x.split()) for x in lines if x))
+    similar = {s: [u for u in sets if u != s and len(s & u) >= threshold * len(s | u) - 1e-9] for s in sets}
+    first = {s: min(i for i, x in enumerate(lines) if frozenset(x.split()) == s) for s in sets}
+    was = module.written
+
+    def watched(df, **options):
+        out = was(df, **options)
+        if {"a", "b"} <= set(df.columns):
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(module, "written", watched)
+    monkeypatch.setattr(module, "CROWD", 20, raising=False)
+    monkeypatch.setattr(module, "SPARSE", 1, raising=False)
+    got = line_dedup(spark.createDataFrame(list(enumerate(lines)), "doc_id long, text string"), threshold=threshold).collect()
+    for r in got:
+        s = frozenset(lines[r.doc_id].split())
+        others = similar.get(s, [])
+        assert (r.n_links, r.n_removed) == (len(others), int(bool(s) and min(first[u] for u in [s, *others]) < r.doc_id)), r
+    assert threshold > 0.8 or sum(made) < 0.4 * sum(map(len, similar.values())) / 2
