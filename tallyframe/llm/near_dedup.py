@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, text_of, written
+from .common import discard, small_batches, text_of, written
 from .components import connected_components
 
 WORD = re.compile(r"\w+")
@@ -171,24 +171,87 @@ def verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
 PARTS = 64
 
 
-def may_reach(a: Column, b: Column, threshold: float) -> Column:
+def may_reach(a: Column | np.ndarray, b: Column | np.ndarray, threshold: float) -> Column | np.ndarray:
     """Whether two texts that share ``a`` of the weight of the one and ``b`` of the other, at most, can have a probability Jaccard of ``threshold``.
 
     It is at most ab/(a+b-ab): a common shingle of weights p and q counts at most
     pq/(q+(1-b)p), which is concave, and sums to that.
     """
-    return (a > 0) & (b > 0) & (a * b >= F.lit(threshold - 1e-6) * (a + b - a * b))
+    return (a > 0) & (b > 0) & (a * b >= (threshold - 1e-6) * (a + b - a * b))
 
 
-def in_common(x: str, y: str) -> Column:
-    """How much of its weight the text of columns ``x`` has in common with that of ``y``, at most.
+#: Texts of one block of a shingle's texts, about, and pairs whose counts are compared at once.
+BLOCK = 2048
+PAIRS_AT_ONCE = 1 << 16
 
-    What stands before the shingle at hand is not, if that is the first common
-    one. Nor are shingles in excess of the other's in one of the ``PARTS``, each of
-    which weighs ``least`` or more.
+
+def reaching(x: np.ndarray, y: np.ndarray, of: dict[str, np.ndarray], threshold: float, same: bool) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The pairs of rows ``x`` and ``y`` of different classes that may match, if the shingle at hand is the first that they share.
+
+    What stands before it is not in common. Nor are shingles in excess of the other's
+    in one of the ``PARTS``, each of which weighs ``least`` or more. Rows are in the
+    order of their class; if both are the ``same``, each pair is told once.
+    """
+    code, before, counts, total = of["own"], of["before"], of["counts"], of["total"]
+    step = max(1, PAIRS_AT_ONCE // max(1, len(y)))
+    for lo in range(0, len(x), step):
+        tile, other = x[lo : lo + step], y[lo:] if same else y
+        if code[tile[0]] == code[tile[-1]]:
+            other = other[code[other] != code[tile[0]]]
+        can = (code[tile][:, None] != code[other]) & may_reach(1 - before[tile][:, None], 1 - before[other], threshold)
+        i, j = np.nonzero(can)
+        i, j = tile[i], other[j]
+        if same:  # in the order of classes, so of two classes the lesser comes first
+            i, j = i[code[i] < code[j]], j[code[i] < code[j]]
+        excess = np.maximum(counts[i] - counts[j], 0).sum(1, dtype=np.int64)
+        a = np.minimum(1 - before[i], 1 - of["alone"][i] - excess * of["least"][i])
+        b = np.minimum(1 - before[j], 1 - of["alone"][j] - (excess - total[i] + total[j]) * of["least"][j])
+        keep = may_reach(a, b, threshold)
+        if keep.any():
+            yield i[keep], j[keep]
+
+
+def close(firsts: DataFrame, threshold: float) -> DataFrame:
+    """The distinct pairs (a, b) of texts of other classes whose prefix shingles (``prefixes``, with ``own`` as it is now) let them match, written.
+
+    Pairs of texts that share a shingle are looked at in numpy and only those that
+    may match become rows. A shingle's texts are cut into blocks of about ``BLOCK``,
+    and each two blocks meet in a row of their own, so that no task has all texts
+    of a shingle, however many there are.
     """
-    excess = F.aggregate(F.zip_with(f"{x}.counts", f"{y}.counts", lambda m, n: F.greatest(m - n, F.lit(0))), F.lit(0), lambda acc, d: acc + d)
-    return F.least(1 - F.col(f"{x}.before"), 1 - F.col(f"{x}.alone") - excess * F.col(f"{x}.least"))
+    kind = firsts.schema["rep"].dataType.simpleString()
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(2)
+            ends, flat = np.cumsum(np.diff(lists.offsets.to_numpy())), lists.flatten()
+            of = {c: flat.field(c).to_numpy() for c in ("block", "before", "alone", "least")}
+            of["own"] = flat.field("own").dictionary_encode().indices.to_numpy()
+            of["counts"] = flat.field("counts").flatten().to_numpy().reshape(-1, PARTS)
+            of["total"] = of["counts"].sum(1, dtype=np.int64)
+            left, right, made = [], [], 0
+            for i, j, lo, hi in zip(batch.column(0).to_numpy(), batch.column(1).to_numpy(), np.append(0, ends), ends, strict=False):
+                rows = lo + np.argsort(of["own"][lo:hi], kind="stable")
+                at = of["block"][rows]
+                for x, y in reaching(rows[at == i], rows[at == j], of, threshold, i == j):
+                    left.append(x)
+                    right.append(y)
+                    made += len(x)
+                    if made >= 16 * PAIRS_AT_ONCE:
+                        yield pa.RecordBatch.from_arrays([flat.field("rep").take(pa.array(np.concatenate(z))) for z in (left, right)], ["x", "y"])
+                        left, right, made = [], [], 0
+            if made:
+                yield pa.RecordBatch.from_arrays([flat.field("rep").take(pa.array(np.concatenate(z))) for z in (left, right)], ["x", "y"])
+
+    mixed = firsts.groupBy("element").agg(F.min("own").alias("_a"), F.max("own").alias("_z"), F.count("*").alias("_n")).where("_a <> _z")
+    side = F.ceil(F.col("_n") / BLOCK).cast("int")
+    rows = firsts.join(mixed.select("element", side.alias("side")), "element").withColumn("block", F.pmod(F.xxhash64("rep"), "side").cast("int"))
+    cells = rows.withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("side") - 1)))
+    held = F.struct("rep", "own", "block", "before", "alone", "counts", "least")
+    met = cells.groupBy("element", F.least("block", "_other").alias("i"), F.greatest("block", "_other").alias("j")).agg(F.collect_list(held).alias("texts"))
+    pairs = met.select("i", "j", "texts").mapInArrow(meet, f"x {kind}, y {kind}")
+    with small_batches(firsts.sparkSession):
+        return written(pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
 
 
 def prefixes(members: DataFrame, threshold: float) -> DataFrame:
@@ -331,10 +394,7 @@ def near_dedup(
             heads = now.groupBy("bucket").agg(F.min_by("rep", "draw").alias("head"), F.min_by("own", "draw").alias("of"))
             if not compared(now.join(heads, "bucket").where("own <> of").select(*pair).distinct()):
                 break
-        x, y = placed(firsts).alias("x"), placed(firsts).alias("y")
-        can = (F.col("x.rep") < F.col("y.rep")) & (F.col("x.own") != F.col("y.own")) & may_reach(1 - F.col("x.before"), 1 - F.col("y.before"), threshold)
-        near = x.join(y, (F.col("x.element") == F.col("y.element")) & can & may_reach(in_common("x", "y"), in_common("y", "x"), threshold))
-        compared(near.select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b")).distinct())
+        compared(close(placed(firsts), threshold))
     named = written(
         nodes.join(classes, nodes.rep == classes.node, "left").select(F.col("_key"), F.coalesce("component", "rep").alias("_class"))
     )

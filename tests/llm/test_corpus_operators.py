@@ -534,6 +534,48 @@ def test_near_dedup_loses_no_link_among_texts_of_one_template(spark):
     assert {r.doc_id: r.class_id for r in got} == {i: i - i % 2 for i in range(120)}
 
 
+def test_pairs_of_a_crowd_are_looked_at_in_blocks_and_not_joined(spark, monkeypatch):
+    rng = random.Random(4)
+    some = lambda n: ["".join(rng.choice("abcdefghij") for _ in range(6)) for _ in range(n)]
+    base, texts = some(300), []
+    for i in range(90):  # of one template, a class of near ones and many that are just too far from it and from each other
+        own = list(base)
+        for at in rng.sample(range(300), rng.choice([2, 5, 8, 11, 14])):
+            own[at] = rng.choice(some(1) + ["aa", "bb"])
+        texts.append(" ".join(own))
+    owner, element, weight, _ = near_dedup.weighted_shingles(texts)
+    sets = [(element[owner == i], weight[owner == i]) for i in range(len(texts))]
+    links = [(a, b) for a in range(len(sets)) for b in range(a + 1, len(sets)) if near_dedup.probability_jaccard(*sets[a], *sets[b]) >= 0.8]
+    plans, written = [], near_dedup.written
+    monkeypatch.setattr(near_dedup, "written", lambda df, **options: plans.append(df._jdf.queryExecution().optimizedPlan().toString()) or written(df, **options))
+    monkeypatch.setattr(near_dedup, "BLOCK", 16, raising=False)
+    got = near_dedup.near_dedup(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), rounds=1).collect()
+    want = classes(links, range(len(texts)))
+    assert {r.doc_id: r.class_id for r in got} == want and len(set(want.values())) > 20
+    assert any("element" in p for p in plans) and not [p for p in plans if re.search("Join Inner, .*rep#\\d+L? < rep#", p)]
+
+
+def test_reaching_pairs_are_those_of_every_pair(monkeypatch):
+    rng = np.random.default_rng(6)
+    n = 70
+    of = {"own": np.sort(rng.integers(0, 30, n)), "before": rng.uniform(0.0, 0.15, n), "least": np.full(n, 0.002), "counts": rng.integers(3, 6, (n, near_dedup.PARTS)).astype(np.int8)}
+    of |= {"alone": of["before"] * rng.uniform(0, 1, n), "total": of["counts"].sum(1, dtype=np.int64)}
+
+    def bound(i, j):
+        excess = int(np.maximum(of["counts"][i].astype(int) - of["counts"][j], 0).sum())
+        return min(1 - of["before"][i], 1 - of["alone"][i] - excess * of["least"][i])
+
+    alike = {(i, j) for i in range(n) for j in range(n) if of["own"][i] != of["own"][j] and near_dedup.may_reach(bound(i, j), bound(j, i), 0.8)}
+    assert 200 < len(alike) < n * n / 2
+    for at_once in (1, 100, 1 << 16):
+        monkeypatch.setattr(near_dedup, "PAIRS_AT_ONCE", at_once)
+        told = [p for x in near_dedup.reaching(np.arange(n), np.arange(n), of, 0.8, True) for p in zip(*x, strict=True)]
+        assert len(told) == len(set(told)) == len(alike) // 2 and set(told) <= alike
+        x, y = np.arange(0, n, 2), np.arange(1, n, 2)
+        told = [p for x in near_dedup.reaching(x, y, of, 0.8, False) for p in zip(*x, strict=True)]
+        assert sorted(told) == sorted(p for p in alike if p[0] % 2 == 0 and p[1] % 2)
+
+
 def test_licences(docs, rows, none):
     known = {licences.normal(s): k for k, s in licences.SENTENCES.items()}
     assert len(known) == len(licences.SENTENCES) and all(any(h in s for h in licences.HINTS) for s in known)
