@@ -25,6 +25,8 @@ PARTS = -(-BUCKETS // WIDTH)
 CHUNK_BYTES, CHUNK_DOCS = 4 << 20, 4096
 #: Bytes of postings that one salt of a part holds, about.
 SALT_BYTES = 32 << 20
+#: Of the files of chunks: row groups and pages that hold few blocks, since a group is written and a page read as a whole.
+SMALL_GROUPS = {"parquet.block.size": str(2 << 20)} | {f"parquet.{x}.size.row.check.{k}": n for x in ("block", "page") for k, n in (("min", "4"), ("max", "16"))}
 
 
 def features(text: str) -> tuple[int, list[int]]:
@@ -38,8 +40,9 @@ def features(text: str) -> tuple[int, list[int]]:
 def chunk_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Rows of (_id, _text) as chunks of documents with their postings, sorted by bucket and document.
 
-    A chunk holds the documents' ids, words and features, how many features fall in each
-    bucket, and for each part of the buckets the postings (bucket, document, count) as packed integers.
+    A chunk has a row without a part, which holds the documents' ids, words and features, how many
+    features fall in each bucket and the bytes of all postings, and a row for each part of the
+    buckets with its postings (bucket, document, count) as packed integers.
     """
     first, made = TaskContext.get().partitionId() << 32, 0
     ids: list = []
@@ -55,14 +58,16 @@ def chunk_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         posting, count = np.unique(every * len(ids) + np.repeat(np.arange(len(ids)), lengths), return_counts=True)
         bucket, doc = np.divmod(posting, max(len(ids), 1))
         cuts = np.searchsorted(bucket, np.arange(PARTS + 1) * WIDTH)
-        blocks = []
-        for lo, hi in pairwise(cuts):
+        parts, blocks = [], []
+        for part, (lo, hi) in enumerate(pairwise(cuts)):
             if hi > lo:
-                blocks.append({"part": int(bucket[lo]) // WIDTH, "block": packed(bucket[lo:hi] % WIDTH, doc[lo:hi], count[lo:hi])})
+                parts.append(part)
+                blocks.append(packed(bucket[lo:hi] % WIDTH, doc[lo:hi], count[lo:hi]))
         at, n = np.unique(every, return_counts=True)
+        none = [None] * len(parts)
         out = pd.DataFrame({
-            "chunk": [first + made], "ids": [ids], "words": [words], "features": [lengths.tolist()], "blocks": [blocks],
-            "buckets": [at.tolist()], "counts": [n.tolist()],
+            "chunk": first + made, "part": pd.array([None, *parts], "Int32"), "block": [None, *blocks], "bytes": pd.array([sum(map(len, blocks)), *none], "Int64"),
+            "ids": [ids, *none], "words": [words, *none], "features": [lengths.tolist(), *none], "buckets": [at.tolist(), *none], "counts": [n.tolist(), *none],
         })
         ids, words, found, size = [], [], [], 0
         return out
@@ -135,9 +140,9 @@ def chunked(docs: DataFrame, id_col: str | None, text_col: str) -> DataFrame:
     own = docs[id_col] if id_col else F.lit(None).cast("string")
     kind = docs.schema[id_col].dataType.simpleString() if id_col else "string"
     rows = docs.select(F.struct(own.alias("v")).alias("_id"), text_of(docs, text_col).alias("_text"))
-    made = rows.mapInPandas(chunk_rows, f"chunk long, ids array<struct<v: {kind}>>, words array<int>, features array<long>, blocks array<struct<part: int, block: binary>>, buckets array<int>, counts array<long>")
+    made = rows.mapInPandas(chunk_rows, f"chunk long, part int, block binary, bytes long, ids array<struct<v: {kind}>>, words array<int>, features array<long>, buckets array<int>, counts array<long>")
     with small_batches(docs.sparkSession):
-        return written(made)
+        return written(made, **SMALL_GROUPS)
 
 
 def bucket_counts(chunks: DataFrame, name: str) -> DataFrame:
@@ -193,17 +198,17 @@ def resample(
     corpora = written(corpora.select("bucket", "s", "t"))  # at most as many rows as buckets
     whole = corpora.agg(F.coalesce(F.sum("s"), F.lit(0)).alias("whole_s"), F.coalesce(F.sum("t"), F.lit(0)).alias("whole_t"))
 
-    held = chunks.select(F.coalesce(F.sum(F.aggregate("blocks", F.lit(0).cast("long"), lambda a, b: a + F.length(b["block"]))), F.lit(0))).first()[0]
+    held = chunks.select(F.coalesce(F.sum("bytes"), F.lit(0))).first()[0]
     salts = max(1, -(-held // (SALT_BYTES * PARTS)), int(spark.conf.get("spark.sql.shuffle.partitions")) // PARTS + 1)
     salt = F.pmod(F.xxhash64("chunk"), F.lit(salts)).cast("int")
-    postings = chunks.select("chunk", F.explode("blocks").alias("b")).select("chunk", "b.part", "b.block", salt.alias("salt"))
+    postings = chunks.where("part is not null").select("chunk", "part", "block", salt.alias("salt"))
     by_part = corpora.groupBy(F.expr(f"bucket div {WIDTH}").cast("int").alias("part")).agg(F.collect_list(F.struct("bucket", "s", "t")).alias("corpora"))
     by_part = by_part.select("part", *(F.col(f"corpora.{c}").alias(c + "s" * (c == "bucket")) for c in ("bucket", "s", "t"))).crossJoin(F.broadcast(whole)).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))  # one row
     met = postings.join(by_part.hint("shuffle_hash"), ["part", "salt"])
     sums = met.select("chunk", "block", "buckets", "s", "t", "whole_s", "whole_t").mapInPandas(contributions, "chunk long, sums binary")
 
     kind = docs.schema[id_col].dataType.simpleString()
-    members = chunks.select("chunk", "ids", "words", "features")
+    members = chunks.where("part is null").select("chunk", "ids", "words", "features")
     found = members.groupBy("chunk").cogroup(sums.groupBy("chunk")).applyInPandas(weighed, f"_id {kind}, _n_words int, n_features long, weight long")
     name = F.coalesce(F.col("_id").cast("string"), F.lit("null"))
     with small_batches(spark):

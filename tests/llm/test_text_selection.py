@@ -8,6 +8,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 
 from tallyframe.llm import phrases, quality_rules, resampling
@@ -203,6 +204,19 @@ def test_packed_postings_come_back():
     assert [x.tolist() for x in resampling.unpacked(resampling.packed(b, d, n))] == [b.tolist(), d.tolist(), n.tolist()]
 
 
+def test_postings_lie_in_small_rows_and_row_groups(spark):
+    """A chunk was a row of all its postings, and a file a row group of all its chunks, each held as a whole wherever it was read."""
+    rng = random.Random(2)
+    words = [str(rng.randrange(10**6)) for _ in range(20_000)]
+    texts = [" ".join(words[k : k + 500]) for k in (rng.randrange(19_500) for _ in range(4000))]
+    chunks = resampling.chunked(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1), "doc_id", "text")
+    metas = [pq.ParquetFile(f.removeprefix("file://")).metadata for f in chunks.inputFiles()]
+    sizes = [m.row_group(k).total_byte_size for m in metas for k in range(m.num_row_groups)]
+    assert sum(sizes) > 20 << 20 and max(sizes) < 12 << 20
+    longest, total, told, parts = chunks.selectExpr("max(length(block))", "sum(length(block))", "sum(bytes)", "count(distinct part)").first()
+    assert longest < 1 << 20 and total == told and parts == resampling.PARTS
+
+
 BSD_CLAUSES = """Redistribution and use in source and binary forms, with or without
 modification, are permitted provided that the following conditions are met:
 1. Redistributions of source code must retain the above copyright
